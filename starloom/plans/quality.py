@@ -16,3 +16,75 @@ def scd2_current_check(dim: DataFrame, nk: str, key_col: str) -> DataFrame:
                    F.sum((F.col("n_current") == 1).cast("int")).cast("long").alias("n_one_current"),
                    F.sum("n_versions").cast("long").alias("n_versions"),
                    F.sum("n_closed_missing_end").cast("long").alias("n_closed_missing_end"))
+
+
+def scalars_row(values: dict[str, DataFrame]) -> DataFrame:
+    """Combine one-row, one-column count frames into a single row without a Cartesian join:
+    stack them as (name, value) rows, then fold with one conditional aggregate."""
+    stacked = None
+    for name, df in values.items():
+        r = df.select(F.lit(name).alias("_n"), F.col(df.columns[0]).cast("long").alias("_v"))
+        stacked = r if stacked is None else stacked.unionByName(r)
+    return stacked.agg(*[F.max(F.when(F.col("_n") == n, F.col("_v"))).alias(n) for n in values])
+
+
+def reconcile(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Q4/Q5 (U4): two-way EXCEPT ALL. One row: sizes and the rows found on one side only."""
+    cols = sorted(left.columns)
+    a, b = left.select(*cols), right.select(*cols)
+    cnt = lambda df: df.agg(F.count(F.lit(1)))
+    return scalars_row({"n_left": cnt(a), "n_right": cnt(b),
+                        "n_only_left": cnt(a.exceptAll(b)), "n_only_right": cnt(b.exceptAll(a))})
+
+
+def date_signature(fact: DataFrame, date_col: str, amount_cols: list[str], flag_cols: list[str]) -> DataFrame:
+    """Q6: per date: row count, sums scaled to integers (x100), flag sums. Stable across reruns."""
+    aggs = [F.count(F.lit(1)).alias("n_rows")]
+    aggs += [F.sum((F.col(c) * 100).cast("long")).alias(f"{c}_x100") for c in amount_cols]
+    aggs += [F.sum(F.col(c)).cast("long").alias(f"{c}_sum") for c in flag_cols]
+    return fact.groupBy(date_col).agg(*aggs)
+
+
+def completeness(source: DataFrame, fact: DataFrame, id_col: str, date_col: str) -> DataFrame:
+    """Q7: per date: source rows, fact rows, source ids missing from the fact."""
+    missing = source.join(fact.select(id_col), id_col, "left_anti").groupBy(date_col) \
+                    .agg(F.count(F.lit(1)).alias("n_missing"))
+    s = source.groupBy(date_col).agg(F.count(F.lit(1)).alias("n_source"))
+    f = fact.groupBy(date_col).agg(F.count(F.lit(1)).alias("n_fact"))
+    out = s.join(f, date_col, "full_outer").join(missing, date_col, "left")
+    return out.select(date_col, *[F.coalesce(c, F.lit(0)).cast("long").alias(c)
+                                  for c in ("n_source", "n_fact", "n_missing")])
+
+
+def duplicate_groups(df: DataFrame, grain: list[str]) -> DataFrame:
+    """Q19: number of grain values that occur more than once (one row)."""
+    return df.groupBy(*grain).count().filter(F.col("count") > 1) \
+             .agg(F.count(F.lit(1)).cast("long").alias("n_duplicate_groups"))
+
+
+def count_where(df: DataFrame, checks: dict[str, "F.Column"]) -> DataFrame:
+    """Q8/Q13: one row of counts, one column per named condition."""
+    return df.agg(*[F.sum(F.coalesce(c, F.lit(False)).cast("long")).alias(n) for n, c in checks.items()]) \
+             .select(*[F.coalesce(F.col(n), F.lit(0)).cast("long").alias(n) for n in checks])
+
+
+def orphan_counts(checks: list[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
+    """Q17: one row per FK check: (check_name, problem_count) via left anti joins."""
+    out = None
+    for name, child, fk, parent, pk in checks:
+        c = child.select(F.col(fk).alias("_k")).filter(F.col("_k").isNotNull())
+        p = parent.select(F.col(pk).alias("_k"))
+        row = c.join(p, "_k", "left_anti").agg(F.count(F.lit(1)).cast("long").alias("problem_count")) \
+               .select(F.lit(name).alias("check_name"), "problem_count")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """UNION ALL of per-table row counts, ordered by table name."""
+    out = None
+    for name in sorted(tables):
+        row = tables[name].agg(F.count(F.lit(1)).cast("long").alias("row_count")) \
+                          .select(F.lit(name).alias("table_name"), "row_count")
+        out = row if out is None else out.unionByName(row)
+    return out.orderBy("table_name")
