@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from starloom.functions.text import norm_lower
 from starloom.operators.scd import scd1_rebuild
 from starloom.plans.dim_date import build_dim_date
+from starloom.session import cut_lineage
 from starloom.sources.tables import load
 
 # Status codes of the order status column and how the loaders read them.
@@ -23,6 +24,27 @@ ORDER_SETTLED = ["f", "o"]      # 'p' (pending) is never loaded
 ORDER_STATUS_VALUES = [("order", "f", "Fulfilled"), ("order", "o", "Open"), ("order", "p", "Pending")]
 
 
+_MEMO: dict = {}
+
+
+def memo_dim(fn):
+    """Build a dimension once per (session, folder) and keep the checkpointed result.
+
+    Several facts resolve keys against the same dimensions; the dimension is the shared
+    work table (written once to the checkpoint folder), like the DW dimension tables the
+    facts read. Source files are immutable, so the cache key is the folder.
+    """
+    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (fn.__name__, id(spark.sparkContext._jsc), sf_dir.rstrip("/"))
+        if key not in _MEMO:
+            _MEMO[key] = cut_lineage(fn(spark, sf_dir))
+        return _MEMO[key]
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
+@memo_dim
 def customer_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = load(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("customer_name"),
@@ -38,12 +60,14 @@ def code_dim(codes: DataFrame, key_col: str, code_col: str = "code", title_col:
     return scd1_rebuild(src, None, [code_col], key_col, unknown={code_col: "unknown", title_col: "Unknown"})
 
 
+@memo_dim
 def priority_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = load(spark, sf_dir, "orders")
     codes = o.select(norm_lower("o_orderpriority").alias("code"), F.trim("o_orderpriority").alias("title"))
     return code_dim(codes, "priority_key")
 
 
+@memo_dim
 def status_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SC8 + U1: fixed (type, code) pairs UNION the codes seen in lineitem line status."""
     fixed = spark.createDataFrame(ORDER_STATUS_VALUES, "status_type string, code string, title string")
@@ -56,6 +80,7 @@ def status_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
                         unknown={"status_type": "unknown", "code": "unknown", "title": "Unknown"})
 
 
+@memo_dim
 def order_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = load(spark, sf_dir, "orders")
     bounds = o.agg(F.min(F.to_date("o_orderdate")).alias("lo"), F.max(F.to_date("o_orderdate")).alias("hi"))
