@@ -17,11 +17,13 @@ def full_refresh(valid: DataFrame) -> DataFrame:
 
 
 def hash_upsert(target: DataFrame | None, incoming: DataFrame, keys: list[str],
-                hash_col: str = "row_hash", valid_col: str | None = "is_valid") -> DataFrame:
+                hash_col: str = "row_hash", valid_col: str | None = "is_valid",
+                keep_old: tuple[str, ...] = ()) -> DataFrame:
     """K2: update rows whose key matches and whose hash differs (or is NULL, or the old row is
     invalid); insert absent keys; keep unchanged rows with their old metadata; never delete.
 
     Returns the next version with an ``upsert_action`` column (insert/update/unchanged).
+    ``keep_old`` columns (e.g. the staging row id) keep the target's value on update.
     """
     cols = incoming.columns
     if target is None:
@@ -44,7 +46,8 @@ def hash_upsert(target: DataFrame | None, incoming: DataFrame, keys: list[str],
                .when(new_present & changed, F.lit("update"))
                .otherwise(F.lit("unchanged")))
     take_new = action != "unchanged"
-    out = [F.when(take_new, F.col(f"_n_{c}")).otherwise(F.col(f"_o_{c}")).alias(c) for c in cols]
+    out = [(F.coalesce(F.col(f"_o_{c}"), F.col(f"_n_{c}")) if c in keep_old else
+            F.when(take_new, F.col(f"_n_{c}")).otherwise(F.col(f"_o_{c}"))).alias(c) for c in cols]
     return j.select(*out, action.alias("upsert_action"))
 
 
