@@ -13,6 +13,19 @@ from pyspark.sql import functions as F
 
 from starloom.functions.dates import UNKNOWN_KEY
 
+# A dimension side is broadcast only after a bounded count proves it has at most this many
+# rows (the de-duplicated (natural key, key) pairs: tens of bytes per row). Larger dimensions
+# use a shuffle join, where AQE's skew-join splitting protects against hot fact keys.
+DIM_BROADCAST_MAX_ROWS = 1_000_000
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` if a bounded count (reads at most max_rows + 1 rows) proves it small."""
+    if max_rows is None or max_rows <= 0:
+        return df
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
 
 def latest_per_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
     """The row with the greatest ``order_cols`` per ``keys`` (MAX(stg_row_id) self-join)."""
@@ -30,7 +43,8 @@ def dedup_dim(dim: DataFrame, nk: list[str], key_col: str, pick: str = "min") ->
 
 def lookup_key(fact: DataFrame, dim: DataFrame, on: dict[str, str] | list, key_col: str,
                out_col: str | None = None, pick: str | None = "min",
-               dim_filter: Column | None = None) -> DataFrame:
+               dim_filter: Column | None = None,
+               broadcast_max_rows: int | None = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
     """Left join ``fact`` to ``dim`` and replace a miss by the unknown key -1.
 
     ``on`` maps fact column (or Column) -> dim column. ``pick`` de-duplicates the dimension
@@ -43,6 +57,7 @@ def lookup_key(fact: DataFrame, dim: DataFrame, on: dict[str, str] | list, key_c
     d = dedup_dim(d, dim_cols, key_col, pick) if pick else d.select(*dim_cols, key_col)
     renamed = {dc: f"_sl_k{i}" for i, (_, dc) in enumerate(pairs)}
     d = d.select(*[F.col(dc).alias(renamed[dc]) for dc in dim_cols], F.col(key_col).alias("_sl_key"))
+    d = checked_broadcast(d, broadcast_max_rows)
     cond = None
     for fc, dc in pairs:
         left = F.col(fc) if isinstance(fc, str) else fc

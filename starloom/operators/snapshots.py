@@ -37,7 +37,6 @@ def cumulative_daily_snapshot(facts: DataFrame, group_cols: list[str], day_col:
     base = (facts.filter(day.isNull() | (day < e))
                  .withColumn("_eff", F.greatest(F.coalesce(day, s), s)))
 
-    parts = []
     # Per (group, eff) partial aggregates for sums, counts, min and max.
     aggs = []
     for name, (c, cond) in sums.items():
@@ -47,19 +46,23 @@ def cumulative_daily_snapshot(facts: DataFrame, group_cols: list[str], day_col:
         aggs.append(F.min(F.when(_cond(cond), F.col(c))).alias(name))
     for name, (c, cond) in maxs.items():
         aggs.append(F.max(F.when(_cond(cond), F.col(c))).alias(name))
-    parts.append(base.groupBy(*group_cols, "_eff").agg(*aggs))
+    if not aggs:
+        aggs.append(F.count(F.lit(1)).alias("_rows"))
+    parts = [base.groupBy(*group_cols, "_eff").agg(*aggs)]
 
-    # First occurrence per (group, id): one aggregation per id column, all flags at once.
+    # First occurrence per (group, id): one aggregation per id column for all its metrics, then
+    # one row per (group, first day, metric) through a stack, counted in the merge below.
     by_id = defaultdict(list)
     for name, (idc, cond) in distinct.items():
         by_id[idc].append((name, cond))
     for idc, metrics in by_id.items():
         firsts = base.filter(F.col(idc).isNotNull()).groupBy(*group_cols, idc).agg(
             *[F.min(F.when(_cond(cond), F.col("_eff"))).alias(name) for name, cond in metrics])
-        for name, _ in metrics:
-            parts.append(firsts.filter(F.col(name).isNotNull())
-                         .groupBy(*group_cols, F.col(name).alias("_eff"))
-                         .agg(F.count(F.lit(1)).alias(f"_new_{name}")))
+        stacked = firsts.select(*group_cols, F.explode(F.array(*[
+            F.struct(F.lit(name).alias("m"), F.col(name).alias("d")) for name, _ in metrics])).alias("_x"))
+        stacked = stacked.filter(F.col("_x.d").isNotNull())
+        parts.append(stacked.groupBy(*group_cols, F.col("_x.d").alias("_eff")).agg(
+            *[F.sum((F.col("_x.m") == name).cast("long")).alias(f"_new_{name}") for name, _ in metrics]))
 
     inc = parts[0]
     for p in parts[1:]:
@@ -71,19 +74,22 @@ def cumulative_daily_snapshot(facts: DataFrame, group_cols: list[str], day_col:
     merge += [F.sum(f"_new_{n}").alias(f"_new_{n}") for n in distinct]
     daily = inc.groupBy(*group_cols, "_eff").agg(*merge)
 
-    last = F.date_sub(e, 1)
-    spine = (daily.groupBy(*group_cols).agg(F.min("_eff").alias("_first"))
-                  .select(*group_cols, F.explode(F.sequence(F.col("_first"), last)).alias("_eff")))
-    grid = spine.join(daily, [*group_cols, "_eff"], "left")
-    w = Window.partitionBy(*group_cols).orderBy("_eff").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = [F.col("_eff").alias(day_out), *group_cols]
+    # One window pass: running values on the days that change, then each such row is repeated
+    # for every day until the group's next change (or the end of the window). No spine join.
+    order = Window.partitionBy(*group_cols).orderBy("_eff")
+    w = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = [F.col("_eff"), *[F.col(g) for g in group_cols]]
     for n in distinct:
-        out.append(F.coalesce(F.sum(f"_new_{n}").over(w), F.lit(0)).cast("long").alias(n))
+        run.append(F.coalesce(F.sum(f"_new_{n}").over(w), F.lit(0)).cast("long").alias(n))
     for n in sums:
-        out.append(F.sum(f"{n}_sum").over(w).alias(f"{n}_sum"))
-        out.append(F.coalesce(F.sum(f"{n}_n").over(w), F.lit(0)).cast("long").alias(f"{n}_n"))
-    out += [F.min(n).over(w).alias(n) for n in mins] + [F.max(n).over(w).alias(n) for n in maxs]
-    return grid.select(*out)
+        run.append(F.sum(f"{n}_sum").over(w).alias(f"{n}_sum"))
+        run.append(F.coalesce(F.sum(f"{n}_n").over(w), F.lit(0)).cast("long").alias(f"{n}_n"))
+    run += [F.min(n).over(w).alias(n) for n in mins] + [F.max(n).over(w).alias(n) for n in maxs]
+    run.append(F.coalesce(F.date_sub(F.lead("_eff").over(order), 1), F.date_sub(e, 1)).alias("_until"))
+    running = daily.select(*run)
+    out = [F.explode(F.sequence(F.col("_eff"), F.col("_until"))).alias(day_out), *group_cols]
+    out += [c for c in running.columns if c not in ("_eff", "_until", *group_cols)]
+    return running.select(*out)
 
 
 def latest_row_per_group(df: DataFrame, group_cols: list[str], order_col: str) -> DataFrame:

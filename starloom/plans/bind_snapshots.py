@@ -18,6 +18,7 @@ from starloom.operators.snapshots import (
 from starloom.operators.validation import settled
 from starloom.plans import driver_dims as dd
 from starloom.plans.registry import register
+from starloom.session import cut_lineage
 from starloom.sources.tables import load
 from starloom.sources.watermark import history_before
 
@@ -104,7 +105,8 @@ SELECT * FROM new UNION ALL SELECT * FROM old WHERE user_id NOT IN (SELECT user_
 """)
 def accumulating_snapshot_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = event_facts(spark, sf_dir)
-    snap = user_daily_snapshot(facts, DAY0, DAY_END)
+    # The snapshot feeds both accumulations: write it once (a work table, as in the loaders).
+    snap = cut_lineage(user_daily_snapshot(facts, DAY0, DAY_END))
     old = accumulation(snap, facts, 20240101, 20240116)
     new = accumulation(snap, facts, 20240116, 20240131)
     return replace_touched(old, new, ["user_id"])
@@ -153,19 +155,23 @@ def monthly_snapshot_scaffold(spark: SparkSession, sf_dir: str) -> DataFrame:
     om = o.join(cust, o.o_custkey == cust.c_custkey).withColumn("month_start", F.trunc(F.to_date("o_orderdate"), "month"))
     lm = li.join(supp, li.l_suppkey == supp.s_suppkey).withColumn("month_start", F.trunc(F.to_date("l_shipdate"), "month"))
     keys = ["nation_id", "month_start"]
-    don = om.filter(norm_lower("o_orderstatus") == "f").groupBy(*keys).agg(
-        F.sum(_money("o_totalprice")).alias("total_donation_amount"),
-        F.countDistinct("o_orderkey").alias("donation_count"))
-    exp = lm.filter(F.col("l_linestatus") == "F").groupBy(*keys).agg(
-        F.sum(_money("l_extendedprice")).alias("total_expense_amount"), F.count(F.lit(1)).alias("expense_count"))
+    # One conditional aggregation per source (orders, lines) instead of one per measure.
+    fulfilled = norm_lower("o_orderstatus") == "f"
+    by_order = om.groupBy(*keys).agg(
+        F.sum(F.when(fulfilled, _money("o_totalprice"))).alias("total_donation_amount"),
+        F.countDistinct(F.when(fulfilled, F.col("o_orderkey"))).alias("donation_count"),
+        F.count(F.lit(1)).alias("allocation_count"))
     pay_amt = (_money("l_extendedprice") * F.col("l_discount").cast("decimal(4,2)")).cast("decimal(18,2)")
-    pay = lm.filter(F.col("l_returnflag") == "R").groupBy(*keys).agg(
-        F.sum(pay_amt).alias("total_payment_amount"), F.count(F.lit(1)).alias("payment_count"))
-    alloc = om.groupBy(*keys).agg(F.count(F.lit(1)).alias("allocation_count"))
+    shipped, returned = F.col("l_linestatus") == "F", F.col("l_returnflag") == "R"
+    by_line = lm.groupBy(*keys).agg(
+        F.sum(F.when(shipped, _money("l_extendedprice"))).alias("total_expense_amount"),
+        F.count(F.when(shipped, F.lit(1))).alias("expense_count"),
+        F.sum(F.when(returned, pay_amt)).alias("total_payment_amount"),
+        F.count(F.when(returned, F.lit(1))).alias("payment_count"))
     # The period bounds are two scalars; the scaffold is members exploded over those months.
     lo, hi = o.agg(F.min(F.to_date("o_orderdate")), F.max(F.to_date("o_orderdate"))).first()
     scaffold = member_months(nations, lo, hi)
-    x = scaffold_measures(scaffold, keys, [don, exp, pay, alloc])
+    x = scaffold_measures(scaffold, keys, [by_order, by_line])
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
     return x.select(
         date_key(F.last_day("month_start")).alias("month_key"), "nation_id",

@@ -28,10 +28,16 @@ def scalars_row(values: dict[str, DataFrame]) -> DataFrame:
     return stacked.agg(*[F.max(F.when(F.col("_n") == n, F.col("_v"))).alias(n) for n in values])
 
 
-def reconcile(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Q4/Q5 (U4): two-way EXCEPT ALL. One row: sizes and the rows found on one side only."""
+def reconcile(left: DataFrame, right: DataFrame, materialize: bool = True) -> DataFrame:
+    """Q4/Q5 (U4): two-way EXCEPT ALL. One row: sizes and the rows found on one side only.
+
+    Each side feeds four aggregates; ``materialize`` writes each side once to the checkpoint
+    folder so neither is recomputed four times."""
+    from starloom.session import cut_lineage
     cols = sorted(left.columns)
     a, b = left.select(*cols), right.select(*cols)
+    if materialize:
+        a, b = cut_lineage(a), cut_lineage(b)
     cnt = lambda df: df.agg(F.count(F.lit(1)))
     return scalars_row({"n_left": cnt(a), "n_right": cnt(b),
                         "n_only_left": cnt(a.exceptAll(b)), "n_only_right": cnt(b.exceptAll(a))})
