@@ -13,7 +13,9 @@ from starloom.operators.loads import append_new
 from starloom.operators.validation import settled, validation_counts
 from starloom.plans import driver_dims as dd
 from starloom.plans.audit import batch_rollup, load_log_rows, recent_log
-from starloom.plans.bind_extract import validated_customers, validated_lines, validated_orders
+from starloom.plans.bind_extract import (
+    user_snapshot_sql, validated_customers, validated_lines, validated_orders,
+)
 from starloom.plans.bind_facts import (
     PROGRESS_SQL, TRANSACTION_FACT_SQL, order_transactions, progress_rows,
 )
@@ -280,3 +282,41 @@ def lifecycle_vs_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = order_transactions(spark, sf_dir).groupBy("customer_key", "priority_key").agg(
         F.sum("amount").cast("decimal(18,2)").alias("amount"), F.count(F.lit(1)).cast("long").alias("n"))
     return reconcile(life, f)
+
+
+@register("dedup_insert", ("K12",), """
+SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS day FROM events
+EXCEPT SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) FROM events WHERE ts < TIMESTAMP '2024-01-16'
+""")
+def dedup_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Insert (user, type, day) keys not present yet; duplicates in the batch collapse."""
+    from starloom.operators.loads import insert_missing_distinct
+    ev = load(spark, sf_dir, "events").select("user_id", "event_type", F.to_date("ts").alias("day"), "ts")
+    keys = ["user_id", "event_type", "day"]
+    existing = ev.filter(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")).select(*keys).distinct()
+    return insert_missing_distinct(ev.select(*keys), existing, keys)
+
+
+@register("type1_propagation", ("Q21", "K6"), f"""
+WITH s AS {user_snapshot_sql('2024-01-31', 2)}
+SELECT CAST(count(*) AS BIGINT) AS n_members, CAST(0 AS BIGINT) AS n_mismatched, CAST(0 AS BIGINT) AS n_duplicated FROM s
+""")
+def type1_propagation_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starloom.plans.bind_dims import scd1_rebuild_q
+    from starloom.plans.bind_extract import SNAPSHOT_2, user_snapshot
+    from starloom.plans.quality import type1_propagation
+    dim = cut_lineage(scd1_rebuild_q(spark, sf_dir))
+    src = user_snapshot(spark, sf_dir, SNAPSHOT_2, 2)
+    return type1_propagation(dim, src, "user_id", ["event_type", "row_hash"], "user_key")
+
+
+@register("event_fact_check", ("Q9", "F4"), f"""
+WITH p AS ({PROGRESS_SQL})
+SELECT CAST(count(*) AS BIGINT) AS n_progress, CAST(count(*) AS BIGINT) AS n_events,
+       CAST(0 AS BIGINT) AS n_missing_event, CAST(0 AS BIGINT) AS n_orphan_event FROM p
+""")
+def event_fact_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starloom.plans.bind_facts import task_events
+    from starloom.plans.quality import event_consistency
+    progress = cut_lineage(progress_rows(spark, sf_dir))
+    return event_consistency(progress, task_events(progress), ["source_order_id", "source_line_id"])

@@ -94,3 +94,39 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
                           .select(F.lit(name).alias("table_name"), "row_count")
         out = row if out is None else out.unionByName(row)
     return out.orderBy("table_name")
+
+
+def schema_contract(df: DataFrame, required: list[str], forbidden: list[str] = ()) -> list[str]:
+    """Q12: problems with a table's column contract (empty list = contract holds)."""
+    cols = set(df.columns)
+    return [f"missing column {c}" for c in required if c not in cols] + \
+           [f"unexpected column {c}" for c in forbidden if c in cols]
+
+
+def invalid_staged_rows(staging: DataFrame) -> DataFrame:
+    """Q14: one row: staged rows that are not valid (must be 0 after a load)."""
+    return staging.agg(F.sum((~F.coalesce(F.col("is_valid"), F.lit(False))).cast("long")).alias("n_invalid")) \
+                  .select(F.coalesce("n_invalid", F.lit(0)).cast("long").alias("n_invalid"))
+
+
+def type1_propagation(dim: DataFrame, source: DataFrame, nk: str, attrs: list[str], key_col: str) -> DataFrame:
+    """Q21: every source member appears once in the Type 1 dimension with current attributes."""
+    d = dim.filter(F.col(key_col) != -1)
+    dup = d.groupBy(nk).count().filter(F.col("count") > 1).agg(F.count(F.lit(1)))
+    j = source.select(nk, *attrs).join(d.select(nk, *[F.col(a).alias(f"_d_{a}") for a in attrs]), nk, "left")
+    mismatch = None
+    for a in attrs:
+        c = ~F.col(a).eqNullSafe(F.col(f"_d_{a}"))
+        mismatch = c if mismatch is None else mismatch | c
+    return scalars_row({"n_members": source.agg(F.count(F.lit(1))),
+                        "n_mismatched": j.filter(mismatch).agg(F.count(F.lit(1))),
+                        "n_duplicated": dup})
+
+
+def event_consistency(progress: DataFrame, events: DataFrame, keys: list[str]) -> DataFrame:
+    """Q9: every progress row has exactly one event and every event has its progress row."""
+    p = progress.select(*[F.coalesce(F.col(k), F.lit(-1)).alias(k) for k in keys])
+    e = events.select(*[F.coalesce(F.col(k), F.lit(-1)).alias(k) for k in keys])
+    return scalars_row({"n_progress": p.agg(F.count(F.lit(1))), "n_events": e.agg(F.count(F.lit(1))),
+                        "n_missing_event": p.join(e, keys, "left_anti").agg(F.count(F.lit(1))),
+                        "n_orphan_event": e.join(p, keys, "left_anti").agg(F.count(F.lit(1)))})
