@@ -12,6 +12,7 @@ from starloom.functions.text import keyword_flags, norm_lower, norm_upper
 from starloom.operators.lookups import current_key, latest_per_key, latest_value, lookup_key
 from starloom.operators.scd import scd1_rebuild, scd2_merge
 from starloom.plans import driver_dims as dd
+from starloom.plans.driver_dims import STATUS_DIM_SQL
 from starloom.plans.bind_extract import SNAPSHOT_1, SNAPSHOT_2, user_snapshot, user_snapshot_sql
 from starloom.plans.registry import register
 from starloom.session import cut_lineage
@@ -36,14 +37,6 @@ def code_dim_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dd.priority_dim(spark, sf_dir)
 
 
-STATUS_DIM_SQL = """
-SELECT CAST(row_number() OVER (ORDER BY status_type, code) AS BIGINT) AS status_key, status_type, code, title
-FROM (SELECT status_type, code, min(title) AS title FROM (
-        SELECT * FROM (VALUES ('order', 'f', 'Fulfilled'), ('order', 'o', 'Open'), ('order', 'p', 'Pending')) v(status_type, code, title)
-        UNION ALL SELECT 'line', lower(trim(l_linestatus)), trim(l_linestatus) FROM lineitem)
-      WHERE code IS NOT NULL GROUP BY status_type, code)
-UNION ALL SELECT -1, 'unknown', 'unknown', 'Unknown'
-"""
 
 
 @register("status_union_dim", ("SC8", "U1", "K6", "D13"), STATUS_DIM_SQL)

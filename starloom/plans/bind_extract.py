@@ -288,3 +288,50 @@ def hash_upsert_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     old = user_snapshot(spark, sf_dir, SNAPSHOT_1, 1)
     new = user_snapshot(spark, sf_dir, SNAPSHOT_2, 2)
     return hash_upsert(old, new, ["user_id"]).drop("is_valid")
+
+
+# --- the staging job itself (SC3 + V1 + V3-V8 + K2 + K7 + SC10) on whole orders ---------------
+def _orders_spec():
+    from starloom.plans.staging import FK, TableSpec
+    return TableSpec(
+        "orders", "tpch", "upsert", watermark="date:o_orderdate",
+        required=("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus"),
+        domains=(("o_orderstatus", ("f", "o", "p")),), positive=("o_totalprice",),
+        fks=(FK("o_custkey", "customer", "c_custkey"),), key="o_orderkey",
+        columns=("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"))
+
+
+STAGING_ENVELOPE_SQL = """o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+  CAST({batch} AS INTEGER) AS etl_batch_id, 'TPCH' AS source_system, 'tpch' AS source_database,
+  'tpch' AS source_schema, 'orders' AS source_table, TIMESTAMP '{ts}' AS extracted_at,
+  CAST(NULL AS TIMESTAMP) AS source_updated_at, row_hash, true AS is_valid, CAST(NULL AS VARCHAR) AS validation_message"""
+
+
+@register("staging_upsert", ("K2", "K7", "SC3", "V1", "V3", "V8", "V10", "SC10"), f"""
+WITH src AS (SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalprice,
+                    o_orderdate, o_orderpriority FROM orders),
+chk AS (SELECT *, (o_orderkey IS NOT NULL AND o_custkey IS NOT NULL AND o_orderdate IS NOT NULL AND o_orderstatus IS NOT NULL
+          AND lower(trim(o_orderstatus)) IN ('f', 'o', 'p') AND (o_totalprice IS NULL OR o_totalprice > 0)
+          AND o_custkey IN (SELECT c_custkey FROM customer WHERE c_custkey IS NOT NULL)) AS ok,
+          sha256(concat_ws('|', o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS VARCHAR),
+                           CAST(o_orderdate AS VARCHAR), o_orderpriority)) AS row_hash FROM src),
+r1 AS (SELECT * FROM chk WHERE ok AND o_orderdate <= TIMESTAMP '1998-01-01'),
+r2 AS (SELECT * FROM chk WHERE ok AND o_orderdate <= TIMESTAMP '2030-01-01'
+       AND o_orderkey NOT IN (SELECT o_orderkey FROM r1))
+SELECT CAST(row_number() OVER (ORDER BY o_orderkey) AS BIGINT) AS stg_row_id,
+       {STAGING_ENVELOPE_SQL.format(batch=1, ts='1998-01-01 00:00:00')} FROM r1
+UNION ALL
+SELECT CAST((SELECT count(*) FROM r1) + row_number() OVER (ORDER BY o_orderkey) AS BIGINT),
+       {STAGING_ENVELOPE_SQL.format(batch=2, ts='2030-01-01 00:00:00')} FROM r2
+""")
+def staging_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of the generic staging job over whole orders: first up to 1998, then everything."""
+    from starloom.plans.staging import stage_table
+    from starloom.session import cut_lineage
+    spec = _orders_spec()
+    orders = load(spark, sf_dir, "orders").withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(18,2)"))
+    sources = {"orders": orders, "customer": load(spark, sf_dir, "customer")}
+    first, _, _ = stage_table(spec, sources, None, _dt.datetime(1998, 1, 1), batch_id=1)
+    first = cut_lineage(first)
+    second, _, _ = stage_table(spec, sources, first, _dt.datetime(2030, 1, 1), batch_id=2)
+    return second

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from starloom.functions.dates import date_key
 from starloom.functions.text import norm_lower
 from starloom.operators.loads import append_new
-from starloom.operators.lookups import lookup_key
+from starloom.operators.lookups import checked_broadcast, lookup_key
 from starloom.operators.validation import settled
 from starloom.plans import driver_dims as dd
+from starloom.plans.driver_dims import STATUS_DIM_SQL
 from starloom.plans.registry import register
 from starloom.sources.tables import load
 from starloom.sources.watermark import business_window
@@ -116,18 +117,21 @@ def progress_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = norm_lower("o_orderstatus")
     plans = o.select(
         F.col("o_orderkey").alias("source_order_id"), F.lit(None).cast("long").alias("source_line_id"),
-        date_key("o_orderdate").alias("date_key"), F.lit(None).cast("string").alias("line_status"),
+        date_key("o_orderdate").alias("date_key"), F.lit(-1).cast("long").alias("status_key"),
         F.lit(1).alias("is_planned"), F.lit(0).alias("is_assessed"),
         (status == "f").cast("int").alias("is_completed"), F.lit(0).alias("is_cancelled"),
         F.lit(0).alias("is_refused"), F.lit(0).alias("is_scored"), F.lit(0).alias("is_not_scored"),
         F.lit(None).cast("decimal(10,2)").alias("raw_score"), F.lit(None).cast("decimal(10,4)").alias("normalized_score"))
     li = load(spark, sf_dir, "lineitem")
+    # The line status code becomes a key of the status dimension (resolved back in F4, J18).
+    line_status = dd.status_dim(spark, sf_dir).filter(F.col("status_type") == "line")
+    li = lookup_key(li, line_status, [(norm_lower("l_linestatus"), "code")], "status_key")
     scored = F.col("l_linestatus") == "F"
     raw = F.col("l_quantity").cast("decimal(10,2)")
     assessments = li.select(
         F.col("l_orderkey").alias("source_order_id"),
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("source_line_id"),
-        date_key("l_shipdate").alias("date_key"), norm_lower("l_linestatus").alias("line_status"),
+        date_key("l_shipdate").alias("date_key"), "status_key",
         F.lit(0).alias("is_planned"), F.lit(1).alias("is_assessed"), F.lit(0).alias("is_completed"),
         F.lit(0).alias("is_cancelled"), (F.col("l_returnflag") == "R").cast("int").alias("is_refused"),
         scored.cast("int").alias("is_scored"), (~scored).cast("int").alias("is_not_scored"),
@@ -140,18 +144,22 @@ def progress_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 PROGRESS_SQL = """
 SELECT o_orderkey AS source_order_id, CAST(NULL AS BIGINT) AS source_line_id,
   CAST(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) AS INTEGER) AS date_key,
-  CAST(NULL AS VARCHAR) AS line_status, 1 AS is_planned, 0 AS is_assessed,
+  CAST(-1 AS BIGINT) AS status_key, 1 AS is_planned, 0 AS is_assessed,
   CAST(lower(trim(o_orderstatus)) = 'f' AS INTEGER) AS is_completed, 0 AS is_cancelled, 0 AS is_refused,
   0 AS is_scored, 0 AS is_not_scored, CAST(NULL AS DECIMAL(10,2)) AS raw_score, CAST(NULL AS DECIMAL(10,4)) AS normalized_score
 FROM orders WHERE lower(trim(coalesce(o_orderstatus, ''))) IN ('f', 'o')
 UNION ALL
 SELECT l_orderkey, l_orderkey * 10 + l_linenumber,
-  CAST(year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate) AS INTEGER), lower(trim(l_linestatus)),
+  CAST(year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate) AS INTEGER),
+  CAST(coalesce((SELECT st.status_key FROM ({STATUS_KEYS}) st
+                 WHERE st.status_type = 'line' AND st.code = lower(trim(l_linestatus))), -1) AS BIGINT),
   0, 1, 0, 0, CAST(l_returnflag = 'R' AS INTEGER), CAST(l_linestatus = 'F' AS INTEGER), CAST(NOT (l_linestatus = 'F') AS INTEGER),
   CASE WHEN l_linestatus = 'F' THEN CAST(l_quantity AS DECIMAL(10,2)) END,
   CASE WHEN l_linestatus = 'F' THEN CAST(CAST(l_quantity AS DECIMAL(10,2)) * 2 AS DECIMAL(10,4)) END
 FROM lineitem
-"""
+""".replace("{STATUS_KEYS}", """SELECT status_type, code, row_number() OVER (ORDER BY status_type, code) AS status_key
+  FROM (SELECT 'order' AS status_type, c AS code FROM (VALUES ('f'), ('o'), ('p')) v(c)
+        UNION SELECT 'line', lower(trim(l_linestatus)) FROM lineitem WHERE l_linestatus IS NOT NULL)""")
 
 PHASE_1_KEY = 19980101
 
@@ -168,36 +176,38 @@ def nullsafe_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return append_new(rows, existing, ["source_order_id", "source_line_id"], null_safe=True)
 
 
-def task_events(progress: DataFrame) -> DataFrame:
-    """one event per progress row; status from the assessment code, else a flag priority chain."""
+def task_events(progress: DataFrame, status_dim: DataFrame) -> DataFrame:
+    """one event per progress row; status from the assessment's status code (J18: key -> code),
+    else a flag priority chain."""
     f = lambda c: F.col(c) == 1
+    codes = checked_broadcast(status_dim.select("status_key", F.col("code").alias("_code")))
+    p = progress.join(codes, "status_key", "left")
     assessed = F.col("source_line_id").isNotNull()
-    status = (F.when(assessed & F.col("line_status").isNotNull(), F.col("line_status"))
+    status = (F.when(assessed & F.col("_code").isNotNull(), F.col("_code"))
                .when(f("is_cancelled"), "CANCELLED").when(f("is_refused"), "REFUSED")
                .when(f("is_completed"), "COMPLETED").when(f("is_scored"), "SCORED")
                .when(f("is_not_scored"), "NOT_SCORED").when(f("is_assessed"), "ASSESSED")
                .when(f("is_planned"), "PLANNED").otherwise("UNKNOWN"))
-    return progress.filter(F.col("source_order_id").isNotNull() | assessed).select(
+    return p.filter(F.col("source_order_id").isNotNull() | assessed).select(
         F.when(assessed, F.lit("ASSESSMENT")).otherwise(F.lit("PLAN")).alias("event_type"),
         status.alias("event_status"), "source_order_id", "source_line_id", "date_key", "raw_score",
         "normalized_score")
 
 
 @register("event_fact", ("F4", "J18", "K4"), f"""
-WITH p AS ({PROGRESS_SQL})
+WITH p AS ({PROGRESS_SQL}), st AS ({STATUS_DIM_SQL})
 SELECT CASE WHEN source_line_id IS NOT NULL THEN 'ASSESSMENT' ELSE 'PLAN' END AS event_type,
-  CASE WHEN source_line_id IS NOT NULL AND line_status IS NOT NULL THEN line_status
+  CASE WHEN source_line_id IS NOT NULL AND st.code IS NOT NULL THEN st.code
        WHEN is_cancelled = 1 THEN 'CANCELLED' WHEN is_refused = 1 THEN 'REFUSED'
        WHEN is_completed = 1 THEN 'COMPLETED' WHEN is_scored = 1 THEN 'SCORED'
        WHEN is_not_scored = 1 THEN 'NOT_SCORED' WHEN is_assessed = 1 THEN 'ASSESSED'
        WHEN is_planned = 1 THEN 'PLANNED' ELSE 'UNKNOWN' END AS event_status,
   source_order_id, source_line_id, date_key, raw_score, normalized_score
-FROM p WHERE source_order_id IS NOT NULL OR source_line_id IS NOT NULL
+FROM p LEFT JOIN st ON st.status_key = p.status_key
+WHERE source_order_id IS NOT NULL OR source_line_id IS NOT NULL
 """)
 def event_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = task_events(progress_rows(spark, sf_dir))
-    # Second load of the same rows appends nothing (null-safe key incl. event_type).
-    return events
+    return task_events(progress_rows(spark, sf_dir), dd.status_dim(spark, sf_dir))
 
 
 # --- F10 + J10: factless event with a conditional parent ------------------------------------

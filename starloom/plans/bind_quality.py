@@ -319,4 +319,5 @@ def event_fact_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starloom.plans.bind_facts import task_events
     from starloom.plans.quality import event_consistency
     progress = cut_lineage(progress_rows(spark, sf_dir))
-    return event_consistency(progress, task_events(progress), ["source_order_id", "source_line_id"])
+    events = task_events(progress, dd.status_dim(spark, sf_dir))
+    return event_consistency(progress, events, ["source_order_id", "source_line_id"])

@@ -35,7 +35,7 @@ def memo_dim(fn):
     facts read. Source files are immutable, so the cache key is the folder.
     """
     def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (fn.__name__, id(spark.sparkContext._jsc), sf_dir.rstrip("/"))
+        key = (fn.__name__, spark.sparkContext.applicationId, sf_dir.rstrip("/"))
         if key not in _MEMO:
             _MEMO[key] = cut_lineage(fn(spark, sf_dir))
         return _MEMO[key]
@@ -85,3 +85,13 @@ def order_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = load(spark, sf_dir, "orders")
     bounds = o.agg(F.min(F.to_date("o_orderdate")).alias("lo"), F.max(F.to_date("o_orderdate")).alias("hi"))
     return build_dim_date(bounds)
+
+
+STATUS_DIM_SQL = """
+SELECT CAST(row_number() OVER (ORDER BY status_type, code) AS BIGINT) AS status_key, status_type, code, title
+FROM (SELECT status_type, code, min(title) AS title FROM (
+        SELECT * FROM (VALUES ('order', 'f', 'Fulfilled'), ('order', 'o', 'Open'), ('order', 'p', 'Pending')) v(status_type, code, title)
+        UNION ALL SELECT 'line', lower(trim(l_linestatus)), trim(l_linestatus) FROM lineitem)
+      WHERE code IS NOT NULL GROUP BY status_type, code)
+UNION ALL SELECT -1, 'unknown', 'unknown', 'Unknown'
+"""

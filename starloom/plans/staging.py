@@ -48,6 +48,11 @@ class TableSpec:
     ordered: tuple = ()                    # (first, second)
     fks: tuple = field(default_factory=tuple)
     parents: tuple = ()                    # (fk col, parent table) for the parent watermark
+    key: str = "id"                        # business key of the table
+    columns: tuple = ()                    # source columns; default: the declared source schema
+
+    def source_columns(self) -> list[str]:
+        return list(self.columns) if self.columns else schemas.columns(self.name)
 
     def rules(self) -> list[Rule]:
         r = [required(c) for c in self.required]
@@ -167,7 +172,8 @@ def _extract(spec: TableSpec, src: DataFrame, sources: dict[str, DataFrame], to_
         return date_watermark(src, to_date, spec.watermark.split(":", 1)[1])
     out = src
     for fk, parent in spec.parents:   # SC4: both parents must themselves be inside the watermark
-        p = _extract(SPEC_BY_NAME[parent], sources[parent], sources, to_date).select(F.col("id").alias(f"_p_{fk}"))
+        pspec = SPEC_BY_NAME[parent]
+        p = _extract(pspec, sources[parent], sources, to_date).select(F.col(pspec.key).alias(f"_p_{fk}"))
         out = out.join(p, F.col(fk) == F.col(f"_p_{fk}"), "left_semi")
     return out
 
@@ -182,7 +188,8 @@ def stage_table(spec: TableSpec, sources: dict[str, DataFrame], current: DataFra
                 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Returns (next staging version, one-row counts, rejected rows)."""
     src = sources[spec.name]
-    cols = schemas.columns(spec.name)
+    cols = spec.source_columns()
+    key = spec.key
     x = _extract(spec, src.select(*cols), sources, to_date)
     x = x.withColumn("row_hash", row_hash(*cols))
     fks = [ForeignKey(fk.col, sources[fk.parent], fk.parent_col, f"{fk.col} invalid reference to {fk.parent}; ",
@@ -190,7 +197,8 @@ def stage_table(spec: TableSpec, sources: dict[str, DataFrame], current: DataFra
     checked = validate(x, spec.rules(), fks)
     valid = checked.filter(F.col("is_valid")).drop("validation_message")
     rejected = checked.filter(~F.col("is_valid"))
-    staged = stamp_lineage(valid, batch_id, spec.system.upper(), SOURCE_DATABASE[spec.system], spec.system,
+    staged = stamp_lineage(valid, batch_id, spec.system.upper(), SOURCE_DATABASE.get(spec.system, spec.system),
+                           spec.system,
                            spec.name, extracted_at or to_date, _updated_at(valid))
     staged = staged.withColumn("validation_message", F.lit(None).cast("string"))
     envelope = ["etl_batch_id", "source_system", "source_database", "source_schema", "source_table",
@@ -198,16 +206,18 @@ def stage_table(spec: TableSpec, sources: dict[str, DataFrame], current: DataFra
     staged = staged.select(*cols, *envelope)
 
     if spec.load == "full" or current is None:
-        nxt = assign_keys(staged, ["id"], "stg_row_id", base=0)
-        inserted, updated = nxt, None
-        nxt = nxt.withColumn("upsert_action", F.lit("insert"))
+        nxt = assign_keys(staged, [key], "stg_row_id", base=0).withColumn("upsert_action", F.lit("insert"))
     else:
         merged = hash_upsert(current.select("stg_row_id", *cols, *envelope),
                              staged.withColumn("stg_row_id", F.lit(None).cast("long")).select(
                                  "stg_row_id", *cols, *envelope),
-                             ["id"], keep_old=("stg_row_id",))
+                             [key], keep_old=("stg_row_id",))
+        # The merge (a full outer join of old staging and the extract) feeds two branches:
+        # materialise it once instead of joining twice.
+        from starloom.session import cut_lineage
+        merged = cut_lineage(merged)
         have = merged.filter(F.col("stg_row_id").isNotNull())
-        fresh = assign_keys(merged.filter(F.col("stg_row_id").isNull()).drop("stg_row_id"), ["id"], "stg_row_id",
+        fresh = assign_keys(merged.filter(F.col("stg_row_id").isNull()).drop("stg_row_id"), [key], "stg_row_id",
                             base=max_key(current, "stg_row_id"))
         nxt = have.unionByName(fresh)
     nxt = nxt.select("stg_row_id", *cols, *envelope, "upsert_action")
