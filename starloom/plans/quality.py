@@ -130,3 +130,22 @@ def event_consistency(progress: DataFrame, events: DataFrame, keys: list[str]) -
     return scalars_row({"n_progress": p.agg(F.count(F.lit(1))), "n_events": e.agg(F.count(F.lit(1))),
                         "n_missing_event": p.join(e, keys, "left_anti").agg(F.count(F.lit(1))),
                         "n_orphan_event": e.join(p, keys, "left_anti").agg(F.count(F.lit(1)))})
+
+
+def documented_dq(program: dict[str, DataFrame], finance: dict[str, DataFrame]) -> DataFrame:
+    """Q15: the data-quality problems the design notes name, one row per check:
+    children whose center does not exist, non-positive donation amounts, and assessment
+    scores outside their score scale (via the assignment's scale)."""
+    orphans = orphan_counts([("child_without_center", program["children"], "center_id", program["centers"], "id")])
+    bad_amount = finance["donations"].filter(F.col("amount") <= 0).agg(
+        F.count(F.lit(1)).cast("long").alias("problem_count")).select(
+        F.lit("non_positive_donation").alias("check_name"), "problem_count")
+    ta = program["task_assessments"].select("daily_task_assignment_id", "score")
+    dta = program["daily_task_assignments"].select(F.col("id").alias("_a"), "score_scale_id")
+    sc = program["score_scales"].select(F.col("id").alias("_s"), "min_score", "max_score")
+    scored = ta.filter(F.col("score").isNotNull()).join(dta, F.col("daily_task_assignment_id") == F.col("_a")) \
+               .join(sc, F.col("score_scale_id") == F.col("_s"))
+    outside = scored.filter((F.col("score") < F.col("min_score")) | (F.col("score") > F.col("max_score"))).agg(
+        F.count(F.lit(1)).cast("long").alias("problem_count")).select(
+        F.lit("score_outside_scale").alias("check_name"), "problem_count")
+    return orphans.unionByName(bad_amount).unionByName(outside)

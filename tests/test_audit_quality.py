@@ -32,3 +32,21 @@ def test_schema_contract_and_validity(spark):
     assert schema_contract(df, ["id", "is_valid"], ["source_table"]) == []
     assert schema_contract(df, ["date_key"], ["id"]) == ["missing column date_key", "unexpected column id"]
     assert invalid_staged_rows(df).collect()[0].n_invalid == 1
+
+
+def test_documented_dq(spark):
+    from decimal import Decimal as D
+
+    from starloom.plans.quality import documented_dq
+    from tests import finance_fixture as ffx
+    from tests import program_fixture as pfx
+    prog_rows = pfx.day2_rows()
+    prog_rows["children"].append((9, 77, "X", "Y", None, None, None, None, "active", pfx.T0, None))
+    prog_rows["task_assessments"].append((9, 1, 1, 1, 1, pfx.d("2027-05-02"), D("11.00"), None, "scored", None, 1,
+                                          None, pfx.T0, None))
+    fin_rows = ffx.first_load_rows()
+    fin_rows["donations"].append((199, 1, 1, D("-5.00"), "IRR", "cash", ffx.d("2028-01-09"), "confirmed", None,
+                                  ffx.ts("2028-01-09T10:00:00"), None))
+    got = {r.check_name: r.problem_count
+           for r in documented_dq(pfx.sources(spark, prog_rows), ffx.sources(spark, fin_rows)).collect()}
+    assert got == {"child_without_center": 1, "non_positive_donation": 1, "score_outside_scale": 1}
