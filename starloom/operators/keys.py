@@ -8,6 +8,10 @@
   3. count rows per partition (one row per partition reaches the driver), turn the
      counts into offsets and broadcast that partition-sized table back.
 key = base + offset(partition) + position + 1, identical to the global row_number.
+
+Inputs proven small by a bounded count (at most ``SMALL_MAX_ROWS``) take a short path: one
+shuffle into a single partition, a sort on the natural key then every other column (a total
+order, so the numbering is the same on any recomputation and needs no checkpoint).
 """
 
 from __future__ import annotations
@@ -18,11 +22,24 @@ from pyspark.sql import functions as F
 from starloom.session import cut_lineage
 
 _POS_BITS = 33
+SMALL_MAX_ROWS = 1_000_000
+
+
+def _sortable(df: DataFrame) -> list[str]:
+    simple = ("string", "int", "bigint", "smallint", "tinyint", "boolean", "date", "timestamp", "timestamp_ntz",
+              "double", "float", "binary")
+    return [f.name for f in df.schema.fields
+            if f.dataType.simpleString() in simple or f.dataType.simpleString().startswith("decimal")]
 
 
 def assign_keys(df: DataFrame, order_cols: list[str], key_col: str, base: int = 0,
                 num_partitions: int | None = None) -> DataFrame:
+    from starloom.operators.lookups import bounded_count
     spark = df.sparkSession
+    if num_partitions is None and bounded_count(df, SMALL_MAX_ROWS) <= SMALL_MAX_ROWS:
+        order = list(order_cols) + [c for c in _sortable(df) if c not in order_cols]
+        one = df.repartition(1).sortWithinPartitions(*order)
+        return one.withColumn(key_col, (F.lit(base) + F.monotonically_increasing_id() + 1).cast("long"))
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(max(1, n), *order_cols)
                 .sortWithinPartitions(*order_cols)

@@ -8,6 +8,8 @@ so a hot key never lands whole in one task.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,11 +21,26 @@ from starloom.functions.dates import UNKNOWN_KEY
 DIM_BROADCAST_MAX_ROWS = 1_000_000
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` if a bounded count (reads at most max_rows + 1 rows) proves it small."""
+_ROWS_SEEN: "weakref.WeakKeyDictionary" = weakref.WeakKeyDictionary()
+
+
+def bounded_count(df: DataFrame, max_rows: int) -> int:
+    """Rows of ``df`` counted up to max_rows + 1 (the scan stops early); cached per frame object."""
+    cached = _ROWS_SEEN.get(df)
+    if cached is not None and cached[0] >= max_rows:
+        return cached[1]
+    n = df.limit(max_rows + 1).count()
+    _ROWS_SEEN[df] = (max_rows, n)
+    return n
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS,
+                      bound_by: DataFrame | None = None) -> DataFrame:
+    """Broadcast ``df`` if a bounded count proves it small. ``bound_by`` may name a frame known to
+    have at least as many rows (e.g. the dimension a de-duplicated lookup side comes from)."""
     if max_rows is None or max_rows <= 0:
         return df
-    n = df.limit(max_rows + 1).count()
+    n = bounded_count(bound_by if bound_by is not None else df, max_rows)
     return F.broadcast(df) if n <= max_rows else df
 
 
@@ -57,7 +74,8 @@ def lookup_key(fact: DataFrame, dim: DataFrame, on: dict[str, str] | list, key_c
     d = dedup_dim(d, dim_cols, key_col, pick) if pick else d.select(*dim_cols, key_col)
     renamed = {dc: f"_sl_k{i}" for i, (_, dc) in enumerate(pairs)}
     d = d.select(*[F.col(dc).alias(renamed[dc]) for dc in dim_cols], F.col(key_col).alias("_sl_key"))
-    d = checked_broadcast(d, broadcast_max_rows)
+    # The de-duplicated side has at most as many rows as the dimension itself.
+    d = checked_broadcast(d, broadcast_max_rows, bound_by=dim)
     cond = None
     for fc, dc in pairs:
         left = F.col(fc) if isinstance(fc, str) else fc

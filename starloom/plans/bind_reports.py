@@ -24,11 +24,14 @@ SELECT l_returnflag, l_linestatus, CAST(grouping_id(l_returnflag, l_linestatus)
 FROM lineitem GROUP BY CUBE (l_returnflag, l_linestatus)
 """)
 def cube_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = load(spark, sf_dir, "lineitem")
+    # Measures are computed once per line, before the cube repeats each row per grouping set.
+    li = load(spark, sf_dir, "lineitem").select(
+        "l_returnflag", "l_linestatus", F.col("l_quantity").cast("decimal(18,2)").alias("_qty"),
+        _revenue().alias("_rev"))
     return li.cube("l_returnflag", "l_linestatus").agg(
         F.grouping_id().cast("int").alias("grouping_level"), F.count(F.lit(1)).alias("n_lines"),
-        F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("decimal(38,2)").alias("sum_qty"),
-        F.sum(_revenue()).cast("decimal(38,4)").alias("revenue"))
+        F.sum("_qty").cast("decimal(38,2)").alias("sum_qty"),
+        F.sum("_rev").cast("decimal(38,4)").alias("revenue"))
 
 
 @register("rollup_finance", ("R2",), """

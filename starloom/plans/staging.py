@@ -194,7 +194,10 @@ def stage_table(spec: TableSpec, sources: dict[str, DataFrame], current: DataFra
     x = x.withColumn("row_hash", row_hash(*cols))
     fks = [ForeignKey(fk.col, sources[fk.parent], fk.parent_col, f"{fk.col} invalid reference to {fk.parent}; ",
                       F.expr(fk.when) if fk.when else None) for fk in spec.fks]
-    checked = validate(x, spec.rules(), fks)
+    # The validated extract is the work table every later step reads (valid rows, rejects,
+    # counts): materialise it once rather than re-running the referential joins per reader.
+    from starloom.session import cut_lineage
+    checked = cut_lineage(validate(x, spec.rules(), fks))
     valid = checked.filter(F.col("is_valid")).drop("validation_message")
     rejected = checked.filter(~F.col("is_valid"))
     staged = stamp_lineage(valid, batch_id, spec.system.upper(), SOURCE_DATABASE.get(spec.system, spec.system),
@@ -207,31 +210,33 @@ def stage_table(spec: TableSpec, sources: dict[str, DataFrame], current: DataFra
 
     if spec.load == "full" or current is None:
         nxt = assign_keys(staged, [key], "stg_row_id", base=0).withColumn("upsert_action", F.lit("insert"))
+        actions = checked.agg(F.sum(F.col("is_valid").cast("long")).alias("rows_inserted"),
+                              F.lit(0).cast("long").alias("rows_updated"))
     else:
         merged = hash_upsert(current.select("stg_row_id", *cols, *envelope),
                              staged.withColumn("stg_row_id", F.lit(None).cast("long")).select(
                                  "stg_row_id", *cols, *envelope),
                              [key], keep_old=("stg_row_id",))
-        # The merge (a full outer join of old staging and the extract) feeds two branches:
-        # materialise it once instead of joining twice.
-        from starloom.session import cut_lineage
+        # The merge (a full outer join of old staging and the extract) feeds two branches and
+        # the counts: materialise it once instead of joining three times.
         merged = cut_lineage(merged)
         have = merged.filter(F.col("stg_row_id").isNotNull())
         fresh = assign_keys(merged.filter(F.col("stg_row_id").isNull()).drop("stg_row_id"), [key], "stg_row_id",
                             base=max_key(current, "stg_row_id"))
         nxt = have.unionByName(fresh)
+        a = F.col("upsert_action")
+        actions = merged.agg(F.sum((a == "insert").cast("long")).alias("rows_inserted"),
+                             F.sum((a == "update").cast("long")).alias("rows_updated"))
     nxt = nxt.select("stg_row_id", *cols, *envelope, "upsert_action")
-    a = F.col("upsert_action")
     counts = checked.agg(F.count(F.lit(1)).alias("rows_read"),
                          F.sum(F.col("is_valid").cast("long")).alias("rows_valid"),
                          F.sum((~F.col("is_valid")).cast("long")).alias("rows_rejected"))
-    actions = nxt.agg(F.sum((a == "insert").cast("long")).alias("rows_inserted"),
-                      F.sum((a == "update").cast("long")).alias("rows_updated"))
     from starloom.plans.quality import scalars_row
     counts = scalars_row({"rows_read": counts.select("rows_read"), "rows_valid": counts.select("rows_valid"),
                           "rows_rejected": counts.select("rows_rejected"),
                           "rows_inserted": actions.select("rows_inserted"),
                           "rows_updated": actions.select("rows_updated")})
+    counts = counts.select(*[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts.columns])
     return nxt.drop("upsert_action"), counts, rejected
 
 

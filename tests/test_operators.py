@@ -112,3 +112,10 @@ def test_cumulative_snapshot_unknown_dates_and_running(spark):
 def test_date_key(spark):
     r = spark.createDataFrame([(dt.date(2028, 2, 29),), (None,)], "d date").select(date_key("d").alias("k")).collect()
     assert [x.k for x in r] == [20280229, None]
+
+
+def test_assign_keys_small_path_matches_distributed(spark):
+    df = spark.range(0, 500).select((F.col("id") * 13 % 500).alias("nk"), (F.col("id") % 7).alias("v")).repartition(9)
+    small = sorted((r.nk, r.k) for r in assign_keys(df, ["nk"], "k", base=10).collect())
+    dist = sorted((r.nk, r.k) for r in assign_keys(df, ["nk"], "k", base=10, num_partitions=5).collect())
+    assert small == dist and [k for _, k in small] == list(range(11, 511))
