@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,3 +34,20 @@ def date_from_key(c) -> Column:
 
 def month_start(c) -> Column:
     return F.trunc(F.to_date(_col(c)), "month")
+
+
+def ts_lit(v) -> Column:
+    """A TIMESTAMP_NTZ literal built from text, so no process or session time zone shifts it."""
+    if isinstance(v, Column):
+        return v
+    if v is None:
+        return F.lit(None).cast("timestamp_ntz")
+    if isinstance(v, _dt.datetime):
+        if v.tzinfo is not None:
+            v = v.astimezone(_dt.timezone.utc).replace(tzinfo=None)
+        text = v.isoformat(sep=" ")
+    elif isinstance(v, _dt.date):
+        text = v.isoformat() + " 00:00:00"
+    else:
+        text = str(v)
+    return F.lit(text).cast("timestamp_ntz")

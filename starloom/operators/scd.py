@@ -7,7 +7,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.functions.dates import UNKNOWN_KEY
+from starloom.functions.dates import UNKNOWN_KEY, ts_lit
 from starloom.operators.keys import assign_keys, max_key
 
 
@@ -61,7 +61,7 @@ def scd2_merge(dim: DataFrame | None, src: DataFrame, nk: list[str], key_col: st
     if dim is None:
         versions = assign_keys(src.select(*attrs), nk, key_col, base=0)
         out = versions.select(key_col, *attrs,
-                              F.lit(start_time).cast(ts).alias("effective_from"),
+                              ts_lit(start_time).alias("effective_from"),
                               F.lit(None).cast(ts).alias("effective_to"),
                               F.lit(True).alias("is_current"))
         if unknown is not None:
@@ -79,11 +79,11 @@ def scd2_merge(dim: DataFrame | None, src: DataFrame, nk: list[str], key_col: st
     closing = j.filter(changed).select(F.col("_sl_cur_key").alias("_sl_close"))
     closed = (dim.join(closing, F.col(key_col) == F.col("_sl_close"), "left")
                  .withColumn("effective_to", F.when(F.col("_sl_close").isNotNull(),
-                                                    F.lit(end_time).cast(ts)).otherwise(F.col("effective_to")))
+                                                    ts_lit(end_time)).otherwise(F.col("effective_to")))
                  .withColumn("is_current", F.when(F.col("_sl_close").isNotNull(), F.lit(False))
                                             .otherwise(F.col("is_current")))
                  .drop("_sl_close"))
     fresh = assign_keys(inserts.select(*attrs), nk, key_col, base=max_key(dim, key_col))
-    fresh = fresh.select(key_col, *attrs, F.lit(end_time).cast(ts).alias("effective_from"),
+    fresh = fresh.select(key_col, *attrs, ts_lit(end_time).alias("effective_from"),
                          F.lit(None).cast(ts).alias("effective_to"), F.lit(True).alias("is_current"))
     return closed.select(*fresh.columns).unionByName(fresh)

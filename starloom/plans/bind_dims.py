@@ -7,6 +7,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.functions.dates import ts_lit
+
 from starloom.functions.hashing import row_hash
 from starloom.functions.text import keyword_flags, norm_lower, norm_upper
 from starloom.operators.lookups import current_key, latest_per_key, latest_value, lookup_key
@@ -136,9 +138,9 @@ def user_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     dim, lo = None, None
     start = SCD2_START
     for end in SCD2_RUN_ENDS:
-        t_end = F.lit(end).cast("timestamp_ntz")
+        t_end = ts_lit(end)
         window = ev.filter(F.col("ts") < t_end) if lo is None else \
-            ev.filter((F.col("ts") >= F.lit(lo).cast("timestamp_ntz")) & (F.col("ts") < t_end))
+            ev.filter((F.col("ts") >= ts_lit(lo)) & (F.col("ts") < t_end))
         src = latest_per_key(window, ["user_id"], ["ts", "event_id"]) \
             .select("user_id", "event_type", row_hash("event_type").alias("attr_hash"))
         dim = scd2_merge(dim, src, ["user_id"], "user_key", "attr_hash", start, end,

@@ -7,6 +7,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.functions.dates import ts_lit
+
 from starloom.functions.hashing import row_hash
 from starloom.functions.text import norm_lower
 from starloom.operators.loads import full_refresh, hash_upsert
@@ -69,7 +71,7 @@ WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey
               AND p.p_retailprice > 0 AND p.p_size BETWEEN 1 AND 50)
 """)
 def parent_watermark_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = load(spark, sf_dir, "orders").filter(F.col("o_orderdate") <= F.lit(WATERMARK).cast("timestamp_ntz"))
+    orders = load(spark, sf_dir, "orders").filter(F.col("o_orderdate") <= ts_lit(WATERMARK))
     part = load(spark, sf_dir, "part").filter((F.col("p_retailprice") > 0) & F.col("p_size").between(1, 50))
     li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     return parent_watermark(li, [(orders, "l_orderkey", "o_orderkey"), (part, "l_partkey", "p_partkey")])
@@ -256,7 +258,7 @@ SNAPSHOT_2 = _dt.datetime(2024, 1, 31)
 
 def user_snapshot(spark: SparkSession, sf_dir: str, before, batch_id: int) -> DataFrame:
     """The state of each user as of ``before``: its latest event (J1), hashed (V1)."""
-    ev = load(spark, sf_dir, "events").filter(F.col("ts") < F.lit(before).cast("timestamp_ntz"))
+    ev = load(spark, sf_dir, "events").filter(F.col("ts") < ts_lit(before))
     latest = latest_per_key(ev.select("user_id", "ts", "event_id", "event_type", "value", "props"),
                             ["user_id"], ["ts", "event_id"])
     return latest.select(

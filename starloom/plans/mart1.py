@@ -12,7 +12,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.functions.dates import date_key
+from starloom.functions.dates import date_key, ts_lit
 from starloom.functions.hashing import row_hash
 from starloom.functions.text import blank_to_null, concat_nulls_as_empty, keyword_flags, norm_lower
 from starloom.operators.loads import append_new, replace_touched
@@ -292,7 +292,7 @@ def progress_candidates(stg, dims, start, end) -> DataFrame:
 def fact_tran_student_task_progress(stg, dims, start, end, existing, batch_id, load_ts):
     """append candidates whose (assignment, assessment) key is new (null-safe, K4)."""
     cand = progress_candidates(stg, dims, start, end).withColumns(
-        {"etl_batch_id": F.lit(batch_id), "loaded_at": F.lit(load_ts).cast("timestamp_ntz")})
+        {"etl_batch_id": F.lit(batch_id), "loaded_at": ts_lit(load_ts)})
     if existing is None:
         return cand
     return append_new(cand, existing, ["source_daily_task_assignment_id", "source_task_assessment_id"], null_safe=True)
@@ -314,7 +314,7 @@ def fact_child_task_event(progress, status_dim, existing, batch_id, load_ts):
                   F.when(assessed, "ASSESSMENT").otherwise("PLAN").alias("event_type"), status.alias("event_status"),
                   "raw_score", "normalized_score", "source_daily_task_assignment_id", "source_task_assessment_id",
                   "source_assessment_session_id", "source_system",
-                  F.lit(batch_id).alias("etl_batch_id"), F.lit(load_ts).cast("timestamp_ntz").alias("loaded_at"))
+                  F.lit(batch_id).alias("etl_batch_id"), ts_lit(load_ts).alias("loaded_at"))
     if existing is None:
         return ev
     return append_new(ev, existing, ["event_type", "source_daily_task_assignment_id", "source_task_assessment_id"],
@@ -359,7 +359,7 @@ def fact_daily_student_task_progress(progress, dims, start, end, existing, batch
                                                                  "completed_task_count", "scored_task_count",
                                                                  "not_scored_task_count")],
                        F.lit("PROGRAM_OPS").alias("source_system"), F.lit(batch_id).alias("etl_batch_id"),
-                       F.lit(load_ts).cast("timestamp_ntz").alias("loaded_at"))
+                       ts_lit(load_ts).alias("loaded_at"))
     if existing is None:
         return rows
     return append_new(rows, existing, ["date_key", "child_key", "center_key", "teacher_key"])
@@ -379,7 +379,7 @@ def fact_child_snapshot_accumulation(daily, progress, start, end, old, batch_id,
                          {"plan": "source_daily_task_assignment_id", "assessment": "source_task_assessment_id"})
     recomputed = latest_rows.join(tx, g).withColumns(
         {"source_system": F.lit("PROGRAM_OPS"), "etl_batch_id": F.lit(batch_id),
-         "loaded_at": F.lit(load_ts).cast("timestamp_ntz")})
+         "loaded_at": ts_lit(load_ts)})
     if old is None:
         return recomputed
     return replace_touched(old, recomputed, g)

@@ -13,7 +13,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.functions.dates import date_from_key, date_key
+from starloom.functions.dates import date_from_key, date_key, ts_lit
 from starloom.functions.hashing import row_hash
 from starloom.functions.text import blank_to_null, norm_lower, norm_upper
 from starloom.operators.loads import append_new
@@ -137,7 +137,7 @@ def fact_donation_transaction(stg, dims, start, end, load_map, batch_id, load_ts
     rows = d.select("date_key", "donor_key", "campaign_key", F.lit(-1).alias("center_key"), "donation_type_key",
                     "currency_key", "status_key", "amount", (s == "confirmed").cast("int").alias("is_confirmed"),
                     (s == "refunded").cast("int").alias("is_refunded"),
-                    F.lit(batch_id).alias("etl_batch_id"), F.lit(load_ts).cast("timestamp_ntz").alias("loaded_at"),
+                    F.lit(batch_id).alias("etl_batch_id"), ts_lit(load_ts).alias("loaded_at"),
                     F.col("id").alias("source_donation_id"))
     return _append_with_map(rows, load_map, "fact_donation_transaction", "donations", "source_donation_id", batch_id)
 
@@ -153,7 +153,7 @@ def fact_expense_transaction(stg, dims, start, end, load_map, batch_id, load_ts)
     s = norm_lower(F.coalesce("status", F.lit("")))
     rows = e.select("date_key", "center_key", "child_key", "category_key", "currency_key", "status_key", "amount",
                     (s == "approved").cast("int").alias("is_approved"), (s == "rejected").cast("int").alias("is_rejected"),
-                    F.lit(batch_id).alias("etl_batch_id"), F.lit(load_ts).cast("timestamp_ntz").alias("loaded_at"),
+                    F.lit(batch_id).alias("etl_batch_id"), ts_lit(load_ts).alias("loaded_at"),
                     F.col("id").alias("source_expense_id"))
     return _append_with_map(rows, load_map, "fact_expense_transaction", "expenses", "source_expense_id", batch_id)
 
@@ -167,7 +167,7 @@ def fact_payment_transaction(stg, dims, start, end, load_map, batch_id, load_ts)
     s = norm_lower(F.coalesce("status", F.lit("")))
     rows = p.select("date_key", "center_key", "currency_key", "status_key", "payment_type", "amount",
                     (s == "paid").cast("int").alias("is_paid"), (s == "cancelled").cast("int").alias("is_cancelled"),
-                    F.lit(batch_id).alias("etl_batch_id"), F.lit(load_ts).cast("timestamp_ntz").alias("loaded_at"),
+                    F.lit(batch_id).alias("etl_batch_id"), ts_lit(load_ts).alias("loaded_at"),
                     F.col("id").alias("source_payment_id"))
     return _append_with_map(rows, load_map, "fact_payment_transaction", "payments", "source_payment_id", batch_id)
 
@@ -189,7 +189,7 @@ def fact_budget_allocation_event(stg, dims, start, end, load_map, batch_id, load
     x = lookup_key(x, dims["dim_child"], {"child_id": "child_id"}, "child_key")
     x = lookup_key(x, dims["dim_category"], {"category_id": "category_id"}, "category_key")
     rows = x.select("date_key", "donor_key", "center_key", "child_key", "category_key", "campaign_key",
-                    F.lit(batch_id).alias("etl_batch_id"), F.lit(load_ts).cast("timestamp_ntz").alias("loaded_at"),
+                    F.lit(batch_id).alias("etl_batch_id"), ts_lit(load_ts).alias("loaded_at"),
                     F.col("id").alias("source_allocation_id"))
     return _append_with_map(rows, load_map, "fact_budget_allocation_event", "budget_allocations",
                             "source_allocation_id", batch_id)
@@ -251,7 +251,7 @@ def fact_monthly_financial_snapshot(stg, dims, facts, start, end, existing, batc
         (z("total_donation_amount") - z("total_expense_amount") - z("total_payment_amount"))
         .cast("decimal(18,2)").alias("net_balance"),
         *[z(c).cast("int").alias(c) for c in ("donation_count", "expense_count", "payment_count", "allocation_count")],
-        F.lit(batch_id).alias("etl_batch_id"), F.lit(load_ts).cast("timestamp_ntz").alias("loaded_at"))
+        F.lit(batch_id).alias("etl_batch_id"), ts_lit(load_ts).alias("loaded_at"))
     if existing is None:
         return rows
     return append_new(rows, existing, ["month_key", "center_key"])
@@ -287,7 +287,7 @@ def fact_donation_lifecycle(stg, dims, end, batch_id, load_ts):
         F.sum("donation_amount").cast("decimal(18,2)").alias("donation_amount"),
         F.min("donation_amount").alias("min_donation"), F.max("donation_amount").alias("max_donation"),
         F.avg(F.col("donation_amount").cast("decimal(18,4)")).cast("decimal(18,2)").alias("avg_donation"),
-    ).withColumns({"etl_batch_id": F.lit(batch_id), "loaded_at": F.lit(load_ts).cast("timestamp_ntz")})
+    ).withColumns({"etl_batch_id": F.lit(batch_id), "loaded_at": ts_lit(load_ts)})
 
 
 # --------------------------------------------------------------------------------- runner

@@ -9,9 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.functions.dates import ts_lit
+
 
 def _ts(v) -> Column:
-    return F.lit(v).cast("timestamp_ntz") if not isinstance(v, Column) else v
+    return ts_lit(v) if not isinstance(v, Column) else v
 
 
 def inclusive_watermark(df: DataFrame, to_ts, updated_col: str = "updated_at",
