@@ -14,6 +14,7 @@ from starloom.operators.lookups import checked_broadcast, lookup_key
 from starloom.operators.validation import settled
 from starloom.plans import driver_dims as dd
 from starloom.plans.driver_dims import STATUS_DIM_SQL
+from starloom.plans.driver_sources import LINE_ID_SQL, with_line_id
 from starloom.plans.registry import register
 from starloom.sources.tables import load
 from starloom.sources.watermark import business_window
@@ -122,15 +123,14 @@ def progress_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         (status == "f").cast("int").alias("is_completed"), F.lit(0).alias("is_cancelled"),
         F.lit(0).alias("is_refused"), F.lit(0).alias("is_scored"), F.lit(0).alias("is_not_scored"),
         F.lit(None).cast("decimal(10,2)").alias("raw_score"), F.lit(None).cast("decimal(10,4)").alias("normalized_score"))
-    li = load(spark, sf_dir, "lineitem")
+    li = with_line_id(load(spark, sf_dir, "lineitem"))
     # The line status code becomes a key of the status dimension (resolved back in F4, J18).
     line_status = dd.status_dim(spark, sf_dir).filter(F.col("status_type") == "line")
     li = lookup_key(li, line_status, [(norm_lower("l_linestatus"), "code")], "status_key")
     scored = F.col("l_linestatus") == "F"
     raw = F.col("l_quantity").cast("decimal(10,2)")
     assessments = li.select(
-        F.col("l_orderkey").alias("source_order_id"),
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("source_line_id"),
+        F.col("l_orderkey").alias("source_order_id"), F.col("line_id").alias("source_line_id"),
         date_key("l_shipdate").alias("date_key"), "status_key",
         F.lit(0).alias("is_planned"), F.lit(1).alias("is_assessed"), F.lit(0).alias("is_completed"),
         F.lit(0).alias("is_cancelled"), (F.col("l_returnflag") == "R").cast("int").alias("is_refused"),
@@ -149,7 +149,7 @@ SELECT o_orderkey AS source_order_id, CAST(NULL AS BIGINT) AS source_line_id,
   0 AS is_scored, 0 AS is_not_scored, CAST(NULL AS DECIMAL(10,2)) AS raw_score, CAST(NULL AS DECIMAL(10,4)) AS normalized_score
 FROM orders WHERE lower(trim(coalesce(o_orderstatus, ''))) IN ('f', 'o')
 UNION ALL
-SELECT l_orderkey, l_orderkey * 10 + l_linenumber,
+SELECT l_orderkey, {LINE_ID},
   CAST(year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate) AS INTEGER),
   CAST(coalesce((SELECT st.status_key FROM ({STATUS_KEYS}) st
                  WHERE st.status_type = 'line' AND st.code = lower(trim(l_linestatus))), -1) AS BIGINT),
@@ -157,7 +157,7 @@ SELECT l_orderkey, l_orderkey * 10 + l_linenumber,
   CASE WHEN l_linestatus = 'F' THEN CAST(l_quantity AS DECIMAL(10,2)) END,
   CASE WHEN l_linestatus = 'F' THEN CAST(CAST(l_quantity AS DECIMAL(10,2)) * 2 AS DECIMAL(10,4)) END
 FROM lineitem
-""".replace("{STATUS_KEYS}", """SELECT status_type, code, row_number() OVER (ORDER BY status_type, code) AS status_key
+""".replace("{LINE_ID}", LINE_ID_SQL).replace("{STATUS_KEYS}", """SELECT status_type, code, row_number() OVER (ORDER BY status_type, code) AS status_key
   FROM (SELECT 'order' AS status_type, c AS code FROM (VALUES ('f'), ('o'), ('p')) v(c)
         UNION SELECT 'line', lower(trim(l_linestatus)) FROM lineitem WHERE l_linestatus IS NOT NULL)""")
 

@@ -242,13 +242,15 @@ def stage_table(spec: TableSpec, sources: dict[str, DataFrame], current: DataFra
 
 def run_staging(spark: SparkSession, system: str, sources: dict[str, DataFrame],
                 staging: dict[str, DataFrame], to_date: _dt.datetime, batch_id: int = 1,
-                checkpoint: bool = True) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Stage every table of one system in parent-first order; returns (new staging, load log)."""
+                checkpoint: bool = True, specs: tuple[str, ...] | None = None
+                ) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Stage every table of one system (or the named ``specs``); returns (new staging, load log)."""
     from starloom.session import cut_lineage
     if to_date is None:
         raise ValueError("to_date is required")
     out, log_rows = {}, None
-    for i, spec in enumerate([s for s in SPECS if s.system == system], start=1):
+    chosen = [s for s in SPECS if s.system == system and (specs is None or s.name in specs)]
+    for i, spec in enumerate(chosen, start=1):
         nxt, counts, _ = stage_table(spec, sources, staging.get(spec.name), to_date, batch_id)
         out[spec.name] = cut_lineage(nxt) if checkpoint else nxt
         row = counts.select(F.lit(i).cast("long").alias("load_log_id"), F.lit(batch_id).alias("etl_batch_id"),
