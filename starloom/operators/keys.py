@@ -33,10 +33,12 @@ def _sortable(df: DataFrame) -> list[str]:
 
 
 def assign_keys(df: DataFrame, order_cols: list[str], key_col: str, base: int = 0,
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, known_rows: int | None = None) -> DataFrame:
     from starloom.operators.lookups import bounded_count
     spark = df.sparkSession
-    if num_partitions is None and bounded_count(df, SMALL_MAX_ROWS) <= SMALL_MAX_ROWS:
+    rows = known_rows if known_rows is not None else (
+        bounded_count(df, SMALL_MAX_ROWS) if num_partitions is None else None)
+    if num_partitions is None and rows is not None and rows <= SMALL_MAX_ROWS:
         order = list(order_cols) + [c for c in _sortable(df) if c not in order_cols]
         one = df.repartition(1).sortWithinPartitions(*order)
         return one.withColumn(key_col, (F.lit(base) + F.monotonically_increasing_id() + 1).cast("long"))

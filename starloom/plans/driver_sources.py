@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starloom.functions.dates import ts_lit
+from starloom.session import cut_lineage
 from starloom.sources.tables import load
 
 EPOCH = "1990-01-01 00:00:00"
@@ -71,7 +72,8 @@ def program_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def finance_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     c = load(spark, sf_dir, "customer")
     o = load(spark, sf_dir, "orders")
-    lines = _lines(spark, sf_dir)
+    # Three source tables derive from the lines: number them once (one shuffle), not three times.
+    lines = cut_lineage(_lines(spark, sf_dir))
     created = ts_lit(EPOCH)
     no_ts = F.lit(None).cast("timestamp_ntz")
     donors = c.select(

@@ -116,10 +116,13 @@ def _status_key(df, dim_status, status_type, col="status"):
 
 def _append_with_map(rows: DataFrame, load_map: DataFrame, fact_name: str, source_table: str,
                      id_col: str, batch_id: int) -> tuple[DataFrame, DataFrame]:
-    """K3: rows whose source id is not in the lineage map, plus the map rows to add."""
+    """K3: rows whose source id is not in the lineage map, plus the map rows to add.
+
+    The new rows are materialised once (with their source id) and both outputs read that
+    work table, so the lookups behind the fact are not evaluated a second time for the map."""
     m = load_map.filter((F.col("fact_name") == fact_name) & (F.col("source_table") == source_table)) \
                 .select(F.col("source_id").alias(id_col))
-    new = append_new(rows, m, [id_col])
+    new = cut_lineage(append_new(rows, m, [id_col]))
     add = new.select(F.lit(fact_name).alias("fact_name"), F.lit(source_table).alias("source_table"),
                      F.col(id_col).cast("long").alias("source_id"), F.lit(batch_id).alias("loaded_etl_batch_id"))
     return new.drop(id_col), add
@@ -324,7 +327,6 @@ def run_mart2(spark: SparkSession, staging: dict, dw: dict, start: _dt.datetime,
     map_parts = [load_map]
     for name, fn in FACTS:
         new_rows, add = fn(staging, dims, start, end, load_map, batch_id, load_ts)
-        new_rows = cut_lineage(new_rows)
         old = prev.get(name)
         out[name] = new_rows if old is None else old.unionByName(new_rows)
         map_parts.append(add)

@@ -208,10 +208,12 @@ def stage_table(spec: TableSpec, sources: dict[str, DataFrame], current: DataFra
                 "extracted_at", "source_updated_at", "row_hash", "is_valid", "validation_message"]
     staged = staged.select(*cols, *envelope)
 
+    # One pass over the materialised extract gives the read/valid/rejected counts.
+    read = checked.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("is_valid").cast("long")).alias("v")).first()
+    rows_read, rows_valid = int(read["n"]), int(read["v"] or 0)
     if spec.load == "full" or current is None:
-        nxt = assign_keys(staged, [key], "stg_row_id", base=0).withColumn("upsert_action", F.lit("insert"))
-        actions = checked.agg(F.sum(F.col("is_valid").cast("long")).alias("rows_inserted"),
-                              F.lit(0).cast("long").alias("rows_updated"))
+        nxt = assign_keys(staged, [key], "stg_row_id", base=0, known_rows=rows_valid)
+        inserted, updated = rows_valid, 0
     else:
         merged = hash_upsert(current.select("stg_row_id", *cols, *envelope),
                              staged.withColumn("stg_row_id", F.lit(None).cast("long")).select(
@@ -220,24 +222,19 @@ def stage_table(spec: TableSpec, sources: dict[str, DataFrame], current: DataFra
         # The merge (a full outer join of old staging and the extract) feeds two branches and
         # the counts: materialise it once instead of joining three times.
         merged = cut_lineage(merged)
-        have = merged.filter(F.col("stg_row_id").isNotNull())
-        fresh = assign_keys(merged.filter(F.col("stg_row_id").isNull()).drop("stg_row_id"), [key], "stg_row_id",
-                            base=max_key(current, "stg_row_id"))
-        nxt = have.unionByName(fresh)
         a = F.col("upsert_action")
-        actions = merged.agg(F.sum((a == "insert").cast("long")).alias("rows_inserted"),
-                             F.sum((a == "update").cast("long")).alias("rows_updated"))
-    nxt = nxt.select("stg_row_id", *cols, *envelope, "upsert_action")
-    counts = checked.agg(F.count(F.lit(1)).alias("rows_read"),
-                         F.sum(F.col("is_valid").cast("long")).alias("rows_valid"),
-                         F.sum((~F.col("is_valid")).cast("long")).alias("rows_rejected"))
-    from starloom.plans.quality import scalars_row
-    counts = scalars_row({"rows_read": counts.select("rows_read"), "rows_valid": counts.select("rows_valid"),
-                          "rows_rejected": counts.select("rows_rejected"),
-                          "rows_inserted": actions.select("rows_inserted"),
-                          "rows_updated": actions.select("rows_updated")})
-    counts = counts.select(*[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts.columns])
-    return nxt.drop("upsert_action"), counts, rejected
+        acts = merged.agg(F.sum((a == "insert").cast("long")).alias("i"),
+                          F.sum((a == "update").cast("long")).alias("u")).first()
+        inserted, updated = int(acts["i"] or 0), int(acts["u"] or 0)
+        have = merged.filter(F.col("stg_row_id").isNotNull()).drop("upsert_action")
+        fresh = assign_keys(merged.filter(F.col("stg_row_id").isNull()).drop("stg_row_id", "upsert_action"), [key],
+                            "stg_row_id", base=max_key(current, "stg_row_id"), known_rows=inserted)
+        nxt = have.unionByName(fresh)
+    nxt = nxt.select("stg_row_id", *cols, *envelope)
+    counts = checked.sparkSession.createDataFrame(
+        [(rows_read, rows_valid, rows_read - rows_valid, inserted, updated)],
+        "rows_read long, rows_valid long, rows_rejected long, rows_inserted long, rows_updated long")
+    return nxt, counts, rejected
 
 
 def run_staging(spark: SparkSession, system: str, sources: dict[str, DataFrame],
