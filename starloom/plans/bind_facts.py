@@ -30,7 +30,7 @@ def order_transactions(spark: SparkSession, sf_dir: str, start=FIRST_START, end=
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     o = settled(business_window(orders, "o_orderdate", start, end), "o_orderstatus", dd.ORDER_SETTLED)
     o = o.withColumn("_status", norm_lower("o_orderstatus")).withColumn("_dk", date_key("o_orderdate"))
-    dates = F.broadcast(dd.order_calendar(spark, sf_dir).select("TimeKey"))  # bounded by calendar days
+    dates = checked_broadcast(dd.order_calendar(spark, sf_dir).select("TimeKey"))  # calendar days
     o = lookup_key(o, dates, {"_dk": "TimeKey"}, "TimeKey", "date_key", pick=None)
     o = lookup_key(o, dd.customer_dim(spark, sf_dir), {"o_custkey": "customer_id"}, "customer_key")
     o = lookup_key(o, dd.priority_dim(spark, sf_dir), [(norm_lower("o_orderpriority"), "code")], "priority_key")

@@ -11,6 +11,7 @@ from starloom.plans.dim_date import build_dim_date
 from starloom.plans.driver_sources import finance_sources, program_sources
 from starloom.plans.mart1 import dim_center, dim_child
 from starloom.plans.mart2 import run_mart2
+from starloom.operators.lookups import checked_broadcast
 from starloom.plans.registry import register
 from starloom.plans.staging import run_staging
 from starloom.sources.tables import load
@@ -83,7 +84,7 @@ LEFT JOIN p1 ON p1.center_id = centers.center_id AND p1.m = months.m
 def finance_mart_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = finance_run(spark, sf_dir)
     centers = out["dim_center"].select("center_key", "center_id")
-    snap = out["fact_monthly_financial_snapshot"].join(F.broadcast(centers), "center_key")  # dimension rows: nations
+    snap = out["fact_monthly_financial_snapshot"].join(checked_broadcast(centers), "center_key")  # dimension rows: nations
     return snap.select("month_key", "center_id", "total_donation_amount", "total_expense_amount",
                        "total_payment_amount", "net_balance", "donation_count", "expense_count", "payment_count",
                        "allocation_count")
@@ -117,6 +118,6 @@ def finance_mart_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = finance_run(spark, sf_dir)
     donors = out["dim_donor"].select("donor_key", "donor_id")
     camps = out["dim_campaign"].select("campaign_key", "campaign_id")
-    life = out["fact_donation_lifecycle"].join(donors, "donor_key", "left").join(F.broadcast(camps), "campaign_key", "left")
+    life = out["fact_donation_lifecycle"].join(donors, "donor_key", "left").join(checked_broadcast(camps), "campaign_key", "left")
     return life.select("donor_id", "campaign_id", "current_stage", "created_date_key", "confirmed_date_key",
                        "allocated_date_key", "donation_amount", "min_donation", "max_donation", "avg_donation")

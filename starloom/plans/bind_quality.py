@@ -27,6 +27,7 @@ from starloom.plans.quality import (
     completeness, count_where, date_signature, duplicate_groups, orphan_counts, reconcile, scalars_row,
     table_counts,
 )
+from starloom.operators.lookups import checked_broadcast
 from starloom.plans.registry import register
 from starloom.session import cut_lineage
 from starloom.sources.tables import TABLES, load
@@ -211,7 +212,7 @@ FROM ({TRANSACTION_FACT_SQL}) f LEFT JOIN st ON st.status_key = f.status_key GRO
 def status_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = order_transactions(spark, sf_dir)
     st = dd.status_dim(spark, sf_dir).select("status_key", "code")
-    j = f.join(F.broadcast(st), "status_key", "left")  # status dimension: a handful of codes
+    j = f.join(checked_broadcast(st), "status_key", "left")  # status codes
     mismatch = ((F.col("code") == "f") != (F.col("is_fulfilled") == 1)) | \
                ((F.col("code") == "o") != (F.col("is_open") == 1))
     return j.groupBy(F.coalesce("code", F.lit("unknown")).alias("status_code")).agg(
