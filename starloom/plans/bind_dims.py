@@ -133,6 +133,7 @@ SCD2_START = _dt.datetime(2024, 1, 1)
 SCD2_RUN_ENDS = [_dt.datetime(2024, 1, 11), _dt.datetime(2024, 1, 21), _dt.datetime(2024, 1, 31)]
 
 
+@dd.memo_dim
 def user_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = load(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type")
     dim, lo = None, None
