@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.plans.dim_date import build_dim_date
-from starloom.plans.driver_sources import finance_sources, program_sources
+from starloom.plans.driver_sources import (
+    LINE_ID_SQL, TEMPLATE_MAX_SIZE, finance_sources, program_sources, program_task_sources,
+)
 from starloom.plans.mart1 import dim_center, dim_child
 from starloom.plans.mart2 import run_mart2
 from starloom.operators.lookups import checked_broadcast
@@ -121,3 +123,108 @@ def finance_mart_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     life = out["fact_donation_lifecycle"].join(donors, "donor_key", "left").join(checked_broadcast(camps), "campaign_key", "left")
     return life.select("donor_id", "campaign_id", "current_stage", "created_date_key", "confirmed_date_key",
                        "allocated_date_key", "donation_amount", "min_donation", "max_donation", "avg_donation")
+
+
+# ---------------------------------------------------------------- Mart 1 on the driver tables
+PROGRAM_SPECS = ("centers", "children", "teachers", "users", "domains", "score_scales", "task_templates",
+                 "no_score_reasons", "center_daily_status", "child_daily_status", "child_task_plans",
+                 "daily_task_assignments", "assessment_sessions", "task_assessments")
+
+
+def program_run(spark: SparkSession, sf_dir: str) -> dict:
+    """Stage the program tables mapped from the driver's tables, build D1-D8 (first load) and
+    the task-progress (F1-F3) and event (F4) facts for [RUN_START, RUN_END). Memoised."""
+    key = ("program", spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key in _RUNS:
+        return _RUNS[key]
+    from starloom.plans import mart1, schemas
+    from starloom.session import cut_lineage
+    sources = program_task_sources(spark, sf_dir)
+    for t in schemas.PROGRAM_OPS:            # parents of referential checks may be empty
+        sources.setdefault(t, schemas.empty(spark, t))
+    stg, _ = run_staging(spark, "program_ops", sources, {}, TO_DATE, batch_id=1, specs=PROGRAM_SPECS)
+    o = load(spark, sf_dir, "orders")
+    lo, hi = o.agg(F.min(F.year("o_orderdate")), F.max(F.year("o_orderdate"))).first()
+    bounds = spark.range(1).select(F.lit(_dt.date(lo, 1, 1)).alias("lo"), F.lit(_dt.date(hi, 12, 31)).alias("hi"))
+    dims = {"dim_date": cut_lineage(build_dim_date(bounds))}
+    dims["dim_center"] = cut_lineage(mart1.dim_center(stg, None, RUN_START, RUN_END, first_load=True))
+    dims["dim_domain"] = cut_lineage(mart1.dim_domain(stg, None))
+    dims["dim_score_scale"] = cut_lineage(mart1.dim_score_scale(stg, None))
+    dims["dim_no_score_reason"] = cut_lineage(mart1.dim_no_score_reason(stg, None))
+    dims["dim_assessment_status"] = cut_lineage(mart1.dim_assessment_status(stg, None))
+    dims["dim_child"] = cut_lineage(mart1.dim_child(stg, None))
+    dims["dim_teacher"] = cut_lineage(mart1.dim_teacher(stg, None, dims["dim_center"], RUN_START, RUN_END, True))
+    dims["dim_task"] = cut_lineage(mart1.dim_task(stg, None, dims["dim_domain"]))
+    progress = cut_lineage(mart1.fact_tran_student_task_progress(stg, dims, RUN_START, RUN_END, None, 1, RUN_END))
+    events = mart1.fact_child_task_event(progress, dims["dim_assessment_status"], None, 1, RUN_END)
+    out = dict(dims, fact_tran_student_task_progress=progress, fact_child_task_event=events)
+    _RUNS[key] = out
+    return out
+
+
+def _natural_ids(df: DataFrame, out: dict) -> DataFrame:
+    """Replace surrogate keys by the natural ids of their dimension rows (for comparison)."""
+    pairs = [("child_key", "dim_child", "child_id"), ("center_key", "dim_center", "center_id"),
+             ("teacher_key", "dim_teacher", "teacher_id"), ("domain_key", "dim_domain", "domain_id"),
+             ("task_key", "dim_task", "natural_task_code")]
+    for key, dim, nat in pairs:
+        d = checked_broadcast(out[dim].select(F.col(key).alias(f"_{key}"), F.col(nat)))
+        df = df.join(d, F.col(key) == F.col(f"_{key}"), "left").drop(f"_{key}")
+    return df
+
+
+PROGRESS_MART_SQL = f"""
+WITH li AS (SELECT l.*, {LINE_ID_SQL} AS line_id FROM lineitem l),
+x AS (SELECT li.*, o.o_custkey, c.c_nationkey, p.p_size, s.s_nationkey,
+             CAST(year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate) AS INTEGER) AS date_key,
+             EXISTS (SELECT 1 FROM orders po WHERE po.o_orderstatus = 'P' AND po.o_custkey = o.o_custkey
+                     AND CAST(po.o_orderdate AS DATE) = CAST(li.l_shipdate AS DATE)) AS absent,
+             CASE WHEN p.p_size <= {TEMPLATE_MAX_SIZE} THEN 'TEMPLATE:' || CAST(li.l_partkey AS VARCHAR) ELSE 'UNKNOWN' END AS task_code
+      FROM li LEFT JOIN orders o ON o.o_orderkey = li.l_orderkey LEFT JOIN customer c ON c.c_custkey = o.o_custkey
+      LEFT JOIN part p ON p.p_partkey = li.l_partkey LEFT JOIN supplier s ON s.s_suppkey = li.l_suppkey),
+progress AS (
+  SELECT line_id AS source_daily_task_assignment_id, CAST(NULL AS BIGINT) AS source_task_assessment_id, date_key,
+         o_custkey AS child_id, c_nationkey AS center_id, l_suppkey AS teacher_id, p_size % 5 AS domain_id,
+         task_code AS natural_task_code, 'unknown' AS status_code, CAST(NULL AS DECIMAL(10,2)) AS raw_score,
+         CAST(NULL AS DECIMAL(10,4)) AS normalized_score, CAST(l_linestatus = 'F' AS INTEGER) AS is_completed,
+         1 AS is_planned, 0 AS is_scored, 0 AS is_refused, CAST(absent AS INTEGER) AS is_absent, 0 AS is_assessed
+  FROM x
+  UNION ALL
+  SELECT line_id, line_id, date_key, o_custkey, s_nationkey, l_suppkey, p_size % 5, task_code,
+         CASE WHEN l_returnflag = 'A' THEN 'scored' ELSE 'refused' END,
+         CASE WHEN l_returnflag = 'A' THEN CAST(l_quantity AS DECIMAL(10,2)) END,
+         CASE WHEN l_returnflag = 'A' THEN CAST(CAST(l_quantity AS DECIMAL(10,2)) * 2 AS DECIMAL(10,4)) END,
+         CAST(l_returnflag = 'A' AS INTEGER), 1, CAST(l_returnflag = 'A' AS INTEGER), CAST(l_returnflag = 'R' AS INTEGER),
+         CAST(absent AS INTEGER), 1
+  FROM x WHERE l_returnflag IN ('A', 'R'))
+"""
+
+
+@register("program_mart_progress", ("F1", "F2", "F3", "D1", "D2", "D3", "D4", "D5", "D6", "D8", "J5", "J6", "J7",
+                                    "J8", "J9", "staging"), PROGRESS_MART_SQL + "SELECT * FROM progress")
+def program_mart_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = program_run(spark, sf_dir)
+    f = _natural_ids(out["fact_tran_student_task_progress"], out)
+    codes = checked_broadcast(out["dim_assessment_status"].select(
+        F.col("assessment_status_key").alias("_s"), F.col("assessment_status_code").alias("status_code")))
+    f = f.join(codes, F.col("assessment_status_key") == F.col("_s"), "left")
+    return f.select("source_daily_task_assignment_id", "source_task_assessment_id", "date_key", "child_id",
+                    "center_id", "teacher_id", "domain_id", "natural_task_code", "status_code", "raw_score",
+                    "normalized_score", "is_completed", "is_planned", "is_scored", "is_refused", "is_absent",
+                    "is_assessed")
+
+
+@register("program_mart_events", ("F4", "J18", "K4"), PROGRESS_MART_SQL + """
+SELECT CASE WHEN source_task_assessment_id IS NOT NULL THEN 'ASSESSMENT' ELSE 'PLAN' END AS event_type,
+  CASE WHEN source_task_assessment_id IS NOT NULL AND status_code IS NOT NULL AND status_code <> 'unknown' THEN status_code
+       WHEN is_absent = 1 THEN 'ABSENT' WHEN is_refused = 1 THEN 'REFUSED' WHEN is_completed = 1 THEN 'COMPLETED'
+       WHEN is_scored = 1 THEN 'SCORED' WHEN is_assessed = 1 THEN 'ASSESSED' WHEN is_planned = 1 THEN 'PLANNED'
+       ELSE 'UNKNOWN' END AS event_status,
+  source_daily_task_assignment_id, source_task_assessment_id, date_key, child_id, teacher_id
+FROM progress
+""")
+def program_mart_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = program_run(spark, sf_dir)
+    ev = _natural_ids(out["fact_child_task_event"], out)
+    return ev.select("event_type", "event_status", "source_daily_task_assignment_id", "source_task_assessment_id",
+                     "date_key", "child_id", "teacher_id")

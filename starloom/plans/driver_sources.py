@@ -133,3 +133,89 @@ def finance_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {"donors": donors, "campaigns": campaigns, "expense_categories": categories, "donations": donations,
             "budget_allocations": allocations, "expenses": expenses, "payments": payments,
             "financial_transactions": transactions, "currency_rates": rates}
+
+
+# Program operations from the driver's tables:
+#   children <- customer (center = customer nation)     teachers, users <- supplier
+#   domains  <- region                                  score_scales    <- one 0..50 scale
+#   task_templates <- parts of size <= 25 (domain = size mod 5)
+#   child_daily_status <- pending orders (the customer is absent on the order day)
+#   daily_task_assignments, assessment_sessions <- lines (child = the order's customer,
+#       planner/teacher = the supplier, template = the part when it is a template)
+#   task_assessments <- lines flagged A (scored, score = quantity) or R (refused, no score)
+TEMPLATE_MAX_SIZE = 25
+
+
+def program_task_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    out = program_sources(spark, sf_dir)
+    created = ts_lit(EPOCH)
+    no_ts = F.lit(None).cast("timestamp_ntz")
+    c = load(spark, sf_dir, "customer")
+    s = load(spark, sf_dir, "supplier")
+    p = load(spark, sf_dir, "part")
+    r = load(spark, sf_dir, "region")
+    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    out["children"] = c.select(
+        F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("center_id"), F.col("c_name").alias("first_name"),
+        F.col("c_mktsegment").alias("last_name"), F.lit(None).cast("string").alias("national_code"),
+        F.lit(None).cast("date").alias("birth_date"), F.lit(None).cast("string").alias("gender"),
+        F.lit(None).cast("date").alias("enrollment_date"), F.lit("active").alias("status"), created.alias("created_at"),
+        no_ts.alias("updated_at"))
+    out["teachers"] = s.select(
+        F.col("s_suppkey").alias("id"), F.col("s_nationkey").alias("center_id"), F.col("s_name").alias("first_name"),
+        F.lit("").alias("last_name"), F.lit(None).cast("string").alias("phone"), F.lit(None).cast("string").alias("email"),
+        F.lit("active").alias("employment_status"), (F.col("s_acctbal") >= 0).alias("is_active"),
+        created.alias("created_at"), no_ts.alias("updated_at"))
+    out["users"] = s.select(
+        F.col("s_suppkey").alias("id"), F.col("s_name").alias("username"), F.lit("-").alias("password_hash"),
+        F.lit("teacher").alias("role"), F.col("s_suppkey").alias("teacher_id"), F.lit(True).alias("is_active"),
+        created.alias("created_at"), no_ts.alias("updated_at"))
+    out["domains"] = r.select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name"),
+                              F.lit(None).cast("string").alias("description"), F.lit(True).alias("is_active"),
+                              created.alias("created_at"), no_ts.alias("updated_at"))
+    out["score_scales"] = r.limit(1).select(
+        F.lit(1).alias("id"), F.lit("Quantity").alias("name"), F.lit(0).cast("decimal(10,2)").alias("min_score"),
+        F.lit(50).cast("decimal(10,2)").alias("max_score"), F.lit(None).cast("string").alias("description"),
+        F.lit(True).alias("is_active"), created.alias("created_at"), no_ts.alias("updated_at"))
+    out["task_templates"] = p.filter(F.col("p_size") <= TEMPLATE_MAX_SIZE).select(
+        F.col("p_partkey").alias("id"), (F.col("p_size") % 5).alias("domain_id"), F.col("p_name").alias("title"),
+        F.lit(None).cast("string").alias("description"), F.lit(1).alias("default_score_scale_id"),
+        F.lit(True).alias("is_active"), F.lit(None).cast("int").alias("created_by"), created.alias("created_at"),
+        no_ts.alias("updated_at"))
+    out["child_daily_status"] = o.filter(F.col("o_orderstatus") == "P").select(
+        F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("child_id"), F.to_date("o_orderdate").alias("date"),
+        F.lit("absent").alias("status"), F.lit(None).cast("int").alias("absence_reason_id"),
+        F.lit(None).cast("string").alias("note"), F.lit(None).cast("int").alias("created_by"),
+        F.col("o_orderdate").alias("created_at"), no_ts.alias("updated_at"))
+    li = with_line_id(load(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", *[
+        c_ for c_ in LINE_ORDER if c_ != "l_partkey"]))
+    parts = p.select("p_partkey", "p_size", "p_name")
+    lines = (li.join(o.select("o_orderkey", "o_custkey"), li.l_orderkey == o.o_orderkey, "left")
+               .join(parts, li.l_partkey == parts.p_partkey, "left")
+               .join(s.select("s_suppkey", "s_nationkey"), li.l_suppkey == s.s_suppkey, "left"))
+    lines = cut_lineage(lines)      # three source tables read the same numbered lines
+    day = F.to_date("l_shipdate")
+    out["daily_task_assignments"] = lines.select(
+        F.col("line_id").alias("id"), F.col("o_custkey").alias("child_id"), day.alias("date"),
+        F.lit(None).cast("int").alias("child_task_plan_id"),
+        F.when(F.col("p_size") <= TEMPLATE_MAX_SIZE, F.col("l_partkey")).alias("task_template_id"),
+        (F.col("p_size") % 5).alias("domain_id"), F.col("p_name").alias("task_title"), F.lit(1).alias("score_scale_id"),
+        F.col("l_suppkey").alias("planned_by"),
+        F.when(F.col("l_linestatus") == "F", "completed").otherwise("planned").alias("status"),
+        F.col("l_shipdate").alias("created_at"), no_ts.alias("updated_at"))
+    out["assessment_sessions"] = lines.select(
+        F.col("line_id").alias("id"), F.col("o_custkey").alias("child_id"), F.col("l_suppkey").alias("teacher_id"),
+        F.col("s_nationkey").alias("center_id"), day.alias("date"), F.lit(None).cast("timestamp_ntz").alias("started_at"),
+        F.lit(None).cast("timestamp_ntz").alias("ended_at"), F.lit("done").alias("session_status"),
+        F.lit(None).cast("string").alias("general_note"), F.col("l_shipdate").alias("created_at"), no_ts.alias("updated_at"))
+    scored = F.col("l_returnflag") == "A"
+    out["task_assessments"] = lines.filter(F.col("l_returnflag").isin("A", "R")).select(
+        F.col("line_id").alias("id"), F.col("line_id").alias("daily_task_assignment_id"),
+        F.col("line_id").alias("assessment_session_id"), F.col("o_custkey").alias("child_id"),
+        F.col("l_suppkey").alias("teacher_id"), day.alias("date"),
+        F.when(scored, F.col("l_quantity").cast("decimal(10,2)")).alias("score"),
+        F.lit(None).cast("decimal(10,4)").alias("normalized_score"),
+        F.when(scored, "scored").otherwise("refused").alias("assessment_status"),
+        F.lit(None).cast("int").alias("no_score_reason_id"), F.lit(1).alias("attempt_no"),
+        F.lit(None).cast("string").alias("note"), F.col("l_shipdate").alias("created_at"), no_ts.alias("updated_at"))
+    return out
