@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.dates import date_key
-from starloom.functions.text import norm_lower
 from starloom.operators.loads import append_new
 from starloom.operators.validation import settled, validation_counts
 from starloom.plans import driver_dims as dd

@@ -13,7 +13,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.functions.dates import date_from_key, date_key, ts_lit
+from starloom.functions.dates import date_from_key, ts_lit
 from starloom.functions.hashing import row_hash
 from starloom.functions.text import blank_to_null, norm_lower, norm_upper
 from starloom.operators.loads import append_new

@@ -5,7 +5,6 @@ from collections import defaultdict
 from decimal import Decimal as D
 
 import pytest
-from pyspark.sql import functions as F
 
 from starloom.plans.dim_date import dim_date_between
 from starloom.plans.mart1 import run_mart1
