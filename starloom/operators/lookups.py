@@ -8,6 +8,7 @@ so a hot key never lands whole in one task.
 
 from __future__ import annotations
 
+import threading
 import weakref
 
 from pyspark.sql import Column, DataFrame
@@ -22,15 +23,18 @@ DIM_BROADCAST_MAX_ROWS = 1_000_000
 
 
 _ROWS_SEEN: "weakref.WeakKeyDictionary" = weakref.WeakKeyDictionary()
+_ROWS_LOCK = threading.Lock()      # jobs may be built from several driver threads
 
 
 def bounded_count(df: DataFrame, max_rows: int) -> int:
     """Rows of ``df`` counted up to max_rows + 1 (the scan stops early); cached per frame object."""
-    cached = _ROWS_SEEN.get(df)
+    with _ROWS_LOCK:
+        cached = _ROWS_SEEN.get(df)
     if cached is not None and cached[0] >= max_rows:
         return cached[1]
     n = df.limit(max_rows + 1).count()
-    _ROWS_SEEN[df] = (max_rows, n)
+    with _ROWS_LOCK:
+        _ROWS_SEEN[df] = (max_rows, n)
     return n
 
 

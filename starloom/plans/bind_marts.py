@@ -149,15 +149,19 @@ def program_run(spark: SparkSession, sf_dir: str) -> dict:
     o = load(spark, sf_dir, "orders")
     lo, hi = o.agg(F.min(F.year("o_orderdate")), F.max(F.year("o_orderdate"))).first()
     bounds = spark.range(1).select(F.lit(_dt.date(lo, 1, 1)).alias("lo"), F.lit(_dt.date(hi, 12, 31)).alias("hi"))
-    dims = {"dim_date": cut_lineage(build_dim_date(bounds))}
-    dims["dim_center"] = cut_lineage(mart1.dim_center(stg, None, RUN_START, RUN_END, first_load=True))
-    dims["dim_domain"] = cut_lineage(mart1.dim_domain(stg, None))
-    dims["dim_score_scale"] = cut_lineage(mart1.dim_score_scale(stg, None))
-    dims["dim_no_score_reason"] = cut_lineage(mart1.dim_no_score_reason(stg, None))
-    dims["dim_assessment_status"] = cut_lineage(mart1.dim_assessment_status(stg, None))
-    dims["dim_child"] = cut_lineage(mart1.dim_child(stg, None))
-    dims["dim_teacher"] = cut_lineage(mart1.dim_teacher(stg, None, dims["dim_center"], RUN_START, RUN_END, True))
-    dims["dim_task"] = cut_lineage(mart1.dim_task(stg, None, dims["dim_domain"]))
+    wave1 = mart1.build_dims({
+        "dim_date": lambda: build_dim_date(bounds),
+        "dim_center": lambda: mart1.dim_center(stg, None, RUN_START, RUN_END, first_load=True),
+        "dim_domain": lambda: mart1.dim_domain(stg, None),
+        "dim_score_scale": lambda: mart1.dim_score_scale(stg, None),
+        "dim_no_score_reason": lambda: mart1.dim_no_score_reason(stg, None),
+        "dim_assessment_status": lambda: mart1.dim_assessment_status(stg, None),
+        "dim_child": lambda: mart1.dim_child(stg, None)})
+    dims = {name: df for name, (df, _) in wave1.items()}
+    wave2 = mart1.build_dims({
+        "dim_teacher": lambda: mart1.dim_teacher(stg, None, dims["dim_center"], RUN_START, RUN_END, True),
+        "dim_task": lambda: mart1.dim_task(stg, None, dims["dim_domain"])})
+    dims.update({name: df for name, (df, _) in wave2.items()})
     progress = cut_lineage(mart1.fact_tran_student_task_progress(stg, dims, RUN_START, RUN_END, None, 1, RUN_END))
     events = mart1.fact_child_task_event(progress, dims["dim_assessment_status"], None, 1, RUN_END)
     out = dict(dims, fact_tran_student_task_progress=progress, fact_child_task_event=events)

@@ -10,6 +10,8 @@ The mapping, used by every fact binding:
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +27,7 @@ ORDER_STATUS_VALUES = [("order", "f", "Fulfilled"), ("order", "o", "Open"), ("or
 
 
 _MEMO: dict = {}
+_MEMO_LOCK = threading.RLock()
 
 
 def memo_dim(fn):
@@ -36,9 +39,10 @@ def memo_dim(fn):
     """
     def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
         key = (fn.__name__, spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-        if key not in _MEMO:
-            _MEMO[key] = cut_lineage(fn(spark, sf_dir))
-        return _MEMO[key]
+        with _MEMO_LOCK:
+            if key not in _MEMO:
+                _MEMO[key] = cut_lineage(fn(spark, sf_dir))
+            return _MEMO[key]
     wrapper.__name__ = fn.__name__
     wrapper.__doc__ = fn.__doc__
     return wrapper

@@ -21,7 +21,7 @@ from starloom.operators.scd import scd1_rebuild, scd2_merge
 from starloom.operators.snapshots import cumulative_daily_snapshot, first_last_keys, latest_row_per_group
 from starloom.operators.validation import require_params, valid_rows
 from starloom.plans.audit import BatchLog
-from starloom.session import cut_lineage
+from starloom.session import cut_lineage, run_concurrently
 from starloom.sources.watermark import change_window
 
 # Assessment status categories and the reason keyword groups.
@@ -386,6 +386,16 @@ def fact_child_snapshot_accumulation(daily, progress, start, end, old, batch_id,
 
 
 # --------------------------------------------------------------------------------- runner
+def build_dims(builders: dict) -> dict:
+    """Materialise independent dimension builders concurrently: name -> (frame, row count)."""
+    def one(build):
+        def run():
+            df = cut_lineage(build())
+            return df, df.count()
+        return run
+    return run_concurrently({name: one(b) for name, b in builders.items()})
+
+
 def run_mart1(spark: SparkSession, staging: dict, dw: dict, start: _dt.datetime, end: _dt.datetime,
               load_ts: _dt.datetime | None = None, batch_id: int = 1, first_load: bool = False) -> dict:
     """One Mart 1 run; order matters (teacher reads center, task reads domain, facts read dims,
@@ -398,19 +408,25 @@ def run_mart1(spark: SparkSession, staging: dict, dw: dict, start: _dt.datetime,
     log = BatchLog(spark, "PROGRAM_OPS", "DW", "MART1", load_ts, batch_id)
     out = {}
 
-    def keep(name, df):
-        out[name] = cut_lineage(df)
-        n = out[name].count()
+    # Dimensions in two waves: independent ones side by side, then the two that read a
+    # dimension of the first wave (teacher <- center, task <- domain).
+    wave1 = build_dims({
+        "dim_center": lambda: dim_center(staging, prev.get("dim_center"), start, end, first_load),
+        "dim_domain": lambda: dim_domain(staging, prev.get("dim_domain")),
+        "dim_score_scale": lambda: dim_score_scale(staging, prev.get("dim_score_scale")),
+        "dim_no_score_reason": lambda: dim_no_score_reason(staging, prev.get("dim_no_score_reason")),
+        "dim_assessment_status": lambda: dim_assessment_status(staging, prev.get("dim_assessment_status")),
+        "dim_child": lambda: dim_child(staging, prev.get("dim_child"))})
+    for name, (df, n) in wave1.items():
+        out[name] = df
+        log.step("staging", name, n, n)
+    wave2 = build_dims({
+        "dim_teacher": lambda: dim_teacher(staging, prev.get("dim_teacher"), out["dim_center"], start, end,
+                                           first_load),
+        "dim_task": lambda: dim_task(staging, prev.get("dim_task"), out["dim_domain"])})
+    for name, (df, n) in wave2.items():
+        out[name] = df
         log.step("staging", name, n, n)
-
-    keep("dim_center", dim_center(staging, prev.get("dim_center"), start, end, first_load))
-    keep("dim_domain", dim_domain(staging, prev.get("dim_domain")))
-    keep("dim_score_scale", dim_score_scale(staging, prev.get("dim_score_scale")))
-    keep("dim_no_score_reason", dim_no_score_reason(staging, prev.get("dim_no_score_reason")))
-    keep("dim_assessment_status", dim_assessment_status(staging, prev.get("dim_assessment_status")))
-    keep("dim_child", dim_child(staging, prev.get("dim_child")))
-    keep("dim_teacher", dim_teacher(staging, prev.get("dim_teacher"), out["dim_center"], start, end, first_load))
-    keep("dim_task", dim_task(staging, prev.get("dim_task"), out["dim_domain"]))
     dims = dict(out, dim_date=dw["dim_date"])
 
     old = prev.get("fact_tran_student_task_progress")

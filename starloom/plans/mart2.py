@@ -21,7 +21,7 @@ from starloom.operators.lookups import latest_per_key, lookup_key
 from starloom.operators.scd import scd1_rebuild
 from starloom.operators.validation import require_params, settled, valid_rows
 from starloom.plans.audit import BatchLog
-from starloom.session import cut_lineage
+from starloom.session import cut_lineage, run_concurrently
 from starloom.sources.watermark import business_window, history_before
 
 # Settled statuses per fact and the status pairs seeded into dim_status.
@@ -312,25 +312,44 @@ def run_mart2(spark: SparkSession, staging: dict, dw: dict, start: _dt.datetime,
             raise RuntimeError(f"prerequisite table {t} is missing")
     log = BatchLog(spark, "FINANCE_OPS", "DW", "FINANCE_MART2", load_ts, batch_id)
     prev = {} if first_load else dw                                       # K9: first load starts empty
+
+    def materialised(build):
+        def run():
+            df = cut_lineage(build())
+            return df, df.count()
+        return run
+
+    # The six dimensions are independent: build them side by side.
+    built = run_concurrently({
+        "dim_donor": materialised(lambda: dim_donor(staging, prev.get("dim_donor"))),
+        "dim_campaign": materialised(lambda: dim_campaign(staging, prev.get("dim_campaign"))),
+        "dim_category": materialised(lambda: dim_category(staging, prev.get("dim_category"))),
+        "dim_donation_type": materialised(lambda: dim_donation_type(staging, prev.get("dim_donation_type"))),
+        "dim_status": materialised(lambda: dim_status(spark, staging, prev.get("dim_status"))),
+        "dim_currency": materialised(lambda: dim_currency(staging, prev.get("dim_currency")))})
     out = {}
-    out["dim_donor"] = cut_lineage(dim_donor(staging, prev.get("dim_donor")))
-    out["dim_campaign"] = cut_lineage(dim_campaign(staging, prev.get("dim_campaign")))
-    out["dim_category"] = cut_lineage(dim_category(staging, prev.get("dim_category")))
-    out["dim_donation_type"] = cut_lineage(dim_donation_type(staging, prev.get("dim_donation_type")))
-    out["dim_status"] = cut_lineage(dim_status(spark, staging, prev.get("dim_status")))
-    out["dim_currency"] = cut_lineage(dim_currency(staging, prev.get("dim_currency")))
-    for name in list(out):
-        n = out[name].count()
+    for name, (df, n) in built.items():
+        out[name] = df
         log.step("staging", name, n, n)
     dims = dict(out, dim_date=dw["dim_date"], dim_center=dw["dim_center"], dim_child=dw["dim_child"])
     load_map = prev.get("fact_source_load_map") or spark.createDataFrame([], MAP_SCHEMA)
+
+    # The four transaction/event facts and the lifecycle read only dimensions and staging.
+    def fact(fn):
+        def run():
+            new_rows, add = fn(staging, dims, start, end, load_map, batch_id, load_ts)
+            return new_rows, add, new_rows.count()
+        return run
+    tasks = {name: fact(fn) for name, fn in FACTS}
+    tasks["fact_donation_lifecycle"] = materialised(
+        lambda: fact_donation_lifecycle(staging, dims, end, batch_id, load_ts))
+    results = run_concurrently(tasks)
     map_parts = [load_map]
-    for name, fn in FACTS:
-        new_rows, add = fn(staging, dims, start, end, load_map, batch_id, load_ts)
+    for name, _ in FACTS:
+        new_rows, add, n = results[name]
         old = prev.get(name)
         out[name] = new_rows if old is None else old.unionByName(new_rows)
         map_parts.append(add)
-        n = new_rows.count()
         log.step("staging", name, n, n)
     m = map_parts[0]
     for p in map_parts[1:]:
@@ -346,8 +365,7 @@ def run_mart2(spark: SparkSession, staging: dict, dw: dict, start: _dt.datetime,
         out["fact_monthly_financial_snapshot"] = snap_new if old is None else old.unionByName(snap_new)
         n = snap_new.count()
         log.step("dw", "fact_monthly_financial_snapshot", n, n)
-    out["fact_donation_lifecycle"] = cut_lineage(fact_donation_lifecycle(staging, dims, end, batch_id, load_ts))
-    n = out["fact_donation_lifecycle"].count()
+    out["fact_donation_lifecycle"], n = results["fact_donation_lifecycle"]
     log.step("staging", "fact_donation_lifecycle", n, n)
     log.finish("succeeded")
     out["etl_batch"], out["etl_load_log"] = log.frames()

@@ -239,17 +239,25 @@ def stage_table(spec: TableSpec, sources: dict[str, DataFrame], current: DataFra
 
 def run_staging(spark: SparkSession, system: str, sources: dict[str, DataFrame],
                 staging: dict[str, DataFrame], to_date: _dt.datetime, batch_id: int = 1,
-                checkpoint: bool = True, specs: tuple[str, ...] | None = None
+                checkpoint: bool = True, specs: tuple[str, ...] | None = None, workers: int = 4
                 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Stage every table of one system (or the named ``specs``); returns (new staging, load log)."""
-    from starloom.session import cut_lineage
+    from starloom.session import cut_lineage, run_concurrently
     if to_date is None:
         raise ValueError("to_date is required")
-    out, log_rows = {}, None
     chosen = [s for s in SPECS if s.system == system and (specs is None or s.name in specs)]
+
+    def one(spec):
+        # Validation reads the source parents, never staging, so tables stage independently.
+        def build():
+            nxt, counts, _ = stage_table(spec, sources, staging.get(spec.name), to_date, batch_id)
+            return (cut_lineage(nxt) if checkpoint else nxt), counts
+        return build
+
+    done = run_concurrently({spec.name: one(spec) for spec in chosen}, workers=workers)
+    out, log_rows = {}, None
     for i, spec in enumerate(chosen, start=1):
-        nxt, counts, _ = stage_table(spec, sources, staging.get(spec.name), to_date, batch_id)
-        out[spec.name] = cut_lineage(nxt) if checkpoint else nxt
+        out[spec.name], counts = done[spec.name]
         row = counts.select(F.lit(i).cast("long").alias("load_log_id"), F.lit(batch_id).alias("etl_batch_id"),
                             F.lit(spec.name).alias("source_table"), "*")
         log_rows = row if log_rows is None else log_rows.unionByName(row)

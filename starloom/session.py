@@ -65,3 +65,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def run_concurrently(tasks: dict, workers: int = 4) -> dict:
+    """Run independent job builders from several driver threads; Spark schedules their jobs
+    side by side, so small per-table jobs do not leave executors idle. Returns name -> result
+    and re-raises the first failure."""
+    from concurrent.futures import ThreadPoolExecutor
+    if workers <= 1 or len(tasks) <= 1:
+        return {name: fn() for name, fn in tasks.items()}
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        futures = {name: pool.submit(fn) for name, fn in tasks.items()}
+        return {name: f.result() for name, f in futures.items()}
