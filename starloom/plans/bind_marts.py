@@ -278,3 +278,93 @@ def finance_mart_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snap.select("month_key", "center_id", "total_donation_amount", "total_expense_amount",
                        "total_payment_amount", "net_balance", "donation_count", "expense_count", "payment_count",
                        "allocation_count")
+
+
+# ------------------------------------------- Mart 1 in two phases: Type 2 teacher changes at scale
+def program_run_two_phase(spark: SparkSession, sf_dir: str) -> dict:
+    """Phase 1: all teachers active; stage to 1998 and first-load [1995, 1998). Phase 2: suppliers
+    with a negative balance become inactive (updated at the split); upsert staging and run the
+    incremental load over [1998, 2002): their current versions close and new ones open."""
+    key = ("program-2", spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key in _RUNS:
+        return _RUNS[key]
+    from starloom.plans import mart1, schemas
+    from starloom.session import cut_lineage
+
+    def sources(change):
+        src = program_task_sources(spark, sf_dir, teacher_change=change)
+        for t in schemas.PROGRAM_OPS:
+            src.setdefault(t, schemas.empty(spark, t))
+        return src
+    stg1, _ = run_staging(spark, "program_ops", sources(None), {}, PHASE_SPLIT, batch_id=1, specs=PROGRAM_SPECS)
+    o = load(spark, sf_dir, "orders")
+    lo, hi = o.agg(F.min(F.year("o_orderdate")), F.max(F.year("o_orderdate"))).first()
+    bounds = spark.range(1).select(F.lit(_dt.date(lo, 1, 1)).alias("lo"), F.lit(_dt.date(hi, 12, 31)).alias("hi"))
+    dim_date = cut_lineage(build_dim_date(bounds))
+
+    def dims_for(stg, prev, start, end, first):
+        wave1 = mart1.build_dims({
+            "dim_center": lambda: mart1.dim_center(stg, prev.get("dim_center"), start, end, first_load=first),
+            "dim_domain": lambda: mart1.dim_domain(stg, prev.get("dim_domain")),
+            "dim_score_scale": lambda: mart1.dim_score_scale(stg, prev.get("dim_score_scale")),
+            "dim_no_score_reason": lambda: mart1.dim_no_score_reason(stg, prev.get("dim_no_score_reason")),
+            "dim_assessment_status": lambda: mart1.dim_assessment_status(stg, prev.get("dim_assessment_status")),
+            "dim_child": lambda: mart1.dim_child(stg, prev.get("dim_child"))})
+        d = {n: df for n, (df, _) in wave1.items()}
+        wave2 = mart1.build_dims({
+            "dim_teacher": lambda: mart1.dim_teacher(stg, prev.get("dim_teacher"), d["dim_center"], start, end, first),
+            "dim_task": lambda: mart1.dim_task(stg, prev.get("dim_task"), d["dim_domain"])})
+        d.update({n: df for n, (df, _) in wave2.items()})
+        d["dim_date"] = dim_date
+        return d
+    d1 = dims_for(stg1, {}, RUN_START, PHASE_SPLIT, True)
+    f1 = cut_lineage(mart1.fact_tran_student_task_progress(stg1, d1, RUN_START, PHASE_SPLIT, None, 1, PHASE_SPLIT))
+    stg2, _ = run_staging(spark, "program_ops", sources(PHASE_SPLIT.isoformat(sep=" ")), stg1, TO_DATE, batch_id=2,
+                          specs=PROGRAM_SPECS)
+    d2 = dims_for(stg2, d1, PHASE_SPLIT, RUN_END, False)
+    new = cut_lineage(mart1.fact_tran_student_task_progress(stg2, d2, PHASE_SPLIT, RUN_END, f1, 2, RUN_END))
+    out = dict(d2, fact_tran_student_task_progress=f1.unionByName(new))
+    _RUNS[key] = out
+    return out
+
+
+def _teacher_versions(dim_teacher: DataFrame) -> DataFrame:
+    """Version number of each teacher row: its rank among that teacher's keys (keys grow per run)."""
+    from pyspark.sql import Window
+    w = Window.partitionBy("teacher_id").orderBy("teacher_key")   # a teacher's few versions
+    return dim_teacher.filter(F.col("teacher_key") != -1).withColumn("version", F.row_number().over(w))
+
+
+TEACHER_VERSIONS_SQL = """
+WITH t AS (SELECT s_suppkey AS teacher_id, s_acctbal < 0 AS changed FROM supplier)
+SELECT teacher_id, 1 AS version, NOT changed AS is_current, 'active' AS employment_status,
+       TIMESTAMP '1995-01-01 00:00:00' AS effective_from,
+       CASE WHEN changed THEN TIMESTAMP '2002-01-01 00:00:00' END AS effective_to FROM t
+UNION ALL
+SELECT teacher_id, 2, true, 'inactive', TIMESTAMP '2002-01-01 00:00:00', CAST(NULL AS TIMESTAMP) FROM t WHERE changed
+"""
+
+
+@register("program_scd2_teachers", ("K8", "D2", "K2", "SC5", "Q10"), TEACHER_VERSIONS_SQL)
+def program_scd2_teachers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = program_run_two_phase(spark, sf_dir)
+    v = _teacher_versions(out["dim_teacher"])
+    return v.select(F.col("teacher_id").cast("long").alias("teacher_id"), F.col("version").cast("int").alias("version"),
+                    "is_current", "employment_status", "effective_from", "effective_to")
+
+
+@register("program_scd2_facts", ("J5", "J8", "K4", "F3", "K8"), PROGRESS_MART_SQL + """
+SELECT p.source_daily_task_assignment_id, p.source_task_assessment_id, p.teacher_id,
+       CAST(CASE WHEN p.date_key >= 19980101 AND s.s_acctbal < 0 THEN 2 ELSE 1 END AS INTEGER) AS teacher_version
+FROM progress p JOIN supplier s ON s.s_suppkey = p.teacher_id
+WHERE p.date_key >= 19950101 AND p.date_key < 20020101
+""")
+def program_scd2_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each progress row points at the teacher version current when its phase loaded it."""
+    out = program_run_two_phase(spark, sf_dir)
+    v = checked_broadcast(_teacher_versions(out["dim_teacher"]).select(
+        F.col("teacher_key").alias("_tk"), "teacher_id", "version"))
+    f = out["fact_tran_student_task_progress"].join(v, F.col("teacher_key") == F.col("_tk"), "left")
+    return f.select("source_daily_task_assignment_id", "source_task_assessment_id",
+                    F.col("teacher_id").cast("long").alias("teacher_id"),
+                    F.col("version").cast("int").alias("teacher_version"))

@@ -146,7 +146,11 @@ def finance_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 TEMPLATE_MAX_SIZE = 25
 
 
-def program_task_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def program_task_sources(spark: SparkSession, sf_dir: str, teacher_change: str | None = "always"
+                         ) -> dict[str, DataFrame]:
+    """``teacher_change``: "always" marks suppliers with a negative balance inactive from the
+    start; None keeps every teacher active; a timestamp text marks them inactive with that
+    update time (the second phase of a two-phase load)."""
     out = program_sources(spark, sf_dir)
     created = ts_lit(EPOCH)
     no_ts = F.lit(None).cast("timestamp_ntz")
@@ -161,11 +165,18 @@ def program_task_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFram
         F.lit(None).cast("date").alias("birth_date"), F.lit(None).cast("string").alias("gender"),
         F.lit(None).cast("date").alias("enrollment_date"), F.lit("active").alias("status"), created.alias("created_at"),
         no_ts.alias("updated_at"))
+    negative = F.col("s_acctbal") < 0
+    if teacher_change is None:
+        active, updated = F.lit(True), no_ts
+    elif teacher_change == "always":
+        active, updated = ~negative, no_ts
+    else:
+        active, updated = ~negative, F.when(negative, ts_lit(teacher_change))
     out["teachers"] = s.select(
         F.col("s_suppkey").alias("id"), F.col("s_nationkey").alias("center_id"), F.col("s_name").alias("first_name"),
         F.lit("").alias("last_name"), F.lit(None).cast("string").alias("phone"), F.lit(None).cast("string").alias("email"),
-        F.lit("active").alias("employment_status"), (F.col("s_acctbal") >= 0).alias("is_active"),
-        created.alias("created_at"), no_ts.alias("updated_at"))
+        F.lit("active").alias("employment_status"), active.alias("is_active"),
+        created.alias("created_at"), updated.cast("timestamp_ntz").alias("updated_at"))
     out["users"] = s.select(
         F.col("s_suppkey").alias("id"), F.col("s_name").alias("username"), F.lit("-").alias("password_hash"),
         F.lit("teacher").alias("role"), F.col("s_suppkey").alias("teacher_id"), F.lit(True).alias("is_active"),
