@@ -160,7 +160,7 @@ SPECS = [
           required=("id", "from_currency", "to_currency", "rate", "rate_date"), positive=("rate",)),
 ]
 SPEC_BY_NAME = {s.name: s for s in SPECS}
-SOURCE_DATABASE = {P: "Source_ProgramOps_DB", FIN: "Source_FinanceOps_DB"}
+SOURCE_DATABASE = {P: "program_ops_source", FIN: "finance_ops_source"}
 
 
 def _extract(spec: TableSpec, src: DataFrame, sources: dict[str, DataFrame], to_date) -> DataFrame:
