@@ -175,6 +175,8 @@ def _natural_ids(df: DataFrame, out: dict) -> DataFrame:
              ("teacher_key", "dim_teacher", "teacher_id"), ("domain_key", "dim_domain", "domain_id"),
              ("task_key", "dim_task", "natural_task_code")]
     for key, dim, nat in pairs:
+        if key not in df.columns:
+            continue
         d = checked_broadcast(out[dim].select(F.col(key).alias(f"_{key}"), F.col(nat)))
         df = df.join(d, F.col(key) == F.col(f"_{key}"), "left").drop(f"_{key}")
     return df
@@ -368,3 +370,38 @@ def program_scd2_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.select("source_daily_task_assignment_id", "source_task_assessment_id",
                     F.col("teacher_id").cast("long").alias("teacher_id"),
                     F.col("version").cast("int").alias("teacher_version"))
+
+
+SNAPSHOT_DAY, SNAPSHOT_END = _dt.date(2001, 10, 31), _dt.date(2001, 11, 1)
+
+
+def _exact_avg_sql(col: str, scale: int, precision: int = 10) -> str:
+    s = f"sum(CASE WHEN is_scored = 1 THEN {col} END)"
+    n = f"count(CASE WHEN is_scored = 1 THEN {col} END)"
+    return (f"CASE WHEN {n} > 0 THEN CAST(CAST((2 * CAST({s} * {10 ** scale} AS HUGEINT) + {n}) // (2 * {n}) "
+            f"AS DECIMAL(24,0)) * {1 / 10 ** scale:.{scale}f} AS DECIMAL({precision},{scale})) END")
+
+
+@register("program_daily_snapshot", ("F5", "A5", "A3", "A4", "J14"), PROGRESS_MART_SQL + f"""
+SELECT 20011031 AS date_key, child_id, center_id, teacher_id,
+  {_exact_avg_sql('raw_score', 2)} AS raw_score,
+  CAST(min(CASE WHEN is_scored = 1 THEN 0 END) AS DECIMAL(10,2)) AS min_score,
+  CAST(max(CASE WHEN is_scored = 1 THEN 50 END) AS DECIMAL(10,2)) AS max_score,
+  {_exact_avg_sql('normalized_score', 4)} AS normalized_score,
+  CAST(count(DISTINCT source_daily_task_assignment_id) AS INTEGER) AS planned_task_count,
+  CAST(count(DISTINCT source_task_assessment_id) AS INTEGER) AS assessment_count,
+  CAST(count(DISTINCT CASE WHEN is_completed = 1 THEN source_daily_task_assignment_id END) AS INTEGER) AS completed_task_count,
+  CAST(count(DISTINCT CASE WHEN is_scored = 1 THEN source_daily_task_assignment_id END) AS INTEGER) AS scored_task_count,
+  CAST(0 AS INTEGER) AS not_scored_task_count
+FROM progress WHERE date_key <= 20011031
+GROUP BY child_id, center_id, teacher_id
+""")
+def program_daily_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F5 on the whole task-progress fact for one day (every fact dated on or before it counts)."""
+    from starloom.plans.mart1 import daily_snapshot_rows
+    out = program_run(spark, sf_dir)
+    snap = daily_snapshot_rows(out["fact_tran_student_task_progress"], out, SNAPSHOT_DAY, SNAPSHOT_END, 1, RUN_END)
+    snap = _natural_ids(snap, out)
+    return snap.select("date_key", "child_id", "center_id", "teacher_id", "raw_score", "min_score", "max_score",
+                       "normalized_score", "planned_task_count", "assessment_count", "completed_task_count",
+                       "scored_task_count", "not_scored_task_count")

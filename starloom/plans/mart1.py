@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions.dates import ts_lit
 from starloom.functions.hashing import row_hash
+from starloom.functions.numeric import exact_avg
 from starloom.functions.text import blank_to_null, concat_nulls_as_empty, keyword_flags, norm_lower
 from starloom.operators.loads import append_new, replace_touched
 from starloom.operators.lookups import latest_per_key, latest_value, lookup_key
@@ -321,16 +322,11 @@ def fact_child_task_event(progress, status_dim, existing, batch_id, load_ts):
                       null_safe=True)
 
 
-def fact_daily_student_task_progress(progress, dims, start, end, existing, batch_id, load_ts):
-    """cumulative daily snapshot per (date, child, center, teacher) for every day from the
-    earliest affected date (or start) to the day before end; only missing grain rows are appended."""
+def daily_snapshot_rows(progress, dims, first_day: _dt.date, end_day: _dt.date, batch_id, load_ts) -> DataFrame:
+    """F5 core: for every day in [first_day, end_day) and (child, center, teacher), aggregates of
+    all progress rows dated on or before that day (or undated): distinct assignment/assessment
+    counts, average raw and normalised score of scored rows, min/max of their score scales."""
     dd = dims["dim_date"].filter(F.col("TimeKey") != -1).select("TimeKey", "FullDateAlternateKey")
-    start_d = start.date() if isinstance(start, _dt.datetime) else start
-    end_d = end.date() if isinstance(end, _dt.datetime) else end
-    last_batch = progress.agg(F.max("etl_batch_id")).first()[0]
-    earliest = (progress.filter(F.col("etl_batch_id") == last_batch).join(dd, F.col("date_key") == F.col("TimeKey"))
-                .agg(F.min("FullDateAlternateKey")).first()[0]) if last_batch is not None else None
-    first_day = earliest if earliest is not None and earliest < start_d else start_d
     scales = dims["dim_score_scale"].select("score_scale_key", F.col("min_score").alias("_min"),
                                             F.col("max_score").alias("_max"))
     f = (progress.join(dd, F.col("date_key") == F.col("TimeKey"), "left").join(scales, "score_scale_key", "left")
@@ -342,24 +338,36 @@ def fact_daily_student_task_progress(progress, dims, start, end, existing, batch
     scored = F.col("is_scored") == 1
     aid = "source_daily_task_assignment_id"
     snap = cumulative_daily_snapshot(
-        f, ["child_key", "center_key", "teacher_key"], "day", first_day, end_d,
+        f, ["child_key", "center_key", "teacher_key"], "day", first_day, end_day,
         distinct={"planned_task_count": (aid, None), "assessment_count": ("source_task_assessment_id", None),
                   "completed_task_count": (aid, F.col("is_completed") == 1),
                   "scored_task_count": (aid, scored), "not_scored_task_count": (aid, F.col("is_not_scored") == 1)},
         sums={"raw": ("raw_score", scored), "norm": ("normalized_score", scored)},
         mins={"min_score": ("_min", scored)}, maxs={"max_score": ("_max", scored)})
     snap = lookup_key(snap, dd, {"snapshot_date": "FullDateAlternateKey"}, "TimeKey", "date_key", pick="min")
-    avg = lambda n, t: F.when(F.col(f"{n}_n") > 0, F.col(f"{n}_sum") / F.col(f"{n}_n")).cast(t)
-    rows = snap.select("date_key", "child_key", "center_key", "teacher_key",
-                       avg("raw", "decimal(10,2)").alias("raw_score"),
+    return snap.select("date_key", "child_key", "center_key", "teacher_key",
+                       exact_avg(F.col("raw_sum"), F.col("raw_n"), 2, 10).alias("raw_score"),
                        F.col("min_score").cast("decimal(10,2)").alias("min_score"),
                        F.col("max_score").cast("decimal(10,2)").alias("max_score"),
-                       avg("norm", "decimal(10,4)").alias("normalized_score"),
+                       exact_avg(F.col("norm_sum"), F.col("norm_n"), 4, 10).alias("normalized_score"),
                        *[F.col(c).cast("int").alias(c) for c in ("planned_task_count", "assessment_count",
                                                                  "completed_task_count", "scored_task_count",
                                                                  "not_scored_task_count")],
                        F.lit("PROGRAM_OPS").alias("source_system"), F.lit(batch_id).alias("etl_batch_id"),
                        ts_lit(load_ts).alias("loaded_at"))
+
+
+def fact_daily_student_task_progress(progress, dims, start, end, existing, batch_id, load_ts):
+    """cumulative daily snapshot per (date, child, center, teacher) for every day from the
+    earliest affected date (or start) to the day before end; only missing grain rows are appended."""
+    dd = dims["dim_date"].filter(F.col("TimeKey") != -1).select("TimeKey", "FullDateAlternateKey")
+    start_d = start.date() if isinstance(start, _dt.datetime) else start
+    end_d = end.date() if isinstance(end, _dt.datetime) else end
+    last_batch = progress.agg(F.max("etl_batch_id")).first()[0]
+    earliest = (progress.filter(F.col("etl_batch_id") == last_batch).join(dd, F.col("date_key") == F.col("TimeKey"))
+                .agg(F.min("FullDateAlternateKey")).first()[0]) if last_batch is not None else None
+    first_day = earliest if earliest is not None and earliest < start_d else start_d
+    rows = daily_snapshot_rows(progress, dims, first_day, end_d, batch_id, load_ts)
     if existing is None:
         return rows
     return append_new(rows, existing, ["date_key", "child_key", "center_key", "teacher_key"])

@@ -119,3 +119,23 @@ def test_assign_keys_small_path_matches_distributed(spark):
     small = sorted((r.nk, r.k) for r in assign_keys(df, ["nk"], "k", base=10).collect())
     dist = sorted((r.nk, r.k) for r in assign_keys(df, ["nk"], "k", base=10, num_partitions=5).collect())
     assert small == dist and [k for _, k in small] == list(range(11, 511))
+
+
+def test_exact_avg_matches_decimal_half_up(spark):
+    import random
+    from decimal import ROUND_HALF_UP
+    from decimal import Decimal as D
+
+    from starloom.functions.numeric import exact_avg
+    random.seed(7)
+    rows = [(D(random.randint(-10 ** 9, 10 ** 9)) / 100, random.randint(1, 3_000_000)) for _ in range(500)]
+    rows += [(D("1.01"), 2), (D("-1.01"), 2), (D("0.05"), 10), (None, 0)]
+    df = spark.createDataFrame(rows, "s decimal(20,2), n long")
+    got = [r.a for r in df.select(exact_avg(F.col("s"), F.col("n"), 2, 18).alias("a")).collect()]
+
+    def want(s, n):
+        if s is None or n == 0:
+            return None
+        q = (abs(s) / n).quantize(D("0.01"), rounding=ROUND_HALF_UP)
+        return -q if s < 0 else q
+    assert got == [want(s, n) for s, n in rows]
