@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.dates import date_key
+from starloom.functions.numeric import exact_avg
 from starloom.functions.text import norm_lower
 from starloom.operators.loads import append_new, replace_touched
 from starloom.operators.lookups import lookup_key
@@ -215,9 +216,8 @@ def order_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.min("source_order_id").alias("source_order_id"), nz("created_date_key"), nz("fulfilled_date_key"),
         nz("allocated_date_key"), F.sum("amount").cast("decimal(18,2)").alias("order_amount"),
         F.min("amount").alias("min_order"), F.max("amount").alias("max_order"),
-        F.count("amount").alias("order_count"),
-        F.avg(F.col("amount").cast("decimal(18,4)")).cast("decimal(18,2)").alias("avg_order"))
-    return agg
+        F.count("amount").alias("order_count"), F.sum("amount").alias("_sum"))
+    return agg.withColumn("avg_order", exact_avg(F.col("_sum"), F.col("order_count"), 2, 18)).drop("_sum")
 
 
 LIFECYCLE_SQL = """

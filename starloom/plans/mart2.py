@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions.dates import date_from_key, ts_lit
 from starloom.functions.hashing import row_hash
+from starloom.functions.numeric import exact_avg
 from starloom.functions.text import blank_to_null, norm_lower, norm_upper
 from starloom.operators.loads import append_new
 from starloom.operators.lookups import latest_per_key, lookup_key
@@ -289,8 +290,9 @@ def fact_donation_lifecycle(stg, dims, end, batch_id, load_ts):
         nz("confirmed_date_key"), nz("allocated_date_key"),
         F.sum("donation_amount").cast("decimal(18,2)").alias("donation_amount"),
         F.min("donation_amount").alias("min_donation"), F.max("donation_amount").alias("max_donation"),
-        F.avg(F.col("donation_amount").cast("decimal(18,4)")).cast("decimal(18,2)").alias("avg_donation"),
-    ).withColumns({"etl_batch_id": F.lit(batch_id), "loaded_at": ts_lit(load_ts)})
+        F.sum("donation_amount").alias("_sum"), F.count("donation_amount").alias("_n"),
+    ).withColumn("avg_donation", exact_avg(F.col("_sum"), F.col("_n"), 2, 18)).drop("_sum", "_n") \
+     .withColumns({"etl_batch_id": F.lit(batch_id), "loaded_at": ts_lit(load_ts)})
 
 
 # --------------------------------------------------------------------------------- runner
