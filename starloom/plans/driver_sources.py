@@ -17,6 +17,8 @@ Zero discounts and taxes give zero amounts, which staging validation rejects (V6
 
 from __future__ import annotations
 
+import threading
+
 import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -49,6 +51,19 @@ LINE_ID_SQL = ("l_orderkey * 1000 + row_number() OVER (PARTITION BY l_orderkey O
                + ", ".join(LINE_ORDER) + ")")
 
 
+_LINES: dict = {}
+_LINES_LOCK = threading.Lock()
+
+
+def _shared(spark: SparkSession, sf_dir: str, kind: str, build) -> DataFrame:
+    """Materialise a derived work table once per (application, folder)."""
+    key = (kind, spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    with _LINES_LOCK:
+        if key not in _LINES:
+            _LINES[key] = cut_lineage(build())
+        return _LINES[key]
+
+
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = with_line_id(load(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_ORDER))
     supp = load(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
@@ -73,7 +88,7 @@ def finance_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     c = load(spark, sf_dir, "customer")
     o = load(spark, sf_dir, "orders")
     # Three source tables derive from the lines: number them once (one shuffle), not three times.
-    lines = cut_lineage(_lines(spark, sf_dir))
+    lines = _shared(spark, sf_dir, "finance_lines", lambda: _lines(spark, sf_dir))
     created = ts_lit(EPOCH)
     no_ts = F.lit(None).cast("timestamp_ntz")
     donors = c.select(
@@ -198,13 +213,13 @@ def program_task_sources(spark: SparkSession, sf_dir: str, teacher_change: str |
         F.lit("absent").alias("status"), F.lit(None).cast("int").alias("absence_reason_id"),
         F.lit(None).cast("string").alias("note"), F.lit(None).cast("int").alias("created_by"),
         F.col("o_orderdate").alias("created_at"), no_ts.alias("updated_at"))
-    li = with_line_id(load(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", *[
-        c_ for c_ in LINE_ORDER if c_ != "l_partkey"]))
-    parts = p.select("p_partkey", "p_size", "p_name")
-    lines = (li.join(o.select("o_orderkey", "o_custkey"), li.l_orderkey == o.o_orderkey, "left")
-               .join(parts, li.l_partkey == parts.p_partkey, "left")
-               .join(s.select("s_suppkey", "s_nationkey"), li.l_suppkey == s.s_suppkey, "left"))
-    lines = cut_lineage(lines)      # three source tables read the same numbered lines
+    def numbered_lines():
+        li = with_line_id(load(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_ORDER))
+        parts = p.select("p_partkey", "p_size", "p_name")
+        return (li.join(o.select("o_orderkey", "o_custkey"), li.l_orderkey == o.o_orderkey, "left")
+                  .join(parts, li.l_partkey == parts.p_partkey, "left")
+                  .join(s.select("s_suppkey", "s_nationkey"), li.l_suppkey == s.s_suppkey, "left"))
+    lines = _shared(spark, sf_dir, "program_lines", numbered_lines)   # three source tables read them
     day = F.to_date("l_shipdate")
     out["daily_task_assignments"] = lines.select(
         F.col("line_id").alias("id"), F.col("o_custkey").alias("child_id"), day.alias("date"),
