@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.operators.lookups import bounded_count
+
 
 def full_refresh(valid: DataFrame) -> DataFrame:
     """K1: the new table is exactly the current valid extract; deletes propagate."""
@@ -18,16 +20,22 @@ def full_refresh(valid: DataFrame) -> DataFrame:
 
 def hash_upsert(target: DataFrame | None, incoming: DataFrame, keys: list[str],
                 hash_col: str = "row_hash", valid_col: str | None = "is_valid",
-                keep_old: tuple[str, ...] = ()) -> DataFrame:
+                keep_old: tuple[str, ...] = (), broadcast_max_rows: int | None = 1_000_000) -> DataFrame:
     """K2: update rows whose key matches and whose hash differs (or is NULL, or the old row is
     invalid); insert absent keys; keep unchanged rows with their old metadata; never delete.
 
     Returns the next version with an ``upsert_action`` column (insert/update/unchanged).
     ``keep_old`` columns (e.g. the staging row id) keep the target's value on update.
+
+    When a bounded count proves the extract has at most ``broadcast_max_rows`` rows (the usual
+    incremental case), the target is only scanned, never shuffled (see ``_upsert_small_extract``);
+    otherwise both sides meet in one full outer join.
     """
     cols = incoming.columns
     if target is None:
         return incoming.withColumn("upsert_action", F.lit("insert"))
+    if broadcast_max_rows and bounded_count(incoming, broadcast_max_rows) <= broadcast_max_rows:
+        return _upsert_small_extract(target, incoming, keys, hash_col, valid_col, keep_old)
     old = target.select(*cols)
     o = old.select(*[F.col(c).alias(f"_o_{c}") for c in cols])
     n = incoming.select(*[F.col(c).alias(f"_n_{c}") for c in cols])
@@ -51,6 +59,39 @@ def hash_upsert(target: DataFrame | None, incoming: DataFrame, keys: list[str],
     return j.select(*out, action.alias("upsert_action"))
 
 
+def _upsert_small_extract(target: DataFrame, incoming: DataFrame, keys: list[str], hash_col: str,
+                          valid_col: str | None, keep_old: tuple[str, ...]) -> DataFrame:
+    """K2 with a small extract: its (key, hash) pairs are broadcast to find the keys to update,
+    old rows of other keys pass through a broadcast anti-join, and only extract rows are
+    re-keyed. Every broadcast side is bounded by the checked extract size."""
+    from starloom.session import cut_lineage
+    cols = incoming.columns
+    old = target.select(*cols)
+    probe = incoming.select(*[F.col(k).alias(f"_i_{k}") for k in keys], F.col(hash_col).alias("_i_h"))
+    cond = None
+    for k in keys:
+        c = F.col(k) == F.col(f"_i_{k}")
+        cond = c if cond is None else cond & c
+    extra = [c for c in ([valid_col] if valid_col else []) + list(keep_old) if c not in keys and c != hash_col]
+    matched = old.select(*keys, hash_col, *extra).join(F.broadcast(probe), cond)
+    changed = F.col(hash_col).isNull() | F.col("_i_h").isNull() | (F.col(hash_col) != F.col("_i_h"))
+    if valid_col:
+        changed = changed | ~F.coalesce(F.col(valid_col), F.lit(False))
+    # At most one row per extract key: materialise it so the target is scanned only once more.
+    matched = cut_lineage(matched.select(*keys, *[c for c in keep_old if c not in keys],
+                                         changed.alias("_changed")))
+    touched = F.broadcast(matched.filter(F.col("_changed")).select(*keys))
+    kept = old.join(touched, keys, "left_anti").withColumn("upsert_action", F.lit("unchanged"))
+    olds = F.broadcast(matched.filter(F.col("_changed")).select(
+        *keys, *[F.col(c).alias(f"_o_{c}") for c in keep_old if c not in keys]))
+    upd = incoming.join(olds, keys)
+    upd = upd.select(*[F.col(f"_o_{c}").alias(c) if c in keep_old and c not in keys else F.col(c) for c in cols],
+                     F.lit("update").alias("upsert_action"))
+    ins = incoming.join(F.broadcast(matched.select(*keys)), keys, "left_anti") \
+                  .withColumn("upsert_action", F.lit("insert"))
+    return kept.unionByName(upd.select(*cols, "upsert_action")).unionByName(ins.select(*cols, "upsert_action"))
+
+
 def null_safe_key(cols: list[str]) -> list[Column]:
     """ISNULL(k, -1) for numeric keys, ISNULL(k, '') for text keys (K4)."""
     return [F.coalesce(F.col(c), F.lit(-1)) for c in cols]

@@ -53,7 +53,13 @@ def test_hash_upsert_matches_model(spark, old, new):
     o = spark.createDataFrame([(k, h, valid) for k, (h, valid) in old.items()],
                               "id int, row_hash string, is_valid boolean")
     n = spark.createDataFrame([(k, h, True) for k, h in new.items()], "id int, row_hash string, is_valid boolean")
-    got = {r.id: (r.row_hash, r.upsert_action) for r in hash_upsert(o, n, ["id"]).collect()}
+    for limit in (None, 1_000_000):           # shuffle path, then the broadcast path
+        got = {r.id: (r.row_hash, r.upsert_action)
+               for r in hash_upsert(o, n, ["id"], broadcast_max_rows=limit).collect()}
+        assert got == _upsert_model(old, new)
+
+
+def _upsert_model(old, new):
     want = {}
     for k in set(old) | set(new):
         if k not in old:
@@ -62,7 +68,7 @@ def test_hash_upsert_matches_model(spark, old, new):
             want[k] = (new[k], "update")
         else:
             want[k] = (old[k][0], "unchanged")
-    assert got == want
+    return want
 
 
 @settings(**CFG)

@@ -59,10 +59,11 @@ def test_hash_upsert_actions(spark):
                                 "id int, row_hash string, is_valid boolean, stg_row_id int")
     new = spark.createDataFrame([(1, "h1", True, None), (2, "hX", True, None), (3, "h3", True, None),
                                  (4, "h4", True, None)], "id int, row_hash string, is_valid boolean, stg_row_id int")
-    out = {r.id: (r.row_hash, r.stg_row_id, r.upsert_action)
-           for r in hash_upsert(old, new, ["id"], keep_old=("stg_row_id",)).collect()}
-    assert out == {1: ("h1", 10, "unchanged"), 2: ("hX", 11, "update"), 3: ("h3", 12, "update"),
-                   4: ("h4", None, "insert")}
+    for limit in (None, 1000):
+        out = {r.id: (r.row_hash, r.stg_row_id, r.upsert_action)
+               for r in hash_upsert(old, new, ["id"], keep_old=("stg_row_id",), broadcast_max_rows=limit).collect()}
+        assert out == {1: ("h1", 10, "unchanged"), 2: ("hX", 11, "update"), 3: ("h3", 12, "update"),
+                       4: ("h4", None, "insert")}
 
 
 def test_append_new_null_safe(spark):
