@@ -1,8 +1,8 @@
 """Load strategies as DataFrame algebra over immutable snapshots.
 
 Without MERGE, every load returns the next full version of the target (or the rows to
-append); ``plans.tables.write_version`` persists it. Anti-joins are equi-joins, so they
-shuffle on the key (or broadcast by runtime size under AQE).
+append); ``plans.tables.write_tables`` persists it. Anti-joins are equi-joins: they shuffle
+on the key, or broadcast a side whose size was checked first.
 """
 
 from __future__ import annotations
@@ -37,15 +37,16 @@ def hash_upsert(target: DataFrame | None, incoming: DataFrame, keys: list[str],
     if broadcast_max_rows and bounded_count(incoming, broadcast_max_rows) <= broadcast_max_rows:
         return _upsert_small_extract(target, incoming, keys, hash_col, valid_col, keep_old)
     old = target.select(*cols)
-    o = old.select(*[F.col(c).alias(f"_o_{c}") for c in cols])
-    n = incoming.select(*[F.col(c).alias(f"_n_{c}") for c in cols])
+    # Presence markers, so a row whose key is NULL is still recognised as coming from its side.
+    o = old.select(*[F.col(c).alias(f"_o_{c}") for c in cols], F.lit(True).alias("_o_present"))
+    n = incoming.select(*[F.col(c).alias(f"_n_{c}") for c in cols], F.lit(True).alias("_n_present"))
     cond = None
     for k in keys:
         c = F.col(f"_o_{k}") == F.col(f"_n_{k}")
         cond = c if cond is None else cond & c
     j = o.join(n, cond, "full_outer")
-    new_present = F.col(f"_n_{keys[0]}").isNotNull()
-    old_present = F.col(f"_o_{keys[0]}").isNotNull()
+    new_present = F.col("_n_present").isNotNull()
+    old_present = F.col("_o_present").isNotNull()
     changed = (F.col(f"_o_{hash_col}").isNull() | F.col(f"_n_{hash_col}").isNull()
                | (F.col(f"_o_{hash_col}") != F.col(f"_n_{hash_col}")))
     if valid_col:

@@ -140,3 +140,13 @@ def test_exact_avg_matches_decimal_half_up(spark):
         q = (abs(s) / n).quantize(D("0.01"), rounding=ROUND_HALF_UP)
         return -q if s < 0 else q
     assert got == [want(s, n) for s, n in rows]
+
+
+def test_hash_upsert_null_key_rows_agree_on_both_paths(spark):
+    old = spark.createDataFrame([(1, "a", True), (None, "z", True)], "id int, row_hash string, is_valid boolean")
+    new = spark.createDataFrame([(1, "b", True), (None, "n", True)], "id int, row_hash string, is_valid boolean")
+    results = []
+    for limit in (None, 1000):
+        out = hash_upsert(old, new, ["id"], broadcast_max_rows=limit)
+        results.append(sorted((r.id if r.id is not None else -99, r.row_hash, r.upsert_action) for r in out.collect()))
+    assert results[0] == results[1] == [(-99, "n", "insert"), (-99, "z", "unchanged"), (1, "b", "update")]
