@@ -42,3 +42,22 @@ def test_stream_stages_new_extracts(spark):
     assert v2.count() == 3
     assert v2.filter("id = 103").collect()[0].stg_row_id == 3
     assert isinstance(dt.datetime.now(), dt.datetime)
+
+
+def test_stream_restart_without_new_files_changes_nothing(spark):
+    base = tempfile.mkdtemp(prefix="starloom-stream-")
+    landing, target, ckpt = (os.path.join(base, x) for x in ("landing", "target", "ckpt"))
+    rows = fx.first_load_rows()
+    parents = {"donors": schemas.from_rows(spark, "donors", rows["donors"]),
+               "campaigns": schemas.from_rows(spark, "campaigns", rows["campaigns"])}
+    schemas.from_rows(spark, "donations", rows["donations"]).write.parquet(os.path.join(landing, "b1"))
+    q = stage_stream(spark, "donations", landing, target, ckpt, parents=parents)
+    q.awaitTermination(120)
+    assert q.exception() is None, q.exception()
+    before = sorted(tuple(r) for r in latest_version(spark, target).collect())
+    versions = sorted(os.listdir(target))
+    q = stage_stream(spark, "donations", landing, target, ckpt, parents=parents)   # restart, same checkpoint
+    q.awaitTermination(120)
+    assert q.exception() is None, q.exception()
+    assert sorted(os.listdir(target)) == versions
+    assert sorted(tuple(r) for r in latest_version(spark, target).collect()) == before
