@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from starloom.llm import mixing
+from starloom.llm import mixing, quality
 
 QUERIES = {
     "op3_mix_curriculum": mixing.op3_mix_curriculum,
+    "op6_quality_mcd": quality.op6_quality_mcd,
 }
 SQL = {name: sql for name, sql in {
     "op3_mix_curriculum": mixing.SQL,
