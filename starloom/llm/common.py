@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,13 +12,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.session import cut_lineage, ensure_checkpoint_dir  # noqa: F401  (re-exported for the operators)
-from starloom.sources.tables import load  # noqa: F401
+from starloom.sources import tables
 
 #: A word, as all contracts define it: a run of characters that are not one of the six ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = r"[\x20\x09-\x0D]+"
 
 
+def workers_import(spark: SparkSession) -> None:
+    """Let Python workers find this package where it was not installed for them: the folder it lies in joins their
+    path. On a cluster the package is installed or sent with --py-files, and this changes nothing."""
+    top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if top not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([top, *paths])
+
+
+def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    workers_import(spark)
+    return tables.load(spark, sf_dir, name)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` over ``value``, which is evaluated once per row even where a lambda uses it for each element."""
     return F.transform(F.array(value), body)[0]

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from starloom.llm import mixing, quality
+from starloom.llm import mixing, quality, tokens
 
 QUERIES = {
+    "op1_token_counts": tokens.op1_token_counts,
     "op3_mix_curriculum": mixing.op3_mix_curriculum,
     "op6_quality_mcd": quality.op6_quality_mcd,
 }
 SQL = {name: sql for name, sql in {
+    "op1_token_counts": tokens.SQL,
     "op3_mix_curriculum": mixing.SQL,
+    "op6_quality_mcd": quality.SQL,
 }.items() if sql}
