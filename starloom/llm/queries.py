@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from starloom.llm import language, mixing, quality, tokens
+from starloom.llm import language, mixing, quality, tokens, urls
 
 QUERIES = {
     "op1_token_counts": tokens.op1_token_counts,
     "op3_mix_curriculum": mixing.op3_mix_curriculum,
     "op6_quality_mcd": quality.op6_quality_mcd,
+    "op8_url_gbt": urls.op8_url_gbt,
     "op9_language_hd": language.op9_language_hd,
 }
 SQL = {name: sql for name, sql in {
     "op1_token_counts": tokens.SQL,
     "op3_mix_curriculum": mixing.SQL,
     "op6_quality_mcd": quality.SQL,
+    "op8_url_gbt": urls.SQL,
     "op9_language_hd": language.SQL,
 }.items() if sql}
