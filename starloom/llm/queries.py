@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from starloom.llm import language, mixing, quality, tokens, urls
+from starloom.llm import language, mixing, quality, tokens, urls, warc
 
 QUERIES = {
     "op1_token_counts": tokens.op1_token_counts,
     "op3_mix_curriculum": mixing.op3_mix_curriculum,
+    "op5_warc_segments": warc.op5_warc_segments,
     "op6_quality_mcd": quality.op6_quality_mcd,
     "op8_url_gbt": urls.op8_url_gbt,
     "op9_language_hd": language.op9_language_hd,
@@ -14,6 +15,7 @@ QUERIES = {
 SQL = {name: sql for name, sql in {
     "op1_token_counts": tokens.SQL,
     "op3_mix_curriculum": mixing.SQL,
+    "op5_warc_segments": warc.SQL,
     "op6_quality_mcd": quality.SQL,
     "op8_url_gbt": urls.SQL,
     "op9_language_hd": language.SQL,
