@@ -82,6 +82,9 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: For words without punctuation: every ASCII byte that is neither a letter nor a digit separates.
+PUNCTUATION = np.zeros(256, bool)
+PUNCTUATION[[b for b in range(128) if not chr(b).isalnum()]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 #: Each byte value gets a fixed random 64-bit value; a word's hash is a polynomial in them.
@@ -107,12 +110,12 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POW["p"][:n], _POW["q"][:n]
 
 
-def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(raw: np.ndarray, offsets: np.ndarray, separators: np.ndarray = _BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every word of a batch, and each row's first word (one more entry at the end)."""
     n = len(raw)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    inside = ~_BLANK[raw]
+    inside = ~separators[raw]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     breaks = offsets[(offsets > 0) & (offsets < n)]
@@ -135,6 +138,22 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bo
     return mix64((sums[ends] - sums[starts]) * q[starts] + (ends - starts).astype(np.uint64))
 
 
+def prefix_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, sizes: tuple[int, ...]) -> list[np.ndarray]:
+    """For each of ``sizes`` a hash of every word's first so many bytes; 0 where the word is not longer."""
+    if not len(starts):
+        return [np.zeros(0, np.uint64) for _ in sizes]
+    p, q = _power_tables(len(raw) + 1)
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_BYTE[_LOWER[raw]] * p[:-1], out=sums[1:])
+    base, unit, length = sums[starts], q[starts], ends - starts
+    out = []
+    for size in sizes:
+        h = mix64((sums[np.minimum(starts + size, ends)] - base) * unit + _U(size << 32))
+        h[length <= size] = 0
+        out.append(h)
+    return out
+
+
 _STEP = [_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                          0xA0761D6478BD642F)]
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from starloom.llm import language, mixing, quality, tokens, urls, warc
+from starloom.llm import language, mixing, quality, tokens, toxicity, urls, warc
 
 QUERIES = {
     "op1_token_counts": tokens.op1_token_counts,
     "op3_mix_curriculum": mixing.op3_mix_curriculum,
+    "op4_toxicity_nnpu": toxicity.op4_toxicity_nnpu,
     "op5_warc_segments": warc.op5_warc_segments,
     "op6_quality_mcd": quality.op6_quality_mcd,
     "op8_url_gbt": urls.op8_url_gbt,
@@ -15,6 +16,7 @@ QUERIES = {
 SQL = {name: sql for name, sql in {
     "op1_token_counts": tokens.SQL,
     "op3_mix_curriculum": mixing.SQL,
+    "op4_toxicity_nnpu": toxicity.SQL,
     "op5_warc_segments": warc.SQL,
     "op6_quality_mcd": quality.SQL,
     "op8_url_gbt": urls.SQL,
