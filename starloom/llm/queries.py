@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from starloom.llm import language, mixing, quality, tokens, toxicity, urls, warc
+from starloom.llm import extraction, language, mixing, quality, tokens, toxicity, urls, warc
 
 QUERIES = {
     "op1_token_counts": tokens.op1_token_counts,
+    "op2_html_style_tree": extraction.op2_html_style_tree,
     "op3_mix_curriculum": mixing.op3_mix_curriculum,
     "op4_toxicity_nnpu": toxicity.op4_toxicity_nnpu,
     "op5_warc_segments": warc.op5_warc_segments,
@@ -15,6 +16,7 @@ QUERIES = {
 }
 SQL = {name: sql for name, sql in {
     "op1_token_counts": tokens.SQL,
+    "op2_html_style_tree": extraction.SQL,
     "op3_mix_curriculum": mixing.SQL,
     "op4_toxicity_nnpu": toxicity.SQL,
     "op5_warc_segments": warc.SQL,
