@@ -57,6 +57,12 @@ def hash_share(df: DataFrame, fraction: float, *keys: str, seed: int = 17) -> Da
     return df.where(h < int(fraction * (1 << 30)))
 
 
+def small_side(df: DataFrame, most_rows: int = 100_000) -> DataFrame:
+    """``df`` marked for a broadcast join if a bounded count proves it has at most ``most_rows`` (short) rows; as it is
+    otherwise, for a shuffle join under skew handling. ``df`` should be a checkpointed or stored table."""
+    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
+
+
 # --- Arrow text batches as numpy ------------------------------------------------------------------------
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -128,28 +134,38 @@ def word_spans(raw: np.ndarray, offsets: np.ndarray, separators: np.ndarray = _B
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+_BLOCK = 1 << 20
+
+
+def _span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
+    """Polynomial hashes of byte spans with rising starts, block by block so that long texts need little memory."""
+    out = np.zeros(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):
+        low = starts[i]
+        j = max(i + 1, int(np.searchsorted(starts, low + _BLOCK, "left")))
+        part = raw[low:int(ends[i:j].max())]
+        p, q = _power_tables(len(part) + 1)
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(_BYTE[_LOWER[part] if lower else part] * p[:-1], out=sums[1:])
+        a, z = starts[i:j] - low, ends[i:j] - low
+        out[i:j] = (sums[z] - sums[a]) * q[a] + (z - a).astype(np.uint64)
+        i = j
+    return out
+
+
 def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
     """A 64-bit hash of every word, equal for equal (A-Z lower-cased) words wherever they stand."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    p, q = _power_tables(len(raw) + 1)
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_BYTE[_LOWER[raw] if lower else raw] * p[:-1], out=sums[1:])
-    return mix64((sums[ends] - sums[starts]) * q[starts] + (ends - starts).astype(np.uint64))
+    return mix64(_span_hashes(raw, starts, ends, lower))
 
 
 def prefix_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, sizes: tuple[int, ...]) -> list[np.ndarray]:
     """For each of ``sizes`` a hash of every word's first so many bytes; 0 where the word is not longer."""
-    if not len(starts):
-        return [np.zeros(0, np.uint64) for _ in sizes]
-    p, q = _power_tables(len(raw) + 1)
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_BYTE[_LOWER[raw]] * p[:-1], out=sums[1:])
-    base, unit, length = sums[starts], q[starts], ends - starts
     out = []
     for size in sizes:
-        h = mix64((sums[np.minimum(starts + size, ends)] - base) * unit + _U(size << 32))
-        h[length <= size] = 0
+        longer = ends - starts > size
+        h = np.zeros(len(starts), np.uint64)
+        h[longer] = mix64(_span_hashes(raw, starts[longer], starts[longer] + size) ^ _U(size << 40))
         out.append(h)
     return out
 
@@ -175,14 +191,14 @@ def shingle_hashes(words: np.ndarray, first: np.ndarray, width: int = 5) -> tupl
     long_row = np.repeat(counts >= width, windows)
     out[long_row] = full[position[long_row]]
     for r in np.flatnonzero((counts > 0) & (counts < width)):
-        h = _U(counts[r]) * _STEP[4]
-        for w in words[first[r]:first[r + 1]]:
-            h = mix64(np.array([h * _STEP[1] ^ w], np.uint64))[0]
-        out[at[r]] = h
+        h = np.array([counts[r]], np.uint64) * _STEP[4]
+        for k in range(first[r], first[r + 1]):
+            h = mix64(h * _STEP[1] ^ words[k:k + 1])
+        out[at[r]] = h[0]
     return out, at
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut so that ``column`` holds about ``limit`` bytes at most (a longer single row stands alone)."""
     for batch in batches:
         if not batch.num_rows:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from starloom.llm import extraction, language, mixing, quality, tokens, toxicity, urls, warc
+from starloom.llm import dedup, extraction, language, mixing, quality, tokens, toxicity, urls, warc
 
 QUERIES = {
     "op1_token_counts": tokens.op1_token_counts,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_quality_mcd": quality.op6_quality_mcd,
     "op8_url_gbt": urls.op8_url_gbt,
     "op9_language_hd": language.op9_language_hd,
+    "op10_minmax_dedup": dedup.op10_minmax_dedup,
 }
 SQL = {name: sql for name, sql in {
     "op1_token_counts": tokens.SQL,
@@ -23,4 +24,5 @@ SQL = {name: sql for name, sql in {
     "op6_quality_mcd": quality.SQL,
     "op8_url_gbt": urls.SQL,
     "op9_language_hd": language.SQL,
+    "op10_minmax_dedup": dedup.SQL,
 }.items() if sql}
