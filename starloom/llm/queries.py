@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from starloom.llm import dedup, extraction, language, mixing, quality, tokens, toxicity, urls, warc
+from starloom.llm import decontamination, dedup, extraction, language, mixing, quality, tokens, toxicity, urls, warc
 
 QUERIES = {
     "op1_token_counts": tokens.op1_token_counts,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_toxicity_nnpu": toxicity.op4_toxicity_nnpu,
     "op5_warc_segments": warc.op5_warc_segments,
     "op6_quality_mcd": quality.op6_quality_mcd,
+    "op7_decontaminate_lsi": decontamination.op7_decontaminate_lsi,
     "op8_url_gbt": urls.op8_url_gbt,
     "op9_language_hd": language.op9_language_hd,
     "op10_minmax_dedup": dedup.op10_minmax_dedup,
@@ -22,6 +23,7 @@ SQL = {name: sql for name, sql in {
     "op4_toxicity_nnpu": toxicity.SQL,
     "op5_warc_segments": warc.SQL,
     "op6_quality_mcd": quality.SQL,
+    "op7_decontaminate_lsi": decontamination.SQL,
     "op8_url_gbt": urls.SQL,
     "op9_language_hd": language.SQL,
     "op10_minmax_dedup": dedup.SQL,
