@@ -63,6 +63,25 @@ def small_side(df: DataFrame, most_rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
 
 
+def keep_rows(docs: DataFrame, decide: Callable[[], Callable[[pa.Array], np.ndarray]]) -> DataFrame:
+    """The rows, with all their columns as they are, whose text a function approves; ``decide`` makes that function once in
+    each task."""
+    place = docs.columns.index("text")
+
+    def run(batches):
+        approve = decide()
+        for batch in slices(batches, place):
+            yield batch.filter(pa.array(approve(batch.column(place)), pa.bool_()))
+    return docs.mapInArrow(run, docs.schema)
+
+
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, with underscores as long as a column has that name."""
+    while name.lower() in {c.lower() for c in taken}:
+        name += "_"
+    return name
+
+
 # --- Arrow text batches as numpy ------------------------------------------------------------------------
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -198,7 +217,7 @@ def shingle_hashes(words: np.ndarray, first: np.ndarray, width: int = 5) -> tupl
     return out, at
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str | int, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut so that ``column`` holds about ``limit`` bytes at most (a longer single row stands alone)."""
     for batch in batches:
         if not batch.num_rows:

@@ -235,6 +235,18 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                         F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
+def without_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """One document of each group, with all its columns: the one with the smallest doc_id, once. Rows without a
+    doc_id stay."""
+    groups = cut_lineage(near_duplicates(docs, percent).select("doc_id", "kept"))
+    gone = cut_lineage(groups.where(~F.col("kept")).select("doc_id").distinct())
+    left = docs.join(small_side(gone, MOST_IDS), "doc_id", "left_anti").select(docs.columns)
+    kept, ids = groups.where("kept").agg(F.count("doc_id"), F.countDistinct("doc_id")).first()
+    if kept == ids:
+        return left
+    return left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id IS NULL"))
+
+
 def op10_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(load(spark, sf_dir, "documents"))
 

@@ -20,11 +20,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm.common import fold, load, mix64, slices
+from starloom.llm.common import fold, keep_rows, load, mix64, slices
 
 DIM = 1024
 DOCS_PER_LANGUAGE = 1_500
 UNKNOWN = "und"
+#: A filtered corpus keeps texts of at least this cosine with their language.
+LEAST_SCORE = 0.05
 #: Trigram vectors that a worker keeps (one byte a dimension).
 CACHE_SLOTS = 1 << 14
 
@@ -126,31 +128,51 @@ def learn_prototypes(labelled: DataFrame, docs_per_language: int = DOCS_PER_LANG
     return {k: (v / max(np.linalg.norm(v), 1e-9)).astype(np.float32) for k, v in sorted(out.items())}
 
 
-def predict_languages(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns with lang_pred and score (the cosine, at least 0)."""
-    spark = docs.sparkSession
+def predict(texts: list[str | None], names: list[str], prototypes: np.ndarray | None) -> tuple[list[str], list[float]]:
+    """The language and cosine of some texts."""
+    langs, scores = [], []
+    for text in texts:
+        v = text_vector(text) if prototypes is not None else None
+        cosines = prototypes @ v if v is not None else None
+        best = int(np.argmax(cosines)) if v is not None else -1
+        langs.append(names[best] if v is not None else UNKNOWN)
+        scores.append(float(min(1.0, max(0.0, cosines[best]))) if v is not None else 0.0)
+    return langs, scores
+
+
+def _shared(docs: DataFrame, prototypes: dict[str, np.ndarray]):
     names = list(prototypes)
-    shared = spark.sparkContext.broadcast(np.stack([prototypes[k] for k in names]) if names else None)
+    return names, docs.sparkSession.sparkContext.broadcast(np.stack([prototypes[k] for k in names]) if names else None)
+
+
+def predict_languages(docs: DataFrame, prototypes: dict[str, np.ndarray]) -> DataFrame:
+    """doc_id with lang_pred and score (the cosine, at least 0)."""
+    names, shared = _shared(docs, prototypes)
 
-    def predict(batches):
-        protos = shared.value
+    def run(batches):
         for batch in slices(batches, "text"):
-            langs, scores = [], []
-            for text in batch.column(batch.num_columns - 1).to_pylist():
-                v = text_vector(text) if protos is not None else None
-                if v is None:
-                    langs.append(UNKNOWN)
-                    scores.append(0.0)
-                else:
-                    cosines = protos @ v
-                    best = int(np.argmax(cosines))
-                    langs.append(names[best])
-                    scores.append(float(min(1.0, max(0.0, cosines[best]))))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*keep, "lang_pred", "score"])
-
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*keep, "text").mapInArrow(predict, f"{schema}, lang_pred string, score double")
+            langs, scores = predict(batch.column(1).to_pylist(), names, shared.value)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
+                                             ["doc_id", "lang_pred", "score"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
+
+
+def in_known_language(docs: DataFrame, prototypes: dict[str, np.ndarray], least_score: float = LEAST_SCORE) -> DataFrame:
+    """The documents whose text is in one of the languages, with all their columns: not ``und``, and near enough to a
+    prototype. With no prototypes only texts without a letter go."""
+    names, shared = _shared(docs, prototypes)
+
+    def decide():
+        def approve(column):
+            texts = column.to_pylist()
+            if shared.value is None:
+                return np.array([bool(t) and len(trigrams(t)) > 0 for t in texts])
+            langs, scores = predict(texts, names, shared.value)
+            return np.array([lang != UNKNOWN and s >= least_score for lang, s in zip(langs, scores, strict=True)])
+        return approve
+    return keep_rows(docs, decide)
 
 
 def held_out() -> Column:

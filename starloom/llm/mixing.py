@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import WORD, cut_lineage, load
+from starloom.llm.common import WORD, cut_lineage, free_name, load
 
 WEIGHTS = (5, 2, 1)
 EPOCHS = 1.5
@@ -74,28 +74,28 @@ def training_time(demand: Column, schedule: tuple[float, ...]) -> Column:
     return F.least(F.greatest(out.otherwise(F.lit(1.0)), F.lit(0.0)), F.lit(1.0))
 
 
-def curriculum_mix(docs: DataFrame, weights=WEIGHTS, epochs: float = EPOCHS, max_repeat: int = MAX_REPEAT,
-                   schedules=SCHEDULES, seed: int = 11) -> DataFrame:
-    """Plan the mix: doc_id, source, size, source_size, target, taken and ``placements``, an array of
-    (copy, words, position) with one entry per epoch that takes the document."""
-    sizes = cut_lineage(docs.select(
-        "doc_id", "source",
-        F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long").alias("size"),
-        F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 16)
-        .alias("shuffled")))
+def _sized(docs: DataFrame, seed: int, *more: Column) -> DataFrame:
+    size = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long")
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    return docs.select("doc_id", "source", size.alias("size"), F.substring(key, 1, 16).alias("shuffled"), *more)
+
+
+def _place(docs: DataFrame, whole_rows: bool, weights, epochs: float, max_repeat: int, schedules, seed: int) -> DataFrame:
+    sizes = cut_lineage(_sized(docs, seed))
     rows = sizes.count()
     # Leading bits of the shuffled key: buckets in order hold the keys in order, whatever their number.
     bits = min(32, math.ceil(math.log2(max(LEAST_BUCKETS, rows / ROWS_PER_BUCKET))))
-    sized = sizes.withColumn("bucket", F.shiftright(F.conv(F.substring("shuffled", 1, 8), 16, 10).cast("long"), 32 - bits))
+    bucket = F.shiftright(F.conv(F.substring("shuffled", 1, 8), 16, 10).cast("long"), 32 - bits).alias("bucket")
     targets = source_targets(sizes, weights, epochs, max_repeat)
-    per_bucket = sized.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
+    per_bucket = sizes.groupBy("source", bucket).agg(F.sum("size").alias("bucket_size"))
     ahead = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.withColumn("ahead", F.coalesce(F.sum("bucket_size").over(ahead), F.lit(0))).alias("o")
     plan = offsets.join(targets.alias("t"), F.col("o.source").eqNullSafe(F.col("t.source"))).select(
         F.col("o.source").alias("o_source"), F.col("bucket").alias("o_bucket"), "ahead", "source_size", "weight_class", "target")
+    sized = _sized(docs, seed, F.struct("*").alias("row")) if whole_rows else sizes
     within = (Window.partitionBy("source", "bucket").orderBy("shuffled", "doc_id", "size")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    placed = (sized.withColumn("inside", F.sum("size").over(within) - F.col("size"))
+    placed = (sized.withColumn("bucket", bucket).withColumn("inside", F.sum("size").over(within) - F.col("size"))
               .join(plan, F.col("source").eqNullSafe(F.col("o_source")) & (F.col("bucket") == F.col("o_bucket")))
               .withColumn("start", F.col("ahead") + F.col("inside")))
     goal = F.round("target").cast("long")
@@ -104,12 +104,18 @@ def curriculum_mix(docs: DataFrame, weights=WEIGHTS, epochs: float = EPOCHS, max
         first = F.col("start") + F.lit(copy) * F.col("source_size")
         words = F.greatest(F.least(F.col("size"), goal - first), F.lit(0))
         demand = F.when(F.col("target") > 0, (first + words / 2) / F.col("target")).otherwise(F.lit(0.0))
-        when = None
+        position = F.lit(0.0)
         for k, schedule in enumerate(schedules):
-            cond = F.col("weight_class") % len(schedules) == k
-            when = F.when(cond, training_time(demand, schedule)) if when is None else when.when(cond, training_time(demand, schedule))
-        copies.append(F.struct(F.lit(copy).alias("copy"), words.alias("words"), when.alias("position")))
-    placed = placed.withColumn("placements", F.filter(F.array(*copies), lambda p: p["words"] > 0))
+            position = F.when(F.col("weight_class") % len(schedules) == k, training_time(demand, schedule)).otherwise(position)
+        copies.append(F.struct(F.lit(copy).alias("copy"), words.alias("words"), position.alias("position")))
+    return placed.withColumn("placements", F.filter(F.array(*copies), lambda p: p["words"] > 0))
+
+
+def curriculum_mix(docs: DataFrame, weights=WEIGHTS, epochs: float = EPOCHS, max_repeat: int = MAX_REPEAT,
+                   schedules=SCHEDULES, seed: int = 11) -> DataFrame:
+    """Plan the mix: doc_id, source, size, source_size, target, taken and ``placements``, an array of
+    (copy, words, position) with one entry per epoch that takes the document."""
+    placed = _place(docs, False, weights, epochs, max_repeat, schedules, seed)
     taken = F.aggregate("placements", F.lit(0).cast("long"), lambda a, p: a + p["words"])
     return placed.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), "placements")
 
@@ -119,15 +125,14 @@ def training_order(mix: DataFrame) -> DataFrame:
     return mix.orderBy(F.get("placements", F.lit(0))["position"].asc_nulls_last(), "doc_id")
 
 
-def training_rows(docs: DataFrame, mix: DataFrame) -> DataFrame:
-    """The training stream itself: one row per placement with all columns of ``docs``, in order of position. A
-    row's first ``words`` words are used. ``docs`` must have unique ids."""
-    placed = mix.where(F.size("placements") > 0).select(
-        F.col("doc_id").alias("mixed_id"), F.explode("placements").alias("placement"))
-    return (docs.join(placed, docs["doc_id"].eqNullSafe(F.col("mixed_id"))).drop("mixed_id")
-            .select(*docs.columns, F.col("placement.copy").alias("mix_copy"), F.col("placement.words").alias("mix_words"),
-                    F.col("placement.position").alias("mix_position"))
-            .orderBy("mix_position", "doc_id", "mix_copy"))
+def training_rows(docs: DataFrame, weights=WEIGHTS, epochs: float = EPOCHS, max_repeat: int = MAX_REPEAT,
+                  schedules=SCHEDULES, seed: int = 11) -> DataFrame:
+    """The training stream itself: one row per placement with all columns of ``docs``, range-sorted by position, and
+    mix_copy, mix_words (the row's first words that are used) and mix_position."""
+    placed = _place(docs, True, weights, epochs, max_repeat, schedules, seed)
+    names = {new: free_name(f"mix_{new}", docs.columns) for new in ("copy", "words", "position")}
+    return (placed.select("row", F.explode("placements").alias("p")).orderBy("p.position", "row.doc_id", "p.copy")
+            .select("row.*", *[F.col(f"p.{k}").alias(v) for k, v in names.items()]))
 
 
 def op3_mix_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:

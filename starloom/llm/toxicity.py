@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm.common import (
-    PUNCTUATION, bounded_fraction, cut_lineage, fold, hash_share, load, prefix_hashes, slices, text_buffers, word_hashes, word_spans,
+    PUNCTUATION, bounded_fraction, cut_lineage, fold, hash_share, keep_rows, load, prefix_hashes, slices, text_buffers, word_hashes, word_spans,
 )
 
 MOST_POSITIVE = 3_000
@@ -190,26 +190,45 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, most_positive: int = MOST
     return features, weights, bias
 
 
-def score_toxicity(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], keep: tuple[str, ...] = ("doc_id",),
-                   threshold: float = THRESHOLD) -> DataFrame:
-    """``keep`` columns with score and predicted."""
+class Scorer:
+    """Scores of columns of texts under a learned model."""
+
+    def __init__(self, model: tuple[np.ndarray, np.ndarray, float]):
+        self.features, self.weights, self.bias = model
+        self.counter = _Counter(self.features)
+
+    def __call__(self, column: pa.Array) -> np.ndarray:
+        total = np.full(len(column), self.bias)
+        rows, at, counts, words = self.counter.count(column)
+        if len(rows):
+            a, b = _values(counts, words[rows])
+            np.add.at(total, rows, a * self.weights[at] + b * self.weights[at + len(self.features)])
+        return 1 / (1 + np.exp(-np.clip(total, -30, 30)))
+
+
+def score_toxicity(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id with score and predicted."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def score(batches):
-        features, weights, bias = shared.value
-        counter = _Counter(features)
+    def run(batches):
+        score = Scorer(shared.value)
         for batch in slices(batches, "text"):
-            total = np.full(batch.num_rows, bias)
-            rows, at, counts, words = counter.count(batch.column(batch.num_columns - 1))
-            if len(rows):
-                a, b = _values(counts, words[rows])
-                np.add.at(total, rows, a * weights[at] + b * weights[at + len(features)])
-            scores = 1 / (1 + np.exp(-np.clip(total, -30, 30)))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(scores), pa.array((scores >= threshold).astype(np.int32))], [*keep, "score", "predicted"])
+            scores = score(batch.column(1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores), pa.array((scores >= threshold).astype(np.int32))],
+                                             ["doc_id", "score", "predicted"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double, predicted int")
+
+
+def without_toxic(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], threshold: float = THRESHOLD) -> DataFrame:
+    """The documents that score below the threshold, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*keep, "text").mapInArrow(score, f"{schema}, score double, predicted int")
+    def decide():
+        score = Scorer(shared.value)
+        return lambda column: score(column) < threshold
+    return keep_rows(docs, decide)
 
 
 def held_out() -> Column:
