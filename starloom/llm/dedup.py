@@ -14,9 +14,9 @@ classes are found without listing a bucket's pairs:
 2. Confirmed links are contracted to components. Buckets whose remaining members all belong to one
    component are settled.
 3. In the others every pair of different components is still open. Members are dealt into blocks of about ``BLOCK``;
-   a task compares two blocks by their sketches in numpy, a pair only in the first band it shares, and emits the
-   candidates, which are confirmed on the full sets as before. The largest component of a bucket is only compared
-   with the others. Blocks bound every task's memory whatever a bucket's size.
+   a task compares two blocks, first by sizes and sketches in numpy, a pair only in the first band it shares, then on the
+   full sets. It emits the links that join components, fewer than its members. The largest component of a
+   bucket is only compared with the others. Blocks bound every task's memory whatever a bucket's size.
 
 Broadcasts are used only behind a count; joins on hot keys are shuffle joins that adaptive execution splits.
 
@@ -135,74 +135,95 @@ def _promising(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return pairs.join(side[0], "x").join(side[1], "y").select("x", "y", "sx", "sy").mapInArrow(compare, "x long, y long").distinct()
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """The (x, y) pairs whose full sets are similar enough. Sets are made anew for the documents in question only."""
-    ids = cut_lineage(pairs.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct())
-
+def _full_sets(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """doc_id and shingles (packed hashes) of the documents in ``ids``, made anew from their whole texts."""
     def sets(batches):
         for batch in slices(batches, "text"):
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([s.tobytes() for s in shingle_sets(batch.column(1))], pa.binary())], ["doc_id", "shingles"])
 
-    wanted = docs.select(F.col("doc_id").cast("long"), "text").join(small_side(ids, MOST_IDS), "doc_id", "left_semi")
-    full = cut_lineage(wanted.mapInArrow(sets, "doc_id long, shingles binary").where(F.octet_length("shingles") > 0))
+    wanted = docs.select(F.col("doc_id").cast("long"), "text").join(small_side(cut_lineage(ids.distinct()), MOST_IDS), "doc_id", "left_semi")
+    return cut_lineage(wanted.mapInArrow(sets, "doc_id long, shingles binary").where(F.octet_length("shingles") > 0))
+
+
+def _alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """The (x, y) pairs whose full sets are similar enough."""
+    full = _full_sets(pairs.select(F.explode(F.array("x", "y")).alias("doc_id")), docs)
 
     def confirm(batches):
         for batch in batches:
-            good = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True)) if 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)) else 0
-                good.append(100 * both >= percent * (len(x) + len(y) - both))
+            good = [_alike(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
+                    for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield batch.filter(pa.array(good, pa.bool_())).select([0, 1])
 
     side = [full.select(F.col("doc_id").alias(k), F.col("shingles").alias(f"s{k}")) for k in "xy"]
     return cut_lineage(pairs.join(side[0], "x").join(side[1], "y").select("x", "y", "sx", "sy").mapInArrow(confirm, "x long, y long"))
 
 
-def _open_pairs(members: DataFrame, reps: DataFrame) -> DataFrame:
-    """Promising pairs between different components of the same bucket, each in the first band it shares.
-    ``members`` has key, band, doc_id and component."""
+def _links_of_open_buckets(members: DataFrame, reps: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """Links between different components of the same bucket. ``members`` has key, band, doc_id and component."""
     by_component = members.groupBy("key", "component").agg(F.count("*").alias("n"))
     buckets = (by_component.groupBy("key").agg(F.max_by("component", "n").alias("largest"), F.max("n").alias("n_largest"), F.sum("n").alias("n"),
                                                F.count("*").alias("components")).where("components > 1"))
     buckets = buckets.select("key", "largest", F.ceil(F.col("n_largest") / BLOCK).alias("p"), F.ceil((F.col("n") - F.col("n_largest")) / BLOCK).alias("q"))
-    dealt = members.join(buckets, "key").join(reps.select("doc_id", "bands", "sketch"), "doc_id")
+    dealt = cut_lineage(members.join(buckets, "key"))
     large = F.col("component") == F.col("largest")
     at = F.pmod(F.xxhash64("doc_id"), F.when(large, F.col("p")).otherwise(F.col("q")))
 
     def cell(kind, i, j, side):
         return F.struct(F.lit(kind).alias("kind"), i.cast("long").alias("i"), j.cast("long").alias("j"), F.lit(side).alias("side"))
     # A cell is a pair of blocks: of the largest component and the rest (l), or of the rest with itself (r).
-    with_rest = F.transform(F.sequence(F.lit(0).cast("long"), F.col("q") - 1), lambda j: cell("l", F.col("at"), j, "x"))
+    zero = F.lit(0).cast("long")
+    with_rest = F.transform(F.sequence(zero, F.col("q") - 1), lambda j: cell("l", F.col("at"), j, "x"))
     rest = F.concat(
-        F.transform(F.sequence(F.lit(0).cast("long"), F.col("p") - 1), lambda i: cell("l", i, F.col("at"), "y")),
+        F.transform(F.sequence(zero, F.col("p") - 1), lambda i: cell("l", i, F.col("at"), "y")),
         F.transform(F.sequence(F.col("at"), F.col("q") - 1), lambda j: cell("r", F.col("at"), j, "x")),
-        F.transform(F.filter(F.sequence(F.lit(0).cast("long"), F.col("at")), lambda i: i < F.col("at")), lambda i: cell("r", i, F.col("at"), "y")))
+        F.transform(F.filter(F.sequence(zero, F.col("at")), lambda i: i < F.col("at")), lambda i: cell("r", i, F.col("at"), "y")))
+    full = _full_sets(dealt.select("doc_id"), docs).join(reps, "doc_id")
     cells = (dealt.withColumn("at", at).withColumn("cell", F.explode(F.when(large, with_rest).otherwise(rest)))
-             .select("key", "band", "doc_id", "component", "bands", "sketch", "cell.*"))
+             .join(full, "doc_id").select("key", "band", "doc_id", "component", "bands", "sketch", "shingles", "cell.*"))
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         x = frame[frame.side == "x"]
         y = x if (frame.side == "x").all() else frame[frame.side == "y"]
-        out = []
+        out: list[tuple[int, int]] = []
+        joined: dict[int, int] = {}
+
+        def find(c):
+            while c in joined:
+                c = joined[c]
+            return c
         if len(x) and len(y):
             band = int(frame.band.iloc[0])
-            (cx, sx, bx), (cy, sy, by) = ((f.component.to_numpy(), np.frombuffer(b"".join(f.sketch), np.uint8).reshape(-1, VALUES),
+            (cx, kx, bx), (cy, ky, by) = ((f.component.to_numpy(), np.frombuffer(b"".join(f.sketch), np.uint8).reshape(-1, VALUES),
                                            np.array(f.bands.tolist(), np.int64)[:, :band]) for f in (x, y))
             ix, iy = x.doc_id.to_numpy(), y.doc_id.to_numpy()
+            sx, sy = ([np.frombuffer(s, np.uint64) for s in f.shingles] for f in (x, y))
+            nx, ny = np.array([len(s) for s in sx]), np.array([len(s) for s in sy])
             for r in range(len(x)):
-                good = (cy != cx[r]) & ((sy == sx[r]).sum(axis=1) >= LEAST_EQUAL)
+                good = ((cy != cx[r]) & (100 * np.minimum(ny, nx[r]) >= percent * np.maximum(ny, nx[r]))
+                        & ((ky == kx[r]).sum(axis=1) >= LEAST_EQUAL))
                 if x is y:
                     good &= iy > ix[r]
-                at = np.flatnonzero(good)
-                if band and len(at):
-                    at = at[~(by[at] == bx[r]).any(axis=1)]
-                out += [(ix[r], k) for k in iy[at]]
+                near = np.flatnonzero(good)
+                if band and len(near):
+                    near = near[~(by[near] == bx[r]).any(axis=1)]
+                for k in near:
+                    # What this cell has already joined needs no second link.
+                    a, b = find(int(cx[r])), find(int(cy[k]))
+                    if a != b and _alike(sx[r], sy[k], percent):
+                        joined[max(a, b)] = min(a, b)
+                        out.append((min(ix[r], iy[k]), max(ix[r], iy[k])))
         return pd.DataFrame(out, columns=["x", "y"], dtype="int64")
 
-    return cells.groupBy("key", "kind", "i", "j").applyInPandas(compare, "x long, y long").select(
-        F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+    return cut_lineage(cells.groupBy("key", "kind", "i", "j").applyInPandas(compare, "x long, y long").distinct())
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -223,7 +244,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     members = (shared.where("n > 2").select("key", "band", "doc_id")
                .join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left")
                .withColumn("component", F.coalesce("component", "doc_id")))
-    more = _confirmed(cut_lineage(_open_pairs(cut_lineage(members), reps).distinct()), docs, percent)
+    more = _links_of_open_buckets(cut_lineage(members), reps, docs, percent)
     same_id = real.groupBy("doc_id").agg(F.min(F.struct("n", "a", "b")).alias("s"), F.max(F.struct("n", "a", "b")).alias("t")).where("s <> t")
     tied = (real.join(same_id.select("doc_id"), "doc_id", "left_semi").join(classes, ["n", "a", "b"])
             .select(F.col("doc_id").alias("x"), F.col("rep").alias("y")).where("x <> y"))

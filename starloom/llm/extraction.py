@@ -68,6 +68,7 @@ _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)\s*=\s*(?:"([^"]*)"|'([^']*)'|([
 _BLANKS = re.compile(r"[\x20\x09-\x0D]+")
 _NAMES = re.compile(r"[^a-z]+")
 _DIGITS = re.compile(r"\d+")
+_LONG_DIGITS = re.compile(r"\d{3,}")
 
 
 def _style(tag: str, attributes: str) -> tuple[str, bool, bool, bool]:
@@ -79,7 +80,8 @@ def _style(tag: str, attributes: str) -> tuple[str, bool, bool, bool]:
             if bare or (name == "aria-hidden" and value == "true") or (name == "style" and "display:none" in value.replace(" ", "")):
                 hidden = True
             elif name in ("class", "id"):
-                label += ("." if name == "class" else "#") + _DIGITS.sub("0", "-".join(value.split()))
+                # Running numbers are one style: all digits of an id, long ones of a class.
+                label += "#" + _DIGITS.sub("0", value) if name == "id" else "." + _LONG_DIGITS.sub("0", "-".join(value.split()))
                 noise = noise or not NOISE_NAMES.isdisjoint(_NAMES.split(value))
             elif name == "role":
                 noise = noise or value in ("navigation", "banner", "contentinfo", "search", "complementary", "form", "dialog", "alert")

@@ -68,7 +68,7 @@ def training_time(demand: Column, schedule: tuple[float, ...]) -> Column:
     for k, (a, b) in enumerate(zip(v, v[1:], strict=False)):
         rest = demand - F.lit(done)
         root = F.sqrt(F.greatest(F.lit(a * a) + F.lit(2 * (b - a) / h) * rest, F.lit(0.0)))
-        here = F.lit(k * h) + F.lit(2.0) * rest / (F.lit(a) + root)
+        here = F.lit(k * h) + F.lit(2.0) * rest / F.greatest(F.lit(a) + root, F.lit(1e-12))
         done += (a + b) / 2 * h
         out = F.when(demand <= done, here) if out is None else out.when(demand <= done, here)
     return F.least(F.greatest(out.otherwise(F.lit(1.0)), F.lit(0.0)), F.lit(1.0))
