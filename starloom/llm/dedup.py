@@ -100,27 +100,37 @@ def signatures(docs: DataFrame) -> DataFrame:
         sign, "doc_id long, n long, a long, b long, bands array<long>, sketch binary")
 
 
+def _to_roots(to: DataFrame) -> DataFrame:
+    """Follow the pointers of (node, to) to their ends, doubling the way in each step."""
+    while True:
+        ahead = to.select(F.col("node").alias("mid"), F.col("to").alias("far"))
+        jumped = cut_lineage(to.join(ahead, F.col("to") == F.col("mid")).select("node", "to", "far"))
+        to = jumped.select("node", F.col("far").alias("to"))
+        if jumped.where("to <> far").isEmpty():
+            return to
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """node and component (its smallest node) of all nodes of ``edges`` (x, y), by repeated contraction: each node joins its
-    smallest neighbour, and edges between what remains go on."""
+    """node and component (its smallest node) of all nodes of ``edges`` (x, y). Each node points to its smallest neighbour if that is
+    smaller; the pointers' ends take their nodes' edges, and so on until no edge is left. Each round at least halves a component's nodes,
+    and pointers are followed by doubling, so that long chains take few rounds, too."""
     edges = cut_lineage(edges.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).where("x < y").distinct())
     labels = None
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("y").alias("x"), F.col("x").alias("y")))
-        to = cut_lineage(both.groupBy("x").agg(F.min("y").alias("y")).select(F.col("x").alias("node"), F.least("x", "y").alias("to")))
+        to = _to_roots(cut_lineage(both.groupBy("x").agg(F.min("y").alias("y")).select(F.col("x").alias("node"), F.least("x", "y").alias("to"))))
         if labels is None:
             labels = to.withColumnRenamed("to", "component")
         else:
-            labels = cut_lineage(labels.join(to, F.col("component") == to["node"], "left").select(
-                labels["node"], F.coalesce("to", "component").alias("component")))
-        moved = (edges.join(to.select(F.col("node").alias("x"), F.col("to").alias("u")), "x")
-                 .join(to.select(F.col("node").alias("y"), F.col("to").alias("v")), "y"))
-        edges = cut_lineage(moved.select(F.least("u", "v").alias("x"), F.greatest("u", "v").alias("y")).where("x < y").distinct())
+            moved = to.select(F.col("node").alias("old"), "to")
+            labels = cut_lineage(labels.join(moved, F.col("component") == F.col("old"), "left").select(
+                "node", F.coalesce("to", "component").alias("component")))
+        ends = (edges.join(to.select(F.col("node").alias("x"), F.col("to").alias("u")), "x")
+                .join(to.select(F.col("node").alias("y"), F.col("to").alias("v")), "y"))
+        edges = cut_lineage(ends.select(F.least("u", "v").alias("x"), F.greatest("u", "v").alias("y")).where("x < y").distinct())
     if labels is None:
         return edges.select(F.col("x").alias("node"), F.col("y").alias("component"))
-    # A component's name may still be above its smallest node where two contractions met: settle by minimum.
-    least = labels.groupBy("component").agg(F.min("node").alias("least"))
-    return cut_lineage(labels.join(least, "component").select("node", F.least("least", "component").alias("component")))
+    return labels
 
 
 def _promising(pairs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -251,7 +261,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     final = components(links.unionByName(more).unionByName(tied))
     named = (signed.select("doc_id", "n", "a", "b").join(classes, ["n", "a", "b"], "left")
              .join(final.withColumnRenamed("node", "rep"), "rep", "left"))
-    component = F.when(F.col("n") > 0, F.coalesce("component", "rep", "doc_id")).otherwise(F.col("doc_id"))
+    component = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id")).otherwise(F.col("doc_id"))
     return named.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
                         F.col("doc_id").eqNullSafe(component).alias("kept"))
 
