@@ -153,7 +153,7 @@ def word_spans(raw: np.ndarray, offsets: np.ndarray, separators: np.ndarray = _B
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-_BLOCK = 1 << 20
+_BLOCK = 1 << 18
 
 
 def _span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
@@ -217,7 +217,7 @@ def shingle_hashes(words: np.ndarray, first: np.ndarray, width: int = 5) -> tupl
     return out, at
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str | int, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str | int, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut so that ``column`` holds about ``limit`` bytes at most (a longer single row stands alone)."""
     for batch in batches:
         if not batch.num_rows:

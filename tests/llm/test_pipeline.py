@@ -52,7 +52,7 @@ def test_stages_take_odd_and_empty_tables(spark, docs_of, k):
         ids = [r.doc_id for r in out.collect()]
         assert set(ids) <= {r[0] for r in rows}
         if rows and k < 4:
-            assert 4 in ids and 3 in ids
+            assert 4 in ids and (3 in ids or k == 0)  # one labelled text is no language to compare with
 
 
 def test_entry_registers_each_query():
