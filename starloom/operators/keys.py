@@ -1,7 +1,7 @@
 """K7: gap-free surrogate keys ordered by a natural key, without a one-partition window.
 
 ``row_number() OVER (ORDER BY nk)`` moves every row through one task. Instead:
-  1. range-partition on the natural key and sort inside each partition;
+  1. range-partition on the total order (natural key first) and sort inside each partition;
   2. tag rows with ``monotonically_increasing_id`` (partition id in the high bits,
      position in the low 33 bits) and checkpoint, so a lost executor cannot re-sample
      the range bounds and renumber rows differently;
@@ -9,9 +9,9 @@
      counts into offsets and broadcast that partition-sized table back.
 key = base + offset(partition) + position + 1, identical to the global row_number.
 
-Inputs proven small by a bounded count (at most ``SMALL_MAX_ROWS``) take a short path: one
-shuffle into a single partition, a sort on the natural key then every other column (a total
-order, so the numbering is the same on any recomputation and needs no checkpoint).
+Rows are ordered by the natural key and then by every other column: a total order, so ties are numbered the same way
+on any recomputation and whatever the size. Inputs that a bounded count proves tiny (at most ``SMALL_MAX_ROWS``) are sorted in one
+partition instead, in the same order and so with the same keys, which saves the sampling and the checkpoint.
 """
 
 from __future__ import annotations
@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 from starloom.session import cut_lineage
 
 _POS_BITS = 33
-SMALL_MAX_ROWS = 1_000_000
+SMALL_MAX_ROWS = 10_000
 
 
-def _sortable(df: DataFrame) -> list[str]:
+def sortable_columns(df: DataFrame) -> list[str]:
     simple = ("string", "int", "bigint", "smallint", "tinyint", "boolean", "date", "timestamp", "timestamp_ntz",
               "double", "float", "binary")
     return [f.name for f in df.schema.fields
@@ -36,15 +36,15 @@ def assign_keys(df: DataFrame, order_cols: list[str], key_col: str, base: int =
                 num_partitions: int | None = None, known_rows: int | None = None) -> DataFrame:
     from starloom.operators.lookups import bounded_count
     spark = df.sparkSession
+    order = list(order_cols) + [c for c in sortable_columns(df) if c not in order_cols]
     rows = known_rows if known_rows is not None else (
         bounded_count(df, SMALL_MAX_ROWS) if num_partitions is None else None)
     if num_partitions is None and rows is not None and rows <= SMALL_MAX_ROWS:
-        order = list(order_cols) + [c for c in _sortable(df) if c not in order_cols]
         one = df.repartition(1).sortWithinPartitions(*order)
         return one.withColumn(key_col, (F.lit(base) + F.monotonically_increasing_id() + 1).cast("long"))
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(max(1, n), *order_cols)
-                .sortWithinPartitions(*order_cols)
+    ranged = (df.repartitionByRange(max(1, n), *order)
+                .sortWithinPartitions(*order)
                 .withColumn("_sl_mid", F.monotonically_increasing_id()))
     ranged = cut_lineage(ranged)
     pid = F.shiftright("_sl_mid", _POS_BITS)

@@ -10,7 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.lookups import bounded_count
+from starloom.operators.keys import sortable_columns
+from starloom.operators.lookups import checked_broadcast, latest_per_key
+
+#: Narrow (key, hash) rows of an extract are broadcast up to this many (about 100 bytes each).
+EXTRACT_BROADCAST_MAX_ROWS = 200_000
 
 
 def full_refresh(valid: DataFrame) -> DataFrame:
@@ -18,55 +22,38 @@ def full_refresh(valid: DataFrame) -> DataFrame:
     return valid
 
 
+def latest_of_extract(incoming: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
+    """One row per key: the greatest by ``order_cols`` and then by every sortable column, so repeated ids of an extract
+    (two files for one id, say) have one defined winner. Rows with a NULL key are not ids of anything and all stay."""
+    known = None
+    for k in keys:
+        known = F.col(k).isNotNull() if known is None else known & F.col(k).isNotNull()
+    order = list(order_cols) + [c for c in sortable_columns(incoming) if c not in order_cols and c not in keys]
+    return latest_per_key(incoming.filter(known), keys, order).unionByName(incoming.filter(~known))
+
+
 def hash_upsert(target: DataFrame | None, incoming: DataFrame, keys: list[str],
                 hash_col: str = "row_hash", valid_col: str | None = "is_valid",
-                keep_old: tuple[str, ...] = (), broadcast_max_rows: int | None = 1_000_000) -> DataFrame:
+                keep_old: tuple[str, ...] = (), order_cols: tuple[str, ...] = (), unique: bool = False,
+                broadcast_max_rows: int | None = EXTRACT_BROADCAST_MAX_ROWS) -> DataFrame:
     """K2: update rows whose key matches and whose hash differs (or is NULL, or the old row is
     invalid); insert absent keys; keep unchanged rows with their old metadata; never delete.
 
     Returns the next version with an ``upsert_action`` column (insert/update/unchanged).
-    ``keep_old`` columns (e.g. the staging row id) keep the target's value on update.
+    ``keep_old`` columns (e.g. the staging row id) keep the target's value on update. Repeated ids in ``incoming`` are
+    reduced to their latest row first (``order_cols``) unless the caller knows there are none (``unique``).
 
-    When a bounded count proves the extract has at most ``broadcast_max_rows`` rows (the usual
-    incremental case), the target is only scanned, never shuffled (see ``_upsert_small_extract``);
-    otherwise both sides meet in one full outer join.
+    One algorithm for every size: the matched keys are found and materialised as narrow rows (key and change
+    flag, at most one per extract key); old rows of all other keys pass through an anti-join; only extract rows are rebuilt.
+    A small extract's narrow rows are broadcast, so the target is scanned and not shuffled; beyond the bound the
+    same joins shuffle narrow rows.
     """
+    from starloom.session import cut_lineage
     cols = incoming.columns
+    if not unique:
+        incoming = latest_of_extract(incoming, keys, list(order_cols))
     if target is None:
         return incoming.withColumn("upsert_action", F.lit("insert"))
-    if broadcast_max_rows and bounded_count(incoming, broadcast_max_rows) <= broadcast_max_rows:
-        return _upsert_small_extract(target, incoming, keys, hash_col, valid_col, keep_old)
-    old = target.select(*cols)
-    # Presence markers, so a row whose key is NULL is still recognised as coming from its side.
-    o = old.select(*[F.col(c).alias(f"_o_{c}") for c in cols], F.lit(True).alias("_o_present"))
-    n = incoming.select(*[F.col(c).alias(f"_n_{c}") for c in cols], F.lit(True).alias("_n_present"))
-    cond = None
-    for k in keys:
-        c = F.col(f"_o_{k}") == F.col(f"_n_{k}")
-        cond = c if cond is None else cond & c
-    j = o.join(n, cond, "full_outer")
-    new_present = F.col("_n_present").isNotNull()
-    old_present = F.col("_o_present").isNotNull()
-    changed = (F.col(f"_o_{hash_col}").isNull() | F.col(f"_n_{hash_col}").isNull()
-               | (F.col(f"_o_{hash_col}") != F.col(f"_n_{hash_col}")))
-    if valid_col:
-        changed = changed | ~F.coalesce(F.col(f"_o_{valid_col}"), F.lit(False))
-    action = (F.when(new_present & ~old_present, F.lit("insert"))
-               .when(new_present & changed, F.lit("update"))
-               .otherwise(F.lit("unchanged")))
-    take_new = action != "unchanged"
-    out = [(F.coalesce(F.col(f"_o_{c}"), F.col(f"_n_{c}")) if c in keep_old else
-            F.when(take_new, F.col(f"_n_{c}")).otherwise(F.col(f"_o_{c}"))).alias(c) for c in cols]
-    return j.select(*out, action.alias("upsert_action"))
-
-
-def _upsert_small_extract(target: DataFrame, incoming: DataFrame, keys: list[str], hash_col: str,
-                          valid_col: str | None, keep_old: tuple[str, ...]) -> DataFrame:
-    """K2 with a small extract: its (key, hash) pairs are broadcast to find the keys to update,
-    old rows of other keys pass through a broadcast anti-join, and only extract rows are
-    re-keyed. Every broadcast side is bounded by the checked extract size."""
-    from starloom.session import cut_lineage
-    cols = incoming.columns
     old = target.select(*cols)
     probe = incoming.select(*[F.col(k).alias(f"_i_{k}") for k in keys], F.col(hash_col).alias("_i_h"))
     cond = None
@@ -74,23 +61,19 @@ def _upsert_small_extract(target: DataFrame, incoming: DataFrame, keys: list[str
         c = F.col(k) == F.col(f"_i_{k}")
         cond = c if cond is None else cond & c
     extra = [c for c in ([valid_col] if valid_col else []) + list(keep_old) if c not in keys and c != hash_col]
-    matched = old.select(*keys, hash_col, *extra).join(F.broadcast(probe), cond)
+    found = old.select(*keys, hash_col, *extra).join(checked_broadcast(probe, broadcast_max_rows), cond)
     changed = F.col(hash_col).isNull() | F.col("_i_h").isNull() | (F.col(hash_col) != F.col("_i_h"))
     if valid_col:
         changed = changed | ~F.coalesce(F.col(valid_col), F.lit(False))
-    # At most one row per extract key: materialise it so the target is scanned only once more.
-    matched = cut_lineage(matched.select(*keys, *[c for c in keep_old if c not in keys],
-                                         changed.alias("_changed")))
-    touched = F.broadcast(matched.filter(F.col("_changed")).select(*keys))
+    kept_cols = [c for c in keep_old if c not in keys]
+    found = cut_lineage(found.select(*keys, *[F.col(c).alias(f"_o_{c}") for c in kept_cols], changed.alias("_changed")))
+    found = checked_broadcast(found, broadcast_max_rows)
+    touched = checked_broadcast(found.filter("_changed").select(*keys).distinct(), broadcast_max_rows, bound_by=found)
     kept = old.join(touched, keys, "left_anti").withColumn("upsert_action", F.lit("unchanged"))
-    olds = F.broadcast(matched.filter(F.col("_changed")).select(
-        *keys, *[F.col(c).alias(f"_o_{c}") for c in keep_old if c not in keys]))
-    upd = incoming.join(olds, keys)
-    upd = upd.select(*[F.col(f"_o_{c}").alias(c) if c in keep_old and c not in keys else F.col(c) for c in cols],
-                     F.lit("update").alias("upsert_action"))
-    ins = incoming.join(F.broadcast(matched.select(*keys)), keys, "left_anti") \
-                  .withColumn("upsert_action", F.lit("insert"))
-    return kept.unionByName(upd.select(*cols, "upsert_action")).unionByName(ins.select(*cols, "upsert_action"))
+    upd = incoming.join(found.filter("_changed"), keys).select(
+        *[F.col(f"_o_{c}").alias(c) if c in kept_cols else F.col(c) for c in cols], F.lit("update").alias("upsert_action"))
+    ins = incoming.join(found.select(*keys), keys, "left_anti").withColumn("upsert_action", F.lit("insert"))
+    return kept.unionByName(upd).unionByName(ins.select(*cols, "upsert_action"))
 
 
 def null_safe_key(cols: list[str]) -> list[Column]:
@@ -101,7 +84,8 @@ def null_safe_key(cols: list[str]) -> list[Column]:
 def append_new(candidates: DataFrame, existing: DataFrame, keys: list[str],
                null_safe: bool = False) -> DataFrame:
     """K3/K4/K5: candidate rows whose key tuple is not yet in ``existing`` (left anti join)."""
-    e = existing.select(*[F.col(k).alias(f"_e_{k}") for k in keys]).distinct()
+    # No distinct(): an anti-join only asks whether a key exists.
+    e = existing.select(*[F.col(k).alias(f"_e_{k}") for k in keys])
     cond = None
     for k in keys:
         if null_safe:

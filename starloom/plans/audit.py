@@ -82,8 +82,8 @@ def run_logged(log: BatchLog, step_name: str, fn, *args, **kwargs):
     try:
         return fn(*args, **kwargs)
     except Exception as exc:  # noqa: BLE001
-        log.step(step_name, step_name, 0, 0, 0, status="failed", message=str(exc)[:4000])
-        log.finish("failed", str(exc)[:4000])
+        log.step(step_name, step_name, 0, 0, 0, status="failed", message=str(exc))
+        log.finish("failed", str(exc))
         raise
 
 

@@ -11,7 +11,7 @@ from starloom.functions.dates import ts_lit
 
 from starloom.functions.hashing import row_hash
 from starloom.functions.text import keyword_flags, norm_lower, norm_upper
-from starloom.operators.lookups import current_key, latest_per_key, latest_value, lookup_key
+from starloom.operators.lookups import checked_broadcast, current_key, latest_per_key, latest_value, lookup_key
 from starloom.operators.scd import scd1_rebuild, scd2_merge
 from starloom.plans import driver_dims as dd
 from starloom.plans.driver_dims import STATUS_DIM_SQL
@@ -203,10 +203,9 @@ def one_current_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT e.event_id, CAST(coalesce(k.user_key, -1) AS BIGINT) AS user_key
 FROM events e LEFT JOIN (SELECT user_id, max(user_key) AS user_key FROM scd2 WHERE is_current GROUP BY user_id) k
   ON k.user_id = e.user_id
-WHERE lower(trim(e.event_type)) = 'purchase'
 """)
 def current_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = load(spark, sf_dir, "events").filter(norm_lower("event_type") == "purchase").select("event_id", "user_id")
+    ev = load(spark, sf_dir, "events").select("event_id", "user_id")
     return current_key(ev, user_scd2(spark, sf_dir), "user_id", "user_id", "user_key", "user_key") \
         .select("event_id", "user_key")
 
@@ -226,14 +225,12 @@ def latest_per_key_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH s AS (SELECT user_id, CAST(ts AS DATE) AS d, arg_max(event_type, event_id) AS day_status FROM events GROUP BY 1, 2)
 SELECT e.event_id, e.user_id, s.day_status
 FROM events e LEFT JOIN s ON s.user_id = e.user_id AND s.d = CAST(e.ts AS DATE)
-WHERE lower(trim(e.event_type)) = 'purchase'
 """)
 def latest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = load(spark, sf_dir, "events").withColumn("d", F.to_date("ts"))
     status = latest_value(ev.select("user_id", "d", "event_type", "event_id"), ["user_id", "d"],
                           ["event_type"], "event_id").withColumnRenamed("event_type", "day_status")
-    purchases = ev.filter(norm_lower("event_type") == "purchase").select("event_id", "user_id", "d")
-    return purchases.join(status, ["user_id", "d"], "left").select("event_id", "user_id", "day_status")
+    return ev.select("event_id", "user_id", "d").join(status, ["user_id", "d"], "left").select("event_id", "user_id", "day_status")
 
 
 # --- J8, J9, J17 ---------------------------------------------------------------------------
@@ -289,9 +286,8 @@ def dim_to_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = load(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     n = load(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = load(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    # nation and region are fixed-size reference tables (25 and 5 rows): broadcast is bounded.
-    x = s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey, "left") \
-         .join(F.broadcast(r), F.col("n_regionkey") == r.r_regionkey, "left")
+    x = s.join(checked_broadcast(n), s.s_nationkey == n.n_nationkey, "left") \
+         .join(checked_broadcast(r), F.col("n_regionkey") == r.r_regionkey, "left")
     return x.select("s_suppkey", "s_name", F.coalesce("n_name", F.lit("Unknown")).alias("nation_name"),
                     F.coalesce("r_name", F.lit("Unknown")).alias("region_name"))
 

@@ -84,7 +84,7 @@ LEFT JOIN p1 ON p1.center_id = centers.center_id AND p1.m = months.m
 """
 
 
-@register("finance_mart_snapshot", ("F11", "F8", "F9", "F10", "D1", "D15", "K9", "staging"),
+@register("finance_mart_snapshot", ("F11", "D15", "K9", "staging"),
           MART_SNAPSHOT_SQL.replace("{phase_filter}", "TRUE"))
 def finance_mart_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = finance_run(spark, sf_dir)
@@ -118,7 +118,7 @@ FROM base GROUP BY donor_id, campaign_id, stage
 """
 
 
-@register("finance_mart_lifecycle", ("F12", "F7", "D9", "D10", "D13", "A7", "A9"), MART_LIFECYCLE_SQL)
+@register("finance_mart_lifecycle", ("F12", "A7", "A9"), MART_LIFECYCLE_SQL)
 def finance_mart_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = finance_run(spark, sf_dir)
     donors = out["dim_donor"].select("donor_key", "donor_id")
@@ -184,58 +184,79 @@ def _natural_ids(df: DataFrame, out: dict) -> DataFrame:
 
 PROGRESS_MART_SQL = f"""
 WITH li AS (SELECT l.*, {LINE_ID_SQL} AS line_id FROM lineitem l),
+closed AS (SELECT c.c_nationkey AS center_id, CAST(o.o_orderdate AS DATE) AS d, arg_max(o.o_orderkey % 2 = 0, o.o_orderkey) AS is_closed
+           FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey WHERE o.o_orderstatus = 'P' GROUP BY 1, 2),
 x AS (SELECT li.*, o.o_custkey, c.c_nationkey, p.p_size, s.s_nationkey,
              CAST(year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate) AS INTEGER) AS date_key,
              EXISTS (SELECT 1 FROM orders po WHERE po.o_orderstatus = 'P' AND po.o_custkey = o.o_custkey
                      AND CAST(po.o_orderdate AS DATE) = CAST(li.l_shipdate AS DATE)) AS absent,
-             CASE WHEN p.p_size <= {TEMPLATE_MAX_SIZE} THEN 'TEMPLATE:' || CAST(li.l_partkey AS VARCHAR) ELSE 'UNKNOWN' END AS task_code
+             coalesce(cc.is_closed, false) AS child_center_closed, coalesce(sc.is_closed, false) AS session_center_closed,
+             CASE WHEN p.p_size <= {TEMPLATE_MAX_SIZE} THEN 'TEMPLATE:' || CAST(li.l_partkey AS VARCHAR)
+                  ELSE 'CUSTOM:' || CAST(p.p_size % 5 AS VARCHAR) || ':' || lower(trim(p.p_name)) END AS task_code,
+             CASE WHEN p.p_size > {TEMPLATE_MAX_SIZE} THEN li.line_id END AS plan_id,
+             CASE WHEN l_returnflag = 'A' THEN 'scored' WHEN l_linenumber % 2 = 0 THEN 'not_scored' ELSE 'refused' END AS assessed_as
       FROM li LEFT JOIN orders o ON o.o_orderkey = li.l_orderkey LEFT JOIN customer c ON c.c_custkey = o.o_custkey
-      LEFT JOIN part p ON p.p_partkey = li.l_partkey LEFT JOIN supplier s ON s.s_suppkey = li.l_suppkey),
+      LEFT JOIN part p ON p.p_partkey = li.l_partkey LEFT JOIN supplier s ON s.s_suppkey = li.l_suppkey
+      LEFT JOIN closed cc ON cc.center_id = c.c_nationkey AND cc.d = CAST(li.l_shipdate AS DATE)
+      LEFT JOIN closed sc ON sc.center_id = s.s_nationkey AND sc.d = CAST(li.l_shipdate AS DATE)),
 progress AS (
-  SELECT line_id AS source_daily_task_assignment_id, CAST(NULL AS BIGINT) AS source_task_assessment_id, date_key,
-         o_custkey AS child_id, c_nationkey AS center_id, l_suppkey AS teacher_id, p_size % 5 AS domain_id,
-         task_code AS natural_task_code, 'unknown' AS status_code, CAST(NULL AS DECIMAL(10,2)) AS raw_score,
+  SELECT line_id AS source_daily_task_assignment_id, CAST(NULL AS BIGINT) AS source_task_assessment_id,
+         CAST(NULL AS BIGINT) AS source_assessment_session_id, plan_id AS source_child_task_plan_id, date_key,
+         o_custkey AS child_id, c_nationkey AS center_id, l_suppkey AS teacher_id, p_size % 5 AS domain_id, 1 AS score_scale_id,
+         task_code AS natural_task_code, 'unknown' AS status_code, -1 AS no_score_reason_id, CAST(NULL AS INTEGER) AS attempt_no,
+         CAST(NULL AS DECIMAL(10,2)) AS raw_score,
          CAST(NULL AS DECIMAL(10,4)) AS normalized_score, CAST(l_linestatus = 'F' AS INTEGER) AS is_completed,
-         1 AS is_planned, 0 AS is_scored, 0 AS is_refused, CAST(absent AS INTEGER) AS is_absent, 0 AS is_assessed
+         1 AS is_planned, 0 AS is_scored, 0 AS is_not_scored, CAST(l_linestatus <> 'F' AND l_linenumber % 4 = 1 AS INTEGER) AS is_cancelled,
+         CAST(l_linestatus <> 'F' AND l_linenumber % 4 = 2 AS INTEGER) AS is_incomplete, 0 AS is_refused,
+         CAST(absent AS INTEGER) AS is_absent, CAST(child_center_closed AS INTEGER) AS is_center_closed, 0 AS is_assessed
   FROM x
   UNION ALL
-  SELECT line_id, line_id, date_key, o_custkey, s_nationkey, l_suppkey, p_size % 5, task_code,
-         CASE WHEN l_returnflag = 'A' THEN 'scored' ELSE 'refused' END,
+  SELECT line_id, line_id, line_id, plan_id, date_key, o_custkey, s_nationkey, l_suppkey, p_size % 5, 1, task_code,
+         assessed_as, CASE WHEN assessed_as = 'not_scored' THEN l_suppkey % 5 ELSE -1 END, 1,
          CASE WHEN l_returnflag = 'A' THEN CAST(l_quantity AS DECIMAL(10,2)) END,
          CASE WHEN l_returnflag = 'A' THEN CAST(CAST(l_quantity AS DECIMAL(10,2)) * 2 AS DECIMAL(10,4)) END,
-         CAST(l_returnflag = 'A' AS INTEGER), 1, CAST(l_returnflag = 'A' AS INTEGER), CAST(l_returnflag = 'R' AS INTEGER),
-         CAST(absent AS INTEGER), 1
+         CAST(assessed_as = 'scored' AS INTEGER), 1, CAST(assessed_as = 'scored' AS INTEGER), CAST(assessed_as = 'not_scored' AS INTEGER),
+         0, 0, CAST(assessed_as = 'refused' AS INTEGER), CAST(absent AS INTEGER), CAST(session_center_closed AS INTEGER), 1
   FROM x WHERE l_returnflag IN ('A', 'R'))
 """
+PROGRESS_COLUMNS = ("source_daily_task_assignment_id", "source_task_assessment_id", "source_assessment_session_id", "source_child_task_plan_id",
+                    "date_key", "child_id", "center_id", "teacher_id", "domain_id", "score_scale_id", "natural_task_code", "status_code",
+                    "no_score_reason_id", "attempt_no", "raw_score", "normalized_score", "is_completed", "is_planned", "is_scored",
+                    "is_not_scored", "is_cancelled", "is_incomplete", "is_refused", "is_absent", "is_center_closed", "is_assessed")
+_LONGS = ("source_daily_task_assignment_id", "source_task_assessment_id", "source_assessment_session_id", "source_child_task_plan_id",
+          "no_score_reason_id")
 
 
-@register("program_mart_progress", ("F1", "F2", "F3", "D1", "D2", "D3", "D4", "D5", "D6", "D8", "J5", "J6", "J7",
-                                    "J8", "J9", "staging"), PROGRESS_MART_SQL + "SELECT * FROM progress")
+@register("program_mart_progress", ("F1", "F2", "F3", "D5", "D8", "J5", "J6", "J7", "J8", "J9", "S12", "staging"),
+          PROGRESS_MART_SQL + "SELECT * REPLACE (CAST(no_score_reason_id AS BIGINT) AS no_score_reason_id) FROM progress")
 def program_mart_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every measure, flag and source id of the task-progress fact, surrogate keys resolved to natural ids."""
     out = program_run(spark, sf_dir)
     f = _natural_ids(out["fact_tran_student_task_progress"], out)
-    codes = checked_broadcast(out["dim_assessment_status"].select(
-        F.col("assessment_status_key").alias("_s"), F.col("assessment_status_code").alias("status_code")))
-    f = f.join(codes, F.col("assessment_status_key") == F.col("_s"), "left")
-    return f.select("source_daily_task_assignment_id", "source_task_assessment_id", "date_key", "child_id",
-                    "center_id", "teacher_id", "domain_id", "natural_task_code", "status_code", "raw_score",
-                    "normalized_score", "is_completed", "is_planned", "is_scored", "is_refused", "is_absent",
-                    "is_assessed")
+    for key, dim, nat in (("assessment_status_key", "dim_assessment_status", "assessment_status_code"),
+                          ("score_scale_key", "dim_score_scale", "score_scale_id"),
+                          ("no_score_reason_key", "dim_no_score_reason", "no_score_reason_id")):
+        d = checked_broadcast(out[dim].select(F.col(key).alias("_k"), F.col(nat).alias(f"_{nat}")))
+        f = f.join(d, F.col(key) == F.col("_k"), "left").drop("_k").withColumnRenamed(f"_{nat}", nat)
+    f = f.withColumnRenamed("assessment_status_code", "status_code")
+    return f.select(*[F.col(c).cast("long").alias(c) if c in _LONGS else c for c in PROGRESS_COLUMNS])
 
 
 @register("program_mart_events", ("F4", "J18", "K4"), PROGRESS_MART_SQL + """
 SELECT CASE WHEN source_task_assessment_id IS NOT NULL THEN 'ASSESSMENT' ELSE 'PLAN' END AS event_type,
   CASE WHEN source_task_assessment_id IS NOT NULL AND status_code IS NOT NULL AND status_code <> 'unknown' THEN status_code
-       WHEN is_absent = 1 THEN 'ABSENT' WHEN is_refused = 1 THEN 'REFUSED' WHEN is_completed = 1 THEN 'COMPLETED'
-       WHEN is_scored = 1 THEN 'SCORED' WHEN is_assessed = 1 THEN 'ASSESSED' WHEN is_planned = 1 THEN 'PLANNED'
-       ELSE 'UNKNOWN' END AS event_status,
+       WHEN is_cancelled = 1 THEN 'CANCELLED'
+       WHEN is_absent = 1 THEN 'ABSENT' WHEN is_refused = 1 THEN 'REFUSED' WHEN is_incomplete = 1 THEN 'INCOMPLETE'
+       WHEN is_completed = 1 THEN 'COMPLETED' WHEN is_scored = 1 THEN 'SCORED' WHEN is_not_scored = 1 THEN 'NOT_SCORED'
+       WHEN is_assessed = 1 THEN 'ASSESSED' WHEN is_planned = 1 THEN 'PLANNED'
+       ELSE 'UNKNOWN' END AS event_status, raw_score,
   source_daily_task_assignment_id, source_task_assessment_id, date_key, child_id, teacher_id
 FROM progress
 """)
 def program_mart_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = program_run(spark, sf_dir)
     ev = _natural_ids(out["fact_child_task_event"], out)
-    return ev.select("event_type", "event_status", "source_daily_task_assignment_id", "source_task_assessment_id",
+    return ev.select("event_type", "event_status", "raw_score", "source_daily_task_assignment_id", "source_task_assessment_id",
                      "date_key", "child_id", "teacher_id")
 
 
@@ -269,7 +290,7 @@ def finance_run_incremental(spark: SparkSession, sf_dir: str) -> dict:
 
 # A month is written once, by the run that covers it (K5). Months before the phase split were
 # computed from phase-1 staging, where only donations dated up to the split exist.
-@register("finance_mart_incremental", ("K2", "K3", "K5", "F11", "V12", "staging"), MART_SNAPSHOT_SQL.replace(
+@register("finance_mart_incremental", ("K2", "K5", "F11", "V12", "staging"), MART_SNAPSHOT_SQL.replace(
     "{phase_filter}", "(cd.d <= DATE '1998-01-01' OR a.d >= DATE '1998-01-01')"))
 def finance_mart_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two-phase load; the final monthly snapshot equals the one-run snapshot (append-only facts,
@@ -372,7 +393,9 @@ def program_scd2_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("version").cast("int").alias("teacher_version"))
 
 
-SNAPSHOT_DAY, SNAPSHOT_END = _dt.date(2001, 10, 31), _dt.date(2001, 11, 1)
+#: Two runs whose windows share a day: the second appends only the days the first has not written.
+SNAPSHOT_RUNS = ((_dt.datetime(2001, 10, 30), _dt.datetime(2001, 11, 1)), (_dt.datetime(2001, 10, 31), _dt.datetime(2001, 11, 2)))
+SNAPSHOT_DAYS = (20011030, 20011031, 20011101)
 
 
 def _exact_avg_sql(col: str, scale: int, precision: int = 10) -> str:
@@ -382,8 +405,9 @@ def _exact_avg_sql(col: str, scale: int, precision: int = 10) -> str:
             f"AS DECIMAL(24,0)) * {1 / 10 ** scale:.{scale}f} AS DECIMAL({precision},{scale})) END")
 
 
-@register("program_daily_snapshot", ("F5", "A5", "A3", "A4", "J14"), PROGRESS_MART_SQL + f"""
-SELECT 20011031 AS date_key, child_id, center_id, teacher_id,
+DAILY_SQL = PROGRESS_MART_SQL + f""", days AS (SELECT unnest([{", ".join(map(str, SNAPSHOT_DAYS))}]) AS day_key),
+daily AS (
+SELECT day_key AS date_key, child_id, center_id, teacher_id,
   {_exact_avg_sql('raw_score', 2)} AS raw_score,
   CAST(min(CASE WHEN is_scored = 1 THEN 0 END) AS DECIMAL(10,2)) AS min_score,
   CAST(max(CASE WHEN is_scored = 1 THEN 50 END) AS DECIMAL(10,2)) AS max_score,
@@ -392,16 +416,53 @@ SELECT 20011031 AS date_key, child_id, center_id, teacher_id,
   CAST(count(DISTINCT source_task_assessment_id) AS INTEGER) AS assessment_count,
   CAST(count(DISTINCT CASE WHEN is_completed = 1 THEN source_daily_task_assignment_id END) AS INTEGER) AS completed_task_count,
   CAST(count(DISTINCT CASE WHEN is_scored = 1 THEN source_daily_task_assignment_id END) AS INTEGER) AS scored_task_count,
-  CAST(0 AS INTEGER) AS not_scored_task_count
-FROM progress WHERE date_key <= 20011031
-GROUP BY child_id, center_id, teacher_id
-""")
-def program_daily_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F5 on the whole task-progress fact for one day (every fact dated on or before it counts)."""
-    from starloom.plans.mart1 import daily_snapshot_rows
+  CAST(count(DISTINCT CASE WHEN is_not_scored = 1 THEN source_daily_task_assignment_id END) AS INTEGER) AS not_scored_task_count
+FROM progress JOIN days ON progress.date_key <= days.day_key
+GROUP BY 1, child_id, center_id, teacher_id)
+"""
+
+
+def _daily_runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, dict]:
+    """The daily-snapshot job (F5) run twice over the whole task-progress fact. Rows from the first window on are
+    the job's last batch, so its earliest affected day is the window's start and not the first day of all history."""
+    from starloom.plans.mart1 import fact_daily_student_task_progress
+    from starloom.session import cut_lineage
     out = program_run(spark, sf_dir)
-    snap = daily_snapshot_rows(out["fact_tran_student_task_progress"], out, SNAPSHOT_DAY, SNAPSHOT_END, 1, RUN_END)
-    snap = _natural_ids(snap, out)
-    return snap.select("date_key", "child_id", "center_id", "teacher_id", "raw_score", "min_score", "max_score",
-                       "normalized_score", "planned_task_count", "assessment_count", "completed_task_count",
-                       "scored_task_count", "not_scored_task_count")
+    first_key = int(SNAPSHOT_RUNS[0][0].strftime("%Y%m%d"))
+    progress = out["fact_tran_student_task_progress"].withColumn("etl_batch_id", F.when(F.col("date_key") >= first_key, 2).otherwise(1))
+    daily = None
+    for batch, (start, end) in enumerate(SNAPSHOT_RUNS, 1):
+        new = cut_lineage(fact_daily_student_task_progress(progress, out, start, end, daily, batch, RUN_END))
+        daily = new if daily is None else daily.unionByName(new)
+    return daily, progress, out
+
+
+@register("program_daily_snapshot", ("F5", "A5", "A3", "A4", "J14", "K5"), DAILY_SQL + "SELECT * FROM daily")
+def program_daily_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two overlapping runs of F5: each day is written once, by the definition (every fact dated on or before it)."""
+    daily, _, out = _daily_runs(spark, sf_dir)
+    return _natural_ids(daily, out).select(
+        "date_key", "child_id", "center_id", "teacher_id", "raw_score", "min_score", "max_score", "normalized_score",
+        "planned_task_count", "assessment_count", "completed_task_count", "scored_task_count", "not_scored_task_count")
+
+
+@register("program_accumulation", ("F6", "J16", "A8", "K11"), DAILY_SQL + f"""
+, seen AS (SELECT child_id, center_id, teacher_id, min(date_key) AS first_plan_date_key, max(date_key) AS last_plan_date_key,
+       min(CASE WHEN source_task_assessment_id IS NOT NULL THEN date_key END) AS first_assessment_date_key,
+       max(CASE WHEN source_task_assessment_id IS NOT NULL THEN date_key END) AS last_assessment_date_key
+     FROM progress GROUP BY ALL)
+SELECT d.child_id, d.center_id, d.teacher_id, d.date_key AS snapshot_date_key, planned_task_count, assessment_count,
+       completed_task_count, scored_task_count, first_plan_date_key, last_plan_date_key, first_assessment_date_key, last_assessment_date_key
+FROM daily d JOIN seen s USING (child_id, center_id, teacher_id) WHERE d.date_key = {SNAPSHOT_DAYS[-1]}
+""")
+def program_accumulation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F6 after both windows: the second run's recomputed groups replace the first run's rows."""
+    from starloom.plans.mart1 import fact_child_snapshot_accumulation
+    from starloom.session import cut_lineage
+    daily, progress, out = _daily_runs(spark, sf_dir)
+    acc = None
+    for batch, (start, end) in enumerate(SNAPSHOT_RUNS, 1):
+        acc = cut_lineage(fact_child_snapshot_accumulation(daily, progress, start, end, acc, batch, RUN_END))
+    return _natural_ids(acc, out).select(
+        "child_id", "center_id", "teacher_id", "snapshot_date_key", "planned_task_count", "assessment_count", "completed_task_count",
+        "scored_task_count", "first_plan_date_key", "last_plan_date_key", "first_assessment_date_key", "last_assessment_date_key")

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starloom.functions.dates import ts_lit
+from starloom.operators.lookups import checked_broadcast
 from starloom.session import cut_lineage
 from starloom.sources.tables import load
 
@@ -74,7 +75,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def program_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     n = load(spark, sf_dir, "nation")
     r = load(spark, sf_dir, "region")
-    centers = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "left").select(  # 5-row region table
+    centers = n.join(checked_broadcast(r), n.n_regionkey == r.r_regionkey, "left").select(
         F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"), F.col("r_name").alias("city"),
         F.lit(None).cast("string").alias("address"), F.lit(True).alias("is_active"),
         ts_lit(EPOCH).alias("created_at"), F.lit(None).cast("timestamp_ntz").alias("updated_at"))
@@ -154,11 +155,16 @@ def finance_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 #   children <- customer (center = customer nation)     teachers, users <- supplier
 #   domains  <- region                                  score_scales    <- one 0..50 scale
 #   task_templates <- parts of size <= 25 (domain = size mod 5)
+#   child_task_plans <- lines of all other parts: a custom plan with the part's name as title
 #   child_daily_status <- pending orders (the customer is absent on the order day)
-#   daily_task_assignments, assessment_sessions <- lines (child = the order's customer,
-#       planner/teacher = the supplier, template = the part when it is a template)
-#   task_assessments <- lines flagged A (scored, score = quantity) or R (refused, no score)
+#   center_daily_status <- pending orders (the customer's nation is closed that day if the order's key is even, else open)
+#   no_score_reasons <- regions
+#   daily_task_assignments, assessment_sessions <- lines (child = the order's customer, planner/teacher = the
+#       supplier, template = the part when it is a template, else the line's plan); shipped lines are completed, others
+#       by line number cancelled, incomplete or planned
+#   task_assessments <- lines flagged A (scored, score = quantity) or R (refused, or not scored with a reason)
 TEMPLATE_MAX_SIZE = 25
+REASON_TITLES = ("Child absent", "Teacher away", "Center closed", "System error", "Other")
 
 
 def program_task_sources(spark: SparkSession, sf_dir: str, teacher_change: str | None = "always"
@@ -199,7 +205,8 @@ def program_task_sources(spark: SparkSession, sf_dir: str, teacher_change: str |
     out["domains"] = r.select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name"),
                               F.lit(None).cast("string").alias("description"), F.lit(True).alias("is_active"),
                               created.alias("created_at"), no_ts.alias("updated_at"))
-    out["score_scales"] = r.limit(1).select(
+    # One scale for the quantities of all parts: an aggregate over the table, one row.
+    out["score_scales"] = p.agg(F.count("*").alias("parts")).select(
         F.lit(1).alias("id"), F.lit("Quantity").alias("name"), F.lit(0).cast("decimal(10,2)").alias("min_score"),
         F.lit(50).cast("decimal(10,2)").alias("max_score"), F.lit(None).cast("string").alias("description"),
         F.lit(True).alias("is_active"), created.alias("created_at"), no_ts.alias("updated_at"))
@@ -213,6 +220,17 @@ def program_task_sources(spark: SparkSession, sf_dir: str, teacher_change: str |
         F.lit("absent").alias("status"), F.lit(None).cast("int").alias("absence_reason_id"),
         F.lit(None).cast("string").alias("note"), F.lit(None).cast("int").alias("created_by"),
         F.col("o_orderdate").alias("created_at"), no_ts.alias("updated_at"))
+    pending = o.filter(F.col("o_orderstatus") == "P").join(c.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    out["center_daily_status"] = pending.select(
+        F.col("o_orderkey").alias("id"), F.col("c_nationkey").alias("center_id"), F.to_date("o_orderdate").alias("date"),
+        F.when(F.col("o_orderkey") % 2 == 0, "closed").otherwise("open").alias("status"),
+        F.lit(None).cast("int").alias("closure_reason_id"), F.lit(None).cast("string").alias("note"),
+        F.lit(None).cast("int").alias("created_by"), F.col("o_orderdate").alias("created_at"), no_ts.alias("updated_at"))
+    reason = F.element_at(F.array(*[F.lit(x) for x in REASON_TITLES]), F.col("r_regionkey") % len(REASON_TITLES) + 1)
+    out["no_score_reasons"] = r.select(
+        F.col("r_regionkey").alias("id"), reason.alias("title"), F.col("r_name").alias("description"), F.lit(True).alias("is_active"),
+        created.alias("created_at"), no_ts.alias("updated_at"))
+
     def numbered_lines():
         li = with_line_id(load(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_ORDER))
         parts = p.select("p_partkey", "p_size", "p_name")
@@ -221,27 +239,34 @@ def program_task_sources(spark: SparkSession, sf_dir: str, teacher_change: str |
                   .join(s.select("s_suppkey", "s_nationkey"), li.l_suppkey == s.s_suppkey, "left"))
     lines = _shared(spark, sf_dir, "program_lines", numbered_lines)   # three source tables read them
     day = F.to_date("l_shipdate")
+    custom = ~F.coalesce(F.col("p_size") <= TEMPLATE_MAX_SIZE, F.lit(False))
+    out["child_task_plans"] = lines.filter(custom).select(
+        F.col("line_id").alias("id"), F.col("o_custkey").alias("child_id"), F.lit(None).cast("int").alias("task_template_id"),
+        (F.col("p_size") % 5).alias("domain_id"), F.col("p_name").alias("task_title"), F.lit(1).alias("score_scale_id"),
+        day.alias("start_date"), F.lit(None).cast("date").alias("end_date"), F.lit(True).alias("is_active"),
+        F.lit(None).cast("int").alias("created_by"), F.col("l_shipdate").alias("created_at"), no_ts.alias("updated_at"))
     out["daily_task_assignments"] = lines.select(
         F.col("line_id").alias("id"), F.col("o_custkey").alias("child_id"), day.alias("date"),
-        F.lit(None).cast("int").alias("child_task_plan_id"),
+        F.when(custom, F.col("line_id")).alias("child_task_plan_id"),
         F.when(F.col("p_size") <= TEMPLATE_MAX_SIZE, F.col("l_partkey")).alias("task_template_id"),
         (F.col("p_size") % 5).alias("domain_id"), F.col("p_name").alias("task_title"), F.lit(1).alias("score_scale_id"),
         F.col("l_suppkey").alias("planned_by"),
-        F.when(F.col("l_linestatus") == "F", "completed").otherwise("planned").alias("status"),
+        F.when(F.col("l_linestatus") == "F", "completed").when(F.col("l_linenumber") % 4 == 1, "cancelled")
+        .when(F.col("l_linenumber") % 4 == 2, "incomplete").otherwise("planned").alias("status"),
         F.col("l_shipdate").alias("created_at"), no_ts.alias("updated_at"))
     out["assessment_sessions"] = lines.select(
         F.col("line_id").alias("id"), F.col("o_custkey").alias("child_id"), F.col("l_suppkey").alias("teacher_id"),
         F.col("s_nationkey").alias("center_id"), day.alias("date"), F.lit(None).cast("timestamp_ntz").alias("started_at"),
         F.lit(None).cast("timestamp_ntz").alias("ended_at"), F.lit("done").alias("session_status"),
         F.lit(None).cast("string").alias("general_note"), F.col("l_shipdate").alias("created_at"), no_ts.alias("updated_at"))
-    scored = F.col("l_returnflag") == "A"
+    scored, even = F.col("l_returnflag") == "A", F.col("l_linenumber") % 2 == 0
     out["task_assessments"] = lines.filter(F.col("l_returnflag").isin("A", "R")).select(
         F.col("line_id").alias("id"), F.col("line_id").alias("daily_task_assignment_id"),
         F.col("line_id").alias("assessment_session_id"), F.col("o_custkey").alias("child_id"),
         F.col("l_suppkey").alias("teacher_id"), day.alias("date"),
         F.when(scored, F.col("l_quantity").cast("decimal(10,2)")).alias("score"),
         F.lit(None).cast("decimal(10,4)").alias("normalized_score"),
-        F.when(scored, "scored").otherwise("refused").alias("assessment_status"),
-        F.lit(None).cast("int").alias("no_score_reason_id"), F.lit(1).alias("attempt_no"),
+        F.when(scored, "scored").when(even, "not_scored").otherwise("refused").alias("assessment_status"),
+        F.when(~scored & even, F.col("l_suppkey") % 5).cast("int").alias("no_score_reason_id"), F.lit(1).alias("attempt_no"),
         F.lit(None).cast("string").alias("note"), F.col("l_shipdate").alias("created_at"), no_ts.alias("updated_at"))
     return out

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions.hashing import row_hash
 from starloom.operators.keys import assign_keys, max_key
-from starloom.operators.loads import hash_upsert
+from starloom.operators.loads import hash_upsert, latest_of_extract
 from starloom.operators.validation import (
     ForeignKey, Rule, between, greater_than, in_domain, ordered, required, validate,
 )
@@ -208,19 +208,23 @@ def stage_table(spec: TableSpec, sources: dict[str, DataFrame], current: DataFra
                 "extracted_at", "source_updated_at", "row_hash", "is_valid", "validation_message"]
     staged = staged.select(*cols, *envelope)
 
-    # One pass over the materialised extract gives the read/valid/rejected counts.
-    read = checked.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("is_valid").cast("long")).alias("v")).first()
+    # One pass over the materialised extract gives the read/valid/rejected counts, and whether ids repeat.
+    read = checked.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("is_valid").cast("long")).alias("v"),
+                       F.countDistinct(F.when(F.col("is_valid"), F.col(key))).alias("ids")).first()
     rows_read, rows_valid = int(read["n"]), int(read["v"] or 0)
+    if int(read["ids"]) < rows_valid:
+        # Repeated ids (several extract files for one id): the latest row stands for the id.
+        staged = cut_lineage(latest_of_extract(staged, [key], ["source_updated_at"]))
+    staged_rows = int(read["ids"])
     if spec.load == "full" or current is None:
-        nxt = assign_keys(staged, [key], "stg_row_id", base=0, known_rows=rows_valid)
-        inserted, updated = rows_valid, 0
+        nxt = assign_keys(staged, [key], "stg_row_id", base=0, known_rows=staged_rows)
+        inserted, updated = staged_rows, 0
     else:
         merged = hash_upsert(current.select("stg_row_id", *cols, *envelope),
                              staged.withColumn("stg_row_id", F.lit(None).cast("long")).select(
                                  "stg_row_id", *cols, *envelope),
-                             [key], keep_old=("stg_row_id",))
-        # The merge (a full outer join of old staging and the extract) feeds two branches and
-        # the counts: materialise it once instead of joining three times.
+                             [key], keep_old=("stg_row_id",), unique=True)
+        # The merge feeds two branches and the counts: materialise it once.
         merged = cut_lineage(merged)
         a = F.col("upsert_action")
         acts = merged.agg(F.sum((a == "insert").cast("long")).alias("i"),

@@ -1,8 +1,9 @@
 """Persisting job outputs: each table is written as Parquet under ``<root>/<table>``.
 
-Facts are partitioned by their date or month key, so a rerun of a period overwrites only
-that period's partitions (``partitionOverwriteMode=dynamic``) and readers prune by key.
-Dimensions and small tables are written whole. A job's outputs are only written after the
+Facts whose rows never move are partitioned by their date or month key, so readers prune by key. Rows of the
+accumulating facts (``MOVING``) change their date key when they are recomputed, so those tables are not partitioned.
+A written version replaces the whole table: partitions that a recomputation left empty do not survive, whatever the session's
+``partitionOverwriteMode`` is. Dimensions and small tables are written whole, too. A job's outputs are only written after the
 whole job succeeded, so a failed run leaves the previous version intact.
 """
 
@@ -10,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+MOVING = frozenset({"fact_child_snapshot_accumulation", "fact_donation_lifecycle"})
 PARTITION_COLUMNS = ("date_key", "month_key", "snapshot_date_key")
 
 
@@ -27,8 +29,8 @@ def write_tables(tables: dict[str, DataFrame], root: str, mode: str = "overwrite
         if df is None:
             continue
         path = f"{root.rstrip('/')}/{name}"
-        w = df.write.mode(mode)
-        part = partition_column(df) if name.startswith("fact_") else None
+        w = df.write.mode(mode).option("partitionOverwriteMode", "static")
+        part = partition_column(df) if name.startswith("fact_") and name not in MOVING else None
         if part:
             w = w.partitionBy(part)
         w.parquet(path)

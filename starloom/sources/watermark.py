@@ -55,7 +55,7 @@ def change_window(df: DataFrame, start, end, cols: list[str], prune_col: str | N
     c = F.coalesce(*[F.col(x) for x in cols])
     out = df.filter((c >= s) & (c < e))
     if prune_col is not None:
-        out = out.filter(F.col(prune_col) < e)
+        out = out.filter(F.col(prune_col).isNull() | (F.col(prune_col) < e))
     return out
 
 

@@ -10,6 +10,7 @@ repeats an extract; a version folder is only listed as current once fully writte
 from __future__ import annotations
 
 import datetime as _dt
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,9 +41,11 @@ def stage_stream(spark: SparkSession, table: str, landing: str, target: str, che
                  available_now: bool = True):
     """Start a stream that stages every new extract file of ``table``; returns the StreamingQuery.
 
-    ``parents`` supplies the parent source tables used by referential checks.
+    ``parents`` supplies the parent source tables used by referential checks. A micro-batch holds some files, not the
+    whole table, so tables that batch runs refresh in full (K1) are upserted here (K2): rows of earlier files stay, and
+    a deletion only shows in the next batch run. Several files for one id count with their latest row.
     """
-    spec = SPEC_BY_NAME[table]
+    spec = replace(SPEC_BY_NAME[table], load="upsert")
     stream = spark.readStream.schema(schemas.source_ddl(table)).option("recursiveFileLookup", "true").parquet(landing)
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
