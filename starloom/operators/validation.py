@@ -53,6 +53,10 @@ def custom(fails: Column, message: str) -> Rule:
     return Rule(F.coalesce(fails, F.lit(False)), message)
 
 
+#: Parent keys are broadcast up to this many rows (one id each).
+PARENT_BROADCAST_MAX_ROWS = 200_000
+
+
 @dataclass(frozen=True)
 class ForeignKey:
     """V8: non-null ``col`` must exist in ``parent.parent_col``; ``when`` makes it conditional (V9)."""
@@ -63,14 +67,29 @@ class ForeignKey:
     when: Column | None = None
 
 
+def _spread(key: Column, kind: str, by: str) -> Column:
+    """``key`` with its NULLs replaced by negative values scattered by a hash of column ``by`` (the same on every retry) for whole numbers, so rows without a reference do not meet in one
+    shuffle partition. Whether a scattered value happens to exist does not matter: such rows are never reported."""
+    if kind not in ("tinyint", "smallint", "int", "bigint"):
+        return key
+    width = {"tinyint": 100, "smallint": 30_000}.get(kind, 1 << 20)
+    return F.coalesce(key, (-2 - F.pmod(F.xxhash64(by), F.lit(width))).cast(kind))
+
+
 def attach_fk_flags(df: DataFrame, fks: list[ForeignKey]) -> tuple[DataFrame, list[Rule]]:
-    """Left join each parent's distinct keys; return the frame plus the failure rules."""
+    """Left join each parent's distinct keys; return the frame plus the failure rules. A parent that a bounded count proves small
+    is broadcast (counted once for all tables of a run); keys that are NULL, or whose condition does not hold, stay out of the shuffle's
+    hot spots."""
+    from starloom.operators.lookups import checked_broadcast
     rules = []
     for i, fk in enumerate(fks):
         flag = f"_sl_fk{i}"
         parent = fk.parent.select(F.col(fk.parent_col).alias(flag + "_k")).distinct() \
                           .withColumn(flag, F.lit(True))
-        df = df.join(parent, F.col(fk.col) == F.col(flag + "_k"), "left").drop(flag + "_k")
+        parent = checked_broadcast(parent, PARENT_BROADCAST_MAX_ROWS, bound_by=fk.parent)
+        asked = F.col(fk.col) if fk.when is None else F.when(fk.when, F.col(fk.col))
+        df = (df.withColumn(flag + "_j", _spread(asked, df.schema[fk.col].dataType.simpleString(), df.columns[0]))
+              .join(parent, F.col(flag + "_j") == F.col(flag + "_k"), "left").drop(flag + "_k", flag + "_j"))
         missing = F.col(fk.col).isNotNull() & F.col(flag).isNull()
         if fk.when is not None:
             missing = F.coalesce(fk.when, F.lit(False)) & missing

@@ -253,6 +253,26 @@ STAGED = {
                          "CASE WHEN l_returnflag = 'A' THEN CAST(l_quantity AS DECIMAL(10,2)) END, CASE WHEN l_returnflag = 'A' THEN 'scored' "
                          "WHEN l_linenumber % 2 = 0 THEN 'not_scored' ELSE 'refused' END, l_returnflag FROM lineitem JOIN orders ON o_orderkey = l_orderkey) "
                          "WHERE l_returnflag IN ('A', 'R')"),
+    "centers": ("id, name, city", "SELECT n_nationkey, n_name, r_name FROM nation LEFT JOIN region ON r_regionkey = n_regionkey"),
+    "domains": ("id, name", "SELECT r_regionkey, r_name FROM region"),
+    "score_scales": ("id, name, max_score", "SELECT 1, 'Quantity', CAST(50 AS DECIMAL(10,2)) FROM part HAVING count(*) > 0"),
+    "closure_reasons": ("id, title", "SELECT r_regionkey, r_name FROM region"),
+    "absence_reasons": ("id, title", "SELECT r_regionkey, r_name FROM region"),
+    "children": ("id, center_id, first_name, last_name", "SELECT c_custkey, c_nationkey, c_name, c_mktsegment FROM customer"),
+    "teachers": ("id, center_id, first_name, is_active", "SELECT s_suppkey, s_nationkey, s_name, s_acctbal >= 0 FROM supplier"),
+    "users": ("id, username, teacher_id", "SELECT s_suppkey, s_name, s_suppkey FROM supplier"),
+    "task_templates": ("id, domain_id, title", "SELECT p_partkey, p_size % 5, p_name FROM part WHERE p_size <= 25"),
+    "child_daily_status": ("id, child_id, status", "SELECT o_orderkey, o_custkey, 'absent' FROM orders WHERE o_orderstatus = 'P'"),
+    "daily_task_assignments": ("id, child_id, task_template_id, child_task_plan_id, planned_by, status", f"SELECT line_id, o_custkey, "
+                               "CASE WHEN p_size <= 25 THEN l_partkey END, CASE WHEN p_size > 25 THEN line_id END, l_suppkey, CASE WHEN l_linestatus = 'F' "
+                               "THEN 'completed' WHEN l_linenumber % 4 = 1 THEN 'cancelled' WHEN l_linenumber % 4 = 2 THEN 'incomplete' ELSE 'planned' END "
+                               f"FROM (SELECT *, {LINE_ID_SQL} AS line_id FROM lineitem) JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey"),
+    "assessment_sessions": ("id, child_id, teacher_id, center_id", f"SELECT line_id, o_custkey, l_suppkey, s_nationkey FROM (SELECT *, {LINE_ID_SQL} AS line_id "
+                            "FROM lineitem) JOIN orders ON o_orderkey = l_orderkey JOIN supplier ON s_suppkey = l_suppkey"),
+    "notes": ("id, child_id, note_text", "SELECT o_orderkey, o_custkey, 'Order ' || o_orderstatus FROM orders"),
+    "note_batches": ("id, note_text", "SELECT c_custkey, c_name FROM customer"),
+    "note_batch_items": ("id, note_batch_id, note_id", "SELECT o_orderkey, o_custkey, o_orderkey FROM orders"),
+    "audit_logs": ("id, entity_name, entity_id", "SELECT event_id, event_type, user_id FROM events WHERE event_type IS NOT NULL"),
 }
 
 

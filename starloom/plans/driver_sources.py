@@ -231,6 +231,25 @@ def program_task_sources(spark: SparkSession, sf_dir: str, teacher_change: str |
         F.col("r_regionkey").alias("id"), reason.alias("title"), F.col("r_name").alias("description"), F.lit(True).alias("is_active"),
         created.alias("created_at"), no_ts.alias("updated_at"))
 
+    reasons = r.select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("title"), F.lit(None).cast("string").alias("description"),
+                       F.lit(True).alias("is_active"), created.alias("created_at"), no_ts.alias("updated_at"))
+    out["closure_reasons"] = out["absence_reasons"] = reasons
+    # Every order is a note on its customer, batched by customer; every event is an audit-log row.
+    out["notes"] = o.select(
+        F.col("o_orderkey").alias("id"), F.lit("child").alias("note_scope"), F.lit(None).cast("int").alias("center_id"),
+        F.col("o_custkey").alias("child_id"), F.lit(None).cast("int").alias("teacher_id"), F.to_date("o_orderdate").alias("date"),
+        F.lit(None).cast("int").alias("daily_task_assignment_id"), F.lit(None).cast("int").alias("task_assessment_id"),
+        F.concat(F.lit("Order "), F.col("o_orderstatus")).alias("note_text"), F.lit(None).cast("int").alias("created_by"),
+        F.col("o_orderdate").alias("created_at"), no_ts.alias("updated_at"))
+    out["note_batches"] = c.select(
+        F.col("c_custkey").alias("id"), F.lit(None).cast("int").alias("created_by"), F.lit("child").alias("note_scope"),
+        F.col("c_name").alias("note_text"), created.alias("created_at"))
+    out["note_batch_items"] = o.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("note_batch_id"), F.col("o_orderkey").alias("note_id"))
+    out["audit_logs"] = load(spark, sf_dir, "events").select(
+        F.col("event_id").alias("id"), F.lit(None).cast("int").alias("user_id"), F.col("event_type").alias("entity_name"),
+        F.col("user_id").alias("entity_id"), F.lit("event").alias("action"), F.lit(None).cast("string").alias("old_value"),
+        F.col("props").alias("new_value"), F.col("ts").cast("timestamp_ntz").alias("created_at"))
+
     def numbered_lines():
         li = with_line_id(load(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_ORDER))
         parts = p.select("p_partkey", "p_size", "p_name")

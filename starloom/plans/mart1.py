@@ -21,7 +21,7 @@ from starloom.operators.lookups import latest_per_key, latest_value, lookup_key
 from starloom.operators.scd import scd1_rebuild, scd2_merge
 from starloom.operators.snapshots import cumulative_daily_snapshot, first_last_keys, latest_row_per_group
 from starloom.operators.validation import require_params, valid_rows
-from starloom.plans.audit import BatchLog
+from starloom.plans.audit import BatchLog, run_logged
 from starloom.session import cut_lineage, run_concurrently
 from starloom.sources.watermark import change_window
 
@@ -407,20 +407,24 @@ def build_dims(builders: dict) -> dict:
 
 
 def run_mart1(spark: SparkSession, staging: dict, dw: dict, start: _dt.datetime, end: _dt.datetime,
-              load_ts: _dt.datetime | None = None, batch_id: int = 1, first_load: bool = False) -> dict:
+              load_ts: _dt.datetime | None = None, batch_id: int = 1, first_load: bool = False,
+              log: BatchLog | None = None) -> dict:
     """One Mart 1 run; order matters (teacher reads center, task reads domain, facts read dims,
-    events/snapshots read the transaction fact, accumulation reads the daily snapshot)."""
+    events/snapshots read the transaction fact, accumulation reads the daily snapshot).
+
+    Each step runs under ``run_logged``: a failing step leaves a failed step and batch in ``log`` (pass one to
+    read it after an exception) and the exception goes on. Steps count the rows they add, not the table's."""
     require_params(start_time=start, end_time=end)
     if "dim_date" not in dw:
         raise RuntimeError("prerequisite table dim_date is missing")
     load_ts = load_ts or end
     prev = {} if first_load else dw
-    log = BatchLog(spark, "PROGRAM_OPS", "DW", "MART1", load_ts, batch_id)
+    log = log or BatchLog(spark, "PROGRAM_OPS", "DW", "MART1", load_ts, batch_id)
     out = {}
 
     # Dimensions in two waves: independent ones side by side, then the two that read a
     # dimension of the first wave (teacher <- center, task <- domain).
-    wave1 = build_dims({
+    wave1 = run_logged(log, "dimensions", build_dims, {
         "dim_center": lambda: dim_center(staging, prev.get("dim_center"), start, end, first_load),
         "dim_domain": lambda: dim_domain(staging, prev.get("dim_domain")),
         "dim_score_scale": lambda: dim_score_scale(staging, prev.get("dim_score_scale")),
@@ -430,7 +434,7 @@ def run_mart1(spark: SparkSession, staging: dict, dw: dict, start: _dt.datetime,
     for name, (df, n) in wave1.items():
         out[name] = df
         log.step("staging", name, n, n)
-    wave2 = build_dims({
+    wave2 = run_logged(log, "dimensions", build_dims, {
         "dim_teacher": lambda: dim_teacher(staging, prev.get("dim_teacher"), out["dim_center"], start, end,
                                            first_load),
         "dim_task": lambda: dim_task(staging, prev.get("dim_task"), out["dim_domain"])})
@@ -439,27 +443,25 @@ def run_mart1(spark: SparkSession, staging: dict, dw: dict, start: _dt.datetime,
         log.step("staging", name, n, n)
     dims = dict(out, dim_date=dw["dim_date"])
 
-    old = prev.get("fact_tran_student_task_progress")
-    new_rows = cut_lineage(fact_tran_student_task_progress(staging, dims, start, end, old, batch_id, load_ts))
-    out["fact_tran_student_task_progress"] = new_rows if old is None else old.unionByName(new_rows)
-    out["fact_tran_student_task_progress"] = cut_lineage(out["fact_tran_student_task_progress"])
-    progress = out["fact_tran_student_task_progress"]
-
-    old = prev.get("fact_child_task_event")
-    ev = fact_child_task_event(progress, out["dim_assessment_status"], old, batch_id, load_ts)
-    out["fact_child_task_event"] = cut_lineage(ev if old is None else old.unionByName(ev))
-
-    old = prev.get("fact_daily_student_task_progress")
-    daily_new = fact_daily_student_task_progress(progress, dims, start, end, old, batch_id, load_ts)
-    out["fact_daily_student_task_progress"] = cut_lineage(daily_new if old is None else old.unionByName(daily_new))
-
-    out["fact_child_snapshot_accumulation"] = cut_lineage(fact_child_snapshot_accumulation(
-        out["fact_daily_student_task_progress"], progress, start, end,
-        prev.get("fact_child_snapshot_accumulation"), batch_id, load_ts))
-    for t in ("fact_tran_student_task_progress", "fact_child_task_event", "fact_daily_student_task_progress",
-              "fact_child_snapshot_accumulation"):
-        n = out[t].count()
-        log.step("dw", t, n, n)
+    def add(name, build):
+        """Append a fact's new rows: materialise them once, count them, log them."""
+        new = run_logged(log, name, lambda: cut_lineage(build(prev.get(name))))
+        n = new.count()
+        log.step("dw", name, n, n)
+        out[name] = new if prev.get(name) is None else prev[name].unionByName(new)
+        return out[name]
+
+    progress = add("fact_tran_student_task_progress",
+                   lambda old: fact_tran_student_task_progress(staging, dims, start, end, old, batch_id, load_ts))
+    add("fact_child_task_event",
+        lambda old: fact_child_task_event(progress, out["dim_assessment_status"], old, batch_id, load_ts))
+    daily = add("fact_daily_student_task_progress",
+                lambda old: fact_daily_student_task_progress(progress, dims, start, end, old, batch_id, load_ts))
+    name = "fact_child_snapshot_accumulation"
+    out[name] = run_logged(log, name, lambda: cut_lineage(fact_child_snapshot_accumulation(
+        daily, progress, start, end, prev.get(name), batch_id, load_ts)))
+    n = out[name].filter(F.col("etl_batch_id") == batch_id).count()
+    log.step("dw", name, n, n)
     log.finish("succeeded")
     out["etl_batch"], out["etl_load_log"] = log.frames()
     return out

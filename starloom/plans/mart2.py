@@ -21,7 +21,7 @@ from starloom.operators.loads import append_new
 from starloom.operators.lookups import lookup_key
 from starloom.operators.scd import scd1_rebuild
 from starloom.operators.validation import require_params, settled, valid_rows
-from starloom.plans.audit import BatchLog
+from starloom.plans.audit import BatchLog, run_logged
 from starloom.session import cut_lineage, run_concurrently
 from starloom.sources.watermark import business_window, history_before
 
@@ -304,16 +304,18 @@ FACTS = [("fact_donation_transaction", fact_donation_transaction),
 
 
 def run_mart2(spark: SparkSession, staging: dict, dw: dict, start: _dt.datetime, end: _dt.datetime,
-              load_ts: _dt.datetime | None = None, batch_id: int = 1, first_load: bool = False) -> dict:
+              load_ts: _dt.datetime | None = None, batch_id: int = 1, first_load: bool = False,
+              log: BatchLog | None = None) -> dict:
     """One Mart 2 run over [start, end). ``dw`` must hold dim_date, dim_center and dim_child
     (shared with Mart 1); on an incremental run also the previous finance tables.
-    Returns the next version of every finance table plus ``etl_batch``/``etl_load_log``."""
+    Returns the next version of every finance table plus ``etl_batch``/``etl_load_log``. A failing step leaves a
+    failed step and batch in ``log`` (pass one to read it after an exception) and the exception goes on."""
     require_params(start_time=start, end_time=end)
     load_ts = load_ts or end
     for t in ("dim_date", "dim_center", "dim_child"):                       # Q3
         if t not in dw:
             raise RuntimeError(f"prerequisite table {t} is missing")
-    log = BatchLog(spark, "FINANCE_OPS", "DW", "FINANCE_MART2", load_ts, batch_id)
+    log = log or BatchLog(spark, "FINANCE_OPS", "DW", "FINANCE_MART2", load_ts, batch_id)
     prev = {} if first_load else dw                                       # K9: first load starts empty
 
     def materialised(build):
@@ -323,7 +325,7 @@ def run_mart2(spark: SparkSession, staging: dict, dw: dict, start: _dt.datetime,
         return run
 
     # The six dimensions are independent: build them side by side.
-    built = run_concurrently({
+    built = run_logged(log, "dimensions", run_concurrently, {
         "dim_donor": materialised(lambda: dim_donor(staging, prev.get("dim_donor"))),
         "dim_campaign": materialised(lambda: dim_campaign(staging, prev.get("dim_campaign"))),
         "dim_category": materialised(lambda: dim_category(staging, prev.get("dim_category"))),
@@ -346,7 +348,7 @@ def run_mart2(spark: SparkSession, staging: dict, dw: dict, start: _dt.datetime,
     tasks = {name: fact(fn) for name, fn in FACTS}
     tasks["fact_donation_lifecycle"] = materialised(
         lambda: fact_donation_lifecycle(staging, dims, end, batch_id, load_ts))
-    results = run_concurrently(tasks)
+    results = run_logged(log, "facts", run_concurrently, tasks)
     map_parts = [load_map]
     for name, _ in FACTS:
         new_rows, add, n = results[name]
@@ -364,7 +366,7 @@ def run_mart2(spark: SparkSession, staging: dict, dw: dict, start: _dt.datetime,
         out["fact_monthly_financial_snapshot"] = old
         log.step("dw", "fact_monthly_financial_snapshot", 0, 0, message="no dim_date month in range")
     else:
-        snap_new = cut_lineage(snap_new)
+        snap_new = run_logged(log, "fact_monthly_financial_snapshot", cut_lineage, snap_new)
         out["fact_monthly_financial_snapshot"] = snap_new if old is None else old.unionByName(snap_new)
         n = snap_new.count()
         log.step("dw", "fact_monthly_financial_snapshot", n, n)

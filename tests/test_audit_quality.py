@@ -50,3 +50,13 @@ def test_documented_dq(spark):
     got = {r.check_name: r.problem_count
            for r in documented_dq(pfx.sources(spark, prog_rows), ffx.sources(spark, fin_rows)).collect()}
     assert got == {"child_without_center": 1, "non_positive_donation": 1, "score_outside_scale": 1}
+
+
+def test_a_failing_mart_step_leaves_a_record(spark):
+    from starloom.plans import mart1
+    log = BatchLog(spark, "PROGRAM_OPS", "DW", "MART1", dt.datetime(2028, 3, 1), batch_id=9)
+    with pytest.raises(KeyError):  # no staging tables at all
+        mart1.run_mart1(spark, {}, {"dim_date": spark.range(1)}, dt.datetime(2028, 1, 1), dt.datetime(2028, 2, 1), log=log)
+    batch, steps = log.frames()
+    assert [(r.target_table, r.load_status) for r in steps.collect()] == [("dimensions", "failed")]
+    assert batch.first().batch_status == "failed"

@@ -78,3 +78,24 @@ def test_assign_keys_is_row_number(spark, nks, base, parts):
     for kw in ({"num_partitions": parts}, {}):            # distributed path, then the checked small path
         got = sorted((r.nk, r.k) for r in assign_keys(df, ["nk"], "k", base=base, **kw).collect())
         assert got == [(nk, base + i + 1) for i, nk in enumerate(sorted(nks))]
+
+
+@given(old=st.lists(st.tuples(st.integers(1, 5), st.sampled_from("ab")), max_size=5, unique_by=lambda x: x[0]),
+       new=st.lists(st.tuples(st.one_of(st.none(), st.integers(1, 7)), st.sampled_from("abc"), st.integers(0, 3)), max_size=8))
+@settings(max_examples=12, deadline=None)
+def test_hash_upsert_with_repeated_and_null_ids(spark, old, new):
+    """Repeats in the extract never multiply rows, whichever way the joins run."""
+    o = spark.createDataFrame([(i, h, 0, True) for i, h in old], "id long, row_hash string, seq int, is_valid boolean")
+    n = spark.createDataFrame([(i, h, s, True) for i, h, s in new], "id long, row_hash string, seq int, is_valid boolean")
+    want = {i: (h, "unchanged") for i, h in old}
+    for i in {i for i, _, _ in new if i is not None}:
+        h = max((s, h) for k, h, s in new if k == i)[1]
+        if i not in want:
+            want[i] = (h, "insert")
+        elif want[i][0] != h:
+            want[i] = (h, "update")
+    nulls = sorted(h for i, h, _ in new if i is None)
+    for limit in (0, 100):
+        got = hash_upsert(o, n, ["id"], order_cols=("seq",), broadcast_max_rows=limit).collect()
+        assert {r.id: (r.row_hash, r.upsert_action) for r in got if r.id is not None} == want
+        assert len(got) == len(want) + len(nulls) and sorted(r.row_hash for r in got if r.id is None) == nulls

@@ -61,3 +61,37 @@ def test_stream_restart_without_new_files_changes_nothing(spark):
     assert q.exception() is None, q.exception()
     assert sorted(os.listdir(target)) == versions
     assert sorted(tuple(r) for r in latest_version(spark, target).collect()) == before
+
+
+def _stream(spark, table, base, landing):
+    q = stage_stream(spark, table, landing, os.path.join(base, "target"), os.path.join(base, "ckpt"), parents={})
+    q.awaitTermination(120)
+    assert q.exception() is None, q.exception()
+    return latest_version(spark, os.path.join(base, "target"))
+
+
+def test_stream_of_a_full_refresh_table_keeps_earlier_files(spark):
+    base = tempfile.mkdtemp(prefix="starloom-stream-")
+    landing = os.path.join(base, "landing")
+    rows = fx.first_load_rows()["donors"]
+    assert len(rows) >= 2
+    schemas.from_rows(spark, "donors", rows[:1]).write.parquet(os.path.join(landing, "b1"))
+    assert _stream(spark, "donors", base, landing).count() == 1
+    schemas.from_rows(spark, "donors", rows[1:]).write.parquet(os.path.join(landing, "b2"))
+    assert _stream(spark, "donors", base, landing).count() == len(rows)
+
+
+def test_two_files_for_one_id_in_one_batch(spark):
+    from pyspark.sql import functions as F
+    base = tempfile.mkdtemp(prefix="starloom-stream-")
+    landing = os.path.join(base, "landing")
+    first = schemas.from_rows(spark, "donors", fx.first_load_rows()["donors"])
+    later = first.withColumns({"full_name": F.lit("later"), "updated_at": F.lit(dt.datetime(2027, 1, 1)).cast("timestamp_ntz")})
+    first.withColumn("updated_at", F.lit(dt.datetime(2026, 1, 1)).cast("timestamp_ntz")).write.parquet(os.path.join(landing, "b1"))
+    later.write.parquet(os.path.join(landing, "b2"))
+    out = _stream(spark, "donors", base, landing).collect()
+    assert len(out) == len({r.id for r in out}) == first.count() and {r.full_name for r in out} == {"later"}
+    later.withColumn("full_name", F.lit("again")).write.parquet(os.path.join(landing, "b3"))
+    later.withColumn("full_name", F.lit("again")).write.parquet(os.path.join(landing, "b4"))
+    again = _stream(spark, "donors", base, landing).collect()
+    assert sorted((r.id, r.stg_row_id) for r in again) == sorted((r.id, r.stg_row_id) for r in out) and {r.full_name for r in again} == {"again"}
