@@ -263,14 +263,18 @@ def hash64(text: str) -> int:
 
 def _importance(tree: DataFrame, keys: list[str]) -> DataFrame:
     """Importance by ``keys`` and path: own presentation entropy, and the content of the subtree."""
-    nodes = tree.where("kind = 'n'").select(*keys, "path", F.col("pages").alias("m"))
-    measured = tree.where("kind <> 'n'").join(nodes, [*keys, "path"])
+    # With m pages, p of them having a feature, the entropies are sums over features of log p and p log p; so one
+    # aggregate, combined before the shuffle, gives them, and a node with very many features is a few partial sums.
+    text, style, p = F.col("kind") == "t", F.col("kind") == "s", F.col("pages")
+    sums = tree.groupBy(*keys, "path").agg(
+        F.max(F.when(F.col("kind") == "n", p)).alias("m"), F.count_if(text).alias("texts"),
+        F.sum(F.when(text, F.log(p))).alias("logs"), F.sum(F.when(style, p)).alias("styles"),
+        F.sum(F.when(style, p * F.log(p))).alias("style_logs")).where("m IS NOT NULL")
     log_m = F.log(F.greatest(F.col("m"), F.lit(2)))
-    share = F.col("pages") / F.col("m")
-    own = measured.groupBy(*keys, "path", "m").agg(
-        F.sum(F.when(F.col("kind") == "s", -share * F.log(share) / log_m)).alias("presentation"),
-        F.sum(F.when(F.col("kind") == "t", 1 - F.least(F.log("pages") / log_m, F.lit(1.0)))).alias("content"),
-        F.count_if(F.col("kind") == "t").alias("texts"))
+    own = sums.select(
+        *keys, "path", "m", "texts",
+        ((F.col("styles") * F.log("m") - F.col("style_logs")) / (F.col("m") * log_m)).alias("presentation"),
+        F.when(F.col("texts") > 0, F.greatest(F.col("texts") - F.col("logs") / log_m, F.lit(0.0))).alias("content"))
     # A node's subtree: every path is counted for all its prefixes.
     parts = F.split("path", "/")
     above = own.withColumn("top", F.explode(F.transform(

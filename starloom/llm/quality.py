@@ -26,7 +26,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm.common import BLANKS, cut_lineage, let, load
+from starloom.llm.common import BLANKS, cut_lineage, let, load, small_side
 
 LEAST_WORDS = 10
 MOST_REPEATED_PERCENT = 20
@@ -42,6 +42,8 @@ FLOORS = (0.5, 0.12, 0.5, 0.5, 0.5)
 CHI2_MEDIAN, CUTOFF = 4.3515, 41.0
 #: Quantiles of a group are found with a rank error of one in this number.
 ACCURACY = 10_000
+#: Estimates of up to this many groups (some 200 bytes each) are broadcast; more are joined by shuffles.
+MOST_POOLS = 50_000
 
 
 def _words(text: Column) -> Column:
@@ -118,14 +120,14 @@ def _grouped(points: DataFrame, least: int) -> DataFrame:
     pools = (sizes.join(by_lang, "wide", "left")
              .select("fine", F.when(F.col("count") >= least, F.col("fine")).when(F.col("wide_count") >= least, F.col("wide"))
                      .when(F.lit(left >= least), F.lit("all")).alias("pool")))
-    return fine.drop("wide").join(pools, "fine").drop("fine")
+    return fine.drop("wide").join(small_side(cut_lineage(pools), MOST_POOLS), "fine").drop("fine")
 
 
 def _start(points: DataFrame) -> DataFrame:
     """Medians and scaled absolute deviations of each pool, as a diagonal first estimate."""
     centre = points.groupBy("pool").agg(*[F.percentile_approx(x, 0.5, ACCURACY).alias(f"m{i}") for i, x in enumerate(X)])
     centre = cut_lineage(centre)
-    spread = (points.join(centre, "pool").groupBy("pool")
+    spread = (points.join(small_side(centre, MOST_POOLS), "pool").groupBy("pool")
               .agg(*[F.percentile_approx(F.abs(F.col(x) - F.col(f"m{i}")), 0.5, ACCURACY).alias(f"s{i}") for i, x in enumerate(X)]))
     est = centre.join(spread, "pool")
     whiten = {(i, j): (1.0 / F.greatest(1.4826 * F.col(f"s{i}"), F.lit(FLOORS[i])) if i == j else F.lit(0.0))
@@ -137,15 +139,15 @@ def _start(points: DataFrame) -> DataFrame:
 def _distance(points: DataFrame, est: DataFrame) -> DataFrame:
     """Add d2, the squared Mahalanobis distance: the rows of the whitening matrix times the centred vector."""
     rows = [reduce(lambda a, b: a + b, [F.col(f"w{i}{j}") * (F.col(X[j]) - F.col(f"m{j}")) for j in range(i + 1)]) for i in range(5)]
-    return points.join(est, "pool").withColumn("d2", reduce(lambda a, b: a + b, [r * r for r in rows]))
+    return points.join(small_side(est, MOST_POOLS), "pool").withColumn("d2", reduce(lambda a, b: a + b, [r * r for r in rows]))
 
 
 def _refit(points: DataFrame, est: DataFrame, support: float) -> DataFrame:
     """One concentration step: moments of each pool's closest documents, and the whitening matrix (the inverse of
     the covariance's Cholesky factor), column by column."""
     measured = _distance(points, est)
-    limit = measured.groupBy("pool").agg(F.percentile_approx("d2", support, ACCURACY).alias("limit"))
-    near = measured.join(limit, "pool").where(F.col("d2") <= F.col("limit"))
+    limit = cut_lineage(measured.groupBy("pool").agg(F.percentile_approx("d2", support, ACCURACY).alias("limit")))
+    near = measured.join(small_side(limit, MOST_POOLS), "pool").where(F.col("d2") <= F.col("limit"))
     # Sums are taken around the previous centre, where they lose no digits.
     c = [F.col(x) - F.col(f"m{i}") for i, x in enumerate(X)]
     sums = near.groupBy("pool").agg(
@@ -183,9 +185,9 @@ def robust_outliers(stats: DataFrame, support: float = SUPPORT, steps: int = STE
     for _ in range(steps):
         est = _refit(judged, est, support)
     measured = _distance(judged, est)
-    scale = measured.groupBy("pool").agg(
-        F.greatest(F.percentile_approx("d2", 0.5, ACCURACY) / CHI2_MEDIAN, F.lit(1.0)).alias("scale"))
-    out = measured.join(scale, "pool").withColumn("distance", F.sqrt(F.col("d2") / F.col("scale")))
+    scale = cut_lineage(measured.groupBy("pool").agg(
+        F.greatest(F.percentile_approx("d2", 0.5, ACCURACY) / CHI2_MEDIAN, F.lit(1.0)).alias("scale")))
+    out = measured.join(small_side(scale, MOST_POOLS), "pool").withColumn("distance", F.sqrt(F.col("d2") / F.col("scale")))
     columns = stats.columns
     rest = stats.where(F.col("base_failed")).withColumns({"distance": F.lit(None).cast("double"), "kept": F.lit(False)})
     unjudged = points.where(F.col("pool").isNull()).withColumns({"distance": F.lit(None).cast("double"), "kept": F.lit(True)})
