@@ -95,3 +95,18 @@ def test_two_files_for_one_id_in_one_batch(spark):
     later.withColumn("full_name", F.lit("again")).write.parquet(os.path.join(landing, "b4"))
     again = _stream(spark, "donors", base, landing).collect()
     assert sorted((r.id, r.stg_row_id) for r in again) == sorted((r.id, r.stg_row_id) for r in out) and {r.full_name for r in again} == {"again"}
+
+
+def test_written_versions_hold_no_stale_rows(spark):
+    """A recomputed accumulation group has another date key: the old row must not survive in its old partition."""
+    from starloom.plans.tables import read_tables, write_tables
+    root = tempfile.mkdtemp(prefix="starloom-tables-")
+    schema = "child_key long, snapshot_date_key int, n int"
+    day = "child_key long, date_key int, n int"
+    write_tables({"fact_child_snapshot_accumulation": spark.createDataFrame([(1, 20280101, 1), (2, 20280101, 1)], schema),
+                  "fact_x": spark.createDataFrame([(1, 20280101, 1), (1, 20280102, 1)], day)}, root)
+    second = {"fact_child_snapshot_accumulation": spark.createDataFrame([(1, 20280102, 2), (2, 20280101, 1)], schema),
+              "fact_x": spark.createDataFrame([(1, 20280101, 5)], day)}
+    got = read_tables(spark, write_tables(second, root))
+    for name, df in second.items():
+        assert sorted(map(tuple, got[name].select(df.columns).collect())) == sorted(map(tuple, df.collect()))
