@@ -11,6 +11,7 @@ from starloom.plans import quality, reports
 from starloom.plans.bind_mart_tables import _CALENDAR_KEY, _LINES_CTE, _WINDOW
 from starloom.plans.bind_marts import PROGRESS_MART_SQL, _natural_ids, finance_run, program_run
 from starloom.plans.registry import register
+from starloom.session import cut_lineage
 from starloom.sources.tables import load
 
 
@@ -160,6 +161,9 @@ def documented_dq_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources with children of no center, donations of nothing, and scores doubled beyond their scale."""
     from starloom.plans.driver_sources import finance_sources, program_task_sources
     prog, fin = program_task_sources(spark, sf_dir), finance_sources(spark, sf_dir)
+    # The mapping's scale id is a literal; as stored columns the scale is joined by its id and not as a constant.
+    prog["score_scales"] = cut_lineage(prog["score_scales"])
+    prog["daily_task_assignments"] = cut_lineage(prog["daily_task_assignments"].select("id", "score_scale_id"))
     prog["children"] = prog["children"].withColumn("center_id", F.when(F.col("id") % 50 == 0, -9).otherwise(F.col("center_id")))
     prog["task_assessments"] = prog["task_assessments"].withColumn("score", F.col("score") * 2)
     fin["donations"] = fin["donations"].withColumn("amount", F.when(F.col("id") % 50 == 0, 0).otherwise(F.col("amount")))
