@@ -37,7 +37,7 @@ LEAST_TEXTS = 8
 #: Least difference of a feature's shares in P and U, in standard errors, and least share of P or U that holds it: among
 #: many rare words some differ by chance, or because one toxic text was copied with changes.
 LEAST_Z, LEAST_SHARE = 6.0, 0.01
-EPOCHS, BATCH, RATE, DECAY = 120, 512, 0.05, 2e-5
+EPOCHS, BATCH, RATE, DECAY = 300, 2048, 0.1, 1e-6
 THRESHOLD = 0.7
 
 
