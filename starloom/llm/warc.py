@@ -6,10 +6,11 @@ continuation records, tied by the first one's id (WARC-Segment-Origin-ID), numbe
 Records go out as raw bytes through Spark's text writer, separated by the two line ends that close a record, so
 archives are written by tasks, committed by Spark's protocol, and may lie in any store Spark can reach.
 
-Reading: archives are split at the start of each record. Whole records are decoded as they are read; segments are grouped by
+Reading: archives are split at the version line of each record (a text without a repeated beginning, so that
+readers which look for it buffer by buffer cannot miss it). Whole records are decoded as they are read; segments are grouped by
 origin id, ordered by number, checked against the total length and each segment's own length, and joined. Only
-segmented records are shuffled, and a group is one record. The writer cuts a chunk inside any payload
-bytes that look like the start of a record, so no payload can break the split.
+segmented records are shuffled, and a group is one record. The writer cuts a chunk inside any version text of a payload, and
+encodes one in a URL, so no page can break the split.
 
 Defined cases: null html is an empty payload; equal payloads of rows with the same (largest) page_id are all responses; a segment
 that was archived twice is used once, and a record archived n times is returned n times; a record with a missing or damaged
@@ -36,7 +37,7 @@ CHUNK_BYTES = 8 << 10
 #: Fixed values of the format.
 VERSION = b"WARC/1.1\r\n"
 RECORD_END = "\r\n\r\n"
-_START = b"\r\n\r\nWARC/1."
+_START = VERSION.rstrip()
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 
 
@@ -45,13 +46,13 @@ def base32_sha1(payload: bytes) -> str:
 
 
 def chunked(payload: bytes, size: int = CHUNK_BYTES) -> bytes:
-    """Chunked transfer coding. A chunk ends inside every record start that the payload holds."""
+    """Chunked transfer coding. A chunk ends inside every version text that the payload holds."""
     out, at = [], 0
     while at < len(payload):
         end = min(at + size, len(payload))
         found = payload.find(_START, at, min(end + len(_START), len(payload)))
         if found >= 0:
-            end = min(end, found + 5)
+            end = min(end, found + 4)
         out.append(b"%x\r\n%s\r\n" % (end - at, payload[at:end]))
         at = end
     return b"".join(out) + b"0\r\n\r\n"
@@ -84,7 +85,7 @@ def records_of(page_id, url, payload: bytes, refers_to, segment_bytes: int = SEG
     name = f"page/{page_id}/{digest}"
     record = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>"
     # A header is one line: control characters of a URL are percent-encoded.
-    target = "".join(c if c >= " " and c != "\x7f" else f"%{ord(c):02X}" for c in url or "")
+    target = "".join(c if c >= " " and c != "\x7f" else f"%{ord(c):02X}" for c in url or "").replace("WARC/1.", "WARC%2F1.")
     common = [("WARC-Target-URI", target), ("WARC-Date", "1970-01-01T00:00:00Z"),
               ("WARC-Payload-Digest", f"sha1:{digest}"), ("WARC-Page-ID", "" if page_id is None else page_id),
               ("WARC-Payload-Length", len(payload))]
@@ -167,7 +168,7 @@ def parse_record(raw: bytes) -> dict:
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """Every record of the archives under ``path``, segments apart."""
     workers_import(spark)
-    lines = spark.read.option("lineSep", RECORD_END + VERSION.decode()).text(path).select(F.col("value").cast("binary"))
+    lines = spark.read.option("lineSep", VERSION.decode()).text(path).select(F.col("value").cast("binary"))
 
     def parse(batches):
         for batch in slices(batches, "value"):
