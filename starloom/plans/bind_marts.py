@@ -466,3 +466,68 @@ def program_accumulation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _natural_ids(acc, out).select(
         "child_id", "center_id", "teacher_id", "snapshot_date_key", "planned_task_count", "assessment_count", "completed_task_count",
         "scored_task_count", "first_plan_date_key", "last_plan_date_key", "first_assessment_date_key", "last_assessment_date_key")
+
+
+# ------------------------------------------------------------- F5 and F6 over every day of the fact
+WHOLE_DAILY_SQL = DAILY_SQL.replace(f"SELECT unnest([{', '.join(map(str, SNAPSHOT_DAYS))}]) AS day_key", """
+SELECT CAST(strftime(unnest(generate_series(strptime(CAST(min(date_key) AS VARCHAR), '%Y%m%d'),
+  strptime(CAST(max(date_key) AS VARCHAR), '%Y%m%d'), INTERVAL 1 DAY)), '%Y%m%d') AS INTEGER) AS day_key
+FROM progress WHERE date_key > 0""")
+
+
+def _whole_windows(out: dict) -> tuple:
+    """Two windows that share a day and cover the fact's dates from the first to the last (two scalars)."""
+    days = out["dim_date"].filter(F.col("TimeKey") != -1).select("TimeKey", "FullDateAlternateKey")
+    lo, hi = (out["fact_tran_student_task_progress"].join(checked_broadcast(days), F.col("date_key") == F.col("TimeKey"))
+              .agg(F.min("FullDateAlternateKey"), F.max("FullDateAlternateKey")).first())
+    if lo is None:
+        return ((RUN_START, RUN_END),) * 2
+    day = _dt.timedelta(days=1)
+    lo, hi = (_dt.datetime(d.year, d.month, d.day) for d in (lo, hi))
+    middle = lo + day * ((hi - lo).days // 2)
+    return (lo, middle + day), (middle, hi + day)
+
+
+def _whole_daily_runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, tuple, dict]:
+    """F5 run twice on the fact as the mart wrote it, batch ids included: every day from the first fact date on. The result is
+    not checkpointed: it has a row for each group seen so far on every day (1.2 billion on sf0.1)."""
+    from starloom.plans.mart1 import fact_daily_student_task_progress
+    out = program_run(spark, sf_dir)
+    windows, daily = _whole_windows(out), None
+    for batch, (start, end) in enumerate(windows, 1):
+        new = fact_daily_student_task_progress(out["fact_tran_student_task_progress"], out, start, end, daily, batch, RUN_END)
+        daily = new if daily is None else daily.unionByName(new)
+    return daily, windows, out
+
+
+#: No registered SQL, as the driver would collect five million rows on sf0.001; a test holds digests against WHOLE_DAILY_SQL.
+@register("program_daily_snapshot_whole", ("F5", "A5", "A3", "A4", "J14", "K5"))
+def program_daily_snapshot_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two overlapping runs of F5 over all days of the fact."""
+    daily, _, out = _whole_daily_runs(spark, sf_dir)
+    return _natural_ids(daily, out).select(
+        "date_key", "child_id", "center_id", "teacher_id", "raw_score", "min_score", "max_score", "normalized_score",
+        "planned_task_count", "assessment_count", "completed_task_count", "scored_task_count", "not_scored_task_count")
+
+
+@register("program_accumulation_whole", ("F6", "J16", "A8", "K11"), DAILY_SQL.replace(
+    f"SELECT unnest([{', '.join(map(str, SNAPSHOT_DAYS))}]) AS day_key", "SELECT max(date_key) AS day_key FROM progress") + """
+, seen AS (SELECT child_id, center_id, teacher_id, min(date_key) AS first_plan_date_key, max(date_key) AS last_plan_date_key,
+       min(CASE WHEN source_task_assessment_id IS NOT NULL THEN date_key END) AS first_assessment_date_key,
+       max(CASE WHEN source_task_assessment_id IS NOT NULL THEN date_key END) AS last_assessment_date_key
+     FROM progress GROUP BY ALL)
+SELECT d.child_id, d.center_id, d.teacher_id, d.date_key AS snapshot_date_key, planned_task_count, assessment_count,
+       completed_task_count, scored_task_count, first_plan_date_key, last_plan_date_key, first_assessment_date_key, last_assessment_date_key
+FROM daily d JOIN seen s USING (child_id, center_id, teacher_id)
+""")
+def program_accumulation_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F6 after both windows of the whole daily snapshot."""
+    from starloom.plans.mart1 import fact_child_snapshot_accumulation
+    from starloom.session import cut_lineage
+    daily, windows, out = _whole_daily_runs(spark, sf_dir)
+    acc = None
+    for batch, (start, end) in enumerate(windows, 1):
+        acc = cut_lineage(fact_child_snapshot_accumulation(daily, out["fact_tran_student_task_progress"], start, end, acc, batch, RUN_END))
+    return _natural_ids(acc, out).select(
+        "child_id", "center_id", "teacher_id", "snapshot_date_key", "planned_task_count", "assessment_count", "completed_task_count",
+        "scored_task_count", "first_plan_date_key", "last_plan_date_key", "first_assessment_date_key", "last_assessment_date_key")
