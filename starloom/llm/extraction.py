@@ -8,16 +8,18 @@ importance of a node combines the entropy of its presentation with the content i
 ``GAMMA`` as in the literature. Nodes that few pages of their host have are judged in the tree of all hosts.
 
 Style names carry a prior: what is named as navigation, header, footer, sidebar, notice, advert, form or reader comment keeps a
-fraction of its importance, and the landmarks ``article`` and ``main`` keep all of it. Branches below the threshold
-are cut from every page of the host. Plain text tags without a name are never cut for their content alone, so that an article
-that is copied on many pages stays. If a page has a landmark, its text is what is left inside.
-
-Statistics cover all rows of all pages and are combined before the shuffle, so a host with a third of all pages is only
-partial sums. The list of cut branches is joined to the pages by host: broadcast if its size is proven small, else as a
+fraction of its importance, and the landmarks ``article`` and ``main`` and what lies in them keep all of it. Branches below the threshold
+are cut from every page of the host. Plain text tags without a name are never cut for their content alone. If a page has a
+landmark, its text is what is left inside.
+
+A tree counts distinct pages: those of a host (or, in the tree of all hosts, of any) whose blocks outside noise names are
+the same are one page, so an article that is copied on many pages stays. Statistics cover all pages and are combined before
+the shuffle, so a host with a third of all pages, or a page with as many copies, is only partial results. The list of cut
+branches is joined to the pages by host: broadcast if its size is proven small, else as a
 shuffle join that splits hot hosts. Pages are parsed one by one; each is read whole.
 
 Defined cases: null or empty html gives an empty text; a null URL or one without ``://`` belongs to the host ''; repeated rows count
-as pages of their own and get the same text; unclosed tags, comments and scripts end with the page; an empty table gives
+as one page and get the same text; unclosed tags, comments and scripts end with the page; an empty table gives
 an empty result.
 """
 
@@ -102,7 +104,8 @@ class _Node:
 
 def parse(text: str) -> tuple[list[tuple[str, bool, str]], list[tuple[str, str]]]:
     """A page's blocks in order as (style path, inside a landmark, text), and its nodes as (style path, styles of
-    the children in order, repeats joined). Paths run over containers; noise by name carries a leading ``!`` in its part."""
+    the children in order, repeats joined). Paths run over containers; noise by name carries a leading ``!`` in its part, a
+    landmark a leading ``@``."""
     root = _Node("html", "", False, False, False, True)
     stack, nodes, blocks, parts = [root], [root], [], []
     at, size = 0, len(text)
@@ -186,7 +189,7 @@ def parse(text: str) -> tuple[list[tuple[str, bool, str]], list[tuple[str, str]]
             noise = True
         if tag in ("html", "body"):
             continue
-        part = f"!{label}" if noise else label
+        part = f"!{label}" if noise else f"@{label}" if landmark else label
         top.children.append(part)
         named = label != tag or noise or landmark or tag in ("div", "section", "header", "details", "table", "ul", "ol", "dl")
         path = f"{top.path}/{part}" if named else top.path
@@ -234,26 +237,41 @@ def _host(url: F.Column) -> F.Column:
     return F.lower(F.regexp_extract(rest, r"(?s)^([^/?#]*)", 1))
 
 
-def style_tree(pages: DataFrame) -> DataFrame:
-    """The merged trees in rows: host, path, kind (n: node, s: presentation, t: block text), feature (a hash) and pages, the number
-    of pages that have it."""
+def distinct_pages(pages: DataFrame) -> DataFrame:
+    """host, page (a hash of the blocks outside noise names) and features, one row for each distinct page of a host. Features are
+    structs of path, kind (n: node, s: presentation, t: block text) and a hash."""
     def gather(batches):
         for batch in batches:
-            hosts, paths, kinds, features = [], [], [], []
-            for host, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            hashes, ends, paths, kinds, features = [], [0], [], [], []
+            for text in batch.column(1).to_pylist():
                 blocks, shapes = parse(text or "")
                 rows = {(p, "t", hash64(t)) for p, _, t in blocks} | {(p, "s", hash64(s)) for p, s in shapes} | {(p, "n", 0) for p, _ in shapes}
-                hosts += [host] * len(rows)
-                for p, k, f in rows:
+                main = sorted({t for p, k, t in rows if k == "t" and "/!" not in p}) or sorted(rows)
+                hashes.append(hash64(repr(main)))
+                for p, k, f in sorted(rows):
                     paths.append(p)
                     kinds.append(k)
                     features.append(f)
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(kinds, pa.string()),
-                                              pa.array(features, pa.int64())], ["host", "path", "kind", "feature"])
+                ends.append(len(paths))
+            held = pa.StructArray.from_arrays([pa.array(paths, pa.string()), pa.array(kinds, pa.string()), pa.array(features, pa.int64())],
+                                              ["path", "kind", "feature"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hashes, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), held)],
+                                             ["host", "page", "features"])
 
     rows = pages.select(_host(F.coalesce("url", F.lit(""))).alias("host"), "html").mapInArrow(
-        gather, "host string, path string, kind string, feature long")
-    return rows.groupBy("host", "path", "kind", "feature").agg(F.count("*").alias("pages"))
+        gather, "host string, page long, features array<struct<path: string, kind: string, feature: long>>")
+    # Copies may differ in noise: the smallest is taken, so that any order of rows gives the same.
+    return rows.groupBy("host", "page").agg(F.min("features").alias("features"))
+
+
+def _merge(distinct: DataFrame, keys: list[str]) -> DataFrame:
+    return (distinct.select(*keys, F.explode("features").alias("x")).groupBy(*keys, "x.path", "x.kind", "x.feature")
+            .agg(F.count("*").alias("pages")))
+
+
+def style_tree(pages: DataFrame) -> DataFrame:
+    """The merged trees in rows: host, path, kind, feature and pages, the number of distinct pages that have it."""
+    return _merge(distinct_pages(pages), ["host"])
 
 
 def hash64(text: str) -> int:
@@ -287,18 +305,18 @@ def _importance(tree: DataFrame, keys: list[str]) -> DataFrame:
 
 def cut_branches(pages: DataFrame, least_importance: float = LEAST_IMPORTANCE) -> DataFrame:
     """host and ``cut``, the style paths of the host that are noise."""
-    tree = cut_lineage(style_tree(pages))
-    by_host = _importance(tree, ["host"])
-    everywhere = tree.groupBy("path", "kind", "feature").agg(F.sum("pages").alias("pages"))
+    distinct = cut_lineage(distinct_pages(pages))
+    by_host = _importance(_merge(distinct, ["host"]), ["host"])
+    everywhere = _merge(distinct.groupBy("page").agg(F.min("features").alias("features")), [])
     common = _importance(everywhere, []).select("path", F.col("m").alias("all_m"), F.col("importance").alias("all_importance"))
     last = F.element_at(F.split("path", "/"), -1)
     judged = by_host.join(common, "path").where(F.col("path") != "").withColumn("last", last)
     importance = (F.when(F.col("m") >= LEAST_PAGES, F.col("importance"))
                   .when(F.col("all_m") >= LEAST_PAGES, F.col("all_importance")).otherwise(F.lit(1.0)))
     noise = F.col("last").startswith("!")
-    tag = F.regexp_extract(F.ltrim(F.col("last"), F.lit("!")), r"^([^.#]*)", 1)
-    landmark = tag.isin(*sorted(LANDMARKS)) & ~noise
-    final = F.when(noise, importance * NOISE_FACTOR).when(landmark, F.lit(1.0)).otherwise(importance)
+    landmark = F.col("last").startswith("@")
+    inside = F.contains("path", F.lit("/@"))
+    final = F.when(noise, importance * NOISE_FACTOR).when(inside, F.lit(1.0)).otherwise(importance)
     # A branch that holds a landmark is not cut for its own sake.
     holds = judged.where(landmark).select("host", F.explode(F.transform(
         F.sequence(F.lit(1), F.size(F.split("path", "/"))), lambda n: F.array_join(F.slice(F.split("path", "/"), F.lit(1), n), "/"))).alias("path")).distinct()

@@ -88,3 +88,25 @@ def test_repeats_and_empty_tables(spark):
     rows = [(1, "http://a/", "<p>x</p>")] * 3 + [(None, "no scheme", None), (2, "http://b/", "<p>" + "long " * 200_000)]
     got = sorted((r.page_id or 0, r.n_chars) for r in extraction.extract_text(table(spark, rows)).collect())
     assert got == [(0, 0), (1, 1), (1, 1), (1, 1), (2, 999_999)]
+
+
+def test_copies_are_one_page(spark):
+    """Articles in neutral containers that occur on two or on all pages of a host, and on many hosts."""
+    def body(n):
+        return f"<div class=q1><p>Welcome</p></div><div class=q2><p>Text {n} one</p><p>Text {n} two</p></div>"
+    pages = [(i, f"http://twice.org/{i}", body(i // 2)) for i in range(20)]
+    pages += [(100 + i, f"http://same.org/{i}", body("s")) for i in range(30)]
+    pages += [(200 + i, f"http://mirror{i}.org/", body("m").replace("q2", "q7")) for i in range(12)]
+    got = texts(spark, pages)
+    assert all(got[i] == f"Text {i // 2} one\nText {i // 2} two" for i in range(20))
+    assert all("Text s one\nText s two" in got[100 + i] for i in range(30))
+    assert all("Text m one\nText m two" in got[200 + i] for i in range(12))
+
+
+@pytest.mark.parametrize("landmark", ["article", "div role=main"])
+def test_containers_in_copied_landmarks_stay(spark, landmark):
+    """The pages differ by a line, the lists, tables and divisions of their landmark do not."""
+    inner = "<ul><li>first<li>second</ul><table><tr><td>cell</td></tr></table><div class=k><p>deep</p></div>"
+    pages = [(i, f"http://a.org/{i}", f"<{landmark}><p>Line {i}</p>{inner}<div class=comments>Nice</div></{landmark.split()[0]}>") for i in range(20)]
+    got = texts(spark, pages)
+    assert all(got[i] == f"Line {i}\nfirst\nsecond\ncell\ndeep" for i in range(20))
