@@ -7,8 +7,10 @@ log n / log m, and a node's content importance is one less the mean entropy of i
 importance of a node combines the entropy of its presentation with the content importance of its subtree, damped by
 ``GAMMA`` as in the literature. Nodes that few pages of their host have are judged in the tree of all hosts.
 
-Style names carry a prior: what is named as navigation, header, footer, sidebar, notice, advert, form or reader comment keeps a
-fraction of its importance, and the landmarks ``article`` and ``main`` and what lies in them keep all of it. Branches below the threshold
+Style names carry a prior: what is plainly named as navigation, footer, sidebar, advert, form or reader comment keeps so little of its
+importance that the name alone decides. Names that text has, too (header, notice, related, discussion and the like, ``AMBIGUOUS_NAMES``), take a
+tenth: such a branch stays if nearly all its texts differ from page to page, and goes where no tree has enough pages to tell. A header
+inside a landmark is content. The landmarks ``article`` and ``main`` and what lies in them keep all of it. Branches below the threshold
 are cut from every page of the host. Plain text tags without a name are never cut for their content alone. If a page has a
 landmark, its text is what is left inside.
 
@@ -40,6 +42,8 @@ GAMMA = 0.9
 LEAST_IMPORTANCE = 0.7
 #: Importance that a name of noise leaves.
 NOISE_FACTOR = 0.3
+#: Importance that an ambiguous name leaves.
+AMBIGUOUS_FACTOR = 0.9
 #: A host's own tree judges a node that at least so many of its pages have.
 LEAST_PAGES = 8
 
@@ -63,6 +67,10 @@ NOISE_NAMES = frozenset({
     "cookies", "copyright", "discussion", "disqus", "footer", "gdpr", "header", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation",
     "newsletter", "notice", "notification", "pager", "pagination", "popup", "privacy", "promo", "promotion", "recommended", "related", "replies",
     "respond", "search", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget", "widgets"})
+#: Those that also stand over text that differs on every page.
+AMBIGUOUS_NAMES = frozenset({
+    "banner", "copyright", "discussion", "header", "masthead", "menu", "notice", "notification", "privacy", "promo", "promotion", "recommended",
+    "related", "respond", "search", "share", "sharing", "social", "widget", "widgets"})
 LANDMARKS = frozenset({"article", "main"})
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>""", re.S)
@@ -73,9 +81,10 @@ _DIGITS = re.compile(r"\d+")
 _LONG_DIGITS = re.compile(r"\d{3,}")
 
 
-def _style(tag: str, attributes: str) -> tuple[str, bool, bool, bool]:
-    """A tag's style label, whether its name means noise, whether it is a landmark, and whether it is hidden."""
-    noise, hidden, label, landmark = tag in NOISE_TAGS, False, tag, tag in LANDMARKS
+def _style(tag: str, attributes: str) -> tuple[str, str, bool, bool]:
+    """A tag's style label, whether its name means noise (``!``), may mean it (``?``), means a header (``h``) or neither (empty),
+    whether it is a landmark, and whether it is hidden."""
+    noise, hidden, label, landmark, words = tag in NOISE_TAGS, False, tag, tag in LANDMARKS, {"header"} if tag == "header" else set()
     if attributes and attributes != "/":
         for name, a, b, c, bare in _ATTRIBUTE.findall(attributes):
             name, value = name.lower(), (a or b or c).lower()
@@ -84,11 +93,12 @@ def _style(tag: str, attributes: str) -> tuple[str, bool, bool, bool]:
             elif name in ("class", "id"):
                 # Running numbers are one style: all digits of an id, long ones of a class.
                 label += "#" + _DIGITS.sub("0", value) if name == "id" else "." + _LONG_DIGITS.sub("0", "-".join(value.split()))
-                noise = noise or not NOISE_NAMES.isdisjoint(_NAMES.split(value))
+                words |= NOISE_NAMES.intersection(_NAMES.split(value))
             elif name == "role":
                 noise = noise or value in ("navigation", "banner", "contentinfo", "search", "complementary", "form", "dialog", "alert")
                 landmark = landmark or value in ("main", "article")
-    return label, noise, landmark and not noise, hidden
+    kind = "!" if noise or words - AMBIGUOUS_NAMES else "?" if words - {"header"} else "h" if words else ""
+    return label, kind, landmark and not kind, hidden
 
 
 _STYLES: dict[tuple[str, str], tuple] = {}
@@ -104,9 +114,9 @@ class _Node:
 
 def parse(text: str) -> tuple[list[tuple[str, bool, str]], list[tuple[str, str]]]:
     """A page's blocks in order as (style path, inside a landmark, text), and its nodes as (style path, styles of
-    the children in order, repeats joined). Paths run over containers; noise by name carries a leading ``!`` in its part, a
+    the children in order, repeats joined). Paths run over containers; noise by name carries a leading ``!`` or ``?`` in its part, a
     landmark a leading ``@``."""
-    root = _Node("html", "", False, False, False, True)
+    root = _Node("html", "", "", False, False, True)
     stack, nodes, blocks, parts = [root], [root], [], []
     at, size = 0, len(text)
 
@@ -185,11 +195,11 @@ def parse(text: str) -> tuple[list[tuple[str, bool, str]], list[tuple[str, str]]
             style = _STYLES[key] = _style(tag, attributes)
         label, noise, landmark, hidden = style
         top = stack[-1]
-        if tag == "header" and not top.inside:
-            noise = True
+        if noise == "h":
+            noise = "" if top.inside else "?"
         if tag in ("html", "body"):
             continue
-        part = f"!{label}" if noise else f"@{label}" if landmark else label
+        part = noise + label if noise else f"@{label}" if landmark else label
         top.children.append(part)
         named = label != tag or noise or landmark or tag in ("div", "section", "header", "details", "table", "ul", "ol", "dl")
         path = f"{top.path}/{part}" if named else top.path
@@ -313,10 +323,12 @@ def cut_branches(pages: DataFrame, least_importance: float = LEAST_IMPORTANCE) -
     judged = by_host.join(common, "path").where(F.col("path") != "").withColumn("last", last)
     importance = (F.when(F.col("m") >= LEAST_PAGES, F.col("importance"))
                   .when(F.col("all_m") >= LEAST_PAGES, F.col("all_importance")).otherwise(F.lit(1.0)))
-    noise = F.col("last").startswith("!")
+    noise, ambiguous = F.col("last").startswith("!"), F.col("last").startswith("?")
+    known = (F.col("m") >= LEAST_PAGES) | (F.col("all_m") >= LEAST_PAGES)
     landmark = F.col("last").startswith("@")
     inside = F.contains("path", F.lit("/@"))
-    final = F.when(noise, importance * NOISE_FACTOR).when(inside, F.lit(1.0)).otherwise(importance)
+    final = (F.when(noise | (ambiguous & ~known), importance * NOISE_FACTOR).when(ambiguous, importance * AMBIGUOUS_FACTOR)
+             .when(inside, F.lit(1.0)).otherwise(importance))
     # A branch that holds a landmark is not cut for its own sake.
     holds = judged.where(landmark).select("host", F.explode(F.transform(
         F.sequence(F.lit(1), F.size(F.split("path", "/"))), lambda n: F.array_join(F.slice(F.split("path", "/"), F.lit(1), n), "/"))).alias("path")).distinct()

@@ -110,3 +110,17 @@ def test_containers_in_copied_landmarks_stay(spark, landmark):
     pages = [(i, f"http://a.org/{i}", f"<{landmark}><p>Line {i}</p>{inner}<div class=comments>Nice</div></{landmark.split()[0]}>") for i in range(20)]
     got = texts(spark, pages)
     assert all(got[i] == f"Line {i}\nfirst\nsecond\ncell\ndeep" for i in range(20))
+
+
+def test_names_that_text_has_too(spark):
+    """Text that differs on every page stays under an ambiguous name, repeated text and plainly named noise go."""
+    names = ["header class=entry-header", "section id=related-work", "div class=discussion", "div class=notice-text"]
+    for outer in ("article", "div class=q"):
+        tag = outer.split()[0]
+        pages = [(i, f"http://a.org/{i}", f"<body><div class=search-box><p>Find it</p></div><{outer}>" + "".join(
+            f"<{n}><h2>Own {k} of {i}</h2></{n.split()[0]}>" for k, n in enumerate(names))
+            + f"<div class=share><p>Share this</p></div><p>Body {i}</p><div class=comments>Nice {i}</div></{tag}></body>") for i in range(12)]
+        pages.append((99, "http://other.net/", "<div class=promo><p>Only here</p></div><p>Text</p>"))
+        got = texts(spark, pages)
+        assert all(got[i] == "\n".join([*(f"Own {k} of {i}" for k in range(4)), f"Body {i}"]) for i in range(12))
+        assert got[99] == "Text"
