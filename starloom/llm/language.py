@@ -5,8 +5,8 @@ permuted twice and the second once; a text is the sum (bundle) of all its trigra
 is the sum of the normalised vectors of its training texts. A text gets the language whose prototype has the largest cosine
 with it. Texts are lower-cased, runs of other characters are one blank, and each text begins and ends with a blank.
 
-Prototypes are learned from at most about ``docs_per_language`` training documents of each language, chosen by a hash of their
-text; they are as many as the languages. Prediction reads every whole text, in batches, in one pass.
+Prototypes are learned from all training documents, copies as often as they occur: sums of a vector for each language are combined per
+task, and they are as many as the languages. Prediction reads every whole text, in batches, in one pass.
 
 Defined cases: null texts and texts without a letter get ``und`` and score 0; so does everything if there is nothing
 to learn from. Ties go to the first language in code-point order. Repeated rows get the same answer. An empty table
@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from starloom.llm.common import fold, keep_rows, load, mix64, slices
 
 DIM = 1024
-DOCS_PER_LANGUAGE = 1_500
 UNKNOWN = "und"
 #: A filtered corpus keeps texts of at least this cosine with their language.
 LEAST_SCORE = 0.05
@@ -100,16 +99,9 @@ def text_vector(text: str | None) -> np.ndarray | None:
     return total / max(float(np.linalg.norm(total)), 1e-9)
 
 
-def learn_prototypes(labelled: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE) -> dict[str, np.ndarray]:
-    """Unit prototypes by language from (text, lang) rows."""
+def learn_prototypes(labelled: DataFrame) -> dict[str, np.ndarray]:
+    """Unit prototypes by language from (text, lang) rows, all of them."""
     labelled = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang")
-    # One number and one vector per language come to the driver.
-    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
-    if not counts:
-        return {}
-    scale = 1 << 30
-    shares = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(scale, int(scale * docs_per_language / n))))])
-    sample = labelled.where(F.pmod(F.xxhash64(F.lit(3), "text"), F.lit(scale)) < shares[F.col("lang")])
 
     def bundle(batches):
         sums: dict[str, np.ndarray] = {}
@@ -122,7 +114,7 @@ def learn_prototypes(labelled: DataFrame, docs_per_language: int = DOCS_PER_LANG
             yield pa.RecordBatch.from_arrays([pa.array([lang] * DIM), pa.array(np.arange(DIM, dtype=np.int32)), pa.array(v)], ["lang", "dim", "value"])
 
     out: dict[str, np.ndarray] = {}
-    summed = sample.mapInArrow(bundle, "lang string, dim int, value double").groupBy("lang", "dim").agg(F.sum("value").alias("value"))
+    summed = labelled.mapInArrow(bundle, "lang string, dim int, value double").groupBy("lang", "dim").agg(F.sum("value").alias("value"))
     for row in summed.collect():
         out.setdefault(row.lang, np.zeros(DIM))[row.dim] = row.value
     return {k: (v / max(np.linalg.norm(v), 1e-9)).astype(np.float32) for k, v in sorted(out.items())}

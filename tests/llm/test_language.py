@@ -57,3 +57,16 @@ def test_undetermined_ties_and_empty_tables(docs_of):
     assert {r.lang_pred for r in language.predict_languages(docs_of(rows), {}).collect()} == {"und"}
     assert sorted(r.doc_id or 0 for r in language.in_known_language(docs_of(rows), {}).collect()) == [0, 4, 5]
     assert language.predict_languages(docs_of([]), prototypes).count() == 0
+
+
+def test_few_texts_copied_thousands_of_times(spark, docs_of):
+    """Each of 30 languages is one text in 4,000 rows: a sample by text would leave out most."""
+    import random
+    rng = random.Random(5)
+    words = {f"l{k:02}": " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for _ in range(6)) for k in range(30)}
+    rows = [(k, text, lang) for k, (lang, text) in enumerate(words.items())]
+    train = docs_of(rows).crossJoin(spark.range(4_000).select())
+    prototypes = language.learn_prototypes(train)
+    assert sorted(prototypes) == sorted(words)
+    got = {r.doc_id: r.lang_pred for r in language.predict_languages(docs_of(rows), prototypes).collect()}
+    assert got == {k: lang for k, _, lang in rows}
