@@ -1,4 +1,6 @@
+import math
 import re
+from collections import Counter
 
 import pytest
 
@@ -65,3 +67,14 @@ def test_query_on_the_table(spark):
 
 def test_empty_table(spark):
     assert urls.judge_urls(frame(spark, [])).count() == 0
+
+
+def test_entropy_of_whole_paths(spark):
+    """Tens of thousands of characters, the end unlike the beginning."""
+    paths = ["/", "", "/aab", "/é日本é", "/" + "a" * 30_000 + "bcdefgh" * 4_000, "/" + "ab" * 20_000]
+    rows = [(i, f"http://h.net{p}", None) for i, p in enumerate(paths)]
+    got = urls.with_host_and_path(frame(spark, rows)).withColumn("bits", urls._features()["path_entropy"]).collect()
+    for r in got:
+        path, n = paths[r.page_id], len(paths[r.page_id])
+        want = -sum(k / n * math.log2(k / n) for k in Counter(path).values())
+        assert abs(r.bits - want) < 1e-6, r.page_id
