@@ -3,16 +3,17 @@
 The tokenizer of ``vocabulary`` splits a text into pre-tokens that it encodes one by one, so a text's count is the
 sum of its pre-tokens' lengths. Tier one is a compact hash table (pre-token -> number of tokens) of the most
 frequent pre-tokens, found in a bounded sample of documents and broadcast: at most ``table_size`` entries of at
-most ``MAX_KEY`` bytes. Tier two holds in each worker process a bounded cache of lengths of the others, which the
-library encodes on their first appearance. Pre-tokens are never shuffled; every text is read whole and once.
-The sample only decides what is fast, never a count.
+most ``MAX_KEY`` characters. Tier two holds in each worker process a bounded cache of lengths of the others, which the
+library encodes on their first appearance; blanks always end a pre-token, so it also keeps whole words between blanks.
+Pre-tokens are never shuffled; every text is read whole and once. The sample only decides what is fast, never a count.
 
 Texts that contain a special token's string, or characters beyond the plain range in which Python's and the
 library's case and class tables are known to agree, are encoded by the library as they stand. Both paths give the
 library's counts: ``encode(text, add_special_tokens=False)`` with its defaults.
 
-Defined cases: null and empty texts have 0 bytes and 0 tokens; repeated rows are counted each; an empty table gives an
-empty result.
+Defined cases: null and empty texts have 0 bytes and 0 tokens; repeated rows are counted each; of equally frequent
+pre-tokens the least by code point enter the table; a very long text is a slice of its own, its words held in memory once; an
+empty table gives an empty result; only ``doc_id`` and ``text`` are read, so other columns may have any names.
 """
 
 from __future__ import annotations
@@ -33,8 +34,8 @@ LIMIT = 2048
 SAMPLE_DOCS = 2_000
 TABLE_SIZE = 30_000
 MAX_KEY = 64
-#: Entries of a worker's cache; when full it starts anew.
-CACHE_SIZE = 200_000
+#: Entries of one generation of a worker's cache (it holds two), beside those of one slice of texts.
+CACHE_SIZE = 400_000
 
 #: The pre-token pattern and special strings of the vocabulary file (``_Encoder`` checks them).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -62,7 +63,8 @@ class _Encoder:
         split = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0].get("pattern", {}).get("Regex")
         #: With any other vocabulary all texts take the library's path.
         self.piecewise = split == PATTERN and all(t["content"] in ("<|startoftext|>", "<|endoftext|>") for t in spec["added_tokens"])
-        self.cache: dict[str, int] = {}
+        self.known: _Lengths | None = None
+        self._table: object = None
 
     @classmethod
     def of(cls, path: str) -> _Encoder:
@@ -79,29 +81,64 @@ class _Encoder:
     def lengths(self, pieces: list[str]) -> list[int]:
         return [len(e.ids) for e in self.tokenizer.encode_batch(pieces, add_special_tokens=False)]
 
-    def count(self, text: str, table: dict[str, int]) -> int:
-        if not self.plain(text):
-            return self.whole(text)
-        total, missed = 0, []
-        pieces = _PIECES.findall(text.lower())
-        for n, piece in zip(map(table.get, pieces), pieces, strict=True):
-            if n is None:
-                missed.append(piece)
+    def counts(self, texts: list[str | None], table: dict[str, int]) -> list[int]:
+        """Tokens of each text. Words between blanks are looked up at once; those not met before are split into pre-tokens, and
+        the pre-tokens not met before are encoded together."""
+        if self.known is None or self._table is not table:
+            self.known, self._table = _Lengths(table), table
+        known, late = self.known, []
+        out = []
+        for row, text in enumerate(texts):
+            if not text:
+                out.append(0)
+            elif not self.plain(text):
+                out.append(self.whole(text))
             else:
-                total += n
-        if missed:
-            cache = self.cache
-            new = list({p for p in missed if p not in cache})
-            if new:
-                if len(cache) + len(new) > CACHE_SIZE:
-                    cache.clear()
-                    new = list(set(missed))
-                # One very long text may hold more new pre-tokens than the cache: it is encoded in blocks.
-                for start in range(0, len(new), 10_000):
-                    block = new[start:start + 10_000]
-                    cache.update(zip(block, self.lengths(block), strict=True))
-            total += sum(map(cache.__getitem__, missed))
-        return total
+                out.append(sum(map(known.__getitem__, text.lower().split())))
+                if known.missed:
+                    late.append((row, known.missed))
+                    known.missed = []
+        if late:
+            self._learn({w for _, words in late for w in words})
+            for row, words in late:
+                out[row] += sum(map(known.__getitem__, words))
+            known.turn(CACHE_SIZE, table)
+        return out
+
+    def _learn(self, words: set[str]) -> None:
+        known, pieces = self.known, {}
+        for word in words:
+            pieces[word] = _PIECES.findall(word)
+        new = sorted({p for split in pieces.values() for p in split if p not in known and p not in known.old})
+        for start in range(0, len(new), 10_000):
+            block = new[start:start + 10_000]
+            known.update(zip(block, self.lengths(block), strict=True))
+        for word, split in pieces.items():
+            known[word] = sum(map(known.__getitem__, split))
+
+
+class _Lengths(dict):
+    """Lengths of words and pre-tokens in two generations: what is asked for moves to the younger one, and when that is
+    full the older one alone is dropped, so a worker never forgets what it uses."""
+
+    def __init__(self, table: dict[str, int]):
+        super().__init__(table)
+        self.old: dict[str, int] = {}
+        self.missed: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        n = self.old.get(word)
+        if n is None:
+            self.missed.append(word)
+            return 0
+        self[word] = n
+        return n
+
+    def turn(self, size: int, table: dict[str, int]) -> None:
+        if len(self) > size + len(table):
+            self.old = dict(self)
+            self.clear()
+            self.update(table)
 
 
 def frequent_lengths(docs: DataFrame, path: str, sample_docs: int = SAMPLE_DOCS, table_size: int = TABLE_SIZE) -> dict[str, int]:
@@ -124,7 +161,7 @@ def frequent_lengths(docs: DataFrame, path: str, sample_docs: int = SAMPLE_DOCS,
         yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in best], pa.string()), pa.array([n for _, n in best], pa.int64())], ["piece", "n"])
 
     merged: Counter = Counter()
-    for row in hash_share(docs, share, "doc_id").select("text").mapInArrow(top, "piece string, n long").collect():
+    for row in hash_share(docs, share, "doc_id", "text").select("text").mapInArrow(top, "piece string, n long").collect():
         merged[row.piece] += row.n
     best = [p for p, _ in sorted(merged.items(), key=lambda x: (-x[1], x[0]))[:table_size]]
     return dict(zip(best, _Encoder.of(path).lengths(best), strict=True)) if best else {}
@@ -139,7 +176,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = LIMIT, sample_docs: in
         encoder, lookup = _Encoder.of(path), table.value
         for batch in slices(batches, "text"):
             texts = batch.column(1)
-            n = np.fromiter((encoder.count(t, lookup) if t else 0 for t in texts.to_pylist()), np.int64, len(texts))
+            n = np.array(encoder.counts(texts.to_pylist(), lookup), np.int64)
             size = pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), size, pa.array(n), pa.array(n > limit)],
                                              ["doc_id", "n_bytes", "n_tokens", "over_limit"])

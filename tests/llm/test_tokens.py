@@ -18,20 +18,28 @@ def library(text):
 @given(st.one_of(st.text(max_size=80), st.text(st.sampled_from("aAéÉßſ'sTLl 1٣.,!\n\x85\xa0é日İΣς<|endoftext|>"), max_size=40)))
 @settings(max_examples=600, deadline=None)
 def test_count_is_the_librarys(text):
-    assert tokens._Encoder.of(PATH).count(text, {"a": 1}) == library(text)
+    assert tokens._Encoder.of(PATH).counts([text], {"a": 1}) == [library(text)]
 
 
 @pytest.mark.parametrize("text", ["<|endoftext|>", "a<|startoftext|>b", "<|endoftext", "I'LL don't", "x" * 5000, "ΑΣ", " ", "a b"])
 def test_fixed_texts(text):
-    assert tokens._Encoder.of(PATH).count(text, {}) == library(text)
+    assert tokens._Encoder.of(PATH).counts([text], {}) == [library(text)]
 
 
-def test_cache_restarts_within_its_bound(monkeypatch):
+def test_cache_keeps_what_it_uses_within_its_bound(monkeypatch):
     monkeypatch.setattr(tokens, "CACHE_SIZE", 50)
-    encoder = tokens._Encoder(PATH)
+    encoder, table = tokens._Encoder(PATH), {"the": 1}
     for k in range(20):
-        text = " ".join(f"w{chr(97 + k)}{chr(97 + i % 26)}{'q' * (i % 7)}" for i in range(40))
-        assert encoder.count(text, {}) == library(text)
+        text = "the same words " + " ".join(f"w{chr(97 + k)}{chr(97 + i % 26)}{'q' * (i % 7)}" for i in range(40))
+        assert encoder.counts([text, None, text], table) == [library(text), 0, library(text)]
+        assert len(encoder.known) <= 50 + 1 + 43 and len(encoder.known.old) <= 50 + 1 + 43
+        assert "same" in encoder.known or "same" in encoder.known.old
+
+
+def test_very_long_text_and_ties(docs_of):
+    long_text = " ".join(f"w{i} x{i % 97}'s <b>" for i in range(30_000))
+    got = {r.doc_id: r.n_tokens for r in tokens.token_counts(docs_of([(1, long_text), (2, "b a"), (3, "a b")]), PATH, table_size=1).collect()}
+    assert got == {1: library(long_text), 2: 2, 3: 2}
 
 
 def test_query_counts_every_row(spark):
