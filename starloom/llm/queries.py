@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from starloom.llm import decontamination, dedup, extraction, language, mixing, quality, tokens, toxicity, urls, warc
+from starloom.llm import (
+    decontamination,
+    dedup,
+    extraction,
+    language,
+    mixing,
+    packing,
+    prefix_trie,
+    quality,
+    structure,
+    tokens,
+    toxicity,
+    urls,
+    warc,
+)
 
 QUERIES = {
     "op1_token_counts": tokens.op1_token_counts,
@@ -15,6 +29,9 @@ QUERIES = {
     "op8_url_gbt": urls.op8_url_gbt,
     "op9_language_hd": language.op9_language_hd,
     "op10_minmax_dedup": dedup.op10_minmax_dedup,
+    "op11_pack_bounded": packing.op11_pack_bounded,
+    "op12_conversation_trie": prefix_trie.op12_conversation_trie,
+    "op13_structure_dawg": structure.op13_structure_dawg,
 }
 SQL = {name: sql for name, sql in {
     "op1_token_counts": tokens.SQL,
@@ -27,4 +44,7 @@ SQL = {name: sql for name, sql in {
     "op8_url_gbt": urls.SQL,
     "op9_language_hd": language.SQL,
     "op10_minmax_dedup": dedup.SQL,
+    "op11_pack_bounded": packing.SQL,
+    "op12_conversation_trie": prefix_trie.SQL,
+    "op13_structure_dawg": structure.SQL,
 }.items() if sql}
