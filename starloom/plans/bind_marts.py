@@ -393,11 +393,6 @@ def program_scd2_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("version").cast("int").alias("teacher_version"))
 
 
-#: Two runs whose windows share a day: the second appends only the days the first has not written.
-SNAPSHOT_RUNS = ((_dt.datetime(2001, 10, 30), _dt.datetime(2001, 11, 1)), (_dt.datetime(2001, 10, 31), _dt.datetime(2001, 11, 2)))
-SNAPSHOT_DAYS = (20011030, 20011031, 20011101)
-
-
 def _exact_avg_sql(col: str, scale: int, precision: int = 10) -> str:
     s = f"sum(CASE WHEN is_scored = 1 THEN {col} END)"
     n = f"count(CASE WHEN is_scored = 1 THEN {col} END)"
@@ -405,9 +400,12 @@ def _exact_avg_sql(col: str, scale: int, precision: int = 10) -> str:
             f"AS DECIMAL(24,0)) * {1 / 10 ** scale:.{scale}f} AS DECIMAL({precision},{scale})) END")
 
 
-DAILY_SQL = PROGRESS_MART_SQL + f""", days AS (SELECT unnest([{", ".join(map(str, SNAPSHOT_DAYS))}]) AS day_key),
-daily AS (
-SELECT day_key AS date_key, child_id, center_id, teacher_id,
+#: A group's values as of each day on which it has a fact row, by the definition (every fact dated on or before it); a day between has those of
+#: the last such day. ``span_days`` has a row for each day and group then.
+DAILY_SQL = PROGRESS_MART_SQL + f""",
+changes AS (SELECT DISTINCT child_id, center_id, teacher_id, date_key AS day_key FROM progress WHERE date_key > 0),
+states AS (
+SELECT day_key, c.child_id, c.center_id, c.teacher_id,
   {_exact_avg_sql('raw_score', 2)} AS raw_score,
   CAST(min(CASE WHEN is_scored = 1 THEN 0 END) AS DECIMAL(10,2)) AS min_score,
   CAST(max(CASE WHEN is_scored = 1 THEN 50 END) AS DECIMAL(10,2)) AS max_score,
@@ -417,62 +415,24 @@ SELECT day_key AS date_key, child_id, center_id, teacher_id,
   CAST(count(DISTINCT CASE WHEN is_completed = 1 THEN source_daily_task_assignment_id END) AS INTEGER) AS completed_task_count,
   CAST(count(DISTINCT CASE WHEN is_scored = 1 THEN source_daily_task_assignment_id END) AS INTEGER) AS scored_task_count,
   CAST(count(DISTINCT CASE WHEN is_not_scored = 1 THEN source_daily_task_assignment_id END) AS INTEGER) AS not_scored_task_count
-FROM progress JOIN days ON progress.date_key <= days.day_key
-GROUP BY 1, child_id, center_id, teacher_id)
+FROM changes c JOIN progress p ON p.child_id IS NOT DISTINCT FROM c.child_id AND p.center_id IS NOT DISTINCT FROM c.center_id
+  AND p.teacher_id IS NOT DISTINCT FROM c.teacher_id AND p.date_key <= c.day_key
+GROUP BY 1, 2, 3, 4),
+spans AS (
+SELECT *, strptime(CAST(day_key AS VARCHAR), '%Y%m%d') AS day_from,
+  coalesce(lead(strptime(CAST(day_key AS VARCHAR), '%Y%m%d')) OVER (PARTITION BY child_id, center_id, teacher_id ORDER BY day_key) - INTERVAL 1 DAY,
+           (SELECT strptime(CAST(max(date_key) AS VARCHAR), '%Y%m%d') FROM progress)) AS day_to
+FROM states)
 """
 
-
-def _daily_runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, dict]:
-    """The daily-snapshot job (F5) run twice over the whole task-progress fact. Rows from the first window on are
-    the job's last batch, so its earliest affected day is the window's start and not the first day of all history."""
-    from starloom.plans.mart1 import fact_daily_student_task_progress
-    from starloom.session import cut_lineage
-    out = program_run(spark, sf_dir)
-    first_key = int(SNAPSHOT_RUNS[0][0].strftime("%Y%m%d"))
-    progress = out["fact_tran_student_task_progress"].withColumn("etl_batch_id", F.when(F.col("date_key") >= first_key, 2).otherwise(1))
-    daily = None
-    for batch, (start, end) in enumerate(SNAPSHOT_RUNS, 1):
-        new = cut_lineage(fact_daily_student_task_progress(progress, out, start, end, daily, batch, RUN_END))
-        daily = new if daily is None else daily.unionByName(new)
-    return daily, progress, out
-
-
-@register("program_daily_snapshot", ("F5", "A5", "A3", "A4", "J14", "K5"), DAILY_SQL + "SELECT * FROM daily")
-def program_daily_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two overlapping runs of F5: each day is written once, by the definition (every fact dated on or before it)."""
-    daily, _, out = _daily_runs(spark, sf_dir)
-    return _natural_ids(daily, out).select(
-        "date_key", "child_id", "center_id", "teacher_id", "raw_score", "min_score", "max_score", "normalized_score",
-        "planned_task_count", "assessment_count", "completed_task_count", "scored_task_count", "not_scored_task_count")
-
-
-@register("program_accumulation", ("F6", "J16", "A8", "K11"), DAILY_SQL + f"""
-, seen AS (SELECT child_id, center_id, teacher_id, min(date_key) AS first_plan_date_key, max(date_key) AS last_plan_date_key,
-       min(CASE WHEN source_task_assessment_id IS NOT NULL THEN date_key END) AS first_assessment_date_key,
-       max(CASE WHEN source_task_assessment_id IS NOT NULL THEN date_key END) AS last_assessment_date_key
-     FROM progress GROUP BY ALL)
-SELECT d.child_id, d.center_id, d.teacher_id, d.date_key AS snapshot_date_key, planned_task_count, assessment_count,
-       completed_task_count, scored_task_count, first_plan_date_key, last_plan_date_key, first_assessment_date_key, last_assessment_date_key
-FROM daily d JOIN seen s USING (child_id, center_id, teacher_id) WHERE d.date_key = {SNAPSHOT_DAYS[-1]}
-""")
-def program_accumulation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F6 after both windows: the second run's recomputed groups replace the first run's rows."""
-    from starloom.plans.mart1 import fact_child_snapshot_accumulation
-    from starloom.session import cut_lineage
-    daily, progress, out = _daily_runs(spark, sf_dir)
-    acc = None
-    for batch, (start, end) in enumerate(SNAPSHOT_RUNS, 1):
-        acc = cut_lineage(fact_child_snapshot_accumulation(daily, progress, start, end, acc, batch, RUN_END))
-    return _natural_ids(acc, out).select(
-        "child_id", "center_id", "teacher_id", "snapshot_date_key", "planned_task_count", "assessment_count", "completed_task_count",
-        "scored_task_count", "first_plan_date_key", "last_plan_date_key", "first_assessment_date_key", "last_assessment_date_key")
-
-
-# ------------------------------------------------------------- F5 and F6 over every day of the fact
-WHOLE_DAILY_SQL = DAILY_SQL.replace(f"SELECT unnest([{', '.join(map(str, SNAPSHOT_DAYS))}]) AS day_key", """
-SELECT CAST(strftime(unnest(generate_series(strptime(CAST(min(date_key) AS VARCHAR), '%Y%m%d'),
-  strptime(CAST(max(date_key) AS VARCHAR), '%Y%m%d'), INTERVAL 1 DAY)), '%Y%m%d') AS INTEGER) AS day_key
-FROM progress WHERE date_key > 0""")
+#: Per day: how many rows the snapshot has and sums that tell its columns and keys apart.
+DIGEST = {
+    "child_sum": "child_id", "place_sum": "center_id * teacher_id", "raw_by_child": "raw_score * child_id", "min_sum": "min_score",
+    "max_by_teacher": "max_score * teacher_id", "norm_by_child": "normalized_score * child_id", "planned_by_child": "planned_task_count * child_id",
+    "assessed_by_teacher": "assessment_count * teacher_id", "completed_by_child": "completed_task_count * child_id",
+    "scored_by_child": "scored_task_count * child_id", "not_scored_by_child": "not_scored_task_count * child_id"}
+#: Four decimals for all, as 64-bit integers.
+_SCALED = "CAST(({}) * 10000 AS BIGINT)"
 
 
 def _whole_windows(out: dict) -> tuple:
@@ -488,46 +448,57 @@ def _whole_windows(out: dict) -> tuple:
     return (lo, middle + day), (middle, hi + day)
 
 
-def _whole_daily_runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, tuple, dict]:
-    """F5 run twice on the fact as the mart wrote it, batch ids included: every day from the first fact date on. The result is
-    not checkpointed: it has a row for each group seen so far on every day (1.2 billion on sf0.1)."""
-    from starloom.plans.mart1 import fact_daily_student_task_progress
-    out = program_run(spark, sf_dir)
-    windows, daily = _whole_windows(out), None
-    for batch, (start, end) in enumerate(windows, 1):
-        new = fact_daily_student_task_progress(out["fact_tran_student_task_progress"], out, start, end, daily, batch, RUN_END)
-        daily = new if daily is None else daily.unionByName(new)
-    return daily, windows, out
-
-
-#: No registered SQL, as the driver would collect five million rows on sf0.001; a test holds digests against WHOLE_DAILY_SQL.
-@register("program_daily_snapshot_whole", ("F5", "A5", "A3", "A4", "J14", "K5"))
+def daily_runs(spark: SparkSession, sf_dir: str) -> tuple:
+    """F5 run twice on the fact as the mart wrote it, batch ids included: every day from the first fact date on."""
+    from starloom.plans.mart1 import roll_daily_snapshot
+    key = ("daily", spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _RUNS:
+        out = program_run(spark, sf_dir)
+        windows, state = _whole_windows(out), None
+        for batch, (start, end) in enumerate(windows, 1):
+            state = roll_daily_snapshot(out["fact_tran_student_task_progress"], out, start, end, state, batch, RUN_END)
+        _RUNS[key] = (state, windows, out)
+    return _RUNS[key]
+
+
+@register("program_daily_snapshot_whole", ("F5", "A5", "A3", "A4", "J14", "K5"), DAILY_SQL + f"""
+SELECT CAST(strftime(day, '%Y%m%d') AS INTEGER) AS date_key, count(*) AS n_rows,
+  {", ".join(f"CAST(sum({n}) AS BIGINT) AS {n}" for n in DIGEST)}
+FROM (SELECT unnest(generate_series(day_from, day_to, INTERVAL 1 DAY)) AS day,
+        {", ".join(f"coalesce({_SCALED.format(e)}, 0) AS {n}" for n, e in DIGEST.items())} FROM spans)
+GROUP BY 1
+""")
 def program_daily_snapshot_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two overlapping runs of F5 over all days of the fact."""
-    daily, _, out = _whole_daily_runs(spark, sf_dir)
-    return _natural_ids(daily, out).select(
-        "date_key", "child_id", "center_id", "teacher_id", "raw_score", "min_score", "max_score", "normalized_score",
-        "planned_task_count", "assessment_count", "completed_task_count", "scored_task_count", "not_scored_task_count")
-
-
-@register("program_accumulation_whole", ("F6", "J16", "A8", "K11"), DAILY_SQL.replace(
-    f"SELECT unnest([{', '.join(map(str, SNAPSHOT_DAYS))}]) AS day_key", "SELECT max(date_key) AS day_key FROM progress") + """
+    """Two overlapping runs of F5 over all days of the fact, as one row of digests per day: the snapshot's rows number groups times days
+    (1.2 billion on sf0.1), its spans only the changes."""
+    from starloom.operators.intervals import daily_totals
+    from starloom.plans.mart1 import _daily_columns
+    state, _, out = daily_runs(spark, sf_dir)
+    spans = _natural_ids(state.published, out)
+    spans = spans.select("since", "valid_from", "valid_to", "child_id", "center_id", "teacher_id", *_daily_columns(spans))
+    totals = {n: F.coalesce(F.expr(_SCALED.format(e)), F.lit(0)) for n, e in DIGEST.items()}
+    days = daily_totals(spans, state.runs, totals)
+    return days.select(F.date_format("snapshot_date", "yyyyMMdd").cast("int").alias("date_key"), *[F.col(n).cast("long").alias(n) for n in ("n_rows", *DIGEST)])
+
+
+@register("program_accumulation_whole", ("F6", "J16", "A8", "K11"), DAILY_SQL + """
 , seen AS (SELECT child_id, center_id, teacher_id, min(date_key) AS first_plan_date_key, max(date_key) AS last_plan_date_key,
        min(CASE WHEN source_task_assessment_id IS NOT NULL THEN date_key END) AS first_assessment_date_key,
-       max(CASE WHEN source_task_assessment_id IS NOT NULL THEN date_key END) AS last_assessment_date_key
+       max(CASE WHEN source_task_assessment_id IS NOT NULL THEN date_key END) AS last_assessment_date_key, max(date_key) AS day_key
      FROM progress GROUP BY ALL)
-SELECT d.child_id, d.center_id, d.teacher_id, d.date_key AS snapshot_date_key, planned_task_count, assessment_count,
+SELECT d.child_id, d.center_id, d.teacher_id, (SELECT max(date_key) FROM progress) AS snapshot_date_key, planned_task_count, assessment_count,
        completed_task_count, scored_task_count, first_plan_date_key, last_plan_date_key, first_assessment_date_key, last_assessment_date_key
-FROM daily d JOIN seen s USING (child_id, center_id, teacher_id)
+FROM states d JOIN seen s USING (child_id, center_id, teacher_id, day_key)
 """)
 def program_accumulation_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F6 after both windows of the whole daily snapshot."""
-    from starloom.plans.mart1 import fact_child_snapshot_accumulation
+    """F6 after both windows of the daily snapshot: the second run's recomputed groups replace the first run's rows."""
+    from starloom.plans.mart1 import fact_child_snapshot_accumulation, last_daily_rows
     from starloom.session import cut_lineage
-    daily, windows, out = _whole_daily_runs(spark, sf_dir)
+    state, windows, out = daily_runs(spark, sf_dir)
     acc = None
     for batch, (start, end) in enumerate(windows, 1):
-        acc = cut_lineage(fact_child_snapshot_accumulation(daily, out["fact_tran_student_task_progress"], start, end, acc, batch, RUN_END))
+        acc = cut_lineage(fact_child_snapshot_accumulation(last_daily_rows(state, out, start, end), out["fact_tran_student_task_progress"],
+                                                           start, end, acc, batch, RUN_END))
     return _natural_ids(acc, out).select(
         "child_id", "center_id", "teacher_id", "snapshot_date_key", "planned_task_count", "assessment_count", "completed_task_count",
         "scored_task_count", "first_plan_date_key", "last_plan_date_key", "first_assessment_date_key", "last_assessment_date_key")

@@ -8,6 +8,7 @@ members changed in the run window [start, end) (SC5). Facts resolve keys with eq
 from __future__ import annotations
 
 import datetime as _dt
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,9 +18,10 @@ from starloom.functions.hashing import row_hash
 from starloom.functions.numeric import exact_avg
 from starloom.functions.text import blank_to_null, concat_nulls_as_empty, keyword_flags, norm_lower
 from starloom.operators.loads import append_new, replace_touched
+from starloom.operators.intervals import Measures, Run, expand, fold, last_days, publish
 from starloom.operators.lookups import latest_per_key, latest_value, lookup_key
 from starloom.operators.scd import scd1_rebuild, scd2_merge
-from starloom.operators.snapshots import cumulative_daily_snapshot, first_last_keys, latest_row_per_group
+from starloom.operators.snapshots import first_last_keys, latest_row_per_group
 from starloom.operators.validation import require_params, valid_rows
 from starloom.plans.audit import BatchLog, run_logged
 from starloom.session import cut_lineage, run_concurrently
@@ -324,55 +326,114 @@ def fact_child_task_event(progress, status_dim, existing, batch_id, load_ts):
                       null_safe=True)
 
 
-def daily_snapshot_rows(progress, dims, first_day: _dt.date, end_day: _dt.date, batch_id, load_ts) -> DataFrame:
-    """F5 core: for every day in [first_day, end_day) and (child, center, teacher), aggregates of
-    all progress rows dated on or before that day (or undated): distinct assignment/assessment
-    counts, average raw and normalised score of scored rows, min/max of their score scales."""
-    dd = dims["dim_date"].filter(F.col("TimeKey") != -1).select("TimeKey", "FullDateAlternateKey")
-    scales = dims["dim_score_scale"].select("score_scale_key", F.col("min_score").alias("_min"),
-                                            F.col("max_score").alias("_max"))
-    f = (progress.join(dd, F.col("date_key") == F.col("TimeKey"), "left").join(scales, "score_scale_key", "left")
-                 .withColumn("day", F.when(F.coalesce(F.col("date_key"), F.lit(-1)) == -1, F.lit(None).cast("date"))
-                             .otherwise(F.col("FullDateAlternateKey")))
-                 .withColumns({"child_key": F.coalesce("child_key", F.lit(-1)),
-                               "center_key": F.coalesce("center_key", F.lit(-1)),
-                               "teacher_key": F.coalesce("teacher_key", F.lit(-1))}))
+_GRAIN = ("child_key", "center_key", "teacher_key")
+
+
+def _daily_measures() -> Measures:
     scored = F.col("is_scored") == 1
     aid = "source_daily_task_assignment_id"
-    snap = cumulative_daily_snapshot(
-        f, ["child_key", "center_key", "teacher_key"], "day", first_day, end_day,
+    return Measures(
+        _GRAIN, "day",
         distinct={"planned_task_count": (aid, None), "assessment_count": ("source_task_assessment_id", None),
                   "completed_task_count": (aid, F.col("is_completed") == 1),
                   "scored_task_count": (aid, scored), "not_scored_task_count": (aid, F.col("is_not_scored") == 1)},
         sums={"raw": ("raw_score", scored), "norm": ("normalized_score", scored)},
         mins={"min_score": ("_min", scored)}, maxs={"max_score": ("_max", scored)})
-    snap = lookup_key(snap, dd, {"snapshot_date": "FullDateAlternateKey"}, "TimeKey", "date_key", pick="min")
-    return snap.select("date_key", "child_key", "center_key", "teacher_key",
-                       exact_avg(F.col("raw_sum"), F.col("raw_n"), 2, 10).alias("raw_score"),
-                       F.col("min_score").cast("decimal(10,2)").alias("min_score"),
-                       F.col("max_score").cast("decimal(10,2)").alias("max_score"),
-                       exact_avg(F.col("norm_sum"), F.col("norm_n"), 4, 10).alias("normalized_score"),
-                       *[F.col(c).cast("int").alias(c) for c in ("planned_task_count", "assessment_count",
-                                                                 "completed_task_count", "scored_task_count",
-                                                                 "not_scored_task_count")],
-                       F.lit("PROGRAM_OPS").alias("source_system"), F.lit(batch_id).alias("etl_batch_id"),
-                       ts_lit(load_ts).alias("loaded_at"))
-
-
-def fact_daily_student_task_progress(progress, dims, start, end, existing, batch_id, load_ts):
-    """cumulative daily snapshot per (date, child, center, teacher) for every day from the
-    earliest affected date (or start) to the day before end; only missing grain rows are appended."""
-    dd = dims["dim_date"].filter(F.col("TimeKey") != -1).select("TimeKey", "FullDateAlternateKey")
+
+
+def _days(dims) -> DataFrame:
+    return dims["dim_date"].filter(F.col("TimeKey") != -1).select("TimeKey", "FullDateAlternateKey")
+
+
+def _dated_progress(progress: DataFrame, dims) -> DataFrame:
+    """Progress rows with their day (null if unknown), whole group keys and the bounds of their score scale."""
+    scales = dims["dim_score_scale"].select("score_scale_key", F.col("min_score").alias("_min"), F.col("max_score").alias("_max"))
+    day = F.when(F.coalesce(F.col("date_key"), F.lit(-1)) == -1, F.lit(None).cast("date")).otherwise(F.col("FullDateAlternateKey"))
+    # A date_key that the calendar lacks has no day, so its rows are in no snapshot, unlike undated ones.
+    return (progress.join(_days(dims), F.col("date_key") == F.col("TimeKey"), "left")
+            .where(F.col("TimeKey").isNotNull() | (F.coalesce(F.col("date_key"), F.lit(-1)) == -1))
+            .join(scales, "score_scale_key", "left").withColumn("day", day)
+            .withColumns({c: F.coalesce(c, F.lit(-1)) for c in _GRAIN}))
+
+
+@dataclass
+class DailyState:
+    """F5 between runs: spans by all facts, the first-seen index, what is published, and the runs that published it."""
+
+    spans: DataFrame | None = None
+    firsts: DataFrame | None = None
+    published: DataFrame | None = None
+    runs: list[Run] = field(default_factory=list)
+    loaded: dict[int, _dt.datetime] = field(default_factory=dict)
+
+    #: Names of the tables that hold a state.
+    TABLES = ("daily_spans", "daily_first_seen", "daily_published", "daily_runs")
+
+    def tables(self, spark: SparkSession) -> dict[str, DataFrame]:
+        runs = [(r.batch, r.first, r.last, self.loaded.get(r.batch)) for r in self.runs]
+        frames = (self.spans, self.firsts, self.published,
+                  spark.createDataFrame(runs, "batch int, first date, last date, loaded_at timestamp_ntz"))
+        return {name: df for name, df in zip(self.TABLES, frames, strict=True) if df is not None}
+
+    @classmethod
+    def of(cls, tables: dict[str, DataFrame]) -> DailyState:
+        """The state in ``tables`` (empty if they hold none); a run is one row, so their list is collected."""
+        if tables.get("daily_runs") is None:
+            return cls()
+        runs = sorted(tables["daily_runs"].collect(), key=lambda r: r.batch)
+        return cls(*(tables.get(n) for n in cls.TABLES[:3]), [Run(r.batch, r.first, r.last) for r in runs], {r.batch: r.loaded_at for r in runs})
+
+
+def roll_daily_snapshot(progress: DataFrame, dims, start, end, state: DailyState | None, batch_id: int, load_ts,
+                        undated_first: _dt.date | None = None) -> DailyState:
+    """fold the progress rows of batches after the last run's into the state, then publish the days from the earliest one affected by
+    the fact's last batch (or start) to the day before end. ``undated_first`` is the day that undated rows of that batch
+    affect first; by default none. Only new rows and the groups they touch are read and rewritten."""
+    state = state if state is not None else DailyState()
     start_d = start.date() if isinstance(start, _dt.datetime) else start
     end_d = end.date() if isinstance(end, _dt.datetime) else end
     last_batch = progress.agg(F.max("etl_batch_id")).first()[0]
-    earliest = (progress.filter(F.col("etl_batch_id") == last_batch).join(dd, F.col("date_key") == F.col("TimeKey"))
-                .agg(F.min("FullDateAlternateKey")).first()[0]) if last_batch is not None else None
-    first_day = earliest if earliest is not None and earliest < start_d else start_d
-    rows = daily_snapshot_rows(progress, dims, first_day, end_d, batch_id, load_ts)
-    if existing is None:
-        return rows
-    return append_new(rows, existing, ["date_key", "child_key", "center_key", "teacher_key"])
+    measures, touched = _daily_measures(), None
+    spans, firsts = state.spans, state.firsts
+    folded = max((r.batch for r in state.runs), default=None)
+    new = progress if folded is None else progress.filter(F.col("etl_batch_id") > folded)
+    if folded is None or (last_batch is not None and last_batch > folded):
+        spans, firsts, touched = fold(measures, spans, firsts, _dated_progress(new, dims))
+    affected = progress.filter(F.col("etl_batch_id") == last_batch).join(_days(dims), F.col("date_key") == F.col("TimeKey"), "left") \
+        .agg(F.min("FullDateAlternateKey"), F.count_if(F.coalesce(F.col("date_key"), F.lit(-1)) == -1)).first()
+    days = [d for d in (affected[0], undated_first if affected[1] else None) if d is not None]
+    run = Run(batch_id, min([start_d, *days]), end_d - _dt.timedelta(days=1))
+    published, runs = publish(measures, spans, touched, state.published, state.runs, run)
+    return DailyState(spans, firsts, published, runs, {**state.loaded, batch_id: load_ts})
+
+
+def _daily_columns(rows: DataFrame) -> list[Column]:
+    return [exact_avg(F.col("raw_sum"), F.col("raw_n"), 2, 10).alias("raw_score"),
+            F.col("min_score").cast("decimal(10,2)").alias("min_score"), F.col("max_score").cast("decimal(10,2)").alias("max_score"),
+            exact_avg(F.col("norm_sum"), F.col("norm_n"), 4, 10).alias("normalized_score"),
+            *[F.col(c).cast("int").alias(c) for c in _daily_measures().distinct]]
+
+
+def _as_daily_rows(rows: DataFrame, dims, loaded: dict[int, _dt.datetime]) -> DataFrame:
+    rows = lookup_key(rows, _days(dims), {"snapshot_date": "FullDateAlternateKey"}, "TimeKey", "date_key", pick="min")
+    loaded_at = F.lit(None).cast("timestamp_ntz")
+    for batch, ts in loaded.items():
+        loaded_at = F.when(F.col("batch") == batch, ts_lit(ts)).otherwise(loaded_at)
+    return rows.select("date_key", *_GRAIN, *_daily_columns(rows), F.lit("PROGRAM_OPS").alias("source_system"),
+                       F.col("batch").alias("etl_batch_id"), loaded_at.alias("loaded_at"))
+
+
+def daily_snapshot_rows(state: DailyState, dims, first: _dt.date | None = None, last: _dt.date | None = None) -> DataFrame:
+    """The daily snapshot's rows of the published days in [first, last], made when they are read."""
+    return _as_daily_rows(expand(state.published, state.runs, first, last), dims, state.loaded)
+
+
+def last_daily_rows(state: DailyState, dims, start: _dt.date, end: _dt.date) -> DataFrame:
+    """Each group's last published row in [start, end), as far as the calendar goes."""
+    lo, hi = _days(dims).agg(F.min("FullDateAlternateKey"), F.max("FullDateAlternateKey")).first()
+    start, end = (d.date() if isinstance(d, _dt.datetime) else d for d in (start, end))
+    rows = last_days(_daily_measures(), state.published, state.runs, max(start, lo), min(end - _dt.timedelta(days=1), hi))
+    return _as_daily_rows(rows, dims, state.loaded)
 
 
 def fact_child_snapshot_accumulation(daily, progress, start, end, old, batch_id, load_ts):
@@ -455,11 +516,15 @@ def run_mart1(spark: SparkSession, staging: dict, dw: dict, start: _dt.datetime,
                    lambda old: fact_tran_student_task_progress(staging, dims, start, end, old, batch_id, load_ts))
     add("fact_child_task_event",
         lambda old: fact_child_task_event(progress, out["dim_assessment_status"], old, batch_id, load_ts))
-    daily = add("fact_daily_student_task_progress",
-                lambda old: fact_daily_student_task_progress(progress, dims, start, end, old, batch_id, load_ts))
+    name = "fact_daily_student_task_progress"
+    state = run_logged(log, name, lambda: roll_daily_snapshot(progress, dims, start, end, DailyState.of(prev), batch_id, load_ts))
+    out.update(state.tables(spark))
+    n = state.published.filter(F.col("since") == batch_id).count()
+    log.step("dw", name, n, n)      # spans, not days
+    out[name] = daily_snapshot_rows(state, dims)
     name = "fact_child_snapshot_accumulation"
     out[name] = run_logged(log, name, lambda: cut_lineage(fact_child_snapshot_accumulation(
-        daily, progress, start, end, prev.get(name), batch_id, load_ts)))
+        last_daily_rows(state, dims, start, end), progress, start, end, prev.get(name), batch_id, load_ts)))
     n = out[name].filter(F.col("etl_batch_id") == batch_id).count()
     log.step("dw", name, n, n)
     log.finish("succeeded")
