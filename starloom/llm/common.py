@@ -57,6 +57,12 @@ def hash_share(df: DataFrame, fraction: float, *keys: str, seed: int = 17) -> Da
     return df.where(h < int(fraction * (1 << 30)))
 
 
+def bounded_sample(df: DataFrame, rows: int, bound: int, *keys: str, seed: int = 17) -> DataFrame:
+    """About ``bound`` rows at most of ``df``, which has ``rows``: those of a hash share that differ in ``keys``, each once, so a row that
+    is repeated without end is one row of the sample, whether the hash takes it or not."""
+    return hash_share(df, bounded_fraction(rows, bound), *keys, seed=seed).dropDuplicates(list(keys))
+
+
 def small_side(df: DataFrame, most_rows: int = 100_000) -> DataFrame:
     """``df`` marked for a broadcast join if a bounded count proves it has at most ``most_rows`` (short) rows; as it is
     otherwise, for a shuffle join under skew handling. ``df`` should be a checkpointed or stored table."""

@@ -10,9 +10,10 @@ importance of a node combines the entropy of its presentation with the content i
 Style names carry a prior: what is plainly named as navigation, footer, sidebar, advert, form or reader comment keeps so little of its
 importance that the name alone decides. Names that text has, too (header, notice, related, discussion and the like, ``AMBIGUOUS_NAMES``), take a
 tenth: such a branch stays if nearly all its texts differ from page to page, and goes where no tree has enough pages to tell. A header
-inside a landmark is content. The landmarks ``article`` and ``main`` and what lies in them keep all of it. Branches below the threshold
-are cut from every page of the host. Plain text tags without a name are never cut for their content alone. If a page has a
-landmark, its text is what is left inside.
+inside a landmark is content. The landmarks ``article`` and ``main`` and what lies in them keep all of it, unless they lie in a branch with
+a name of noise themselves (a teaser in a sidebar, a reader's comment): those are judged like any other. What stands beside a landmark is
+judged by the tree, too. Branches below the threshold are cut from every page of the host. Plain text tags without a name are
+never cut for their content alone.
 
 A tree counts distinct pages: those of a host (or, in the tree of all hosts, of any) whose blocks outside noise names are
 the same are one page, so an article that is copied on many pages stays. Statistics cover all pages and are combined before
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm.common import cut_lineage, load, small_side
+from starloom.llm.common import cut_lineage, load, slices, small_side
 
 #: Share of a subtree's content in a node's importance; the rest is its own presentation.
 GAMMA = 0.9
@@ -74,7 +75,7 @@ AMBIGUOUS_NAMES = frozenset({
 LANDMARKS = frozenset({"article", "main"})
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>""", re.S)
-_ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|\b(hidden)\b""")
+_ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|(?<![-\w:.])(hidden)(?![-\w:.])""")
 _BLANKS = re.compile(r"[\x20\x09-\x0D]+")
 _NAMES = re.compile(r"[^a-z]+")
 _DIGITS = re.compile(r"\d+")
@@ -88,7 +89,7 @@ def _style(tag: str, attributes: str) -> tuple[str, str, bool, bool]:
     if attributes and attributes != "/":
         for name, a, b, c, bare in _ATTRIBUTE.findall(attributes):
             name, value = name.lower(), (a or b or c).lower()
-            if bare or (name == "aria-hidden" and value == "true") or (name == "style" and "display:none" in value.replace(" ", "")):
+            if bare or name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and "display:none" in value.replace(" ", "")):
                 hidden = True
             elif name in ("class", "id"):
                 # Running numbers are one style: all digits of an id, long ones of a class.
@@ -105,10 +106,11 @@ _STYLES: dict[tuple[str, str], tuple] = {}
 
 
 class _Node:
-    __slots__ = ("tag", "path", "noise", "inside", "dropped", "children", "named")
+    __slots__ = ("tag", "path", "noise", "inside", "below_noise", "dropped", "children", "named")
 
-    def __init__(self, tag, path, noise, inside, dropped, named):
+    def __init__(self, tag, path, noise, inside, below_noise, dropped, named):
         self.tag, self.path, self.noise, self.inside, self.dropped, self.named = tag, path, noise, inside, dropped, named
+        self.below_noise = below_noise
         self.children = []
 
 
@@ -116,7 +118,7 @@ def parse(text: str) -> tuple[list[tuple[str, bool, str]], list[tuple[str, str]]
     """A page's blocks in order as (style path, inside a landmark, text), and its nodes as (style path, styles of
     the children in order, repeats joined). Paths run over containers; noise by name carries a leading ``!`` or ``?`` in its part, a
     landmark a leading ``@``."""
-    root = _Node("html", "", "", False, False, True)
+    root = _Node("html", "", "", False, False, False, True)
     stack, nodes, blocks, parts = [root], [root], [], []
     at, size = 0, len(text)
 
@@ -199,11 +201,12 @@ def parse(text: str) -> tuple[list[tuple[str, bool, str]], list[tuple[str, str]]
             noise = "" if top.inside else "?"
         if tag in ("html", "body"):
             continue
+        landmark = landmark and not top.below_noise
         part = noise + label if noise else f"@{label}" if landmark else label
         top.children.append(part)
         named = label != tag or noise or landmark or tag in ("div", "section", "header", "details", "table", "ul", "ol", "dl")
         path = f"{top.path}/{part}" if named else top.path
-        node = _Node(tag, path, noise, top.inside or landmark, top.dropped or hidden or tag in DROPPED, named)
+        node = _Node(tag, path, noise, top.inside or landmark, top.below_noise or bool(noise), top.dropped or hidden or tag in DROPPED, named)
         if attributes.endswith("/") and tag in DROPPED:
             continue
         stack.append(node)
@@ -223,8 +226,6 @@ def main_text(html: str | None, cut: frozenset[str] | set[str]) -> str:
     if not html:
         return ""
     blocks, _ = parse(html)
-    if any(inside for _, inside, _ in blocks):
-        blocks = [b for b in blocks if b[1]]
     verdict: dict[str, bool] = {}
     out = []
     for path, _, block in blocks:
@@ -251,7 +252,7 @@ def distinct_pages(pages: DataFrame) -> DataFrame:
     """host, page (a hash of the blocks outside noise names) and features, one row for each distinct page of a host. Features are
     structs of path, kind (n: node, s: presentation, t: block text) and a hash."""
     def gather(batches):
-        for batch in batches:
+        for batch in slices(batches, 1):
             hashes, ends, paths, kinds, features = [], [0], [], [], []
             for text in batch.column(1).to_pylist():
                 blocks, shapes = parse(text or "")
@@ -344,7 +345,7 @@ def extract_text(pages: DataFrame, least_importance: float = LEAST_IMPORTANCE) -
               .join(small_side(cut), "host", "left").select("page_id", "url", "cut", "html"))
 
     def extract(batches):
-        for batch in batches:
+        for batch in slices(batches, 3):
             texts = [main_text(h, frozenset(c or ())) for c, h in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                                              ["page_id", "url", "text", "n_chars"])

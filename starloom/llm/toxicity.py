@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm.common import (
-    PUNCTUATION, bounded_fraction, cut_lineage, fold, hash_share, keep_rows, load, prefix_hashes, slices, text_buffers, word_hashes, word_spans,
+    PUNCTUATION, bounded_fraction, bounded_sample, cut_lineage, fold, hash_share, keep_rows, load, prefix_hashes, slices, text_buffers, word_hashes, word_spans,
 )
 
 MOST_POSITIVE = 3_000
@@ -179,8 +179,11 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, most_positive: int = MOST
     prior = min(max(positive / n, 1e-3), 0.999)
     # At most about MOST_POSITIVE ids are broadcast.
     ids = hash_share(marked.where("toxic = 1").select("doc_id"), bounded_fraction(positive, most_positive), "doc_id", seed=21)
-    p = docs.join(F.broadcast(ids), "doc_id", "left_semi").select(F.lit("p").alias("kind"), "text")
-    u = hash_share(docs, bounded_fraction(docs.count(), most_unlabelled), "doc_id", seed=22).select(F.lit("u").alias("kind"), "text")
+    # Samples are drawn by id and text, and rows counted after the join: an id may stand for any number of rows.
+    told = docs.select("doc_id", "text")
+    p = told.join(F.broadcast(ids), "doc_id", "left_semi")
+    p = bounded_sample(p, p.count(), most_positive, "doc_id", "text", seed=23).select(F.lit("p").alias("kind"), "text")
+    u = bounded_sample(told, docs.count(), most_unlabelled, "doc_id", "text", seed=22).select(F.lit("u").alias("kind"), "text")
     sample = cut_lineage(p.unionByName(u))
     sizes = {r["kind"]: r["count"] for r in sample.groupBy("kind").count().collect()}
     features = choose_features(sample, sizes.get("p", 0), sizes.get("u", 0))

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm.common import bounded_fraction, cut_lineage, hash_share, let, load
+from starloom.llm.common import bounded_sample, cut_lineage, let, load
 
 #: The rules of the registered query: (host, path prefix, verdict).
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
@@ -124,10 +124,14 @@ def judge_urls(pages: DataFrame, rules=RULES, train_rows: int = TRAIN_ROWS, tree
     from pyspark.ml.functions import vector_to_array
     assembler = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep")
     labelled = full.where(F.col("decided").isNotNull()).withColumn("label", (F.col("decided") == "block").cast("double"))
-    train = hash_share(labelled, bounded_fraction(sum(kinds.values()), train_rows), "page_id", seed=8)
+    # Half of the bound for either verdict, over distinct URLs: neither can be missing, and none is drawn more than once.
+    distinct = cut_lineage(labelled.dropDuplicates(["host", "path", *names]))
+    sizes = {r["decided"]: r["count"] for r in distinct.groupBy("decided").count().collect()}
+    train = None
+    for decided, n in sorted(sizes.items()):
+        part = bounded_sample(distinct.where(F.col("decided") == decided), n, train_rows // 2, "host", "path", *names, seed=8)
+        train = part if train is None else train.unionByName(part)
     train = cut_lineage(assembler.transform(train).select("features", "label").repartition(4))
-    if train.select("label").distinct().count() < 2:
-        train = cut_lineage(assembler.transform(labelled).select("features", "label"))
     model = GBTClassifier(labelCol="label", maxIter=trees, maxDepth=depth, maxBins=64, seed=5, stepSize=0.2).fit(train)
     model.setPredictionCol("").setRawPredictionCol("")
     scored = model.transform(assembler.transform(full)).withColumn("p", vector_to_array("probability")[1])

@@ -124,3 +124,48 @@ def test_names_that_text_has_too(spark):
         got = texts(spark, pages)
         assert all(got[i] == "\n".join([*(f"Own {k} of {i}" for k in range(4)), f"Body {i}"]) for i in range(12))
         assert got[99] == "Text"
+
+
+@pytest.mark.parametrize(("body", "want"), [
+    ("<div class='story'><p>Story {n} one</p><p>Story {n} two</p></div><aside><article>teaser {n}</article></aside>", "Story {n} one\nStory {n} two"),
+    ("<div class='post'><p>Post {n}</p></div><div class='comments'><article id='c1'>reader {n}</article></div>", "Post {n}"),
+    ("<div class='content'><h1>Head {n}</h1><p>lead {n}</p><main><p>main {n}</p></main></div>", "Head {n}\nlead {n}\nmain {n}"),
+    ("<div class='content'><p data-hidden>Shown {n}</p><p hidden>not</p><p hidden=''>nor</p><p class='x'>end {n}</p></div>", "Shown {n}\nend {n}"),
+])
+def test_no_text_is_lost_beside_landmarks(spark, body, want):
+    pages = [(i, f"http://a.org/{i}", f"<body><nav>Home</nav>{body.replace('{n}', str(i))}<footer>(c)</footer></body>") for i in range(20)]
+    assert texts(spark, pages) == {i: want.replace("{n}", str(i)) for i in range(20)}
+
+
+def test_importance_against_plain_entropies(spark):
+    """Importance of each style path of a host by a plain loop over its pages."""
+    import math
+    r = random.Random(3)
+    bodies = [f"<div class=a><p>{r.choice(['x', 'y', i])}</p>{'<ul class=u><li>z</ul>' if r.random() < .5 else ''}</div><div class=b><p>same</p></div>"
+              for i in range(24)]
+    tree = extraction.style_tree(table(spark, [(i, f"http://h/{i}", b) for i, b in enumerate(bodies)]))
+    got = {row.path: row.importance for row in extraction._importance(tree, ["host"]).collect()}
+    features = {}
+    for b in bodies:
+        blocks, shapes = extraction.parse(b)
+        features.setdefault(tuple(sorted({t for _, _, t in blocks})), (blocks, shapes))   # pages with the same blocks are one
+    pages = list(features.values())
+    paths = {p for _, shapes in pages for p, _ in shapes}
+    for path in paths:
+        m = sum(any(p == path for p, _ in shapes) for _, shapes in pages)
+        log_m = math.log(max(m, 2))
+
+        def entropy(counts):
+            return sum(c / m * math.log(m / c) for c in counts if c) / log_m
+        shapes_of = [s for _, shapes in pages for p, s in set(shapes) if p == path]
+        presentation = min(entropy([shapes_of.count(s) for s in set(shapes_of)]), 1)
+        content, n = 0.0, 0
+        for sub in {p for blocks, _ in pages for p, _, _ in blocks if p == path or p.startswith(path + "/")}:
+            sub_m = max(sum(any(p == sub for p, _ in shapes) for _, shapes in pages), 2)
+            own = [t for blocks, _ in pages for t in {t for p, _, t in blocks if p == sub}]
+            distinct = set(own)
+            content += max(len(distinct) - sum(math.log(own.count(t)) for t in distinct) / math.log(sub_m), 0)
+            n += len(distinct)
+        want = 0.1 * presentation + 0.9 * (content / n if n else 1)
+        assert got[path] == pytest.approx(want), path
+    assert len(paths) >= 3

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from starloom.llm import toxicity
@@ -81,3 +82,18 @@ def test_nothing_to_learn(spark, docs_of):
         assert len(toxicity.score_toxicity(docs, model).collect()) == 2
     assert toxicity.score_toxicity(docs_of([]), toxicity.learn_toxicity(docs_of([]), none)).count() == 0
     assert docs.where(F.lit(True)).count() == 2
+
+
+@pytest.mark.parametrize("hot", [7, None])
+def test_samples_are_bounded_whatever_ids_repeat(spark, docs_of, monkeypatch, hot):
+    """Two thirds of the rows share one id or have none; they are neither all drawn nor all left out."""
+    rows = [(hot, f"hot text {i % 900} of many") for i in range(2_000)] + [(i, f"cold {i} idiot" if i % 5 == 0 else f"cold {i}") for i in range(100, 1_100)]
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(100, 1_100)] + ([(7, 1)] if hot else []), "doc_id long, toxic int")
+    drawn = []
+    real = toxicity.cut_lineage
+    monkeypatch.setattr(toxicity, "cut_lineage", lambda df: drawn.append(real(df)) or drawn[-1])
+    toxicity.learn_toxicity(docs_of(rows), labels, most_positive=60, most_unlabelled=300)
+    sample = drawn[0].toPandas()
+    sizes = sample.kind.value_counts()
+    assert 20 <= sizes["p"] <= 120 and 60 <= sizes["u"] <= 450
+    assert 0 < sample[sample.kind == "u"].text.str.startswith("hot").mean() < 1

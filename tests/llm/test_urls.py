@@ -78,3 +78,10 @@ def test_entropy_of_whole_paths(spark):
         path, n = paths[r.page_id], len(paths[r.page_id])
         want = -sum(k / n * math.log2(k / n) for k in Counter(path).values())
         assert abs(r.bits - want) < 1e-6, r.page_id
+
+
+def test_a_rare_verdict_is_in_the_sample(spark):
+    """Thousands of copies of one blocked URL against few allowed ones, with a bound below either number."""
+    rows = [(1, "http://bad.net/x")] * 3_000 + [(i, f"http://w{i}.org/fr/{i}") for i in range(40)] + [(9_000 + i, f"http://z.com/{i}") for i in range(9)]
+    got = urls.judge_urls(spark.createDataFrame(rows, "page_id long, url string").repartition(3), train_rows=20)
+    assert got.count() == len(rows) and got.where("score IS NOT NULL").count() == 9
