@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.hashing import row_hash
@@ -21,6 +21,7 @@ from starloom.operators.validation import (
     ForeignKey, Rule, between, greater_than, in_domain, ordered, required, validate,
 )
 from starloom.plans import schemas
+from starloom.plans.blocks import BlockTable, Counts, HashBlocks
 from starloom.sources.lineage import stamp_lineage
 from starloom.sources.watermark import created_watermark, date_watermark, inclusive_watermark
 
@@ -183,13 +184,17 @@ def _updated_at(df: DataFrame) -> Column:
     return F.coalesce(*[F.col(c) for c in cols]) if cols else F.lit(None).cast("timestamp_ntz")
 
 
-def stage_table(spec: TableSpec, sources: dict[str, DataFrame], current: DataFrame | None,
-                to_date: _dt.datetime, batch_id: int, extracted_at: _dt.datetime | None = None
-                ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Returns (next staging version, one-row counts, rejected rows)."""
+ENVELOPE = ["etl_batch_id", "source_system", "source_database", "source_schema", "source_table",
+            "extracted_at", "source_updated_at", "row_hash", "is_valid", "validation_message"]
+
+
+def checked_extract(spec: TableSpec, sources: dict[str, DataFrame], to_date: _dt.datetime, batch_id: int,
+                    extracted_at: _dt.datetime | None = None, counted: Observation | None = None
+                    ) -> tuple[DataFrame, DataFrame]:
+    """Returns (extract with its verdicts, its valid rows in their lineage envelope); ``counted`` gets rows_read and rows_valid from
+    the job that materialises the extract."""
     src = sources[spec.name]
     cols = spec.source_columns()
-    key = spec.key
     x = _extract(spec, src.select(*cols), sources, to_date)
     x = x.withColumn("row_hash", row_hash(*cols))
     fks = [ForeignKey(fk.col, sources[fk.parent], fk.parent_col, f"{fk.col} invalid reference to {fk.parent}; ",
@@ -197,16 +202,46 @@ def stage_table(spec: TableSpec, sources: dict[str, DataFrame], current: DataFra
     # The validated extract is the work table every later step reads (valid rows, rejects,
     # counts): materialise it once rather than re-running the referential joins per reader.
     from starloom.session import cut_lineage
-    checked = cut_lineage(validate(x, spec.rules(), fks))
+    checked = validate(x, spec.rules(), fks)
+    if counted is not None:
+        checked = checked.observe(counted, F.count(F.lit(1)).alias("rows_read"), F.count(F.when(F.col("is_valid"), 1)).alias("rows_valid"))
+    checked = cut_lineage(checked)
     valid = checked.filter(F.col("is_valid")).drop("validation_message")
-    rejected = checked.filter(~F.col("is_valid"))
     staged = stamp_lineage(valid, batch_id, spec.system.upper(), SOURCE_DATABASE.get(spec.system, spec.system),
                            spec.system,
                            spec.name, extracted_at or to_date, _updated_at(valid))
     staged = staged.withColumn("validation_message", F.lit(None).cast("string"))
-    envelope = ["etl_batch_id", "source_system", "source_database", "source_schema", "source_table",
-                "extracted_at", "source_updated_at", "row_hash", "is_valid", "validation_message"]
-    staged = staged.select(*cols, *envelope)
+    return checked, staged.select(*cols, *ENVELOPE)
+
+
+COUNTS_SCHEMA = "rows_read long, rows_valid long, rows_rejected long, rows_inserted long, rows_updated long"
+
+
+def stage_into(spec: TableSpec, sources: dict[str, DataFrame], table: BlockTable, to_date: _dt.datetime, batch_id: int,
+               extracted_at: _dt.datetime | None = None, tag: int | None = None) -> tuple[Counts, DataFrame, DataFrame]:
+    """The staging job over a table in blocks: an upsert (K2) that reads and writes the blocks which the extract changes. Returns (what the
+    load did, one-row counts, rejected rows). Counts come from the jobs that materialise the extract and write the table. Tables that
+    ``stage_table`` refreshes in full are upserted, too: a deletion in the source does not reach them here."""
+    counted = Observation()
+    checked, staged = checked_extract(spec, sources, to_date, batch_id, extracted_at, counted)
+    done = table.upsert(staged, ("source_updated_at",), tag)
+    read, valid = counted.get["rows_read"], counted.get["rows_valid"]
+    counts = checked.sparkSession.createDataFrame([(read, valid, read - valid, done.rows_inserted, done.rows_updated)], COUNTS_SCHEMA)
+    return done, counts, checked.filter(~F.col("is_valid"))
+
+
+def staging_blocks(spark: SparkSession, spec: TableSpec, root: str, layout=HashBlocks()) -> BlockTable:
+    return BlockTable(spark, root, (spec.key,), layout, row_id="stg_row_id", valid_col="is_valid")
+
+
+def stage_table(spec: TableSpec, sources: dict[str, DataFrame], current: DataFrame | None,
+                to_date: _dt.datetime, batch_id: int, extracted_at: _dt.datetime | None = None
+                ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Returns (next staging version, one-row counts, rejected rows)."""
+    from starloom.session import cut_lineage
+    cols, key, envelope = spec.source_columns(), spec.key, ENVELOPE
+    checked, staged = checked_extract(spec, sources, to_date, batch_id, extracted_at)
+    rejected = checked.filter(~F.col("is_valid"))
 
     # One pass over the materialised extract gives the read/valid/rejected counts, and whether ids repeat.
     read = checked.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("is_valid").cast("long")).alias("v"),
@@ -236,8 +271,7 @@ def stage_table(spec: TableSpec, sources: dict[str, DataFrame], current: DataFra
         nxt = have.unionByName(fresh)
     nxt = nxt.select("stg_row_id", *cols, *envelope)
     counts = checked.sparkSession.createDataFrame(
-        [(rows_read, rows_valid, rows_read - rows_valid, inserted, updated)],
-        "rows_read long, rows_valid long, rows_rejected long, rows_inserted long, rows_updated long")
+        [(rows_read, rows_valid, rows_read - rows_valid, inserted, updated)], COUNTS_SCHEMA)
     return nxt, counts, rejected
 
 

@@ -2,9 +2,10 @@
 
 New extract files of one source table land in a folder; a file stream picks them up and
 ``foreachBatch`` applies the same staging job as the batch path (validation + hash-diff
-upsert), writing the next staging version to ``<target>/version=<n>``. The stream's
+upsert) to a table in blocks, so a micro-batch rewrites the blocks that its rows change and no others. The stream's
 checkpoint records which files were processed, so a restarted query neither skips nor
-repeats an extract; a version folder is only listed as current once fully written.
+repeats an extract; the table's pointer, swapped last, records the epoch, so a replayed epoch changes nothing.
+Old versions beyond the last ``keep_versions`` are removed after each micro-batch.
 """
 
 from __future__ import annotations
@@ -15,30 +16,18 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom.plans import schemas
-from starloom.plans.staging import SPEC_BY_NAME, stage_table
-
-
-def latest_version(spark: SparkSession, target: str) -> DataFrame | None:
-    """The newest complete staging version under ``target`` (None before the first batch)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(target)
-    fs = path.getFileSystem(conf)
-    if not fs.exists(path):
-        return None
-    versions = []
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if name.startswith("version=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            versions.append(int(name.split("=", 1)[1]))
-    if not versions:
-        return None
-    return spark.read.parquet(f"{target}/version={max(versions)}")
+from starloom.plans.blocks import HashBlocks
+from starloom.plans.staging import SPEC_BY_NAME, stage_into, staging_blocks
+
+
+def latest_version(spark: SparkSession, table: str, target: str, layout=HashBlocks()) -> DataFrame | None:
+    """The staging table under ``target`` as the last complete micro-batch left it (None before the first one)."""
+    return staging_blocks(spark, SPEC_BY_NAME[table], target, layout).read()
 
 
 def stage_stream(spark: SparkSession, table: str, landing: str, target: str, checkpoint: str,
                  parents: dict[str, DataFrame] | None = None, to_date: _dt.datetime | None = None,
-                 available_now: bool = True):
+                 available_now: bool = True, layout=HashBlocks(), keep_versions: int = 2):
     """Start a stream that stages every new extract file of ``table``; returns the StreamingQuery.
 
     ``parents`` supplies the parent source tables used by referential checks. A micro-batch holds some files, not the
@@ -49,13 +38,12 @@ def stage_stream(spark: SparkSession, table: str, landing: str, target: str, che
     stream = spark.readStream.schema(schemas.source_ddl(table)).option("recursiveFileLookup", "true").parquet(landing)
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        current = latest_version(spark, target)
-        sources = dict(parents or {})
-        sources[table] = batch
+        store = staging_blocks(spark, spec, target, layout)
+        if store.tag is not None and store.tag > epoch_id:
+            return
         cutoff = to_date or _dt.datetime(9999, 12, 31)
-        nxt, _, _ = stage_table(spec, sources, current, cutoff, batch_id=int(epoch_id) + 1)
-        # Idempotent per epoch: a replayed epoch overwrites its own version folder.
-        nxt.write.mode("overwrite").parquet(f"{target}/version={int(epoch_id) + 1}")
+        stage_into(spec, {**(parents or {}), table: batch}, store, cutoff, batch_id=int(epoch_id) + 1, tag=int(epoch_id) + 1)
+        store.remove_versions(keep_versions)
 
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -32,13 +32,13 @@ def test_stream_stages_new_extracts(spark):
     q = stage_stream(spark, "donations", landing, target, ckpt, parents=parents)
     q.awaitTermination(120)
     assert q.exception() is None, q.exception()
-    v1 = latest_version(spark, target)
+    v1 = latest_version(spark, "donations", target)
     assert v1.count() == 2
     schemas.from_rows(spark, "donations", rows["donations"][2:]).write.parquet(os.path.join(landing, "b2"))
     q = stage_stream(spark, "donations", landing, target, ckpt, parents=parents)
     q.awaitTermination(120)
     assert q.exception() is None, q.exception()
-    v2 = latest_version(spark, target)
+    v2 = latest_version(spark, "donations", target)
     assert v2.count() == 3
     assert v2.filter("id = 103").collect()[0].stg_row_id == 3
     assert isinstance(dt.datetime.now(), dt.datetime)
@@ -54,20 +54,20 @@ def test_stream_restart_without_new_files_changes_nothing(spark):
     q = stage_stream(spark, "donations", landing, target, ckpt, parents=parents)
     q.awaitTermination(120)
     assert q.exception() is None, q.exception()
-    before = sorted(tuple(r) for r in latest_version(spark, target).collect())
+    before = sorted(tuple(r) for r in latest_version(spark, "donations", target).collect())
     versions = sorted(os.listdir(target))
     q = stage_stream(spark, "donations", landing, target, ckpt, parents=parents)   # restart, same checkpoint
     q.awaitTermination(120)
     assert q.exception() is None, q.exception()
     assert sorted(os.listdir(target)) == versions
-    assert sorted(tuple(r) for r in latest_version(spark, target).collect()) == before
+    assert sorted(tuple(r) for r in latest_version(spark, "donations", target).collect()) == before
 
 
 def _stream(spark, table, base, landing):
     q = stage_stream(spark, table, landing, os.path.join(base, "target"), os.path.join(base, "ckpt"), parents={})
     q.awaitTermination(120)
     assert q.exception() is None, q.exception()
-    return latest_version(spark, os.path.join(base, "target"))
+    return latest_version(spark, table, os.path.join(base, "target"))
 
 
 def test_stream_of_a_full_refresh_table_keeps_earlier_files(spark):
