@@ -8,8 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.functions.hashing import row_hash
 from starloom.plans.bind_extract import _orders_spec
 from starloom.plans.blocks import BlockTable, HashBlocks, IdRanges
+from starloom.plans.change_days import ChangeDays
 from starloom.plans.registry import register
 from starloom.plans.staging import stage_into, staging_blocks
 from starloom.session import ensure_checkpoint_dir
@@ -85,3 +87,22 @@ def blocks_load_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         row = row.select(F.lit(batch).cast("int").alias("etl_batch_id"), "*", F.lit(done.rows_unchanged).cast("long").alias("rows_unchanged"))
         out = row if out is None else out.unionByName(row)
     return out
+
+
+@register("change_day_window", ("SC5", "SC1", "K2"), """
+WITH t AS (SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 10 = 3 THEN o_orderdate + INTERVAL 45 DAY ELSE o_orderdate END AS changed_at FROM orders)
+SELECT o_orderkey, o_orderstatus, CAST(changed_at AS TIMESTAMP) AS changed_at FROM t
+WHERE changed_at >= TIMESTAMP '1997-11-20 00:00:00' AND changed_at < TIMESTAMP '1998-03-01 12:00:00'
+""")
+def change_day_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by the fortnight of their change, of which every tenth then changes 45 days later and moves; a window of 102 days is read from its fortnights."""
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.col("o_orderdate").cast("timestamp_ntz").alias("created_at"))
+    hashed = lambda df: df.withColumn("row_hash", row_hash("o_orderkey", "o_orderstatus", "updated_at", "created_at"))
+    none = F.lit(None).cast("timestamp_ntz")
+    table = ChangeDays(spark, f"{ensure_checkpoint_dir(spark)}/change-days-{uuid.uuid4().hex}", ("o_orderkey",), index_blocks=64, days_per_block=14)
+    table.load(hashed(orders.withColumn("updated_at", none)))
+    later = F.when(F.col("o_orderkey") % 10 == 3, F.col("created_at") + F.expr("INTERVAL 45 DAYS")).otherwise(none)
+    table.load(hashed(orders.withColumn("updated_at", later)))
+    table.remove_versions(keep=1)
+    return table.window(_dt.datetime(1997, 11, 20), _dt.datetime(1998, 3, 1, 12)).select(
+        "o_orderkey", "o_orderstatus", F.coalesce("updated_at", "created_at").alias("changed_at"))

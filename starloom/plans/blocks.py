@@ -62,13 +62,15 @@ class IdRanges:
 
 @dataclass(frozen=True)
 class Days:
-    """Blocks by the day of the first key column, a date or timestamp."""
-
-    def label(self, keys: list[str]) -> Column:
-        return F.date_format(keys[0], "yyyy-MM-dd")
+    """Blocks of ``days`` days, counted from 1970-01-01, of the first key column, a date or timestamp; named by their first day."""
+    days: int = 1
 
+    def label_of(self, moment: Column) -> Column:
+        day = moment.cast("date")
+        return F.date_format(F.date_sub(day, F.pmod(F.datediff(day, F.lit("1970-01-01").cast("date")), F.lit(self.days))), "yyyy-MM-dd")
 
-_LAYOUTS = {c.__name__: c for c in (HashBlocks, IdRanges, Days)}
+    def label(self, keys: list[str]) -> Column:
+        return self.label_of(F.col(keys[0]))
 
 
 @dataclass(frozen=True)
@@ -92,6 +94,7 @@ class _Version:
     tag: int | None = None
     layout: tuple | None = None
     counts: dict | None = None
+    note: dict | None = None
 
 
 class BlockTable:
@@ -136,6 +139,20 @@ class BlockTable:
         """The tag of the last load that had one."""
         return self._open().tag
 
+    @property
+    def version(self) -> int:
+        return self._open().version
+
+    def restore(self, version: int) -> int:
+        """Make an earlier version that was not removed (0: the empty table) current again, as a new version; returns its number."""
+        now = self._open()
+        text = self._files.read(f"_versions/{version:06d}.json") if version else None
+        if version and not text:
+            raise ValueError(f"{self._files.root}: no version {version}")
+        then = _Version(**json.loads(text)) if version else _Version()
+        self._commit(now, **{k: v for k, v in asdict(then).items() if k not in ("version", "layout")})
+        return now.version + 1
+
     def labels(self) -> list[str]:
         return sorted(self._open().blocks)
 
@@ -211,37 +228,37 @@ class BlockTable:
             return Counts()
         return Counts(**{k: tuple(v) if isinstance(v, list) else v for k, v in version.counts.items()})
 
+    def _mark(self, version: _Version, incoming: DataFrame, order_cols, carried: list[str]) -> tuple[DataFrame, list[str]]:
+        """The latest row per id of an extract with its block, what it is (insert, update, unchanged) and, as ``_old_<name>``, columns of the row it
+        meets; and the labels of the blocks that were read for it."""
+        self._check(version, incoming)
+        cols = incoming.columns
+        rows = cut_lineage(self._dealt(latest_of_extract(incoming, self.keys, list(order_cols))))
+        present = [b for b in self._labels_of(rows) if b in version.blocks]
+        if not present:
+            return rows.withColumn(_ACTION, F.lit("insert")), present
+        extra = [c for c in [self.hash_col, self.valid_col, *carried] if c]
+        narrow = self._read(version, present).select(*[F.col(c).alias(f"{_OLD}key_{c}") for c in self.keys], *[F.col(c).alias(_OLD + c) for c in extra])
+        was = {c: F.col(_OLD + c) for c in extra}
+        differs = F.col(self.hash_col).isNull() | was[self.hash_col].isNull() | (F.col(self.hash_col) != was[self.hash_col])
+        if self.valid_col:
+            differs = differs | ~F.coalesce(was[self.valid_col], F.lit(False))
+        same = F.lit(True)
+        for k in self.keys:
+            same = same & (F.col(k) == F.col(f"{_OLD}key_{k}"))
+        found = F.when(F.col(f"{_OLD}key_{self.keys[0]}").isNull(), "insert").when(differs, "update").otherwise("unchanged")
+        return cut_lineage(rows.join(narrow, same, "left").select(_BLOCK, *cols, *[was[c] for c in carried], found.alias(_ACTION))), present
+
     def upsert(self, incoming: DataFrame, order_cols: tuple[str, ...] = (), tag: int | None = None) -> Counts:
         """K2: rows whose hash differs (or is NULL, or whose old row is invalid) replace the old row and keep its row id; rows of new keys are
         inserted; others stay as they are. A load whose ``tag`` is not above the table's last one was done before and is not repeated."""
         version = self._open()
         if (done := self._done(tag, version)) is not None:
             return done
-        if self.row_id:
-            incoming = incoming.drop(self.row_id)
-        self._check(version, incoming)
-        cols = incoming.columns
-        rows = cut_lineage(self._dealt(latest_of_extract(incoming, self.keys, list(order_cols))))
-        touched = self._labels_of(rows)
-        present = [b for b in touched if b in version.blocks]
-        old = self._read(version, present) if present else None
+        cols = [c for c in incoming.columns if c != self.row_id]
         carried = [self.row_id] if self.row_id else []
-        if old is None:
-            marked = rows.withColumn(_ACTION, F.lit("insert"))
-        else:
-            extra = [c for c in [self.hash_col, self.valid_col, *carried] if c]
-            narrow = old.select(*[F.col(c).alias(_OLD + c) for c in self.keys], *[F.col(c).alias(_OLD + "." + c) for c in extra])
-            was = {c: F.col(f"`{_OLD}.{c}`") for c in extra}
-            differs = F.col(self.hash_col).isNull() | was[self.hash_col].isNull() | (F.col(self.hash_col) != was[self.hash_col])
-            if self.valid_col:
-                differs = differs | ~F.coalesce(was[self.valid_col], F.lit(False))
-            same = None
-            for k in self.keys:
-                same = (F.col(k) == F.col(_OLD + k)) if same is None else same & (F.col(k) == F.col(_OLD + k))
-            marked = rows.join(narrow, same, "left").select(
-                _BLOCK, *cols, *[was[c].alias(_OLD) for c in carried],
-                F.when(F.col(_OLD + self.keys[0]).isNull(), "insert").when(differs, "update").otherwise("unchanged").alias(_ACTION))
-        marked = cut_lineage(marked)
+        marked, present = self._mark(version, incoming.select(*cols), order_cols, carried)
+        old = bool(present)
         tally = marked.groupBy(_BLOCK).agg(*[F.count(F.when(F.col(_ACTION) == a, 1)).alias(a) for a in ("insert", "update", "unchanged")]).collect()
         n = {a: sum(r[a] for r in tally) for a in ("insert", "update", "unchanged")}
         changed = sorted(r[_BLOCK] for r in tally if r["insert"] or r["update"])
@@ -251,10 +268,10 @@ class BlockTable:
             if self.row_id:
                 inserts = assign_keys(inserts, self.keys, self.row_id, base=last_id, known_rows=n["insert"])
             out = [inserts.select(_BLOCK, *carried, *cols, F.lit("insert").alias(_ACTION))]
-            if old is not None:
+            if old:
                 updates = marked.where(F.col(_ACTION) == "update")
                 if self.row_id:
-                    updates = updates.withColumnRenamed(_OLD, self.row_id)
+                    updates = updates.withColumnRenamed(_OLD + self.row_id, self.row_id)
                 gone = updates.select(*self.keys)
                 kept = self._dealt(self._read(version, changed)).join(
                     F.broadcast(gone) if n["update"] <= KEYS_BROADCAST_MAX_ROWS else gone, self.keys, "left_anti")
