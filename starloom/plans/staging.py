@@ -18,7 +18,7 @@ from starloom.functions.hashing import row_hash
 from starloom.operators.keys import assign_keys, max_key
 from starloom.operators.loads import hash_upsert, latest_of_extract
 from starloom.operators.validation import (
-    ForeignKey, Rule, between, greater_than, in_domain, ordered, required, validate,
+    ForeignKey, Rule, between, custom, greater_than, in_domain, ordered, required, validate,
 )
 from starloom.plans import schemas
 from starloom.plans.blocks import BlockTable, Counts, HashBlocks
@@ -31,7 +31,8 @@ class FK:
     col: str
     parent: str
     parent_col: str = "id"
-    when: str | None = None      # SQL predicate making the check conditional (V9)
+    when: tuple | None = None    # (column, value): the check holds for rows of that value only (V9)
+    needed: bool = False         # a row of that value must have a reference
 
 
 @dataclass(frozen=True)
@@ -56,14 +57,61 @@ class TableSpec:
         return list(self.columns) if self.columns else schemas.columns(self.name)
 
     def rules(self) -> list[Rule]:
-        r = [required(c) for c in self.required]
-        r += [in_domain(c, list(v)) for c, v in self.domains]
-        r += [greater_than(c, 0) for c in self.positive]
-        r += [greater_than(c, 0, inclusive=True) for c in self.non_negative]
-        r += [greater_than(c, b, inclusive=True) for c, b in self.at_least]
-        r += [between(c, lo, hi) for c, lo, hi in self.ranges]
-        r += [ordered(a, b) for a, b in self.ordered]
-        return r
+        """Rules in the order in which their texts are joined. The texts are fixed formats that readers of rejected rows rely on; they name the
+        condition that failed, in two styles: program tables spell out the whole condition, finance tables name the column first."""
+        finance = self.system == FIN
+        out = []
+
+        def add(rule: Rule, text: str) -> None:
+            out.append(Rule(rule.fails, f"{text}; "))
+
+        for c in self.required:
+            add(required(c), f"{_named(c)} missing")
+            if c in self.positive:
+                add(greater_than(c, 0), f"{c} invalid: {c} <= 0")
+        for c in self.positive:
+            if c not in self.required:
+                add(greater_than(c, 0), f"{c} invalid: {c} <= 0")
+        for c in self.non_negative:
+            add(greater_than(c, 0, inclusive=True), f"{c} invalid: {c} < 0")
+        for c, values in self.domains:
+            add(in_domain(c, list(values)), f"{c} invalid: {c} NOT IN ({', '.join(values)})")
+        for c, bound in self.at_least:
+            add(greater_than(c, bound, inclusive=True), f"{c} IS NOT NULL AND {c} < {bound}")
+        for c, low, high in self.ranges:
+            add(between(c, low, high), f"{c} IS NOT NULL AND ({c} < {low} OR {c} > {high})")
+        for a, b in self.ordered:
+            if finance:
+                text = f"{a} invalid: {b} invalid: {a} > {b}"
+            elif a in self.required and b in self.required:
+                text = f"{a} > {b}"
+            else:
+                text = f"{b} IS NOT NULL AND {a} IS NOT NULL AND {a} > {b}"
+            add(ordered(a, b), text)
+        for fk in self.fks:
+            if fk.needed:
+                add(custom(self.asked(fk) & F.col(fk.col).isNull(), ""), f"{fk.when[0]} = {fk.when[1]} AND {fk.col} missing")
+        return out
+
+    def asked(self, fk: FK) -> Column | None:
+        """For which rows a conditional reference is checked."""
+        return None if fk.when is None else F.lower(F.trim(fk.when[0])) == fk.when[1]
+
+    def reference_text(self, fk: FK) -> str:
+        """What a row says whose reference is in no parent; cut to 150 characters like the texts that readers know."""
+        subject = fk.col if fk.when is None else f"{fk.when[0]} = {fk.when[1]} AND {fk.col}"
+        text = (f"{subject} invalid reference (SELECT 1 FROM {SOURCE_DATABASE.get(self.system, self.system)}.{self.system}.{fk.parent} p "
+                f"WHERE p.{fk.parent_col} = s.{fk.col})")
+        return (text if len(text) <= TEXT_LENGTH else text[:TEXT_LENGTH - 3] + "...") + "; "
+
+
+#: Longest text of one failed rule.
+TEXT_LENGTH = 150
+
+
+def _named(col: str) -> str:
+    """Column names that are words of SQL are bracketed in messages."""
+    return f"[{col}]" if col == "date" else col
 
 
 def _spec(name, system, load, **kw) -> TableSpec:
@@ -148,15 +196,15 @@ SPECS = [
     _spec("budget_allocations", FIN, "upsert", watermark="created",
           required=("id", "source_type", "center_id", "allocated_amount", "allocation_date"),
           positive=("allocated_amount",), domains=(("source_type", ("donation", "internal_budget")),),
-          fks=(FK("source_id", "donations", when="lower(trim(source_type)) = 'donation'"),
+          fks=(FK("source_id", "donations", when=("source_type", "donation"), needed=True),
                FK("category_id", "expense_categories"))),
     _spec("financial_transactions", FIN, "upsert", watermark="created",
           required=("id", "entity_type", "entity_id", "transaction_type", "amount", "transaction_date"),
           positive=("amount",),
           domains=(("entity_type", ("donation", "expense", "payment")), ("transaction_type", ("credit", "debit"))),
-          fks=(FK("entity_id", "donations", when="lower(trim(entity_type)) = 'donation'"),
-               FK("entity_id", "expenses", when="lower(trim(entity_type)) = 'expense'"),
-               FK("entity_id", "payments", when="lower(trim(entity_type)) = 'payment'"))),
+          fks=(FK("entity_id", "donations", when=("entity_type", "donation")),
+               FK("entity_id", "expenses", when=("entity_type", "expense")),
+               FK("entity_id", "payments", when=("entity_type", "payment")))),
     _spec("currency_rates", FIN, "upsert", watermark="date:rate_date",
           required=("id", "from_currency", "to_currency", "rate", "rate_date"), positive=("rate",)),
 ]
@@ -197,8 +245,7 @@ def checked_extract(spec: TableSpec, sources: dict[str, DataFrame], to_date: _dt
     cols = spec.source_columns()
     x = _extract(spec, src.select(*cols), sources, to_date)
     x = x.withColumn("row_hash", row_hash(*cols))
-    fks = [ForeignKey(fk.col, sources[fk.parent], fk.parent_col, f"{fk.col} invalid reference to {fk.parent}; ",
-                      F.expr(fk.when) if fk.when else None) for fk in spec.fks]
+    fks = [ForeignKey(fk.col, sources[fk.parent], fk.parent_col, spec.reference_text(fk), spec.asked(fk)) for fk in spec.fks]
     # The validated extract is the work table every later step reads (valid rows, rejects,
     # counts): materialise it once rather than re-running the referential joins per reader.
     from starloom.session import cut_lineage
