@@ -20,7 +20,7 @@ from starloom.plans.registry import register
 from starloom.sources.lineage import stamp_lineage
 from starloom.sources.tables import load
 from starloom.sources.watermark import (
-    business_window, change_window, date_watermark, history_before, inclusive_watermark, parent_watermark,
+    business_window, change_window, created_watermark, date_watermark, history_before, inclusive_watermark, parent_watermark,
 )
 
 WATERMARK = _dt.datetime(1999, 6, 30)
@@ -71,7 +71,7 @@ WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey
               AND p.p_retailprice > 0 AND p.p_size BETWEEN 1 AND 50)
 """)
 def parent_watermark_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = load(spark, sf_dir, "orders").filter(F.col("o_orderdate") <= ts_lit(WATERMARK))
+    orders = created_watermark(load(spark, sf_dir, "orders"), WATERMARK, "o_orderdate")
     part = load(spark, sf_dir, "part").filter((F.col("p_retailprice") > 0) & F.col("p_size").between(1, 50))
     li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     return parent_watermark(li, [(orders, "l_orderkey", "o_orderkey"), (part, "l_partkey", "p_partkey")])
