@@ -89,6 +89,19 @@ def blocks_load_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+@register("blocks_appended_events", ("K3", "K12"), """
+SELECT event_id, user_id, event_type, CAST(CASE WHEN ts < TIMESTAMP '2024-01-15' THEN 1 ELSE 2 END AS INTEGER) AS etl_batch_id FROM events
+""")
+def blocks_appended_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events appended by their id in two loads, the second of which brings all of the first again, and a third that brings nothing new."""
+    events = load(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
+    table = BlockTable(spark, f"{ensure_checkpoint_dir(spark)}/events-{uuid.uuid4().hex}", ("event_id",), HashBlocks(32))
+    early = F.col("ts") < F.lit(_dt.datetime(2024, 1, 15)).cast("timestamp_ntz")
+    for batch, rows in ((1, events.where(early)), (2, events), (3, events)):
+        table.append(rows.drop("ts").withColumn("etl_batch_id", F.lit(batch).cast("int")))
+    return table.read()
+
+
 @register("change_day_window", ("SC5", "SC1", "K2"), """
 WITH t AS (SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 10 = 3 THEN o_orderdate + INTERVAL 45 DAY ELSE o_orderdate END AS changed_at FROM orders)
 SELECT o_orderkey, o_orderstatus, CAST(changed_at AS TIMESTAMP) AS changed_at FROM t
