@@ -65,6 +65,7 @@ class ForeignKey:
     parent_col: str
     message: str | None = None
     when: Column | None = None
+    of_type: tuple[str, str] | None = None    # (type column, value): the row's type names the parent
 
 
 def _spread(key: Column, kind: str, by: str) -> Column:
@@ -76,13 +77,38 @@ def _spread(key: Column, kind: str, by: str) -> Column:
     return F.coalesce(key, (-2 - F.pmod(F.xxhash64(by), F.lit(width))).cast(kind))
 
 
+def _attach_typed_flags(df: DataFrame, fks: list[ForeignKey]) -> tuple[DataFrame, dict[int, Column]]:
+    """References of one column to several parents, told apart by one type column, are checked in one join (V9). Returns the frame
+    with a flag per such column, and each reference's failure by its place in ``fks``."""
+    from starloom.operators.references import PolymorphicKey, with_missing_parent
+    groups: dict[tuple[str, str], list[int]] = {}
+    for i, fk in enumerate(fks):
+        if fk.of_type is not None:
+            groups.setdefault((fk.of_type[0], fk.col), []).append(i)
+    failures = {}
+    for (type_col, col), places in groups.items():
+        codes = [fks[i].of_type[1] for i in places]
+        if len(places) < 2 or len(set(codes)) < len(codes):
+            continue
+        flag = f"_sl_typed{places[0]}"
+        parents = {code: (fks[i].parent, fks[i].parent_col) for code, i in zip(codes, places)}
+        df = with_missing_parent(df, PolymorphicKey(type_col, col, parents), flag)
+        for code, i in zip(codes, places):
+            failures[i] = F.col(flag) & (norm_lower(type_col) == code)
+    return df, failures
+
+
 def attach_fk_flags(df: DataFrame, fks: list[ForeignKey]) -> tuple[DataFrame, list[Rule]]:
     """Left join each parent's distinct keys; return the frame plus the failure rules. A parent that a bounded count proves small
     is broadcast (counted once for all tables of a run); keys that are NULL, or whose condition does not hold, stay out of the shuffle's
     hot spots."""
     from starloom.operators.lookups import checked_broadcast
     rules = []
+    df, typed = _attach_typed_flags(df, fks)
     for i, fk in enumerate(fks):
+        if i in typed:
+            rules.append(Rule(typed[i], fk.message or f"{fk.col} not found; "))
+            continue
         flag = f"_sl_fk{i}"
         parent = fk.parent.select(F.col(fk.parent_col).alias(flag + "_k")).distinct() \
                           .withColumn(flag, F.lit(True))

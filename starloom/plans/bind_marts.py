@@ -305,50 +305,33 @@ def finance_mart_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------- Mart 1 in two phases: Type 2 teacher changes at scale
 def program_run_two_phase(spark: SparkSession, sf_dir: str) -> dict:
-    """Phase 1: all teachers active; stage to 1998 and first-load [1995, 1998). Phase 2: suppliers
-    with a negative balance become inactive (updated at the split); upsert staging and run the
-    incremental load over [1998, 2002): their current versions close and new ones open."""
+    """The mart job run twice. Phase 1: all teachers active; stage to 1998 and first-load [1995, 1998). Phase 2: suppliers
+    with a negative balance become inactive and every other center is renamed (both updated at the split); upsert staging and run
+    the incremental load over [1998, 2002): current versions of what changed close and new ones open. ``run_logs`` holds both
+    runs' load logs. Memoised."""
     key = ("program-2", spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key in _RUNS:
         return _RUNS[key]
-    from starloom.plans import mart1, schemas
+    from starloom.plans import schemas
+    from starloom.plans.mart1 import run_mart1
     from starloom.session import cut_lineage
 
     def sources(change):
-        src = program_task_sources(spark, sf_dir, teacher_change=change)
+        src = program_task_sources(spark, sf_dir, teacher_change=change, center_change=change)
         for t in schemas.PROGRAM_OPS:
             src.setdefault(t, schemas.empty(spark, t))
         return src
-    stg1, _ = run_staging(spark, "program_ops", sources(None), {}, PHASE_SPLIT, batch_id=1, specs=PROGRAM_SPECS)
     o = load(spark, sf_dir, "orders")
     lo, hi = o.agg(F.min(F.year("o_orderdate")), F.max(F.year("o_orderdate"))).first()
     bounds = spark.range(1).select(F.lit(_dt.date(lo, 1, 1)).alias("lo"), F.lit(_dt.date(hi, 12, 31)).alias("hi"))
-    dim_date = cut_lineage(build_dim_date(bounds))
-
-    def dims_for(stg, prev, start, end, first):
-        wave1 = mart1.build_dims({
-            "dim_center": lambda: mart1.dim_center(stg, prev.get("dim_center"), start, end, first_load=first),
-            "dim_domain": lambda: mart1.dim_domain(stg, prev.get("dim_domain")),
-            "dim_score_scale": lambda: mart1.dim_score_scale(stg, prev.get("dim_score_scale")),
-            "dim_no_score_reason": lambda: mart1.dim_no_score_reason(stg, prev.get("dim_no_score_reason")),
-            "dim_assessment_status": lambda: mart1.dim_assessment_status(stg, prev.get("dim_assessment_status")),
-            "dim_child": lambda: mart1.dim_child(stg, prev.get("dim_child"))})
-        d = {n: df for n, (df, _) in wave1.items()}
-        wave2 = mart1.build_dims({
-            "dim_teacher": lambda: mart1.dim_teacher(stg, prev.get("dim_teacher"), d["dim_center"], start, end, first),
-            "dim_task": lambda: mart1.dim_task(stg, prev.get("dim_task"), d["dim_domain"])})
-        d.update({n: df for n, (df, _) in wave2.items()})
-        d["dim_date"] = dim_date
-        return d
-    d1 = dims_for(stg1, {}, RUN_START, PHASE_SPLIT, True)
-    f1 = cut_lineage(mart1.fact_tran_student_task_progress(stg1, d1, RUN_START, PHASE_SPLIT, None, 1, PHASE_SPLIT))
+    dw = {"dim_date": cut_lineage(build_dim_date(bounds))}
+    stg1, _ = run_staging(spark, "program_ops", sources(None), {}, PHASE_SPLIT, batch_id=1, specs=PROGRAM_SPECS)
+    first = run_mart1(spark, stg1, dw, RUN_START, PHASE_SPLIT, batch_id=1, first_load=True)
     stg2, _ = run_staging(spark, "program_ops", sources(PHASE_SPLIT.isoformat(sep=" ")), stg1, TO_DATE, batch_id=2,
                           specs=PROGRAM_SPECS)
-    d2 = dims_for(stg2, d1, PHASE_SPLIT, RUN_END, False)
-    new = cut_lineage(mart1.fact_tran_student_task_progress(stg2, d2, PHASE_SPLIT, RUN_END, f1, 2, RUN_END))
-    out = dict(d2, fact_tran_student_task_progress=f1.unionByName(new))
-    _RUNS[key] = out
-    return out
+    second = run_mart1(spark, stg2, {**dw, **first}, PHASE_SPLIT, RUN_END, batch_id=2)
+    _RUNS[key] = {**dw, **second, "run_logs": first["etl_load_log"].unionByName(second["etl_load_log"])}
+    return _RUNS[key]
 
 
 def _teacher_versions(dim_teacher: DataFrame) -> DataFrame:
@@ -492,13 +475,21 @@ FROM states d JOIN seen s USING (child_id, center_id, teacher_id, day_key)
 """)
 def program_accumulation_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F6 after both windows of the daily snapshot: the second run's recomputed groups replace the first run's rows."""
+    return whole_accumulation(spark, sf_dir)
+
+
+def whole_accumulation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F6 after each run of ``daily_runs``, by natural ids. Memoised."""
     from starloom.plans.mart1 import fact_child_snapshot_accumulation, last_daily_rows
     from starloom.session import cut_lineage
-    state, windows, out = daily_runs(spark, sf_dir)
-    acc = None
-    for batch, (start, end) in enumerate(windows, 1):
-        acc = cut_lineage(fact_child_snapshot_accumulation(last_daily_rows(state, out, start, end), out["fact_tran_student_task_progress"],
-                                                           start, end, acc, batch, RUN_END))
-    return _natural_ids(acc, out).select(
-        "child_id", "center_id", "teacher_id", "snapshot_date_key", "planned_task_count", "assessment_count", "completed_task_count",
-        "scored_task_count", "first_plan_date_key", "last_plan_date_key", "first_assessment_date_key", "last_assessment_date_key")
+    key = ("accumulation", spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _RUNS:
+        state, windows, out = daily_runs(spark, sf_dir)
+        acc = None
+        for batch, (start, end) in enumerate(windows, 1):
+            acc = cut_lineage(fact_child_snapshot_accumulation(last_daily_rows(state, out, start, end), out["fact_tran_student_task_progress"],
+                                                               start, end, acc, batch, RUN_END))
+        _RUNS[key] = _natural_ids(acc, out).select(
+            "child_id", "center_id", "teacher_id", "snapshot_date_key", "planned_task_count", "assessment_count", "completed_task_count",
+            "scored_task_count", "first_plan_date_key", "last_plan_date_key", "first_assessment_date_key", "last_assessment_date_key")
+    return _RUNS[key]

@@ -72,13 +72,18 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.join(supp, li.l_suppkey == supp.s_suppkey, "left")
 
 
-def program_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def program_sources(spark: SparkSession, sf_dir: str, center_change: str | None = None) -> dict[str, DataFrame]:
+    """``center_change``: a timestamp text renames every other center with that update time."""
     n = load(spark, sf_dir, "nation")
+    name, updated = F.col("n_name"), F.lit(None).cast("timestamp_ntz")
+    if center_change is not None:
+        odd = F.col("n_nationkey") % 2 == 1
+        name, updated = F.when(odd, F.concat(name, F.lit(" II"))).otherwise(name), F.when(odd, ts_lit(center_change))
     r = load(spark, sf_dir, "region")
     centers = n.join(checked_broadcast(r), n.n_regionkey == r.r_regionkey, "left").select(
-        F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"), F.col("r_name").alias("city"),
+        F.col("n_nationkey").alias("id"), name.alias("name"), F.col("r_name").alias("city"),
         F.lit(None).cast("string").alias("address"), F.lit(True).alias("is_active"),
-        ts_lit(EPOCH).alias("created_at"), F.lit(None).cast("timestamp_ntz").alias("updated_at"))
+        ts_lit(EPOCH).alias("created_at"), updated.alias("updated_at"))
     children = spark.createDataFrame([], "id int, center_id int, first_name string, last_name string, "
                                          "national_code string, birth_date date, gender string, enrollment_date date, "
                                          "status string, created_at timestamp_ntz, updated_at timestamp_ntz")
@@ -167,12 +172,12 @@ TEMPLATE_MAX_SIZE = 25
 REASON_TITLES = ("Child absent", "Teacher away", "Center closed", "System error", "Other")
 
 
-def program_task_sources(spark: SparkSession, sf_dir: str, teacher_change: str | None = "always"
-                         ) -> dict[str, DataFrame]:
+def program_task_sources(spark: SparkSession, sf_dir: str, teacher_change: str | None = "always",
+                         center_change: str | None = None) -> dict[str, DataFrame]:
     """``teacher_change``: "always" marks suppliers with a negative balance inactive from the
     start; None keeps every teacher active; a timestamp text marks them inactive with that
     update time (the second phase of a two-phase load)."""
-    out = program_sources(spark, sf_dir)
+    out = program_sources(spark, sf_dir, center_change)
     created = ts_lit(EPOCH)
     no_ts = F.lit(None).cast("timestamp_ntz")
     c = load(spark, sf_dir, "customer")

@@ -279,7 +279,7 @@ def fact_donation_lifecycle(stg, dims, end, batch_id, load_ts):
     d = lookup_key(d, st, [(s, "code")], "status_key", "lifecycle_status_key")
     stage = (F.when(s == "refunded", "refunded").when(s == "rejected", "rejected")
               .when(F.col("allocated_date_key").isNotNull(), "allocated").otherwise("confirmed"))
-    base = d.select(F.col("id").alias("source_donation_id"), "donor_key", "campaign_key",
+    base = d.select("donor_key", "campaign_key",
                     F.col("created_key").alias("created_date_key"),
                     F.when(s.isin("confirmed", "refunded"), F.col("created_key")).otherwise(F.lit(-1))
                     .alias("confirmed_date_key"),
@@ -287,8 +287,7 @@ def fact_donation_lifecycle(stg, dims, end, batch_id, load_ts):
                     "lifecycle_status_key", stage.alias("current_stage"), F.col("amount").alias("donation_amount"))
     nz = lambda c: F.coalesce(F.min(F.when(F.col(c) != -1, F.col(c))), F.lit(-1)).alias(c)
     return base.groupBy("donor_key", "campaign_key", "lifecycle_status_key", "current_stage").agg(
-        F.min("source_donation_id").alias("source_donation_id"), nz("created_date_key"),
-        nz("confirmed_date_key"), nz("allocated_date_key"),
+        nz("created_date_key"), nz("confirmed_date_key"), nz("allocated_date_key"),
         F.sum("donation_amount").cast("decimal(18,2)").alias("donation_amount"),
         F.min("donation_amount").alias("min_donation"), F.max("donation_amount").alias("max_donation"),
         F.sum("donation_amount").alias("_sum"), F.count("donation_amount").alias("_n"),

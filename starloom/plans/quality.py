@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -149,3 +149,69 @@ def documented_dq(program: dict[str, DataFrame], finance: dict[str, DataFrame])
         F.count(F.lit(1)).cast("long").alias("problem_count")).select(
         F.lit("score_outside_scale").alias("check_name"), "problem_count")
     return orphans.unionByName(bad_amount).unionByName(outside)
+
+
+# ----------------------------------------------------------------- checks of Mart 1's facts
+def _named_counts(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
+    """check_name and problem_count of several conditions, in one pass over ``df``."""
+    counts = count_where(df, checks)
+    pairs = ", ".join(f"'{n}', `{n}`" for n in checks)
+    return counts.select(F.expr(f"stack({len(checks)}, {pairs}) AS (check_name, problem_count)"))
+
+
+def flag_problems(progress: DataFrame) -> DataFrame:
+    """Q8: rows of the task-progress fact that break a rule of its flags (a missing flag counts as 0)."""
+    flag = lambda c: F.coalesce(F.col(c), F.lit(0))
+    has_score, assessment = F.col("raw_score").isNotNull(), F.col("source_task_assessment_id").isNotNull()
+    classes = ("is_scored", "is_not_scored", "is_refused", "is_cancelled", "is_incomplete")
+    none = F.lit(True)
+    for c in classes:
+        none = none & (flag(c) == 0)
+    return _named_counts(progress, {
+        "scored_and_not_scored": (flag("is_scored") == 1) & (flag("is_not_scored") == 1),
+        "score_without_flag": has_score & (flag("is_scored") != 1), "flag_without_score": (flag("is_scored") == 1) & ~has_score,
+        "not_scored_with_score": (flag("is_not_scored") == 1) & has_score, "assessment_not_assessed": assessment & (flag("is_assessed") != 1),
+        "plan_assessed": ~assessment & F.col("source_daily_task_assignment_id").isNotNull() & (flag("is_assessed") != 0),
+        "assessment_unclassified": assessment & (flag("is_assessed") == 1) & none})
+
+
+def duplicate_grains(task_rows: DataFrame, task_events: DataFrame, assessed_rows: DataFrame, assessed_events: DataFrame, daily_spans: DataFrame,
+                     runs: list, accumulation: DataFrame, group: tuple[str, ...] = ("child_id", "center_id", "teacher_id")) -> DataFrame:
+    """Q19: check_name and problem_count for every grain of Mart 1's facts. Plan rows and events are one per assignment, assessment rows
+    and events one per assessment; ``daily_spans`` hold a (day, group) once; ``accumulation`` holds a group once."""
+    from starloom.operators.intervals import repeated_days
+    plan, assessed = "source_daily_task_assignment_id", "source_task_assessment_id"
+    planned = F.col(assessed).isNull() & F.col(plan).isNotNull()
+    given = F.col(assessed).isNotNull()
+    grains = {"planned rows": (task_rows.where(planned), [plan]), "assessment rows": (assessed_rows.where(given), [assessed]),
+              "PLAN events": (task_events.where(planned & (F.col("event_type") == "PLAN")), [plan]),
+              "ASSESSMENT events": (assessed_events.where(given & (F.col("event_type") == "ASSESSMENT")), [assessed]),
+              "accumulation rows": (accumulation, list(group))}
+    out = repeated_days(daily_spans, runs, group).select(F.lit("daily rows").alias("check_name"), F.col("n").alias("problem_count"))
+    for name, (df, grain) in grains.items():
+        out = out.unionByName(duplicate_groups(df.select(*grain), grain).select(F.lit(name).alias("check_name"), F.col("n_duplicate_groups").alias("problem_count")))
+    return out
+
+
+def one_sided(left: DataFrame, right: DataFrame) -> DataFrame:
+    """One row, ``problem_count``: distinct rows found on one side only (EXCEPT both ways), by one aggregate over both sides."""
+    cols = left.columns
+    both = left.withColumn("_l", F.lit(1)).unionByName(right.select(*cols).withColumn("_l", F.lit(0)))
+    sides = both.groupBy(*cols).agg(F.max("_l").alias("_in_left"), F.min("_l").alias("_all_left"))
+    return sides.where(F.col("_in_left") == F.col("_all_left")).agg(F.count(F.lit(1)).cast("long").alias("problem_count"))
+
+
+def accumulation_problems(accumulation: DataFrame, last_day: DataFrame, progress: DataFrame,
+                          group: tuple[str, ...] = ("child_id", "center_id", "teacher_id")) -> DataFrame:
+    """Q5: the accumulation's counts against the daily snapshot's rows of its last day, and its first and last days against the fact."""
+    keys = [F.coalesce(c, F.lit(-1)).alias(c) for c in group]
+    counts = ["planned_task_count", "assessment_count", "completed_task_count", "scored_task_count"]
+    day = F.coalesce("date_key", F.lit(-1))
+    dates = {f"{edge}_{kind}_date_key": agg(F.when(F.col(col).isNotNull(), day))
+             for kind, col in (("plan", "source_daily_task_assignment_id"), ("assessment", "source_task_assessment_id"))
+             for edge, agg in (("first", F.min), ("last", F.max))}
+    history = progress.groupBy(*keys).agg(*[e.alias(n) for n, e in dates.items()])
+    of_day = one_sided(accumulation.select(*keys, *counts), last_day.select(*keys, *counts))
+    of_history = one_sided(accumulation.select(*keys, *dates), history)
+    return of_day.select(F.lit("counts of the last day").alias("check_name"), "problem_count").unionByName(
+        of_history.select(F.lit("first and last days").alias("check_name"), "problem_count"))

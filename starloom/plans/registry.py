@@ -34,6 +34,6 @@ def register(name: str, operators: tuple[str, ...], sql: str | None = None):
 def load_all_bindings() -> dict[str, Query]:
     # Importing the modules fills the registry.
     from starloom.plans import (  # noqa: F401
-        bind_blocks, bind_cubes, bind_dims, bind_extract, bind_facts, bind_intake, bind_mart_reports, bind_mart_tables, bind_marts, bind_quality, bind_reports, bind_snapshots,
+        bind_blocks, bind_cubes, bind_dims, bind_extract, bind_facts, bind_intake, bind_mart_checks, bind_mart_reports, bind_mart_tables, bind_marts, bind_quality, bind_reports, bind_snapshots,
     )
     return REGISTRY

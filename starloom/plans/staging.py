@@ -245,7 +245,7 @@ def checked_extract(spec: TableSpec, sources: dict[str, DataFrame], to_date: _dt
     cols = spec.source_columns()
     x = _extract(spec, src.select(*cols), sources, to_date)
     x = x.withColumn("row_hash", row_hash(*cols))
-    fks = [ForeignKey(fk.col, sources[fk.parent], fk.parent_col, spec.reference_text(fk), spec.asked(fk)) for fk in spec.fks]
+    fks = [ForeignKey(fk.col, sources[fk.parent], fk.parent_col, spec.reference_text(fk), spec.asked(fk), fk.when) for fk in spec.fks]
     # The validated extract is the work table every later step reads (valid rows, rejects,
     # counts): materialise it once rather than re-running the referential joins per reader.
     from starloom.session import cut_lineage
