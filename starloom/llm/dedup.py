@@ -14,9 +14,12 @@ classes are found without listing a bucket's pairs:
 2. Confirmed links are contracted to components. Buckets whose remaining members all belong to one
    component are settled.
 3. In the others every pair of different components is still open. Members are dealt into blocks of about ``BLOCK``;
-   a task compares two blocks, first by sizes and sketches in numpy, a pair only in the first band it shares, then on the
-   full sets. It emits the links that join components, fewer than its members. The largest component of a
-   bucket is only compared with the others. Blocks bound every task's memory whatever a bucket's size.
+   a task compares two blocks by sizes and sketches in numpy, a pair only in the first band it shares. It emits pairs that
+   would join its components if all were links, fewer than its members; these are confirmed on the full sets. Where one is
+   no link, the cell's documents that have any pair are compared again, with their sets. So sets are made for
+   documents with a promising pair only, and copied to a cell only where sketches were wrong. The largest component of a
+   bucket is only compared with the others. Blocks bound every task's memory whatever a bucket's size; the number of
+   cells, which grows with the square of unlike members that share a band, is logged.
 
 Broadcasts are used only behind a count; joins on hot keys are shuffle joins that adaptive execution splits.
 
@@ -27,6 +30,8 @@ gives an empty result.
 
 from __future__ import annotations
 
+import logging
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -45,6 +50,7 @@ LEAST_EQUAL = 122
 #: Ids that may be broadcast.
 MOST_IDS = 1_000_000
 
+_LOG = logging.getLogger(__name__)
 _U = np.uint64
 _XOR = mix64(np.arange(1, VALUES // 2 + 1, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))
 _MULTIPLY = mix64(_XOR ^ _U(0xD1B54A32D192ED03)) | _U(1)
@@ -177,63 +183,132 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     return cut_lineage(pairs.join(side[0], "x").join(side[1], "y").select("x", "y", "sx", "sy").mapInArrow(confirm, "x long, y long"))
 
 
-def _links_of_open_buckets(members: DataFrame, reps: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """Links between different components of the same bucket. ``members`` has key, band, doc_id and component."""
+_CELL = ["key", "kind", "i", "j"]
+
+
+def _near_rows(x: pd.DataFrame, y: pd.DataFrame, percent: int):
+    """For each row of x with any: its place and those of the rows of y in another component that it may be linked with, by sizes and
+    sketches. A pair that shares an earlier band is left to that one."""
+    (cx, nx, kx, bx), (cy, ny, ky, by) = ((f.component.to_numpy(), f.n.to_numpy(), np.frombuffer(b"".join(f.sketch), np.uint8).reshape(-1, VALUES),
+                                           np.array(f.earlier.tolist(), np.int64).reshape(len(f), -1)) for f in (x, y))
+    ix, iy = x.doc_id.to_numpy(), y.doc_id.to_numpy()
+    for r in range(len(x)):
+        good = ((cy != cx[r]) & (100 * np.minimum(ny, nx[r]) >= percent * np.maximum(ny, nx[r])) & ((ky == kx[r]).sum(axis=1) >= LEAST_EQUAL))
+        if x is y:
+            good &= iy > ix[r]
+        near = np.flatnonzero(good)
+        if by.shape[1] and len(near):
+            near = near[~(by[near] == bx[r]).any(axis=1)]
+        if len(near):
+            yield r, near
+
+
+class _Joined:
+    """Which components a cell's links have joined."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def find(self, c: int) -> int:
+        while c in self.up:
+            c = self.up[c]
+        return c
+
+    def roots(self, c: int, d: int) -> tuple[int, int]:
+        return self.find(int(c)), self.find(int(d))
+
+    def link(self, a: int, b: int) -> None:
+        self.up[max(a, b)] = min(a, b)
+
+
+def _sides(frame: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+    x = frame[frame.side == "x"]
+    return x, (x if (frame.side == "x").all() else frame[frame.side == "y"])
+
+
+def _cells(members: DataFrame) -> tuple[DataFrame, int]:
+    """One row for each member of an open bucket and each cell that it belongs to: key, kind, i, j, side, band, doc_id, component; and the number of
+    cells. A cell is a pair of blocks: of the bucket's largest component and the rest (l), or of the rest with itself (r)."""
     by_component = members.groupBy("key", "component").agg(F.count("*").alias("n"))
     buckets = (by_component.groupBy("key").agg(F.max_by("component", "n").alias("largest"), F.max("n").alias("n_largest"), F.sum("n").alias("n"),
                                                F.count("*").alias("components")).where("components > 1"))
-    buckets = buckets.select("key", "largest", F.ceil(F.col("n_largest") / BLOCK).alias("p"), F.ceil((F.col("n") - F.col("n_largest")) / BLOCK).alias("q"))
+    buckets = cut_lineage(buckets.select("key", "largest", F.ceil(F.col("n_largest") / BLOCK).alias("p"),
+                                         F.ceil((F.col("n") - F.col("n_largest")) / BLOCK).alias("q")))
+    n_cells = buckets.agg(F.sum(F.col("p") * F.col("q") + F.expr("q * (q + 1) div 2"))).first()[0] or 0
     dealt = cut_lineage(members.join(buckets, "key"))
     large = F.col("component") == F.col("largest")
     at = F.pmod(F.xxhash64("doc_id"), F.when(large, F.col("p")).otherwise(F.col("q")))
 
     def cell(kind, i, j, side):
         return F.struct(F.lit(kind).alias("kind"), i.cast("long").alias("i"), j.cast("long").alias("j"), F.lit(side).alias("side"))
-    # A cell is a pair of blocks: of the largest component and the rest (l), or of the rest with itself (r).
     zero = F.lit(0).cast("long")
     with_rest = F.transform(F.sequence(zero, F.col("q") - 1), lambda j: cell("l", F.col("at"), j, "x"))
     rest = F.concat(
         F.transform(F.sequence(zero, F.col("p") - 1), lambda i: cell("l", i, F.col("at"), "y")),
         F.transform(F.sequence(F.col("at"), F.col("q") - 1), lambda j: cell("r", F.col("at"), j, "x")),
         F.transform(F.filter(F.sequence(zero, F.col("at")), lambda i: i < F.col("at")), lambda i: cell("r", i, F.col("at"), "y")))
-    full = _full_sets(dealt.select("doc_id"), docs).join(reps, "doc_id")
-    cells = (dealt.withColumn("at", at).withColumn("cell", F.explode(F.when(large, with_rest).otherwise(rest)))
-             .join(full, "doc_id").select("key", "band", "doc_id", "component", "bands", "sketch", "shingles", "cell.*"))
-
-    def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        x = frame[frame.side == "x"]
-        y = x if (frame.side == "x").all() else frame[frame.side == "y"]
-        out: list[tuple[int, int]] = []
-        joined: dict[int, int] = {}
-
-        def find(c):
-            while c in joined:
-                c = joined[c]
-            return c
+    return (dealt.withColumn("at", at).withColumn("cell", F.explode(F.when(large, with_rest).otherwise(rest)))
+            .select("key", "band", "doc_id", "component", "cell.*")), int(n_cells)
+
+
+def _links_of_open_buckets(members: DataFrame, reps: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """Links between different components of the same bucket. ``members`` has key, band, doc_id and component."""
+    cells, n_cells = _cells(members)
+    _LOG.info("cells of open buckets: %d", n_cells)
+    told = reps.select("doc_id", "n", "bands", "sketch")
+
+    def with_sketch(rows: DataFrame) -> DataFrame:
+        return rows.join(told, "doc_id").withColumn("earlier", F.slice("bands", F.lit(1), F.col("band"))).drop("bands")
+
+    def by_sketch(frame: pd.DataFrame) -> pd.DataFrame:
+        """Pairs that would join the cell's components if all were links; if that left out any pair, all documents of pairs, too (y null)."""
+        x, y = _sides(frame)
+        pairs, joined, left_out, in_pairs = [], _Joined(), False, set()
+        for r, near in _near_rows(x, y, percent) if len(x) and len(y) else ():
+            one = int(x.doc_id.iloc[r])
+            in_pairs.add(one)
+            for k in near:
+                other = int(y.doc_id.iloc[k])
+                in_pairs.add(other)
+                a, b = joined.roots(x.component.iloc[r], y.component.iloc[k])
+                if a == b:
+                    left_out = True
+                else:
+                    joined.link(a, b)
+                    pairs.append((min(one, other), max(one, other)))
+        rows = pairs + ([(d, None) for d in sorted(in_pairs)] if left_out else [])
+        first = frame.iloc[0]
+        return pd.DataFrame({"key": first.key, "kind": first.kind, "i": first.i, "j": first.j, "x": pd.array([r[0] for r in rows], "Int64"),
+                             "y": pd.array([r[1] for r in rows], "Int64")})
+
+    found = cut_lineage(with_sketch(cells).groupBy(*_CELL).applyInPandas(by_sketch, "key long, kind string, i long, j long, x long, y long"))
+    pairs = cut_lineage(found.where("y IS NOT NULL").select("x", "y").distinct())
+    links = _confirmed(pairs, docs, percent)
+    # In a cell with a pair that is no link, pairs left out for it are still open: their documents are compared again, with their sets.
+    wrong = pairs.join(links, ["x", "y"], "left_anti")
+    doubtful = found.where("y IS NOT NULL").join(wrong, ["x", "y"], "left_semi").select(*_CELL).distinct()
+    again = cut_lineage(found.where("y IS NULL").join(doubtful, _CELL, "left_semi").select(*_CELL, F.col("x").alias("doc_id")))
+    if again.isEmpty():
+        return links
+    sets = _full_sets(again.select("doc_id"), docs)
+
+    def by_sets(frame: pd.DataFrame) -> pd.DataFrame:
+        x, y = _sides(frame)
+        out, joined = [], _Joined()
         if len(x) and len(y):
-            band = int(frame.band.iloc[0])
-            (cx, kx, bx), (cy, ky, by) = ((f.component.to_numpy(), np.frombuffer(b"".join(f.sketch), np.uint8).reshape(-1, VALUES),
-                                           np.array(f.bands.tolist(), np.int64)[:, :band]) for f in (x, y))
-            ix, iy = x.doc_id.to_numpy(), y.doc_id.to_numpy()
             sx, sy = ([np.frombuffer(s, np.uint64) for s in f.shingles] for f in (x, y))
-            nx, ny = np.array([len(s) for s in sx]), np.array([len(s) for s in sy])
-            for r in range(len(x)):
-                good = ((cy != cx[r]) & (100 * np.minimum(ny, nx[r]) >= percent * np.maximum(ny, nx[r]))
-                        & ((ky == kx[r]).sum(axis=1) >= LEAST_EQUAL))
-                if x is y:
-                    good &= iy > ix[r]
-                near = np.flatnonzero(good)
-                if band and len(near):
-                    near = near[~(by[near] == bx[r]).any(axis=1)]
+            for r, near in _near_rows(x, y, percent):
+                one = int(x.doc_id.iloc[r])
                 for k in near:
                     # What this cell has already joined needs no second link.
-                    a, b = find(int(cx[r])), find(int(cy[k]))
+                    a, b = joined.roots(x.component.iloc[r], y.component.iloc[k])
                     if a != b and _alike(sx[r], sy[k], percent):
-                        joined[max(a, b)] = min(a, b)
-                        out.append((min(ix[r], iy[k]), max(ix[r], iy[k])))
+                        joined.link(a, b)
+                        out.append((min(one, int(y.doc_id.iloc[k])), max(one, int(y.doc_id.iloc[k]))))
         return pd.DataFrame(out, columns=["x", "y"], dtype="int64")
 
-    return cut_lineage(cells.groupBy("key", "kind", "i", "j").applyInPandas(compare, "x long, y long").distinct())
+    rows = with_sketch(cells.join(again, [*_CELL, "doc_id"], "left_semi")).join(sets, "doc_id")
+    return cut_lineage(links.unionByName(rows.groupBy(*_CELL).applyInPandas(by_sets, "x long, y long")).distinct())
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -243,7 +318,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     classes = cut_lineage(real.groupBy("n", "a", "b").agg(F.min("doc_id").alias("rep")))
     # Rows that share a doc_id are one document, so all classes that hold it are linked by it.
     chosen = real.join(classes.withColumnRenamed("rep", "doc_id"), ["n", "a", "b", "doc_id"], "left_semi")
-    reps = cut_lineage(chosen.select("doc_id", "bands", "sketch"))
+    reps = cut_lineage(chosen.select("doc_id", "n", "bands", "sketch"))
     entries = reps.select("doc_id", F.posexplode("bands").alias("band", "key"))
     centres = cut_lineage(entries.groupBy("key").agg(F.min("doc_id").alias("centre"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
                           .where("centre < last").select("key", "centre", "n"))

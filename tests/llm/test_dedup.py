@@ -83,6 +83,54 @@ def test_buckets_of_many_components(docs_of, monkeypatch):
     check(docs_of, [(100 - i, " ".join(w)) for i, w in enumerate(rows)])
 
 
+def test_cells_whose_sketches_mislead(docs_of, monkeypatch):
+    """With a sketch test that lets nearly all pairs pass, pairs that are no links join a cell's components at first; every link between them must
+    still be found, and sets are only made for documents of such cells."""
+    monkeypatch.setattr(dedup, "BLOCK", 8)
+    monkeypatch.setattr(dedup, "LEAST_EQUAL", 40)
+    rng = random.Random(11)
+    passage = [f"p{i}" for i in range(30)]
+    rows = []
+    for _ in range(18):
+        own = [f"u{rng.randrange(10 ** 6)}" for _ in range(rng.randint(8, 25))]
+        rows += [passage + own, mutate(rng, passage + own, 1), [*passage, *own, f"z{rng.randrange(10 ** 6)}"]]
+    made = []
+    whole = dedup._full_sets
+
+    def counted(ids, docs):
+        made.append(ids.distinct().count())
+        return whole(ids, docs)
+    monkeypatch.setattr(dedup, "_full_sets", counted)
+    check(docs_of, [(200 - i, " ".join(w)) for i, w in enumerate(rows)])
+    assert len(made) == 3, "star links, links of cells, and cells with wrong pairs"
+
+
+def test_unlike_documents_of_one_bucket_make_no_sets(docs_of, monkeypatch):
+    """A thousand documents that share one band and no more: cells carry sketches, and no document's set is made for them."""
+    monkeypatch.setattr(dedup, "BLOCK", 64)
+    made, whole = [], dedup._full_sets
+
+    def counted(ids, docs):
+        made.append(ids.distinct().count())
+        return whole(ids, docs)
+    monkeypatch.setattr(dedup, "_full_sets", counted)
+    keys = dedup.band_keys
+    monkeypatch.setattr(dedup, "band_keys", lambda sig: np.concatenate([np.full((len(sig), 1), 7, np.uint64), keys(sig)[:, 1:]], axis=1))
+    rows = [(i, " ".join(f"w{i}_{k}" for k in range(20))) for i in range(1000)]
+    docs = docs_of(rows)
+    signed = dedup.cut_lineage(dedup.signatures(docs))
+    reps = signed.select("doc_id", "n", "bands", "sketch")
+    members = signed.selectExpr("bands[0] AS key", "0 AS band", "doc_id", "doc_id AS component")
+    cells, n_cells = dedup._cells(members)
+    largest = 1
+    blocks = -(-(1000 - largest) // 64)
+    assert n_cells == blocks + blocks * (blocks + 1) // 2
+    # Each document meets every block once, and itself.
+    assert cells.count() <= 1000 * (blocks + 1) + blocks
+    assert dedup._links_of_open_buckets(members, reps, docs, 75).count() == 0
+    assert made in ([], [0])
+
+
 def test_chains_and_large_groups(docs_of):
     rng = random.Random(7)
     words = [f"c{i}" for i in range(80)]
