@@ -11,7 +11,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.session import cut_lineage, ensure_checkpoint_dir  # noqa: F401  (re-exported for the operators)
+# The operators work on partitions as they are, and on text that does not shrink by column.
+from starloom.session import checkpoint_rows as cut_lineage, ensure_checkpoint_dir  # noqa: F401  (re-exported for the operators)
 from starloom.sources import tables
 
 #: A word, as all contracts define it: a run of characters that are not one of the six ASCII blanks.
