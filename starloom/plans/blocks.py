@@ -217,7 +217,7 @@ class BlockTable:
         (rows.hint("rebalance", _BLOCK)
              .observe(seen, F.count(F.lit(1)).alias("rows"), F.count(F.when(action == "insert", 1)).alias("insert"),
                       F.count(F.when(action == "update", 1)).alias("update"))
-             .drop(_ACTION).write.partitionBy(_BLOCK).parquet(f"{self._files.root}/{folder}"))
+             .drop(_ACTION).write.option("compression", "zstd").partitionBy(_BLOCK).parquet(f"{self._files.root}/{folder}"))
         prefix = f"{_BLOCK}="
         return {n[len(prefix):]: f"{folder}/{n}" for n in self._files.names(folder) if n.startswith(prefix)}, seen.get
 
@@ -228,12 +228,12 @@ class BlockTable:
             return Counts()
         return Counts(**{k: tuple(v) if isinstance(v, list) else v for k, v in version.counts.items()})
 
-    def _mark(self, version: _Version, incoming: DataFrame, order_cols, carried: list[str]) -> tuple[DataFrame, list[str]]:
+    def _mark(self, version: _Version, incoming: DataFrame, order_cols, carried: list[str], unique: bool = False) -> tuple[DataFrame, list[str]]:
         """The latest row per id of an extract with its block, what it is (insert, update, unchanged) and, as ``_old_<name>``, columns of the row it
-        meets; and the labels of the blocks that were read for it."""
+        meets; and the labels of the blocks that were read for it. An extract that is ``unique`` has one row per id and is a stored table."""
         self._check(version, incoming)
         cols = incoming.columns
-        rows = cut_lineage(self._dealt(latest_of_extract(incoming, self.keys, list(order_cols))))
+        rows = self._dealt(incoming) if unique else cut_lineage(self._dealt(latest_of_extract(incoming, self.keys, list(order_cols))))
         present = [b for b in self._labels_of(rows) if b in version.blocks]
         if not present:
             return rows.withColumn(_ACTION, F.lit("insert")), present
@@ -258,6 +258,11 @@ class BlockTable:
         cols = [c for c in incoming.columns if c != self.row_id]
         carried = [self.row_id] if self.row_id else []
         marked, present = self._mark(version, incoming.select(*cols), order_cols, carried)
+        return self._apply(version, marked, present, cols, tag)
+
+    def _apply(self, version: _Version, marked: DataFrame, present: list[str], cols: list[str], tag: int | None = None) -> Counts:
+        """Write what ``_mark`` found in the blocks ``present`` of this version."""
+        carried = [self.row_id] if self.row_id else []
         old = bool(present)
         tally = marked.groupBy(_BLOCK).agg(*[F.count(F.when(F.col(_ACTION) == a, 1)).alias(a) for a in ("insert", "update", "unchanged")]).collect()
         n = {a: sum(r[a] for r in tally) for a in ("insert", "update", "unchanged")}

@@ -78,7 +78,8 @@ class ChangeDays:
         cols = incoming.columns
         rows = cut_lineage(self._rows._dealt(latest_of_extract(incoming, self.keys, self.times)))
         narrow = rows.select(*self.keys, self.hash_col, F.col(_BLOCK).alias(_DAY))
-        marked, blocks_read = self._index._mark(self._index._open(), narrow, (), [_DAY])
+        listed = self._index._open()
+        marked, blocks_read = self._index._mark(listed, narrow, (), [_DAY], unique=True)
         if _OLD + _DAY not in marked.columns:
             marked = marked.withColumn(_OLD + _DAY, F.lit(None).cast("string"))
         left = F.when(F.col(_ACTION) == "update", F.col(_OLD + _DAY))
@@ -107,7 +108,7 @@ class ChangeDays:
         blocks = {d: f for d, f in version.blocks.items() if d not in again}
         for day, folder in folders.items():
             blocks[day] = [*blocks.get(day, ()), folder]
-        self._index.upsert(narrow)
+        self._index._apply(listed, marked, blocks_read, narrow.columns)
         counts = Counts(sum(n.values()), n["insert"], n["update"], n["unchanged"], seen["rows"], tuple(again), tuple(sorted(set(again) | set(into))))
         self._rows._commit(version, blocks=blocks, schema=version.schema or incoming.schema.json(), counts=asdict(counts),
                            note={"index": self._index.version})
