@@ -15,8 +15,8 @@ Items of fewer than ``EXACT_BELOW`` words drown in their passage, so for them th
 or answer terms are taken, so many that no stretch without one of them can be confirmed, and every stretch around one is held against the item.
 
 The items are the stated queries, handled in blocks of ``ITEMS_PER_BLOCK`` whose vectors every task holds; all documents are
-read whole. The basis is fitted on about ``SAMPLE_DOCS`` documents and all items of the block; counts and search cover
-everything. Nothing is shuffled but sums by term.
+read whole. The basis is fitted on the passages of all documents and all items of the block; counts and search cover
+everything, too. Nothing is shuffled but sums by term.
 
 Defined cases: null and empty texts match nothing; null and empty items are ignored; items of fewer than ``SHORT`` words must occur in
 full; repeated documents and items are matched each; an empty table gives an empty result.
@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from starloom.llm.common import (
-    PUNCTUATION, bounded_sample, cut_lineage, keep_rows, load, slices, text_buffers, word_hashes, word_spans,
+    PUNCTUATION, cut_lineage, keep_rows, load, slices, text_buffers, word_hashes, word_spans,
 )
 
 #: Passages are so many blocks of STRIDE words; one starts at every block.
@@ -48,7 +48,8 @@ SHORT = 8
 EXACT_BELOW = 16
 #: Terms that more than this share of documents hold are no content, except an item's rarest ``KEPT_TERMS``.
 COMMON_SHARE, KEPT_TERMS = 0.02, 6
-SAMPLE_DOCS = 4_000
+#: Rows of the basis that are summed together.
+TERMS_OF_ROW = 64
 ITEMS_PER_BLOCK = 1_000
 
 
@@ -123,36 +124,55 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
 
 
-def fit_basis(sample: DataFrame, terms: np.ndarray, idf: np.ndarray, items: np.ndarray, rank: int = RANK, seed: int = 7) -> np.ndarray:
-    """An orthonormal basis (terms x rank) of the leading right singular space of the passages' and items' unit
-    TF-IDF vectors, by random projection and power steps. Each task returns one matrix of that size."""
+def _hits(docs: DataFrame, terms: np.ndarray) -> DataFrame:
+    """The known terms of all texts, as packed numbers for each slice of rows: passage (without overlap), term and how often it occurs there."""
+    def find(batches):
+        known = _Terms(terms)
+        for batch in slices(batches, "text"):
+            words, first = _words(batch.column(0))
+            at, number = known.find(words)
+            if not len(at):
+                continue
+            row = np.searchsorted(first, at, "right") - 1
+            key = row * (1 << 32) + (at - first[row]) // (STRIDE * SPANS[-1])
+            block = np.unique(key, return_inverse=True)[1]
+            pair, tf = np.unique(block * len(terms) + number, return_counts=True)
+            packed = [(pair // len(terms)).astype(np.int32), (pair % len(terms)).astype(np.int32), tf.astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in packed], ["block", "number", "tf"])
+    return docs.select("text").mapInArrow(find, "block binary, number binary, tf binary")
+
+
+def fit_basis(docs: DataFrame, terms: np.ndarray, idf: np.ndarray, items: np.ndarray, rank: int = RANK, seed: int = 7) -> np.ndarray:
+    """An orthonormal basis (terms x rank) of the leading right singular space of the unit TF-IDF vectors of all passages
+    and items, by random projection and power steps. Texts are read once; each step multiplies the passages' known terms, and the
+    products are summed by term in Spark, so the driver gets one matrix of that size."""
     width = min(rank + OVERSAMPLE, len(terms))
     basis = np.random.default_rng(seed).standard_normal((len(terms), width)).astype(np.float32)
+    hits = cut_lineage(_hits(docs, terms))
     for _ in range(POWER_STEPS + 1):
         def multiply(batches, basis=basis):
-            known = _Terms(terms)
             out = np.zeros((len(terms), basis.shape[1]), np.float64)
-            for batch in slices(batches, "text"):
-                words, first = _words(batch.column(0))
-                at, number = known.find(words)
-                if not len(at):
-                    continue
-                # Here passages without overlap are the rows of the matrix.
-                row = np.searchsorted(first, at, "right") - 1
-                key = row * (1 << 32) + (at - first[row]) // (STRIDE * SPANS[-1])
-                block = np.unique(key, return_inverse=True)[1]
-                pair, tf = np.unique(block * len(terms) + number, return_counts=True)
-                block, number = pair // len(terms), pair % len(terms)
-                value = (np.log1p(tf) * idf[number]).astype(np.float32)
-                value /= np.sqrt(np.bincount(block, value * value))[block]
-                start = np.flatnonzero(np.diff(block, prepend=-1))
-                product = np.add.reduceat(value[:, None] * basis[number], start, axis=0)
-                np.add.at(out, number, value[:, None] * product[block])
-            yield pa.RecordBatch.from_arrays([pa.array([out.astype(np.float32).tobytes()], pa.binary())], ["product"])
-
-        total = items.T @ (items @ basis)  # the benchmark items are rows of the matrix, too
-        for r in sample.mapInArrow(multiply, "product binary").collect():
-            total = total + np.frombuffer(r.product, np.float32).reshape(total.shape)
+            for batch in batches:
+                for packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    block, number, tf = (np.frombuffer(x, np.int32) for x in packed)
+                    value = (np.log1p(tf) * idf[number]).astype(np.float32)
+                    value /= np.sqrt(np.bincount(block, value * value))[block]
+                    start = np.flatnonzero(np.diff(block, prepend=-1))
+                    product = np.add.reduceat(value[:, None] * basis[number], start, axis=0)
+                    order = np.argsort(number, kind="stable")
+                    firsts = np.flatnonzero(np.diff(number[order], prepend=-1))
+                    out[number[order][firsts]] += np.add.reduceat((value[:, None] * product[block])[order], firsts, axis=0)
+            at = [k for k in range(0, len(terms), TERMS_OF_ROW) if out[k:k + TERMS_OF_ROW].any()]
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array([out[k:k + TERMS_OF_ROW].tobytes() for k in at], pa.binary())], ["first", "product"])
+
+        def add(group):
+            return group.iloc[:1].assign(product=[np.sum([np.frombuffer(x, np.float64) for x in group["product"]], axis=0).tobytes()])
+
+        total = (items.T @ (items @ basis)).astype(np.float64)  # the benchmark items are rows of the matrix, too
+        sums = hits.mapInArrow(multiply, "first long, product binary").groupBy("first").applyInPandas(add, "first long, product binary")
+        for r in sums.collect():
+            part = np.frombuffer(r["product"], np.float64).reshape(-1, total.shape[1])
+            total[r["first"]:r["first"] + len(part)] += part
         basis = np.linalg.qr(total)[0].astype(np.float32)
     return basis[:, :rank]
 
@@ -292,9 +312,7 @@ def _share(docs, items, least_common, least_answer):
         rarest = sorted(set(words), key=lambda w: (frequency[w], w))
         answers.append(frozenset(asked or rarest[:max(1, len(rarest) // 2)]))
     vectors = _unit(vectors)
-    sample = cut_lineage(bounded_sample(docs.select("doc_id", "text"), n_docs, SAMPLE_DOCS, "doc_id", "text", seed=9)
-                         .select("text").repartition(4))
-    basis = fit_basis(sample, terms, idf, vectors)
+    basis = fit_basis(docs, terms, idf, vectors)
     looked_up: dict[int, list[int]] = {}
     for i, (_, words, _) in enumerate(items):
         if len(words) < EXACT_BELOW:

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -169,3 +170,34 @@ def test_item_ids_of_any_type(spark, docs_of, kind):
     got = D.find_leaks(docs_of([(1, f"before {text} after"), (2, "something else")]), items)
     assert got.schema["item_id"].dataType == items.schema["item_id"].dataType
     assert [(r.doc_id, str(r.item_id)) for r in got.collect()] == [(1, "5")]
+
+
+def test_the_space_is_fitted_on_every_document(spark, docs_of, monkeypatch):
+    kept, real = [], D.cut_lineage
+    monkeypatch.setattr(D, "cut_lineage", lambda df: kept.append(real(df)) or kept[-1])
+    words = [f"term{k}" for k in range(200)]
+    r = random.Random(5)
+    docs = docs_of([(k, " ".join(r.sample(words, 3))) for k in range(6_000)])
+    benchmark = spark.createDataFrame([(k, " ".join(words[k:k + 20])) for k in range(0, 200, 20)], "item_id long, text string")
+    D.find_leaks(docs, benchmark).count()
+    (hits,) = kept
+    blocks = [np.frombuffer(x.block, np.int32) for x in hits.collect()]
+    assert sum(len(np.unique(b)) for b in blocks) == 6_000
+
+
+def test_the_basis_spans_the_leading_singular_space(spark, docs_of):
+    r = random.Random(6)
+    words = [f"w{k}" for k in range(30)]
+    texts = [" ".join(r.choices(words[5 * (i % 3):5 * (i % 3) + 5], k=12)) for i in range(300)]
+    hashed = [D._words(pa.array([w]))[0][0] for w in words]
+    terms = np.array(sorted(hashed), np.int64)
+    idf = np.ones(len(terms))
+    rows = np.zeros((len(texts), len(terms)))
+    for i, text in enumerate(texts):
+        for w in text.split():
+            rows[i, np.searchsorted(terms, hashed[words.index(w)])] += 1
+    rows = np.log1p(rows)
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    exact = np.linalg.svd(rows)[2][:3]
+    basis = D.fit_basis(docs_of(list(enumerate(texts))), terms, idf, np.zeros((1, len(terms)), np.float32), rank=16)
+    assert np.allclose(np.linalg.norm(exact @ basis, axis=1), 1, atol=1e-3)
