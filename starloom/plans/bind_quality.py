@@ -94,7 +94,7 @@ def idempotent_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ["source_order_id", "source_line_id"]
     # The first load is written (checkpointed) like a real target, then the same load runs again.
     first = cut_lineage(append_new(rows, rows.limit(0), keys, null_safe=True))
-    second = append_new(rows, first, keys, null_safe=True)   # re-running the same load adds nothing
+    second = append_new(rows, first, keys, null_safe=True, rows=first.count())   # re-running the same load adds nothing
     total = first.unionByName(second)
     cnt = lambda df: df.agg(F.count(F.lit(1)))
     return scalars_row({"n_first_run": cnt(first), "n_second_run": cnt(second), "n_total": cnt(total)})
