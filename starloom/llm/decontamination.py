@@ -24,6 +24,7 @@ full; repeated documents and items are matched each; an empty table gives an emp
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
@@ -251,6 +252,36 @@ def _collect_items(benchmark: DataFrame) -> list[tuple]:
     return out
 
 
+class _AnswerCounts:
+    """How many words of stretches of a batch are answer terms of an item, repetitions included: never fewer than its distinct ones there."""
+
+    #: Running counts that are kept for the next passages of the batch.
+    MOST_KEPT = 1 << 24
+
+    def __init__(self, words: np.ndarray, asked: _Terms, answers: list[frozenset[int]]):
+        self.at, self.number = asked.find(words)
+        self.terms, self.answers, self.kept = asked.terms, answers, {}
+
+    def _running(self, item: int) -> np.ndarray:
+        if item not in self.kept:
+            if (len(self.kept) + 1) * (len(self.at) + 1) > self.MOST_KEPT:
+                self.kept.clear()
+            member = np.zeros(len(self.terms), bool)
+            member[np.searchsorted(self.terms, np.fromiter(self.answers[item], np.int64))] = True
+            self.kept[item] = np.concatenate([[0], np.cumsum(member[self.number])]).astype(np.int32)
+        return self.kept[item]
+
+    def within(self, items: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """For rising ``items``, the count of each between the words ``low`` and ``high``."""
+        start, end = np.searchsorted(self.at, low), np.searchsorted(self.at, high)
+        out = np.zeros(len(items), np.int64)
+        place = [*np.flatnonzero(np.diff(items, prepend=-1)).tolist(), len(items)]
+        for a, z in itertools.pairwise(place):
+            running = self._running(int(items[a]))
+            out[a:z] = running[end[a:z]] - running[start[a:z]]
+        return out
+
+
 def _spots(words: np.ndarray, first: np.ndarray, keys: _Terms, held: dict) -> dict[tuple[int, int], list[int]]:
     """Where the key words of short items occur, in order, by row and item."""
     out: dict[tuple[int, int], list[int]] = {}
@@ -328,22 +359,29 @@ def _share(docs, items, least_common, least_answer):
 def _matcher(held: dict, least_cosine: float, least_common: float, least_answer: float):
     """A function from a column of texts to (common, answer, cosine) by row and item, for every confirmed match."""
     known, weights, targets, keys = _Terms(held["terms"]), held["weights"], held["items"], _Terms(held["keys"])
+    asked = _Terms(np.unique(np.array([w for answer in held["answers"] for w in answer], np.int64)))
+    sizes = np.array([len(words) for words in held["words"]], np.int64)
+    answer_sizes = np.array([len(answer) for answer in held["answers"]], np.int64)
 
     def match(column: pa.Array) -> dict[tuple[int, int], tuple]:
         words, first = _words(column)
         best: dict[tuple[int, int], tuple] = {}
         vectors, rows, starts, lengths = passages(words, first, known, weights)
+        counts = _AnswerCounts(words, asked, held["answers"])
         for low in range(0, len(rows), 4096):
             at = np.arange(low, min(low + 4096, len(rows)))
             cosines = _unit(vectors[at]) @ targets.T
-            for k, item in zip(*np.nonzero(cosines >= least_cosine), strict=True):
-                row, start = int(rows[at[k]]), int(starts[at[k]])
-                target = held["words"][item]
-                low_end, high_end = max(int(first[row]), start - len(target)), min(int(first[row + 1]), start + int(lengths[at[k]]) + len(target))
-                found = confirm(target, held["answers"][item], words[low_end:high_end].tolist(), least_common, least_answer)
+            item, k = np.nonzero((cosines >= least_cosine).T)
+            row, start = rows[at[k]], starts[at[k]]
+            low_end = np.maximum(first[row], start - sizes[item])
+            high_end = np.minimum(first[row + 1], start + lengths[at[k]] + sizes[item])
+            # Most candidates hold too few of the answer terms, counted with their repetitions; the others are confirmed word by word.
+            for c in np.flatnonzero(counts.within(item, low_end, high_end) >= least_answer * answer_sizes[item]).tolist():
+                i, r = int(item[c]), int(row[c])
+                found = confirm(held["words"][i], held["answers"][i], words[low_end[c]:high_end[c]].tolist(), least_common, least_answer)
                 if found:
-                    got = (*found, float(cosines[k, item]))
-                    best[row, int(item)] = max(best.get((row, int(item)), got), got)
+                    got = (*found, float(cosines[k[c], i]))
+                    best[r, i] = max(best.get((r, i), got), got)
         for (row, item), spots in _spots(words, first, keys, held).items():
             target = held["words"][item]
             length = len(target) + len(target) // 2 + 2

@@ -201,3 +201,32 @@ def test_the_basis_spans_the_leading_singular_space(spark, docs_of):
     exact = np.linalg.svd(rows)[2][:3]
     basis = D.fit_basis(docs_of(list(enumerate(texts))), terms, idf, np.zeros((1, len(terms)), np.float32), rank=16)
     assert np.allclose(np.linalg.norm(exact @ basis, axis=1), 1, atol=1e-3)
+
+
+def test_only_candidates_with_enough_answer_terms_are_confirmed_word_by_word(monkeypatch):
+    """The running counts of answer terms refuse a candidate only where ``confirm`` would, and most that it would."""
+    rng = random.Random(9)
+    docs, items, _ = corpus(9)
+    words = {k: D._words(pa.array([t]))[0].tolist() for k, t in items}
+    terms = np.unique(np.concatenate([np.array(w, np.int64) for w in words.values()]))
+    weights = np.random.default_rng(1).standard_normal((len(terms), 8)).astype(np.float32)
+    known = D._Terms(terms)
+    targets = D._unit(np.stack([weights[known.find(np.array(w, np.int64))[1]].sum(0) for w in words.values()]))
+    answers = [frozenset(rng.sample(sorted(set(w)), len(set(w)) // 2)) for w in words.values()]
+    held = {"terms": terms, "weights": weights, "items": targets, "keys": np.zeros(0, np.int64), "key_items": [],
+            "words": list(words.values()), "answers": answers}
+    asked, real = [], D.confirm
+
+    def watched(item, answer, region, *least):
+        asked.append(len(answer.intersection(region)) >= D.LEAST_ANSWER * len(answer))
+        return real(item, answer, region, *least)
+    monkeypatch.setattr(D, "confirm", watched)
+    column = pa.array([t for _, t in docs[:40]] + [None, ""])
+    got = D._matcher(held, D.LEAST_COSINE, D.LEAST_COMMON, D.LEAST_ANSWER)(column)
+    monkeypatch.setattr(D._AnswerCounts, "MOST_KEPT", 0)
+    assert got and D._matcher(held, D.LEAST_COSINE, D.LEAST_COMMON, D.LEAST_ANSWER)(column) == got
+    few, worthy = len(asked), sum(asked)
+    asked.clear()
+    monkeypatch.setattr(D._AnswerCounts, "within", lambda self, items, low, high: np.full(len(items), 1 << 40))
+    assert D._matcher(held, D.LEAST_COSINE, D.LEAST_COMMON, D.LEAST_ANSWER)(column) == got
+    assert 2 * sum(asked) == worthy and 2 * len(asked) > few
