@@ -141,3 +141,97 @@ def test_an_upsert_by_ranges_is_the_whole_upsert(spark, monkeypatch):
     ranged, log_ranged, left = loaded()
     assert len(moved) > 1 and ranged == whole and log_ranged == log and left == 1
     assert (log.rows_inserted, log.rows_updated) == (40, 21)
+
+
+def test_typed_references_are_checked_by_ranges_of_the_reference(spark, monkeypatch):
+    from starloom.plans import staging
+    monkeypatch.setattr(keys, "ROWS_PER_RANGE", 20)
+    monkeypatch.setattr(staging, "PARENT_BROADCAST_MAX_ROWS", 5)
+    day = dt.datetime(2020, 1, 1)
+    parents = {"donations": spark.range(0, 40), "expenses": spark.range(20, 1_000), "payments": spark.range(-5, 3)}
+    n = F.col("id")
+    moves = spark.range(100).select(
+        n, F.when(n % 3 == 0, "donation").when(n % 3 == 1, " Expense").otherwise("payment").alias("entity_type"), F.when(n != 50, n - 10).alias("entity_id"),
+        F.lit("credit").alias("transaction_type"), F.lit(1).cast("decimal(18,2)").alias("amount"), F.lit(day.date()).alias("transaction_date"),
+        F.lit(day).cast("timestamp_ntz").alias("created_at"))
+    met, real = [], staging.validate
+
+    def watched(x, rules, fks):
+        met.append((x.count(), sum(fk.parent.count() for fk in fks)))
+        return real(x, rules, fks)
+    monkeypatch.setattr(staging, "validate", watched)
+    before = _held(spark)
+    _, log = run_staging(spark, "finance_ops", {"financial_transactions": moves, **parents}, {}, day, specs=("financial_transactions",))
+    assert len(met) > 1 and sum(rows for rows, _ in met) == 100 and max(ids for _, ids in met) < 100
+    there = [range(0, 40), range(20, 1_000), range(-5, 3)]
+    good = [i for i in range(100) if i != 50 and i - 10 in there[i % 3]]
+    # A missing id is reported by the required columns.
+    assert (log.first().rows_read, log.first().rows_valid) == (100, len(good))
+    assert len(_held(spark) - before) == 1      # the staged rows; the parents' ids are gone
+
+
+def test_an_extract_goes_range_by_range_as_it_is_numbered(spark, monkeypatch):
+    from starloom.plans import staging
+    monkeypatch.setattr(keys, "ROWS_PER_RANGE", 30)
+    monkeypatch.setattr(keys, "SMALL_MAX_ROWS", 0)
+    monkeypatch.setattr(staging, "SMALL_MAX_ROWS", 0)
+    monkeypatch.setattr(staging, "ONE_AT_A_TIME_ROWS", 10)
+    day = dt.datetime(2020, 1, 1)
+    n = F.col("id")
+    payments = spark.range(200).select(
+        (n * 7 % 200).alias("id"), F.lit("vendor").alias("payment_type"), F.lit(None).cast("int").alias("teacher_id"), F.lit(1).alias("center_id"),
+        (n % 10).cast("decimal(18,2)").alias("amount"), F.lit("USD").alias("currency"), F.lit(day.date()).alias("payment_date"), F.lit("paid").alias("status"),
+        F.lit(day).cast("timestamp_ntz").alias("created_at"), F.lit(None).cast("timestamp_ntz").alias("updated_at"))
+    held = []
+    before, sort = _held(spark), staging.assign_keys
+
+    def watched(*args, **kwargs):
+        written = kwargs["written"]
+
+        def told(i):
+            written(i)
+            held.append(len(_held(spark) - before))
+        assert len(kwargs["parts"]) > 2
+        return sort(*args, **{**kwargs, "written": told})
+    monkeypatch.setattr(staging, "assign_keys", watched)
+    out, log = run_staging(spark, "finance_ops", {"payments": payments}, {}, day, specs=("payments",))
+    assert set(held[1:]) == {held[0]}           # a range is written, the extract's is removed
+    good = sorted(i * 7 % 200 for i in range(200) if i % 10)
+    assert (log.first().rows_read, log.first().rows_valid) == (200, 180)
+    assert [(r.id, r.stg_row_id) for r in out["payments"].orderBy("stg_row_id").collect()] == [(i, k) for k, i in enumerate(good, 1)]
+    # Of a repeated id the latest row is staged, whatever the ranges.
+    monkeypatch.setattr(staging, "assign_keys", sort)
+    later = payments.where("id < 5").withColumns({"updated_at": F.lit(day).cast("timestamp_ntz"), "amount": F.lit(99).cast("decimal(18,2)")})
+    out, _ = run_staging(spark, "finance_ops", {"payments": payments.unionByName(later)}, {}, day, specs=("payments",))
+    assert out["payments"].where("id < 5").select("amount").distinct().collect()[0][0] == 99 and out["payments"].where("id < 5").count() == 5
+
+
+def test_a_finance_run_by_ranges_is_the_whole_run(spark, monkeypatch):
+    from starloom.plans import bind_marts, mart2, staging
+    names = ("dim_donor", "dim_currency", "fact_donation_transaction", "fact_expense_transaction", "fact_payment_transaction",
+             "fact_budget_allocation_event", "fact_source_load_map", "fact_donation_lifecycle", "fact_monthly_financial_snapshot")
+
+    def rows():
+        monkeypatch.setattr(bind_marts, "_RUNS", {})
+        out = bind_marts.finance_run(spark, "/root/testdata/sf0.001")
+        return {n: sorted(map(str, out[n].select(*sorted(out[n].columns)).collect())) for n in names}
+    whole = rows()
+    for module, name, value in ((keys, "ROWS_PER_RANGE", 40), (keys, "SMALL_MAX_ROWS", 0), (staging, "SMALL_MAX_ROWS", 0), (staging, "ONE_AT_A_TIME_ROWS", 10),
+                                (staging, "PARENT_BROADCAST_MAX_ROWS", 5), (mart2, "ROWS_PER_TASK", 10)):
+        monkeypatch.setattr(module, name, value)
+    gone, parts, real = [], [], mart2._lifecycle_rows
+    run = mart2.run_mart2
+
+    def watched(*args, **kwargs):
+        spent = kwargs["spent"]
+        return run(*args, **{**kwargs, "spent": lambda n: (gone.append(n), spent(n))})
+
+    def lifecycle(*args):
+        parts.append(sorted(gone))
+        return real(*args)
+    monkeypatch.setattr(bind_marts, "run_mart2", watched)
+    monkeypatch.setattr(mart2, "_lifecycle_rows", lifecycle)
+    ranged = rows()
+    assert len(parts) > 1 and set(map(tuple, parts)) == {("expenses", "payments")}
+    for name in names:
+        assert ranged[name] == whole[name], name
